@@ -33,6 +33,10 @@ INSERT_INTO = (
 UPDATE_SET = r"(?is)^\s*UPDATE\s+" + NAME + r"\s+SET\s+(.*?)(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
 DELETE_FROM = r"(?is)^\s*DELETE\s+FROM\s+" + NAME + r"(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
 TRUNCATE_TABLE = r"(?is)^\s*TRUNCATE\s+(?:TABLE\s+)?" + NAME + r"\s*;?\s*$"
+WRITTEN_TABLE = (
+    r"(?i)^\s*(?:INSERT\s+(?:OR\s+REPLACE\s+)?INTO|REPLACE\s+INTO|UPSERT\s+INTO|UPDATE|DELETE\s+FROM"
+    r"|TRUNCATE(?:\s+TABLE)?)\s+" + NAME
+)
 REPLAY_TXN = r"(?i)^\s*REPLAY_TXN\s*\(?\s*([0-9]*)"
 
 CREATE_TABLE = r"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?" + NAME + r"\s*\((.*)\)\s*;?\s*$"
@@ -54,6 +58,34 @@ def piece(text: Column, pattern: str, group: int) -> Column:
     return F.when(text.rlike(pattern) & (F.length(found) > 0), found)
 
 
+SEPARATOR = "\u0001"
+
+
+def groups(text: Column, pattern: str, count: int, where: Column) -> Column:
+    """All groups of a pattern in one regex pass, for :func:`part`.
+
+    Evaluated only for rows that pass the cheap test ``where``. A text that does
+    not match comes back as a single piece, so every group of it is null.
+    """
+    joined = F.regexp_replace(text, pattern, "".join(f"{SEPARATOR}${i}" for i in range(1, count + 1)))
+    return F.when(where, F.split(joined, SEPARATOR))
+
+
+def matched(found: Column) -> Column:
+    return F.coalesce(F.size(found) > 1, F.lit(False))
+
+
+def part(found: Column, index: int) -> Column:
+    """Group ``index`` (from 1) of :func:`groups`; empty captures are null."""
+    return F.nullif(F.get(found, F.lit(index)), F.lit(""))
+
+
+def starts_with(text: Column, *words: str) -> Column:
+    """Cheap test on the first six letters of a statement."""
+    first = F.upper(F.substring(F.ltrim(text), 1, 6))
+    return F.coalesce(first.isin([w[:6] for w in words]), F.lit(False))
+
+
 def pieces(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
@@ -81,7 +113,9 @@ def bound_values(tokens: Column, args: Column, skipped: Column) -> Column:
             .otherwise(token.cast("binary"))
         )
 
-    return F.transform(tokens, convert)
+    count = F.size(tokens)
+    only_marks = (F.array_min(tokens) == "?") & (F.array_max(tokens) == "?") & (F.size(args) >= skipped + count)
+    return F.when(only_marks, F.slice(args, skipped + 1, count)).otherwise(F.transform(tokens, convert))
 
 
 def marks_in(tokens: Column) -> Column:

@@ -41,7 +41,7 @@ from deltaloom.operators.fold import (
     truncated_devices,
 )
 from deltaloom.operators.normalize import bound_cast
-from deltaloom.storage import broadcast_checked, cut_lineage
+from deltaloom.storage import broadcast_counted, cut_lineage
 
 BULK_COLS = (*DEVICE_COLS, *ORDER_COLS, "_commit_id", "_op", "_terms", "_predicate", "_set")
 TERM_TYPE = "array<struct<column:string,operator:string,value:binary>>"
@@ -160,21 +160,25 @@ def _compare(left: Column, operator: str, right: Column) -> Column:
     }[operator]
 
 
-def apply_run(state: DataFrame, run: DataFrame, spec: TableSpec) -> DataFrame:
-    """Apply one run of bulk changes per device to the state."""
-    shapes = [row["_shape"] for row in run.select("_shape").distinct().collect()]
-    for shape in shapes:
+def apply_run(state: DataFrame, run: DataFrame, shapes: list, spec: TableSpec) -> DataFrame:
+    """Apply one run of bulk changes per device to the state.
+
+    ``shapes`` lists the statement shapes of the run with their row counts.
+    """
+    for shape, count in shapes:
         rows = run.where(F.col("_shape").eqNullSafe(_literal_shape(shape)))
         names = list(dict.fromkeys(shape["names"] or []))
         change = F.struct(F.col("_set"), F.col("_commit_id"))
         if shape["joinable"]:
-            values = [
-                _typed(spec, c, F.element_at(F.filter("_terms", lambda t, c=c: t["column"] == F.lit(c)), 1)["value"])
-                for c in names
-            ]
+
+            def wanted(c: str) -> Column:
+                term = F.element_at(F.filter("_terms", lambda t: t["column"] == F.lit(c)), 1)
+                return _typed(spec, c, term["value"])
+
+            values = {f"_v{i}": wanted(c) for i, c in enumerate(names)}
             hits = (
-                rows.select(*DEVICE_COLS, *[v.alias(f"_v{i}") for i, v in enumerate(values)], change.alias("_c"), order_of().alias("_o"))
-                .groupBy(*DEVICE_COLS, *[f"_v{i}" for i in range(len(names))])
+                rows.select(*DEVICE_COLS, *[v.alias(n) for n, v in values.items()], change.alias("_c"), order_of().alias("_o"))
+                .groupBy(*DEVICE_COLS, *values)
                 .agg(F.max_by("_c", "_o").alias("_c"))
             )
             matched = all_of(F.col(c) == F.col(f"_v{i}") for i, c in enumerate(names))
@@ -187,7 +191,7 @@ def apply_run(state: DataFrame, run: DataFrame, spec: TableSpec) -> DataFrame:
                 )
             else:
                 matched = F.expr(shape["predicate"]) if shape["predicate"] else F.lit(True)
-        state = _apply_hits(state, hits, matched, shape, spec)
+        state = _apply_hits(state, broadcast_counted(hits, count), matched, shape, spec)
     return state
 
 
@@ -209,7 +213,7 @@ def _literal_shape(shape) -> Column:
 
 def _apply_hits(state: DataFrame, hits: DataFrame, matched: Column, shape, spec: TableSpec) -> DataFrame:
     device = {c: f"_h{c}" for c in DEVICE_COLS}
-    side = broadcast_checked(hits.withColumnsRenamed(device))
+    side = hits.withColumnsRenamed(device)
     same_device = all_of(F.col(c) == F.col(h) for c, h in device.items())
     if shape["op"] == DELETE_WHERE:
         return state.join(side, same_device & is_true(matched), "left_anti")
@@ -238,9 +242,10 @@ def fold_with_bulk(
     ``cut_every`` rounds so that the plan does not grow with the log.
     """
     ops = set(ops)
-    shaped = cut_lineage(_shaped(bulk))
-    runs = run_starts(shaped)
-    rounds = runs.agg(F.max(F.size("_runs"))).first()[0] or 0
+    shaped = cut_lineage(_shaped(bulk), "bulk")
+    runs = cut_lineage(run_starts(shaped), "runs")
+    devices, rounds = runs.agg(F.count("*"), F.max(F.size("_runs"))).first()
+    rounds = rounds or 0
     if rounds == 0:
         return fold(changes, spec, ops) if state is None else merge(state, changes, spec, ops)
     if TRUNCATE in ops:
@@ -248,19 +253,20 @@ def fold_with_bulk(
             state = state.join(truncated_devices(changes).select(*DEVICE_COLS), list(DEVICE_COLS), "left_anti")
         changes = after_truncate(changes)
         ops = ops - {TRUNCATE}
-    runs = broadcast_checked(cut_lineage(runs))
+    runs = broadcast_counted(runs, devices)
 
     def numbered(df: DataFrame, inclusive: bool, name: str) -> DataFrame:
         def earlier(start: Column) -> Column:
             return start <= order_of() if inclusive else start < order_of()
 
-        found = F.size(F.filter("_runs", earlier))
-        return df.join(runs, list(DEVICE_COLS), "left").withColumn(
-            name, F.when(F.col("_runs").isNull(), 0).otherwise(found)
-        ).drop("_runs")
+        found = F.when(F.col("_runs").isNull(), 0).otherwise(F.size(F.filter("_runs", earlier)))
+        return df.join(runs, list(DEVICE_COLS), "left").withColumn(name, found).drop("_runs")
 
-    summaries = cut_lineage(summarise(numbered(changes, False, "_epoch"), spec, ops, by=("_epoch",)))
-    steps = cut_lineage(numbered(shaped, True, "_run"))
+    summaries = cut_lineage(summarise(numbered(changes, False, "_epoch"), spec, ops, by=("_epoch",)), "epochs")
+    steps = numbered(shaped, True, "_run")
+    shapes: dict[int, list] = {}
+    for row in steps.groupBy("_run", "_shape").count().collect():
+        shapes.setdefault(row["_run"], []).append((row["_shape"], row["count"]))
     for number in range(rounds + 1):
         part = summaries.where(F.col("_epoch") == number).drop("_epoch")
         if state is None:
@@ -268,7 +274,7 @@ def fold_with_bulk(
         else:
             state = apply_summary(before_batch(state, spec), part.withColumn("_touched", F.lit(True)), spec, False)
         if number < rounds:
-            state = apply_run(state, steps.where(F.col("_run") == number + 1), spec)
+            state = apply_run(state, steps.where(F.col("_run") == number + 1), shapes[number + 1], spec)
         if number % cut_every == cut_every - 1:
-            state = cut_lineage(state)
+            state = cut_lineage(state, "state")
     return state

@@ -77,14 +77,19 @@ def _lookup(table: Column, entries: Mapping[str, Iterable[str]]) -> Column:
     return found
 
 
+def _statement_parts(sql: Column) -> dict[str, Column]:
+    """Groups of the row-statement shapes; each is tried only on its own verb."""
+    return {
+        "I": st.groups(sql, st.INSERT_INTO, 5, st.starts_with(sql, "INSERT", "REPLAC", "UPSERT")),
+        "U": st.groups(sql, st.UPDATE_SET, 3, st.starts_with(sql, "UPDATE")),
+        "D": st.groups(sql, st.DELETE_FROM, 2, st.starts_with(sql, "DELETE")),
+        "T": F.when(st.starts_with(sql, "TRUNCA"), st.piece(sql, st.TRUNCATE_TABLE, 1)),
+    }
+
+
 def statement_table(sql: Column) -> Column:
     """Table a row statement writes to."""
-    return F.coalesce(
-        st.piece(sql, st.INSERT_INTO, 2),
-        st.piece(sql, st.UPDATE_SET, 1),
-        st.piece(sql, st.DELETE_FROM, 1),
-        st.piece(sql, st.TRUNCATE_TABLE, 1),
-    )
+    return F.nullif(F.regexp_extract(sql, st.WRITTEN_TABLE, 1), F.lit(""))
 
 
 def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame:
@@ -107,24 +112,26 @@ def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame
                 "_known_keys": _lookup(table, {s.name: s.keys for s in specs}),
             }
         )
-    sql = F.col("sql")
-    insert_into = sql.rlike(st.INSERT_INTO)
-    update_set = sql.rlike(st.UPDATE_SET)
-    delete_from = sql.rlike(st.DELETE_FROM)
-    shaped = log.select(
+    matched = log.select(
+        *LOG_COLS, "_known_columns", "_known_keys", *[c.alias(f"_{n}") for n, c in _statement_parts(F.col("sql")).items()]
+    )
+    insert, update, delete = F.col("_I"), F.col("_U"), F.col("_D")
+    shaped = matched.select(
         *LOG_COLS,
         "_known_columns",
         "_known_keys",
-        statement_table(sql).alias("_table"),
-        st.piece(sql, st.INSERT_INTO, 1).alias("_verb"),
-        st.piece(sql, st.INSERT_INTO, 5).alias("_conflict"),
-        st.piece(sql, st.INSERT_INTO, 3).alias("_names"),
-        st.piece(sql, st.INSERT_INTO, 4).alias("_values"),
-        st.piece(sql, st.UPDATE_SET, 2).alias("_assign"),
-        F.coalesce(st.piece(sql, st.UPDATE_SET, 3), st.piece(sql, st.DELETE_FROM, 2)).alias("_condition"),
-        F.when(insert_into, "I").when(update_set, "U").when(delete_from, "D").when(
-            sql.rlike(st.TRUNCATE_TABLE), "T"
-        ).alias("_kind"),
+        F.coalesce(st.part(insert, 2), st.part(update, 1), st.part(delete, 1), F.col("_T")).alias("_table"),
+        st.part(insert, 1).alias("_verb"),
+        st.part(insert, 5).alias("_conflict"),
+        st.part(insert, 3).alias("_names"),
+        st.part(insert, 4).alias("_values"),
+        st.part(update, 2).alias("_assign"),
+        F.coalesce(st.part(update, 3), st.part(delete, 2)).alias("_condition"),
+        F.when(st.matched(insert), "I")
+        .when(st.matched(update), "U")
+        .when(st.matched(delete), "D")
+        .when(F.col("_T").isNotNull(), "T")
+        .alias("_kind"),
     )
     tokens_set = F.when(F.col("_kind") == "I", st.pieces(F.col("_values"), "(" + st.LITERAL + ")", 1)).when(
         F.col("_kind") == "U", st.pieces(F.col("_assign"), st.PAIR, 2)
@@ -156,7 +163,7 @@ def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame
             F.col("_kind").isNotNull(),
         ).alias("_plain"),
     )
-    keyed = F.col("_equalities") & (F.size("_keys") > 0) & (F.array_sort("_where_names") == F.array_sort("_keys"))
+    keyed = F.col("_equalities") & (F.size("_keys") > 0) & (F.sort_array("_where_names") == F.sort_array("_keys"))
     verb = F.upper(F.regexp_replace("_verb", r"\s+", " "))
     op = (
         F.when((F.col("_kind") == "I") & (F.col("_conflict").isNotNull() | (verb == "UPSERT")), UPSERT)

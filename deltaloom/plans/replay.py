@@ -112,13 +112,15 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False)
     spec = target_spec(histories, table, replicated=mode == REPLICATION)
     if not spec.columns:
         raise ValueError(f"table {table} does not exist at the end of the log")
-    deduced = deduce_changes(with_known_schema(log, histories))
+    # written once: the steps below read it several times, each a few columns and operations
+    deduced = cut_lineage(deduce_changes(with_known_schema(log, histories)), "deduced")
+    found = {r["_op"] for r in deduced.select("_op").distinct().collect()}
     as_text = [s for s, _ in source_columns(histories, table)]
     wide = bind_any(deduced, as_text)
     changes = move_columns(wide, histories, spec)
     bulk = move_bulk(bulk_any(deduced), histories, spec)
-    ops = (*ROW_OPS, TRUNCATE)
-    rows = fold_with_bulk(changes, bulk, spec, ops)
+    ops = found & {*ROW_OPS, TRUNCATE}
+    rows = fold_with_bulk(changes, bulk, spec, ops) if found & set(BULK_OPS) else fold(changes, spec, ops)
     rows = tag_devices(rows, spec.columns) if mode == CONSOLIDATION else rows.select(*DEVICE_COLS, *spec.columns)
     ignored = ignored_ddl(ddl) if mode == CONSOLIDATION else ignored_ddl(ddl.where(F.col("_op").isNull()))
     return Replayed(spec, rows, unrecognised(deduced), ignored)

@@ -1,0 +1,121 @@
+"""A keyed table kept as Parquet files, with table state and progress committed together.
+
+Rows are spread over hash buckets of their key. Applying a batch reads and
+rewrites only the buckets it touches into a new folder, then publishes one small
+manifest: which folder holds which bucket, and how far every device has been
+applied. A reader follows the newest manifest, so it never sees half a batch,
+and a batch that is replayed after a failure is recognised and skipped. Use a
+lakehouse table instead where one is available.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from deltaloom.model import DEVICE_COLS, ROW_OPS, TRUNCATE, TableSpec
+from deltaloom.operators.fold import merge
+from deltaloom.operators.normalize import after_marks, high_marks
+from deltaloom.storage import list_dir, publish_text, read_text
+
+MARK_SCHEMA = (
+    "_device_id string, _device_name string,"
+    " _applied struct<_segment:bigint,_seq:bigint,_txn_seq:bigint>, _applied_commit bigint"
+)
+
+
+@dataclass
+class VersionedTable:
+    spark: SparkSession
+    root: str
+    spec: TableSpec
+    buckets: int = 32
+
+    # -- reading ---------------------------------------------------------------
+
+    def manifest(self) -> dict | None:
+        published = [n for n in list_dir(self.spark, f"{self.root}/_commits") if n.endswith(".json")]
+        return json.loads(read_text(self.spark, f"{self.root}/_commits/{published[-1]}")) if published else None
+
+    def _schema(self) -> str:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.schema.fields)
+        return f"_device_id string, _device_name string, _commit_id bigint, {columns}"
+
+    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """State frame of all, or of the named, buckets."""
+        manifest = self.manifest() or {"buckets": {}}
+        wanted = None if buckets is None else {str(b) for b in buckets}
+        folders = [
+            f"{self.root}/{folder}/_bucket={b}"
+            for b, folder in manifest["buckets"].items()
+            if wanted is None or b in wanted
+        ]
+        schema = self._schema()
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def marks(self) -> DataFrame:
+        manifest = self.manifest()
+        if manifest is None:
+            return self.spark.createDataFrame([], MARK_SCHEMA)
+        return self.spark.read.schema(MARK_SCHEMA).parquet(f"{self.root}/{manifest['marks']}")
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.spec.row_key), F.lit(self.buckets)).cast("int")
+
+    # -- writing ---------------------------------------------------------------
+
+    def apply(self, changes: DataFrame, batch_id: int, ops: Iterable[str] = ROW_OPS) -> bool:
+        """One batch of changes. False when the batch was applied before."""
+        manifest = self.manifest()
+        if manifest is not None and batch_id <= manifest["batch_id"]:
+            return False
+        marks = self.marks()
+        fresh = after_marks(changes, marks).persist()
+        try:
+            empties = TRUNCATE in ops and not fresh.where(F.col("_op") == TRUNCATE).isEmpty()
+            touched = (
+                list(range(self.buckets))
+                if empties
+                else [r[0] for r in fresh.select(self.bucket().alias("b")).distinct().collect()]
+            )
+            state = merge(self.read(touched), fresh, self.spec, ops)
+            moved = marks.unionByName(high_marks(fresh)).groupBy(*DEVICE_COLS).agg(
+                F.max("_applied").alias("_applied"), F.max("_applied_commit").alias("_applied_commit")
+            )
+            self._publish(state, moved, touched, batch_id)
+        finally:
+            fresh.unpersist()
+        return True
+
+    def replace(self, state: DataFrame, marks: DataFrame, batch_id: int | None = None) -> None:
+        """Write the whole table anew (seeding, re-initialising a device)."""
+        manifest = self.manifest()
+        last = manifest["batch_id"] if manifest else -1
+        self._publish(state, marks, list(range(self.buckets)), last if batch_id is None else batch_id)
+
+    def _publish(self, state: DataFrame, marks: DataFrame, touched: list[int], batch_id: int) -> None:
+        manifest = self.manifest() or {"version": -1, "buckets": {}}
+        version = manifest["version"] + 1
+        # a folder left behind by a failed attempt is never reused
+        folder = f"v={version}-{len(list_dir(self.spark, self.root))}"
+        placed = state.withColumn("_bucket", self.bucket())
+        # rebalancing keeps files few, and splits a bucket that is too large for a task
+        placed.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{folder}")
+        marks.write.mode("overwrite").parquet(f"{self.root}/marks-{folder}")
+        written = {
+            n.split("=", 1)[1] for n in list_dir(self.spark, f"{self.root}/{folder}") if n.startswith("_bucket=")
+        }
+        kept = {b: f for b, f in manifest["buckets"].items() if int(b) not in set(touched)}
+        document = {
+            "version": version,
+            "batch_id": batch_id,
+            "marks": f"marks-{folder}",
+            "buckets": {**kept, **{b: folder for b in written}},
+        }
+        publish_text(self.spark, f"{self.root}/_commits/{version:012d}.json", json.dumps(document))

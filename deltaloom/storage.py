@@ -38,10 +38,20 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the plan restarts from files in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write the frame to the shared folder and go on from the files.
+
+    Survives lost executors, and unlike a checkpoint the Parquet files keep
+    column pruning and filter pushdown for whatever reads them next.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_counted(df: DataFrame, rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when the known row count allows it."""
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -50,9 +60,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     Beyond the bound the frame is returned without a hint and Spark joins by
     shuffling. The count stops as soon as the bound is passed.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return broadcast_counted(df, df.limit(max_rows + 1).count(), max_rows)
 
 
 def file_system(spark: SparkSession, path: str):

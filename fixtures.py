@@ -26,7 +26,7 @@ def commit_id(segment, key) -> Column:
     return F.lit(EPOCH) + F.lit(segment).cast("bigint") * STEP + key
 
 
-def _branch(part: Column) -> tuple[Column, Column]:
+def branch(part: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("dev-"), part.cast("string")), F.concat(F.lit("branch-"), part.cast("string"))
 
 
@@ -59,7 +59,7 @@ def orders_log(spark: SparkSession, sf_dir: str, redelivered: bool = True, segme
     if redelivered:
         log = log.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(k % 11 == 0, 2).otherwise(1))))
     c = F.col("_c")
-    device, name = _branch(F.col("o_custkey") % 4)
+    device, name = branch(F.col("o_custkey") % 4)
     values = {
         "o_custkey": F.when(c["whole"], F.col("o_custkey")),
         "o_orderstatus": c["s"],
@@ -92,7 +92,7 @@ def orders_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    device, name = _branch(F.col("o_custkey") % 4)
+    device, name = branch(F.col("o_custkey") % 4)
     return table(spark, sf_dir, "orders").select(device.alias("_device_id"), name.alias("_device_name")).distinct()
 
 
@@ -230,25 +230,24 @@ def customer_conflicting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices are read off the table; even and odd ones take different DDL steps."""
-    device, name = _branch(F.col("p_partkey") % 2)
+    device, name = branch(F.col("p_partkey") % 2)
     devices = (
         table(spark, sf_dir, "part")
         .select((F.col("p_partkey") % 2).alias("d"), device.alias("_device_id"), name.alias("_device_name"))
         .distinct()
     )
-    steps = devices.select(
-        "*",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.struct(F.lit(0).alias("s"), F.lit(evolve.CREATE_TABLE).alias("op"), F.lit(None).cast("string").alias("c"), F.lit(None).cast("string").alias("to")),
-                    F.when(F.col("d") == 0, F.struct(F.lit(1), F.lit(evolve.ADD_COLUMN), F.lit("tag"), F.lit(None).cast("string"))),
-                    F.when(F.col("d") == 1, F.struct(F.lit(1), F.lit(evolve.RENAME_COLUMN), F.lit("p_size"), F.lit("p_sz"))),
-                    F.when(F.col("d") == 1, F.struct(F.lit(2), F.lit(evolve.DROP_COLUMN), F.lit("p_name"), F.lit(None).cast("string"))),
-                )
-            )
-        ).alias("x"),
+    def step(seq, op, when, column=None, to=None):
+        entry = F.struct(F.lit(seq), F.lit(op), F.lit(column), F.lit(to))
+        return F.when(when, entry.cast("struct<s:int,op:string,c:string,to:string>"))
+
+    d = F.col("d")
+    taken = F.array(
+        step(0, evolve.CREATE_TABLE, F.lit(True)),
+        step(1, evolve.ADD_COLUMN, d == 0, "tag"),
+        step(1, evolve.RENAME_COLUMN, d == 1, "p_size", "p_sz"),
+        step(2, evolve.DROP_COLUMN, d == 1, "p_name"),
     )
+    steps = devices.select("*", F.explode(F.array_compact(taken)).alias("x"))
     x = F.col("x")
     segment = F.when(x["s"] == 0, 0).otherwise(2)
     return evolve.ddl_rows(
@@ -272,7 +271,7 @@ def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows under the column names their device used at the time."""
     k = F.col("p_partkey")
     rest = k % 4
-    device, name = _branch(k % 2)
+    device, name = branch(k % 2)
     early = rest.isin(0, 1)
     size = F.col("p_size").cast("bigint")
     segment = F.when(early, 1).otherwise(3).cast("bigint")
@@ -359,8 +358,6 @@ def orders_commands(spark: SparkSession, sf_dir: str, batched: bool = True) -> D
         .when((op == DELETE) | (segment == 5), F.array(raw("o_orderkey")))
         .otherwise(F.array(raw("o_orderstatus"), raw("o_orderkey")))
     )
-    # keys 4n+{0..3} of customers go to devices at random, so "the row before" of the
-    # same device always exists: segment 0 starts with a full statement per device.
     text = F.when((segment == 0) & (F.col("o_orderkey") % 2 == 1), "").otherwise(statement) if batched else statement
     rows = log.select(
         "_device_id",
@@ -372,31 +369,37 @@ def orders_commands(spark: SparkSession, sf_dir: str, batched: bool = True) -> D
         text.alias("sql"),
         args.alias("args"),
     )
-    none = F.lit(None).cast("array<binary>")
-    opening = orders_devices(spark, sf_dir).select(
-        "_device_id",
-        "_device_name",
-        F.lit(0).cast("bigint").alias("_segment"),
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).cast("bigint").alias("_seq"), F.lit(ORDERS_DDL).alias("sql")),
-                F.struct(F.lit(1).cast("bigint").alias("_seq"), F.lit(insert).alias("sql")),
-            )
-        ).alias("x"),
-    ).select(
-        "_device_id",
-        "_device_name",
-        "_segment",
-        "x._seq",
-        F.lit(0).cast("bigint").alias("_txn_seq"),
-        F.lit(EPOCH).cast("bigint").alias("_commit_id"),
-        "x.sql",
-        F.when(
-            F.col("x._seq") == 1,
-            F.array(F.concat(F.lit("-"), F.expr("substring(_device_id, 5) + 1").cast("int").cast("string")).cast("binary")),
+    # Every device opens with CREATE TABLE and one full INSERT, whose row it
+    # deletes again in segment 1: no batched row stands without a statement.
+    own = F.concat(F.lit("-"), F.substring("_device_id", 5, 10))
+
+    def row(segment, seq, text, *values):
+        entry = F.struct(F.lit(segment), F.lit(seq), text, F.array(*values).cast("array<string>"))
+        return entry.cast("struct<g:bigint,q:bigint,sql:string,a:array<string>>")
+
+    undo = F.concat(F.lit("DELETE FROM orders WHERE o_orderkey = "), own, F.lit("1"))
+    opening = (
+        orders_devices(spark, sf_dir)
+        .withColumn(
+            "_x",
+            F.explode(
+                F.array(
+                    row(0, 0, F.lit(ORDERS_DDL)),
+                    row(0, 1, F.lit(insert), F.concat(own, F.lit("1"))),
+                    row(1, 0, undo),
+                )
+            ),
+        )
+        .select(
+            "_device_id",
+            "_device_name",
+            F.col("_x.g").alias("_segment"),
+            F.col("_x.q").alias("_seq"),
+            F.lit(0).cast("bigint").alias("_txn_seq"),
+            commit_id(F.col("_x.g"), F.lit(0)).alias("_commit_id"),
+            F.col("_x.sql").alias("sql"),
+            F.transform("_x.a", lambda v: v.cast("binary")).alias("args"),
         )
-        .otherwise(none)
-        .alias("args"),
     )
     return rows.unionByName(opening)
 
