@@ -466,3 +466,196 @@ def diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     extra = source.where(k % 19 == 0).withColumn("o_orderkey", k + 10_000_000_000)
     return source, kept.unionByName(extra)
 
+
+
+# -- table renames: supplier --------------------------------------------------------------------
+
+def supplier_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All devices create ``supplier``; 0 and 1 rename it to ``vendor``, 2 drops it."""
+    device, name = branch(F.col("s_suppkey") % 3)
+    devices = table(spark, sf_dir, "supplier").select(device.alias("_device_id"), name.alias("_device_name")).distinct()
+    steps = devices.withColumn("s", F.explode(F.array(F.lit(0), F.lit(2))))
+    is_last = F.col("_device_id") == "dev-2"
+    return evolve.ddl_rows(
+        steps,
+        device_id=F.col("_device_id"),
+        device_name=F.col("_device_name"),
+        segment=F.col("s"),
+        seq=F.lit(0),
+        commit_id=F.lit(EPOCH) + F.col("s"),
+        table=F.lit("supplier"),
+        op=F.when(F.col("s") == 0, evolve.CREATE_TABLE)
+        .when(is_last, evolve.DROP_TABLE)
+        .otherwise(evolve.RENAME_TABLE),
+        to=F.lit("vendor"),
+        columns={"s_suppkey": "INTEGER", "s_name": "TEXT"},
+        keys=("s_suppkey",),
+    )
+
+
+def supplier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even keys are written before the rename, odd ones after it (not by dev-2)."""
+    k = F.col("s_suppkey")
+    device, name = branch(k % 3)
+    early = k % 2 == 0
+    segment = F.when(early, 1).otherwise(3).cast("bigint")
+    rows = table(spark, sf_dir, "supplier").where(early | (k % 3 != 2))
+    return rows.select(
+        device.alias("_device_id"),
+        name.alias("_device_name"),
+        segment.alias("_segment"),
+        k.alias("_seq"),
+        F.lit(0).cast("bigint").alias("_txn_seq"),
+        (F.lit(EPOCH) + segment * STEP + k).alias("_commit_id"),
+        F.lit(INSERT).alias("_op"),
+        F.lit(None).cast("array<string>").alias("_set_cols"),
+        F.when(early, "supplier").otherwise("vendor").alias("_table"),
+        k,
+        "s_name",
+    )
+
+
+# -- L4 as files --------------------------------------------------------------------------------
+
+ROLLS = 1_000_000
+FILE_KEYS = 50_000
+TXN_KEYS = 10_000
+STAGE_PATTERN = r"/(?P<name>branch-\d+)_(?P<id>dev-\d+)/"
+
+
+def orders_text_spec(spark: SparkSession) -> TableSpec:
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
+    return TableSpec("orders", spark.createDataFrame([], columns).schema, ("o_orderkey",))
+
+
+def stage_segments(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the command log of ``orders`` as SQLite files, one folder per device.
+
+    A segment rolls after FILE_KEYS keys, so no file (and no task) grows with
+    the table. dev-3 publishes transactions of TXN_KEYS keys each. Returns the path.
+    """
+    k = F.col("_seq") - 2
+    log = orders_commands(spark, sf_dir, batched=False).where((F.col("_seq") > 1) | F.col("sql").startswith("CREATE"))
+    keyed = log.withColumn("_key", F.when(F.col("_seq") > 1, k).otherwise(F.lit(-1).cast("bigint")))
+    placed = keyed.withColumn("_number", F.col("_segment") * ROLLS + F.floor(F.greatest("_key", F.lit(0)) / FILE_KEYS))
+    publishes = (F.col("_device_id") == "dev-3") & (F.col("_key") >= 0)
+    block = F.floor(F.col("_key") / TXN_KEYS) * TXN_KEYS
+    rows = placed.withColumn(
+        "_commit_id", F.when(publishes, F.lit(EPOCH) + F.col("_segment") * STEP + block).otherwise(F.col("_commit_id"))
+    ).withColumn("_txn", F.when(publishes, F.col("_commit_id")))
+    files = rows.select(
+        "_device_id",
+        "_device_name",
+        F.col("_number").cast("bigint").alias("_number"),
+        "_txn",
+        F.col("_key").alias("_seq"),
+        "_commit_id",
+        "sql",
+        "args",
+    )
+    controls = (
+        files.where(F.col("_txn").isNotNull())
+        .groupBy("_device_id", "_device_name", "_number", "_commit_id")
+        .agg(F.min("_seq").alias("_seq"))
+        .select(
+            "_device_id",
+            "_device_name",
+            "_number",
+            F.lit(None).cast("bigint").alias("_txn"),
+            "_seq",
+            "_commit_id",
+            F.concat(F.lit("REPLAY_TXN("), "_commit_id", F.lit(")")).alias("sql"),
+            F.array().cast("array<binary>").alias("args"),
+        )
+    )
+    written = (
+        files.unionByName(controls)
+        .groupBy("_device_id", "_device_name", "_number", "_txn")
+        .applyInPandas(_segment_writer(path), "file string, n_rows bigint")
+    )
+    written.agg(F.sum("n_rows")).collect()
+    return path
+
+
+def _segment_writer(root: str):
+    """Writes one SQLite file per group; batched rows lose their repeated statement."""
+
+    def write(rows):
+        import os
+        import shutil
+        import sqlite3
+        import tempfile
+
+        import pandas as pd
+
+        rows = rows.sort_values("_seq").reset_index(drop=True)
+        first = rows.iloc[0]
+        number, txn = int(first["_number"]), first["_txn"]
+        is_txn = not pd.isna(txn)
+        name = f"{number}.sqllog" + (f".{int(txn)}.txn" if is_txn else "")
+        folder = f"{root}/{first['_device_name']}_{first['_device_id']}"
+        repeated = (rows["sql"] == rows["sql"].shift()) & (rows.index % 2 == 1) & ~rows["sql"].str.startswith("REPLAY")
+        slots = [f"arg{i}" for i in range(1, 17)]
+
+        def save(file_name, statements):
+            handle, scratch = tempfile.mkstemp(suffix=".db")
+            os.close(handle)
+            try:
+                conn = sqlite3.connect(scratch)
+                for text, values in statements:
+                    conn.executemany(text, values)
+                conn.commit()
+                conn.close()
+                plain = folder[len("file:"):] if folder.startswith("file:") else folder
+                if "://" in plain:
+                    from pyarrow import fs
+
+                    files, inner = fs.FileSystem.from_uri(folder)
+                    files.create_dir(inner, recursive=True)
+                    with open(scratch, "rb") as source, files.open_output_stream(f"{inner}/{file_name}") as out:
+                        shutil.copyfileobj(source, out, 1 << 20)
+                else:
+                    os.makedirs(plain, exist_ok=True)
+                    shutil.copyfile(scratch, f"{plain}/{file_name}")
+            finally:
+                os.unlink(scratch)
+
+        table = [
+            "CREATE TABLE commandlog (change_sequence_number INTEGER PRIMARY KEY, commit_id INTEGER, sql TEXT, argcnt INTEGER, "
+            + ", ".join(f"{s} BLOB" for s in slots) + ")"
+        ]
+        values = []
+        for row, blank in zip(rows.to_dict("records"), repeated):
+            args = [None if a is None else bytes(a) for a in row["args"]]
+            values.append(
+                [int(row["_seq"]), int(row["_commit_id"]), "" if blank else row["sql"], len(args)]
+                + args + [None] * (len(slots) - len(args))
+            )
+        marks = ", ".join("?" * (4 + len(slots)))
+        save(name, [(table[0], [()]), (f"INSERT OR REPLACE INTO commandlog VALUES ({marks})", values)])
+        if not is_txn:
+            applied = first["_device_id"] == "dev-2" and number // ROLLS == 1
+            meta = [
+                ("uuid", first["_device_id"]),
+                ("device-name", first["_device_name"]),
+                ("database-name", "orders"),
+                ("log-segment-sequence-number", str(number)),
+                ("status", "APPLIED" if applied else "READY_TO_APPLY"),
+            ]
+            save(
+                f"{number}.metadata",
+                [("CREATE TABLE metadata (key TEXT, value TEXT)", [()]), ("INSERT INTO metadata VALUES (?, ?)", meta)],
+            )
+        return pd.DataFrame({"file": [name], "n_rows": [len(rows)]})
+
+    return write
+
+
+def read_stage(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Staged files -> (log with transactions expanded and applied segments left out, held back)."""
+    from deltaloom.operators.normalize import expand_transactions
+    from deltaloom.sources import segments as sg
+
+    metadata = sg.segment_metadata(sg.scan_metadata(spark, path, STAGE_PATTERN))
+    master = sg.ready_segments(sg.scan_log(spark, path, STAGE_PATTERN), metadata)
+    return expand_transactions(master, sg.scan_transactions(spark, path, STAGE_PATTERN))
