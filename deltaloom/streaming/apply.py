@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from deltaloom.model import DEVICE_COLS, INSERT, ROW_OPS, order_of
+from deltaloom.model import DEVICE_COLS, INSERT, ROW_OPS, TableSpec, order_of
+from deltaloom.operators.fold import compact
 from deltaloom.sinks.versioned import VersionedTable
 from deltaloom.storage import list_dir
 
@@ -109,6 +110,23 @@ def start_change_log(
     return _trigger(writer, seconds).start()
 
 
+def start_compaction(
+    stream: DataFrame, spec: TableSpec, path: str, checkpoint: str, ops: Iterable[str] = ROW_OPS, every_seconds: int | None = None
+) -> StreamingQuery:
+    """A09 on a stream: change-log files with at most two rows per key and batch.
+
+    Feed these to operators that visit a key's changes one by one, such as
+    :mod:`deltaloom.streaming.current`. A replayed batch overwrites its folder.
+    """
+    ops = tuple(ops)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        compact(batch, spec, ops).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every_seconds).start()
+
+
 def hold_gaps(changes: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(ready, held)``. A device is held back from its first missing segment on.
 

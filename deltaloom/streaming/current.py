@@ -20,9 +20,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 class CurrentRow(StatefulProcessor):
     """State per key: does it exist, how far was it applied, its column values.
 
-    Rows of one key arrive in chunks in no particular order, so each call keeps
-    only the last writer per column and the last reset, like the batch fold, and
-    never holds a key's history.
+    The changes of a key are visited one by one, so feed it a compacted log
+    (:func:`deltaloom.streaming.apply.start_compaction`): then a call sees at
+    most two rows per key and file, however often the key changed.
     """
 
     def __init__(self, spec: TableSpec):

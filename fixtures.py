@@ -6,7 +6,7 @@ key, so the end state has a closed form that the oracle SQL states directly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deltaloom.model import DELETE, INSERT, TRUNCATE, UPDATE, TableSpec, base_changes
@@ -528,16 +528,22 @@ def orders_text_spec(spark: SparkSession) -> TableSpec:
     return TableSpec("orders", spark.createDataFrame([], columns).schema, ("o_orderkey",))
 
 
-def stage_segments(spark: SparkSession, sf_dir: str, path: str) -> str:
+def stage_segments(spark: SparkSession, sf_dir: str, path: str, dense: bool = False) -> str:
     """Write the command log of ``orders`` as SQLite files, one folder per device.
 
     A segment rolls after FILE_KEYS keys, so no file (and no task) grows with
-    the table. dev-3 publishes transactions of TXN_KEYS keys each. Returns the path.
+    the table. dev-3 publishes transactions of TXN_KEYS keys each. With ``dense``
+    the files of a device are numbered 0, 1, 2, ... without gaps. Returns the path.
     """
     k = F.col("_seq") - 2
     log = orders_commands(spark, sf_dir, batched=False).where((F.col("_seq") > 1) | F.col("sql").startswith("CREATE"))
     keyed = log.withColumn("_key", F.when(F.col("_seq") > 1, k).otherwise(F.lit(-1).cast("bigint")))
     placed = keyed.withColumn("_number", F.col("_segment") * ROLLS + F.floor(F.greatest("_key", F.lit(0)) / FILE_KEYS))
+    if dense:
+        numbers = placed.select("_device_id", "_number").distinct()
+        nth = F.row_number().over(Window.partitionBy("_device_id").orderBy("_number")) - 1
+        numbers = numbers.withColumn("_dense", nth.cast("bigint"))
+        placed = placed.join(numbers, ["_device_id", "_number"]).withColumn("_number", F.col("_dense")).drop("_dense")
     publishes = (F.col("_device_id") == "dev-3") & (F.col("_key") >= 0)
     block = F.floor(F.col("_key") / TXN_KEYS) * TXN_KEYS
     rows = placed.withColumn(
