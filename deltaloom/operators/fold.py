@@ -249,7 +249,9 @@ def compact(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -
         return F.when(keep, F.struct(F.lit(op).alias("_op"), at.alias("_at"), columns.alias("_set_cols")))
 
     def written(condition) -> Column:
-        names = [F.when(condition(F.col(_writer(c))["o"]), F.lit(c)) for c in spec.values]
+        names = [
+            F.when(F.col(_writer(c)).isNotNull() & condition(F.col(_writer(c))["o"]), F.lit(c)) for c in spec.values
+        ]
         return F.array_compact(F.array(*names)).cast("array<string>")
 
     last_write = F.greatest(*[F.col(_writer(c))["o"] for c in spec.values]) if len(spec.values) > 1 else (

@@ -115,7 +115,7 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False)
     # written once: the steps below read it several times, each a few columns and operations
     deduced = cut_lineage(deduce_changes(with_known_schema(log, histories)), "deduced")
     found = {r["_op"] for r in deduced.select("_op").distinct().collect()}
-    as_text = [s for s, _ in source_columns(histories, table)]
+    as_text = list(dict.fromkeys(s for s, _ in source_columns(histories, table)))
     wide = bind_any(deduced, as_text)
     changes = move_columns(wide, histories, spec)
     bulk = move_bulk(bulk_any(deduced), histories, spec)

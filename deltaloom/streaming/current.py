@@ -1,7 +1,7 @@
 """The current row of every key, kept as state inside the stream.
 
 For destinations that take row updates and cannot be rewritten: each micro-batch
-emits the rows that changed. Needs the RocksDB state store.
+emits the rows that changed.
 """
 
 from __future__ import annotations
@@ -10,65 +10,20 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from deltaloom.model import DELETE, INSERT, ORDER_COLS, REPLACE, UPSERT, TableSpec
+from deltaloom.model import CHANGE_COLS, DELETE, INSERT, ORDER_COLS, REPLACE, UPSERT, TableSpec
 
+#: State store that keeps large state on disk instead of in executor memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class CurrentRow(StatefulProcessor):
-    """State per key: does it exist, how far was it applied, its column values.
+def _input_names(spec: TableSpec) -> list[str]:
+    return [*CHANGE_COLS, *spec.columns]
 
-    The changes of a key are visited one by one, so feed it a compacted log
-    (:func:`deltaloom.streaming.apply.start_compaction`): then a call sees at
-    most two rows per key and file, however often the key changed.
-    """
-
-    def __init__(self, spec: TableSpec):
-        self.spec = spec
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        columns = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in self.spec.schema.fields if f.name not in self.spec.keys)
-        self.row = handle.getValueState(
-            "row", "live boolean, segment bigint, seq bigint, txn_seq bigint, commit_id bigint" + columns
-        )
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.spec.values
-        live, at, commit, values = False, (-2, 0, 0), 0, [None] * len(names)
-        if self.row.exists():
-            known = self.row.get()
-            live, at, commit, values = known[0], tuple(known[1:4]), known[4], list(known[5:])
-        start = (live, at)
-        for change in _in_order(rows):
-            place = tuple(int(change[c]) for c in ORDER_COLS)
-            if place <= at:
-                continue  # delivered before
-            at, op = place, change["_op"]
-            named = change["_set_cols"]
-            new = [_plain(change[c]) for c in names]
-            touched = [named is None or c in list(named) for c in names]
-            if op == DELETE:
-                live, values = False, [None] * len(names)
-                continue
-            if op in (INSERT, REPLACE):
-                live, values = True, [v if t else None for v, t in zip(new, touched)]
-            elif op == UPSERT or live:
-                values = [v if t else old for v, t, old in zip(new, touched, values if live else [None] * len(names))]
-                live = True
-            else:
-                continue
-            commit = int(change["_commit_id"])
-        if (live, at) == start:
-            return
-        self.row.update((live, *at, commit, *values))
-        out = dict(zip(["_device_id", "_device_name", *self.spec.keys], key))
-        out.update({"_live": live, "_commit_id": commit, **dict(zip(names, values))})
-        yield pd.DataFrame({c: pd.Series([out[c]], dtype=object) for c in _output_names(self.spec)})
 
-    def close(self) -> None:
-        pass
+def _output_names(spec: TableSpec) -> list[str]:
+    return ["_device_id", "_device_name", *spec.keys, "_live", "_commit_id", *spec.values]
 
 
 def _plain(value):
@@ -77,23 +32,58 @@ def _plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[dict]:
-    """Changes of one key in one batch, in log order."""
-    chunks = [chunk for chunk in rows if len(chunk)]
-    if chunks:
-        ordered = pd.concat(chunks).sort_values(list(ORDER_COLS))
-        yield from ordered.to_dict("records")
-
-
-def _output_names(spec: TableSpec) -> list[str]:
-    return ["_device_id", "_device_name", *spec.keys, "_live", "_commit_id", *spec.values]
+def _advance(known: tuple, changes: Iterator[dict], names: list[str]) -> tuple:
+    """Apply a key's changes, in order, to ``(live, segment, seq, txn_seq, commit, *values)``."""
+    live, at, commit, values = known[0], tuple(known[1:4]), known[4], list(known[5:])
+    for change in changes:
+        place = tuple(int(change[c]) for c in ORDER_COLS)
+        if place <= at:
+            continue  # delivered before
+        at, op, named = place, change["_op"], change["_set_cols"]
+        new = [_plain(change[c]) for c in names]
+        touched = [named is None or c in list(named) for c in names]
+        if op == DELETE:
+            live, values = False, [None] * len(names)
+        elif op in (INSERT, REPLACE):
+            live, values, commit = True, [v if t else None for v, t in zip(new, touched)], int(change["_commit_id"])
+        elif op == UPSERT or live:
+            # a row that does not exist has no values, so both cases read the same
+            values = [v if t else old for v, t, old in zip(new, touched, values)]
+            live, commit = True, int(change["_commit_id"])
+    return (live, *at, commit, *values)
 
 
 def current_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Stream of changed rows; ``_live`` false means the row was deleted."""
+    """Stream of changed rows; ``_live`` false means the row was deleted.
+
+    The changes of a key are visited one by one, so feed it a compacted log
+    (:func:`deltaloom.streaming.apply.start_compaction`): then a call sees at
+    most two rows per key and file, however often the key changed.
+    """
     types = {f.name: f.dataType.simpleString() for f in spec.schema.fields}
     types |= {"_device_id": "string", "_device_name": "string", "_live": "boolean", "_commit_id": "bigint"}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in _output_names(spec))
-    return changes.groupBy(*spec.row_key).transformWithStateInPandas(
-        CurrentRow(spec), outputStructType=schema, outputMode="Update", timeMode="None"
+    read, written = _input_names(spec), _output_names(spec)
+    key_names = spec.row_key
+
+    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(chunks)).set_axis(read, axis=1).sort_values(list(ORDER_COLS))
+        known = tuple(state.get) if state.exists else (False, -2, 0, 0, 0, *[None] * len(spec.values))
+        now = _advance(known, rows.to_dict("records"), spec.values)
+        if now == known:
+            return
+        state.update(now)
+        out = {**dict(zip(key_names, key)), "_live": now[0], "_commit_id": now[4], **dict(zip(spec.values, now[5:]))}
+        yield pd.DataFrame({f"r{i}": pd.Series([out[c]], dtype=object) for i, c in enumerate(written)})
+
+    # positional names: leading underscores do not survive the way into Python state functions
+    inputs = {c: f"c{i}" for i, c in enumerate(read)}
+    output = ", ".join(f"r{i} {types[c]}" for i, c in enumerate(written))
+    state = "live boolean, segment bigint, seq bigint, txn_seq bigint, commit bigint" + "".join(
+        f", v{i} {types[c]}" for i, c in enumerate(spec.values)
+    )
+    rows = (
+        changes.select(*[changes[c].alias(short) for c, short in inputs.items()])
+        .groupBy(*[inputs[c] for c in key_names])
+        .applyInPandasWithState(advance, output, state, "update", GroupStateTimeout.NoTimeout)
     )
+    return rows.toDF(*written)

@@ -108,6 +108,12 @@ def test_compacted_log_is_equivalent_with_and_without_a_base(spark):
     assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in simulate(log, _rows(simulate(base))).items()}
 
 
+def test_compacted_updates_name_only_what_was_written(spark):
+    log = [("d", "n", 0, 1, 0, 1, UPDATE, ["a"], 1, "x", None), ("d", "n", 0, 2, 0, 2, UPDATE, ["a"], 1, None, None)]
+    rows = compact(spark.createDataFrame(log, LOG), spec_of(spark)).collect()
+    assert [(r["_op"], r["_set_cols"], r["a"]) for r in rows] == [(UPDATE, ["a"], None)]
+
+
 def _rows(state):
     return {k: ({"a": v[0], "b": v[1]}, v[2]) for k, v in state.items()}
 
