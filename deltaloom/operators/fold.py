@@ -2,9 +2,9 @@
 
 The fold is one grouped aggregate per table. For a key it keeps
 
-* the last *reset* (INSERT, REPLACE or DELETE): nothing older matters,
-* the first and the last UPSERT,
-* per column, the last change that wrote it, with its position.
+* the last *reset* (INSERT, REPLACE or DELETE) with its row image: nothing older matters,
+* per column, the last partial change that wrote it, with its position,
+* the first and the last UPSERT.
 
 Those are plain maxima and minima. Spark therefore merges them on the map side
 before the shuffle, a key that owns a third of the log reaches its reducer as
@@ -23,6 +23,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deltaloom.functions.columns import any_of, latest
 from deltaloom.model import (
@@ -81,7 +82,7 @@ def summarise(
         F.raise_error(F.concat(F.lit("operation outside the declared set: "), F.col("_op")))
     )
     position = order_of()
-    group = [*by, *spec.row_key]
+    group = [*spec.row_key, *by]
     kept = changes.select(
         *group,
         *spec.values,
@@ -91,31 +92,60 @@ def summarise(
         checked_op.alias("_op"),
     )
     op = F.col("_op")
-    is_reset = op.isin(*RESET_OPS)
-    is_upsert = op == UPSERT
 
     def named(column: str) -> Column:
         return F.col("_set_cols").isNull() | F.array_contains("_set_cols", column)
 
-    aggregates = [
-        F.max(F.when(is_reset, F.struct(position.alias("o"), op.alias("op")))).alias("_reset"),
-        F.max(F.when(op != DELETE, F.struct(position.alias("o"), F.col("_commit_id").alias("v")))).alias("_last"),
-    ]
+    # Rows that replace the whole row feed one aggregate, partial rows only
+    # those of the columns they name: a change costs what it writes.
+    whole = op.isin(*RESET_OPS)
+    image = F.struct(
+        op.alias("op"),
+        F.col("_commit_id").alias("commit"),
+        *[F.when((op != DELETE) & named(c), F.col(c)).alias(f"c{i}") for i, c in enumerate(spec.values)],
+    )
+    image_type = kept.select(image.alias("i")).schema["i"].dataType
+    aggregates = [latest(position, image, image_type, whole).alias("_full")]
+    partial = [o for o in (UPDATE, UPSERT) if o in ops]
+    if partial:
+        aggregates.append(latest(position, F.col("_commit_id"), T.LongType(), ~whole).alias("_part"))
+        for column in spec.values:
+            dtype = spec.schema[column].dataType
+            aggregates.append(
+                latest(position, F.col(column), dtype, ~whole & named(column)).alias(_writer(column))
+            )
     if UPSERT in ops:
         aggregates += [
-            F.min(F.when(is_upsert, position)).alias("_first_up"),
-            F.max(F.when(is_upsert, position)).alias("_last_up"),
+            F.min(F.when(op == UPSERT, position)).alias("_first_up"),
+            F.max(F.when(op == UPSERT, position)).alias("_last_up"),
         ]
-    for column in spec.values:
-        value = F.when((op != DELETE) & named(column), F.col(column))
-        aggregates.append(
-            latest(position, value, spec.schema[column].dataType, is_reset | named(column)).alias(_writer(column))
-        )
-    summary = kept.groupBy(*group).agg(*aggregates)
-    if UPSERT not in ops:
-        empty = F.lit(None).cast(summary.schema["_reset"].dataType["o"].dataType)
-        summary = summary.withColumns({"_first_up": empty, "_last_up": empty})
-    return _with_start(summary, kept, spec, ops, group)
+    grouped = kept.groupBy(*group).agg(*aggregates)
+    return _with_start(_per_column(grouped, spec, group, ops), kept, spec, ops, group)
+
+
+def _per_column(grouped: DataFrame, spec: TableSpec, group: list[str], ops: set[str]) -> DataFrame:
+    """Last writer per column, be it a whole row or a partial change."""
+    full = F.col("_full")
+    known = full.isNotNull()
+    reset = F.when(known, F.struct(full["o"].alias("o"), full["v"]["op"].alias("op")))
+    live_full = F.when(known & (full["v"]["op"] != DELETE), F.struct(full["o"].alias("o"), full["v"]["commit"].alias("v")))
+    no_place = F.lit(None).cast(grouped.schema["_full"].dataType["o"].dataType)
+    has_partial = "_part" in grouped.columns
+
+    def writer(index: int, column: str) -> Column:
+        from_full = F.when(known, F.struct(full["o"].alias("o"), full["v"][f"c{index}"].alias("v")))
+        if not has_partial:
+            return from_full
+        own = F.col(_writer(column))
+        return F.when(own.isNotNull() & (~known | (own["o"] > full["o"])), own).otherwise(from_full)
+
+    return grouped.select(
+        *group,
+        reset.alias("_reset"),
+        (F.greatest(live_full, F.col("_part")) if has_partial else live_full).alias("_last"),
+        *[(F.col(c) if UPSERT in ops else no_place).alias(c) for c in ("_first_up", "_last_up")],
+        *[writer(i, c).alias(_writer(c)) for i, c in enumerate(spec.values)],
+    )
 
 
 def _with_start(summary: DataFrame, kept: DataFrame, spec: TableSpec, ops: set[str], group: list[str]) -> DataFrame:
