@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,16 +19,26 @@ def orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def latest(order: Column, value: Column, dtype: T.DataType, where: Column) -> Column:
-    """Aggregate ``struct(o, v)`` of the last row, by ``order``, where ``where`` holds.
+def name(column: str) -> str:
+    """Column name as SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """String literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def latest(order: str, value: str, dtypes: Iterable[T.DataType], where: str) -> str:
+    """SQL aggregate: ``struct(o, v)`` of the last row, by ``order``, where ``where`` holds.
 
     Nulls in ``value`` count. Merges partial results, so a hot group is reduced
-    on the map side before anything is shuffled.
+    on the map side before anything is shuffled. ``dtypes`` are the types in ``value``.
     """
-    entry = F.struct(order.alias("o"), value.alias("v"))
-    if orderable(dtype):
-        return F.max(F.when(where, entry))
-    return F.max_by(entry, F.when(where, order))
+    entry = f"struct({order} AS o, {value} AS v)"
+    if all(orderable(t) for t in dtypes):
+        return f"max(CASE WHEN {where} THEN {entry} END)"
+    return f"max_by({entry}, CASE WHEN {where} THEN {order} END)"
 
 
 def all_of(conditions) -> Column:

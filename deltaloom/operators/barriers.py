@@ -272,7 +272,7 @@ def fold_with_bulk(
         if state is None:
             state = resolve(part, spec)
         else:
-            state = apply_summary(before_batch(state, spec), part.withColumn("_touched", F.lit(True)), spec, False)
+            state = apply_summary(before_batch(state, spec), part, spec, False)
         if number < rounds:
             state = apply_run(state, steps.where(F.col("_run") == number + 1), shapes[number + 1], spec)
         if number % cut_every == cut_every - 1:

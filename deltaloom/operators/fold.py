@@ -23,9 +23,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from deltaloom.functions.columns import any_of, latest
+from deltaloom.functions.columns import latest, name, text
 from deltaloom.model import (
     DELETE,
     DEVICE_COLS,
@@ -43,8 +42,13 @@ from deltaloom.model import (
 )
 
 
+POSITION = f"struct({', '.join(ORDER_COLS)})"
+ORDER_TYPE = f"struct<{', '.join(f'{c}:bigint' for c in ORDER_COLS)}>"
+
+
 def _writer(column: str) -> str:
-    return f"_w_{column}"
+    """Summary column with the last writer of a table column, quoted for SQL text."""
+    return name(f"_w_{column}")
 
 
 def after_truncate(changes: DataFrame) -> DataFrame:
@@ -77,11 +81,7 @@ def summarise(
     ops = set(ops)
     if TRUNCATE in ops:
         changes = after_truncate(changes)
-    row_ops = [o for o in ROW_OPS if o in ops]
-    checked_op = F.when(F.col("_op").isin(row_ops), F.col("_op")).otherwise(
-        F.raise_error(F.concat(F.lit("operation outside the declared set: "), F.col("_op")))
-    )
-    position = order_of()
+    known = ", ".join(text(o) for o in ROW_OPS if o in ops)
     group = [*spec.row_key, *by]
     kept = changes.select(
         *group,
@@ -89,80 +89,77 @@ def summarise(
         *ORDER_COLS,
         "_commit_id",
         "_set_cols",
-        checked_op.alias("_op"),
+        F.expr(
+            f"CASE WHEN _op IN ({known}) THEN _op "
+            "ELSE raise_error(concat('operation outside the declared set: ', _op)) END AS _op"
+        ),
     )
-    op = F.col("_op")
 
-    def named(column: str) -> Column:
-        return F.col("_set_cols").isNull() | F.array_contains("_set_cols", column)
+    def named(column: str) -> str:
+        return f"(_set_cols IS NULL OR array_contains(_set_cols, {text(column)}))"
 
+    # Expressions are SQL text: a wide table needs hundreds of them, and text
+    # reaches the JVM in one call where nested Column objects take dozens.
     # Rows that replace the whole row feed one aggregate, partial rows only
     # those of the columns they name: a change costs what it writes.
-    whole = op.isin(*RESET_OPS)
-    image = F.struct(
-        op.alias("op"),
-        F.col("_commit_id").alias("commit"),
-        *[F.when((op != DELETE) & named(c), F.col(c)).alias(f"c{i}") for i, c in enumerate(spec.values)],
-    )
-    image_type = kept.select(image.alias("i")).schema["i"].dataType
-    aggregates = [latest(position, image, image_type, whole).alias("_full")]
-    partial = [o for o in (UPDATE, UPSERT) if o in ops]
-    if partial:
-        aggregates.append(latest(position, F.col("_commit_id"), T.LongType(), ~whole).alias("_part"))
-        for column in spec.values:
-            dtype = spec.schema[column].dataType
-            aggregates.append(
-                latest(position, F.col(column), dtype, ~whole & named(column)).alias(_writer(column))
-            )
+    whole = f"_op IN ({', '.join(text(o) for o in RESET_OPS)})"
+    images = [
+        f"CASE WHEN _op <> {text(DELETE)} AND {named(c)} THEN {name(c)} END AS c{i}" for i, c in enumerate(spec.values)
+    ]
+    image = f"struct({', '.join(['_op AS op', '_commit_id AS commit', *images])})"
+    types = {c: spec.schema[c].dataType for c in spec.values}
+    aggregates = [latest(POSITION, image, types.values(), whole) + " AS _full"]
+    if ops & {UPDATE, UPSERT}:
+        aggregates.append(latest(POSITION, "_commit_id", (), f"NOT {whole}") + " AS _part")
+        for c in spec.values:
+            own = latest(POSITION, name(c), [types[c]], f"NOT {whole} AND {named(c)}")
+            aggregates.append(f"{own} AS {_writer(c)}")
     if UPSERT in ops:
-        aggregates += [
-            F.min(F.when(op == UPSERT, position)).alias("_first_up"),
-            F.max(F.when(op == UPSERT, position)).alias("_last_up"),
-        ]
-    grouped = kept.groupBy(*group).agg(*aggregates)
+        upsert = f"CASE WHEN _op = {text(UPSERT)} THEN {POSITION} END"
+        aggregates += [f"min({upsert}) AS _first_up", f"max({upsert}) AS _last_up"]
+    grouped = kept.groupBy(*group).agg(*[F.expr(a) for a in aggregates])
     return _with_start(_per_column(grouped, spec, group, ops), kept, spec, ops, group)
 
 
 def _per_column(grouped: DataFrame, spec: TableSpec, group: list[str], ops: set[str]) -> DataFrame:
     """Last writer per column, be it a whole row or a partial change."""
-    full = F.col("_full")
-    known = full.isNotNull()
-    reset = F.when(known, F.struct(full["o"].alias("o"), full["v"]["op"].alias("op")))
-    live_full = F.when(known & (full["v"]["op"] != DELETE), F.struct(full["o"].alias("o"), full["v"]["commit"].alias("v")))
-    no_place = F.lit(None).cast(grouped.schema["_full"].dataType["o"].dataType)
-    has_partial = "_part" in grouped.columns
-
-    def writer(index: int, column: str) -> Column:
-        from_full = F.when(known, F.struct(full["o"].alias("o"), full["v"][f"c{index}"].alias("v")))
-        if not has_partial:
-            return from_full
-        own = F.col(_writer(column))
-        return F.when(own.isNotNull() & (~known | (own["o"] > full["o"])), own).otherwise(from_full)
-
-    return grouped.select(
-        *group,
-        reset.alias("_reset"),
-        (F.greatest(live_full, F.col("_part")) if has_partial else live_full).alias("_last"),
-        *[(F.col(c) if UPSERT in ops else no_place).alias(c) for c in ("_first_up", "_last_up")],
-        *[writer(i, c).alias(_writer(c)) for i, c in enumerate(spec.values)],
+    live = f"CASE WHEN _full IS NOT NULL AND _full.v.op <> {text(DELETE)} THEN struct(_full.o AS o, _full.v.commit AS v) END"
+    partial = "_part" in grouped.columns
+
+    def writer(index: int, column: str) -> str:
+        whole = f"CASE WHEN _full IS NOT NULL THEN struct(_full.o AS o, _full.v.c{index} AS v) END"
+        if not partial:
+            return f"{whole} AS {_writer(column)}"
+        own = _writer(column)
+        later = f"{own} IS NOT NULL AND (_full IS NULL OR {own}.o > _full.o)"
+        return f"CASE WHEN {later} THEN {own} ELSE {whole} END AS {own}"
+
+    return grouped.selectExpr(
+        *[name(c) for c in group],
+        "CASE WHEN _full IS NOT NULL THEN struct(_full.o AS o, _full.v.op AS op) END AS _reset",
+        (f"greatest({live}, _part)" if partial else live) + " AS _last",
+        *[c if UPSERT in ops else f"CAST(NULL AS {ORDER_TYPE}) AS {c}" for c in ("_first_up", "_last_up")],
+        *[writer(i, c) for i, c in enumerate(spec.values)],
     )
 
 
 def _with_start(summary: DataFrame, kept: DataFrame, spec: TableSpec, ops: set[str], group: list[str]) -> DataFrame:
     """Add ``_start``: the position at which the current row of the key began."""
     reset = F.col("_reset")
-    simple = (
-        F.when(reset["op"].isin(INSERT, REPLACE), reset["o"])
-        .when(reset.isNull() | (F.col("_first_up") > reset["o"]), F.col("_first_up"))
-        .when(F.col("_last_up") > reset["o"], F.col("_last_up"))
+    summary = summary.withColumn(
+        "_start",
+        F.expr(
+            f"CASE WHEN _reset.op IN ({text(INSERT)}, {text(REPLACE)}) THEN _reset.o "
+            "WHEN _reset IS NULL OR _first_up > _reset.o THEN _first_up "
+            "WHEN _last_up > _reset.o THEN _last_up END"
+        ),
     )
-    summary = summary.withColumn("_start", simple)
     if not {UPSERT, DELETE} <= ops:
         return summary
     # Upserted before and after its last DELETE, and some column was last
     # written between that DELETE and the last UPSERT.
-    between = any_of(
-        (F.col(_writer(c))["o"] > reset["o"]) & (F.col(_writer(c))["o"] < F.col("_last_up")) for c in spec.values
+    between = F.expr(
+        " OR ".join(f"({_writer(c)}.o > _reset.o AND {_writer(c)}.o < _last_up)" for c in spec.values) or "false"
     )
     unclear = summary.where(
         (reset["op"] == DELETE) & (F.col("_first_up") < reset["o"]) & (F.col("_last_up") > reset["o"]) & between
@@ -182,9 +179,8 @@ def _with_start(summary: DataFrame, kept: DataFrame, spec: TableSpec, ops: set[s
     )
 
 
-def _folded_value(column: str) -> Column:
-    writer = F.col(_writer(column))
-    return F.when(writer["o"] >= F.col("_start"), writer["v"])
+def _folded_value(column: str) -> str:
+    return f"CASE WHEN {_writer(column)}.o >= _start THEN {_writer(column)}.v END"
 
 
 def fold(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -> DataFrame:
@@ -193,10 +189,10 @@ def fold(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -> D
 
 
 def resolve(summary: DataFrame, spec: TableSpec) -> DataFrame:
-    return summary.where(F.col("_start").isNotNull()).select(
+    return summary.where("_start IS NOT NULL").selectExpr(
         *DEVICE_COLS,
-        F.col("_last")["v"].alias("_commit_id"),
-        *[F.col(c) if c in spec.keys else _folded_value(c).alias(c) for c in spec.columns],
+        "_last.v AS _commit_id",
+        *[name(c) if c in spec.keys else f"{_folded_value(c)} AS {name(c)}" for c in spec.columns],
     )
 
 
@@ -218,45 +214,46 @@ def merge(
     if TRUNCATE in ops:
         cuts = truncated_devices(changes).select(*DEVICE_COLS, F.lit(True).alias("_emptied"))
         state = state.join(cuts, list(DEVICE_COLS), "left")
-    summary = summarise(changes, spec, ops).withColumn("_touched", F.lit(True))
-    return apply_summary(before_batch(state, spec), summary, spec, report)
+    return apply_summary(before_batch(state, spec), summarise(changes, spec, ops), spec, report)
 
 
 def before_batch(state: DataFrame, spec: TableSpec) -> DataFrame:
     """State rows under names that cannot meet those of a summary."""
-    emptied = F.coalesce("_emptied", F.lit(False)) if "_emptied" in state.columns else F.lit(False)
-    return state.select(
-        *spec.row_key,
-        F.col("_commit_id").alias("_b_commit"),
-        F.lit(True).alias("_exists"),
-        emptied.alias("_emptied"),
-        *[F.col(c).alias(f"_b_{c}") for c in spec.values],
+    emptied = "coalesce(_emptied, false)" if "_emptied" in state.columns else "false"
+    return state.selectExpr(
+        *[name(c) for c in spec.row_key],
+        "_commit_id AS _b_commit",
+        "true AS _exists",
+        f"{emptied} AS _emptied",
+        *[f"{name(c)} AS {name('_b_' + c)}" for c in spec.values],
     )
 
 
 def apply_summary(was: DataFrame, summary: DataFrame, spec: TableSpec, report: bool) -> DataFrame:
-    both = was.join(summary, spec.row_key, "full")
-    exists = F.coalesce("_exists", F.lit(False))
-    keeps_base = exists & ~F.coalesce("_emptied", F.lit(False)) & F.col("_reset").isNull()
-    live = keeps_base | F.col("_start").isNotNull()
+    """State before a batch joined to the summary of the batch -> state after it."""
+    both = was.join(summary.withColumn("_touched", F.lit(True)), spec.row_key, "full")
+    joined = both.selectExpr(
+        "*", "coalesce(_exists, false) AND NOT coalesce(_emptied, false) AND _reset IS NULL AS _keeps"
+    )
 
-    def value(column: str) -> Column:
-        writer = F.col(_writer(column))
-        from_base = F.when(writer.isNotNull(), writer["v"]).otherwise(F.col(f"_b_{column}"))
-        return F.when(keeps_base, from_base).otherwise(_folded_value(column))
+    def value(column: str) -> str:
+        own = _writer(column)
+        kept = f"CASE WHEN {own} IS NOT NULL THEN {own}.v ELSE {name('_b_' + column)} END"
+        return f"CASE WHEN _keeps THEN {kept} ELSE {_folded_value(column)} END AS {name(column)}"
 
+    live = "(_keeps OR _start IS NOT NULL)"
+    columns = [
+        *DEVICE_COLS,
+        "coalesce(_last.v, _b_commit) AS _commit_id",
+        *[name(c) if c in spec.keys else value(c) for c in spec.columns],
+    ]
+    if not report:
+        return joined.where(live).selectExpr(*columns)
     effect = (
-        F.when(exists & ~live, "deleted")
-        .when(~live, "none")
-        .when(~exists, "inserted")
-        .when(F.col("_touched"), "updated")
-        .otherwise("untouched")
+        f"CASE WHEN _exists AND NOT {live} THEN 'deleted' WHEN NOT {live} THEN 'none' "
+        "WHEN _exists IS NULL THEN 'inserted' WHEN _touched THEN 'updated' ELSE 'untouched' END AS _effect"
     )
-    commit = F.coalesce(F.col("_last")["v"], F.col("_b_commit"))
-    columns = [F.col(c) if c in spec.keys else value(c).alias(c) for c in spec.columns]
-    if report:
-        return both.select(*DEVICE_COLS, commit.alias("_commit_id"), *columns, effect.alias("_effect"))
-    return both.where(live).select(*DEVICE_COLS, commit.alias("_commit_id"), *columns)
+    return joined.selectExpr(*columns, effect)
 
 
 def change_counts(reported: DataFrame, *by: str) -> DataFrame:
@@ -284,9 +281,6 @@ def compact(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -
         ]
         return F.array_compact(F.array(*names)).cast("array<string>")
 
-    last_write = F.greatest(*[F.col(_writer(c))["o"] for c in spec.values]) if len(spec.values) > 1 else (
-        F.col(_writer(spec.values[0]))["o"] if spec.values else F.col("_last")["o"]
-    )
     every = F.lit(None).cast("array<string>")
     early = written(lambda o: first_up.isNull() | (o < first_up))
     late = written(lambda o: o >= first_up)
@@ -300,7 +294,7 @@ def compact(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -
     parts = F.array_compact(
         F.array(
             part(DELETE, reset["o"], every, reset.isNotNull() & start.isNull()),
-            part(INSERT, F.coalesce(F.col("_last")["o"], last_write), every, reset.isNotNull() & start.isNotNull()),
+            part(INSERT, F.col("_last")["o"], every, reset.isNotNull() & start.isNotNull()),
             part(UPDATE, early_at, early, reset.isNull() & (F.size(early) > 0)),
             part(UPSERT, F.col("_last")["o"], late, reset.isNull() & first_up.isNotNull()),
         )
@@ -312,7 +306,7 @@ def compact(changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS) -
 
     def value(column: str) -> Column:
         writer = F.col(_writer(column))
-        shown = F.when(is_full, _folded_value(column))
+        shown = F.when(is_full, F.expr(_folded_value(column)))
         return shown.when(is_part & F.array_contains(picked["_set_cols"], column), writer["v"])
 
     return rows.select(
