@@ -24,25 +24,41 @@ def carry_forward(
     name: str,
     inclusive: bool,
     chunk_rows: int = CHUNK_ROWS,
+    transactions: bool = False,
 ) -> DataFrame:
-    """Add ``name``: last non-null ``value`` at or before (or strictly before) each row."""
-    chunk = ["_segment", "_chunk"]
+    """Add ``name``: last non-null ``value`` at or before (or strictly before) each row.
+
+    Chunks are blocks of ``_seq``. Set ``transactions`` for logs whose published
+    transactions were expanded: there one ``_seq`` holds a whole transaction, so
+    every ``_seq`` is cut into blocks of ``_txn_seq``.
+    """
+    chunk = ["_segment", "_chunk", "_block"]
     group = [c for c in group if c != "_segment"]
     end = Window.currentRow if inclusive else -1
-    prepared = log.withColumn("_value", value).withColumn(
-        "_chunk", F.floor(F.col("_seq") / F.lit(chunk_rows)).cast("bigint")
+
+    def block(column: str) -> Column:
+        return F.floor(F.col(column) / F.lit(chunk_rows)).cast("bigint")
+
+    prepared = log.withColumns(
+        {
+            "_value": value,
+            "_chunk": F.col("_seq") if transactions else block("_seq"),
+            "_block": block("_txn_seq") if transactions else F.lit(0).cast("bigint"),
+        }
     )
     inside = Window.partitionBy(*group, *chunk).orderBy("_seq", "_txn_seq")
     filled = prepared.withColumn(
         "_near", F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, end))
     )
-    ends = prepared.groupBy(*group, *chunk).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), order_of())).alias("_end"))
+    ends = prepared.groupBy(*group, *chunk).agg(
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), order_of())).alias("_end")
+    )
     across = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*group, *chunk, F.last("_end", ignorenulls=True).over(across).alias("_far"))
     return (
         filled.join(carried, [*group, *chunk])
         .withColumn(name, F.coalesce("_near", "_far"))
-        .drop("_value", "_near", "_far", "_chunk")
+        .drop("_value", "_near", "_far", "_chunk", "_block")
     )
 
 

@@ -31,7 +31,7 @@ from deltaloom.model import (
     order_of,
 )
 from deltaloom.operators.normalize import statement_table
-from deltaloom.storage import broadcast_checked
+from deltaloom.storage import broadcast_checked, cut_lineage
 
 CREATE_TABLE, DROP_TABLE, RENAME_TABLE = "CREATE_TABLE", "DROP_TABLE", "RENAME_TABLE"
 ADD_COLUMN, DROP_COLUMN = "ADD_COLUMN", "DROP_COLUMN"
@@ -215,7 +215,10 @@ def _device_history(events: pd.DataFrame, mode: str) -> list[dict]:
 
 
 def schema_histories(ddl: DataFrame, mode: str) -> DataFrame:
-    """Epochs per device and table; see the module text."""
+    """Epochs per device and table; see the module text.
+
+    Written out once: the steps that follow read it several times.
+    """
 
     def per_device(events: pd.DataFrame) -> pd.DataFrame:
         def place(at):
@@ -234,7 +237,8 @@ def schema_histories(ddl: DataFrame, mode: str) -> DataFrame:
             }
         )
 
-    return ddl.select(*DDL_COLS).groupBy(*DEVICE_COLS).applyInPandas(per_device, HISTORY_SCHEMA)
+    found = ddl.select(*DDL_COLS).groupBy(*DEVICE_COLS).applyInPandas(per_device, HISTORY_SCHEMA)
+    return cut_lineage(found, "histories")
 
 
 def _in_epoch() -> Column:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.model import DELETE, INSERT, LIFECYCLE_OPS, REPLACE, UPDATE, UPSERT, TableSpec
+from deltaloom.model import BASE_SEGMENT, DELETE, INSERT, LIFECYCLE_OPS, REPLACE, UPDATE, UPSERT, TableSpec
 from deltaloom.operators.carry import CHUNK_ROWS, carry_forward
 
 
-def with_liveness(changes: DataFrame, spec: TableSpec, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def with_liveness(
+    changes: DataFrame, spec: TableSpec, chunk_rows: int = CHUNK_ROWS, transactions: bool = False
+) -> DataFrame:
     """Add ``_alive``: did the key exist just before this change?
 
     Only the last INSERT, UPSERT, REPLACE or DELETE before it decides that.
     Base rows take part when they are in the frame as INSERTs.
     """
     lifecycle = F.when(F.col("_op").isin(*LIFECYCLE_OPS), F.col("_op"))
-    seen = carry_forward(drop_redelivered_rows(changes, spec), spec.row_key, lifecycle, "_before", False, chunk_rows)
+    once = drop_redelivered_rows(changes, spec)
+    seen = carry_forward(once, spec.row_key, lifecycle, "_before", False, chunk_rows, transactions)
     return seen.withColumn("_alive", F.coalesce(F.col("_before") != DELETE, F.lit(False))).drop("_before")
 
 
@@ -25,14 +28,17 @@ def drop_redelivered_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return changes.dropDuplicates(["_device_id", "_device_name", "_segment", "_seq", "_txn_seq", *spec.keys])
 
 
-def apply_mode(changes: DataFrame, spec: TableSpec, mode: str, base: DataFrame | None = None) -> DataFrame:
+def apply_mode(
+    changes: DataFrame, spec: TableSpec, mode: str, base: DataFrame | None = None, transactions: bool = False
+) -> DataFrame:
     """A10: rewrite INSERT changes according to the table's write mode.
 
     INSERT   an insert on an existing key is dropped (see :func:`conflicts`)
     UPSERT   inserts update the named columns of an existing row
     REPLACE  inserts replace the whole row
     APPEND   only inserts are kept; nothing is folded
-    ``base`` (as INSERT changes) matters to INSERT mode only.
+    ``base`` (as INSERT changes) and ``transactions`` (see
+    :func:`~deltaloom.operators.carry.carry_forward`) matter to INSERT mode only.
     """
     op = F.col("_op")
     if mode == UPSERT:
@@ -44,10 +50,10 @@ def apply_mode(changes: DataFrame, spec: TableSpec, mode: str, base: DataFrame |
     if mode != INSERT:
         raise ValueError(f"unknown write mode {mode}")
     log = changes if base is None else base.unionByName(changes)
-    kept = with_liveness(log, spec).where(~((op == INSERT) & F.col("_alive")))
-    return kept.where(F.col("_segment") >= 0).select(*changes.columns) if base is not None else kept.select(
-        *changes.columns
-    )
+    kept = with_liveness(log, spec, transactions=transactions).where(~((op == INSERT) & F.col("_alive")))
+    if base is not None:
+        kept = kept.where(F.col("_segment") > BASE_SEGMENT)
+    return kept.select(*changes.columns)
 
 
 def append_rows(base: DataFrame, changes: DataFrame) -> DataFrame:
@@ -56,7 +62,7 @@ def append_rows(base: DataFrame, changes: DataFrame) -> DataFrame:
     return base.unionByName(changes.where(F.col("_op") == INSERT).select(*columns), allowMissingColumns=True)
 
 
-def conflicts(changes: DataFrame, spec: TableSpec) -> DataFrame:
+def conflicts(changes: DataFrame, spec: TableSpec, transactions: bool = False) -> DataFrame:
     """Changes that a strict destination would have refused."""
     op, alive = F.col("_op"), F.col("_alive")
     kind = (
@@ -64,7 +70,7 @@ def conflicts(changes: DataFrame, spec: TableSpec) -> DataFrame:
         .when((op == UPDATE) & ~alive, "update_missing")
         .when((op == DELETE) & ~alive, "delete_missing")
     )
-    return with_liveness(changes, spec).withColumn("kind", kind).where(F.col("kind").isNotNull())
+    return with_liveness(changes, spec, transactions=transactions).withColumn("kind", kind).where(F.col("kind").isNotNull())
 
 
 def conflict_counts(changes: DataFrame, spec: TableSpec) -> DataFrame:

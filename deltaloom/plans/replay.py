@@ -59,7 +59,7 @@ def replica_of(replicated: DataFrame, device_id: str) -> DataFrame:
 
 def state_of(consolidated: DataFrame, spec: TableSpec) -> DataFrame:
     """Consolidated table -> state frame, to go on merging into it."""
-    millis = F.unix_millis(F.col("sys_update_ts").cast("timestamp"))
+    millis = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("sys_update_ts"))
     return consolidated.select(
         F.col("sys_device_id").alias("_device_id"),
         F.col("sys_device_name").alias("_device_name"),
@@ -108,7 +108,7 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False)
     if not filled:
         log = fill_statements(log)
     ddl = read_ddl(log)
-    histories = cut_lineage(schema_histories(ddl, mode))
+    histories = schema_histories(ddl, mode)
     spec = target_spec(histories, table, replicated=mode == REPLICATION)
     if not spec.columns:
         raise ValueError(f"table {table} does not exist at the end of the log")

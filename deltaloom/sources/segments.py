@@ -1,7 +1,7 @@
 """Log segments: SQLite files read in parallel, in batch or as a stream.
 
-One input partition reads one range of one file on an executor; small files are
-one range. Nothing but paths and sizes passes through the driver. A row whose
+A file is read on an executor, a large one in ranges by several tasks, many small
+ones by one task. Nothing but paths and sizes passes through the driver. A row whose
 statement is empty repeats the one before it, so each range looks up the last
 statement in front of it and the fill (C01) needs no shuffle.
 """
@@ -38,7 +38,7 @@ BATCH_ROWS = 10_000
 
 
 @dataclass
-class SegmentRange(InputPartition):
+class SegmentRange:
     """Part ``index`` of ``count`` of a segment file."""
 
     path: str
@@ -48,6 +48,32 @@ class SegmentRange(InputPartition):
     commit: int | None
     index: int
     count: int
+    size: int
+
+
+@dataclass
+class SegmentPack(InputPartition):
+    """Ranges read by one task, one after the other: a large file's, or many small files."""
+
+    parts: list[SegmentRange]
+
+
+# A task opens files worth about PACK_BYTES; fewer while there are not yet PACKS tasks.
+PACK_BYTES, OPEN_COST, PACKS = 64 * 1024 * 1024, 1024 * 1024, 64
+
+
+def _packed(parts: list[SegmentRange]) -> list[SegmentPack]:
+    """Pack small files (published transactions, above all) into fewer tasks."""
+    costs = [p.size // p.count + OPEN_COST for p in parts]
+    budget = min(PACK_BYTES, max(OPEN_COST, sum(costs) // PACKS))
+    packs, room = [], 0
+    for part, cost in zip(parts, costs):
+        if not packs or room < cost:
+            packs.append(SegmentPack([]))
+            room = budget
+        packs[-1].parts.append(part)
+        room -= cost
+    return packs or [SegmentPack([])]
 
 
 def _walk(root: str) -> Iterator[tuple[str, int]]:
@@ -90,6 +116,7 @@ def _segments(options: dict[str, str]) -> list[SegmentRange]:
                     int(named["commit"]) if named.get("commit") else None,
                     index,
                     count,
+                    size,
                 )
             )
     return sorted(found, key=lambda s: (s.segment, s.device_id, s.path, s.index))
@@ -203,15 +230,12 @@ class SegmentReader(DataSourceReader):
         self.options = options
 
     def partitions(self):
-        # Spark needs at least one partition
-        return _segments(self.options) or [SegmentRange("", "", "", 0, None, 0, 0)]
+        return _packed(_segments(self.options))
 
-    def read(self, partition: SegmentRange):
-        if partition.count == 0:
-            return iter(())
-        if self.options.get("kind", LOG) == METADATA:
-            return _read_metadata(partition)
-        return _read_log(partition, self.options.get("fill", "true").lower() == "true")
+    def read(self, partition: SegmentPack):
+        fill = self.options.get("fill", "true").lower() == "true"
+        for part in partition.parts:
+            yield from _read_metadata(part) if self.options.get("kind", LOG) == METADATA else _read_log(part, fill)
 
 
 class SegmentStreamReader(DataSourceStreamReader):
@@ -237,13 +261,11 @@ class SegmentStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict):
         done, until = json.loads(start["devices"]), json.loads(end["devices"])
-        return [
-            p
-            for p in _segments(self.options)
-            if done.get(p.device_id, -1) < p.segment <= until.get(p.device_id, -1)
-        ] or [SegmentRange("", "", "", 0, None, 0, 0)]
+        return _packed(
+            [p for p in _segments(self.options) if done.get(p.device_id, -1) < p.segment <= until.get(p.device_id, -1)]
+        )
 
-    def read(self, partition: SegmentRange):
+    def read(self, partition: SegmentPack):
         return SegmentReader(self.options).read(partition)
 
     def commit(self, end: dict) -> None:

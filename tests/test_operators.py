@@ -30,6 +30,18 @@ def test_carry_across_small_chunks(spark):
         assert {(r["_segment"], r["_seq"]): r["last"] for r in got.collect()} == want
 
 
+def test_carry_inside_one_large_transaction(spark):
+    rnd = random.Random(4)
+    rows = [("d", "n", 0, q, t, rnd.choice([None, None, q * 1000 + t])) for q in range(3) for t in range(100)]
+    df = spark.createDataFrame(rows, "_device_id string, _device_name string, _segment bigint, _seq bigint, _txn_seq bigint, v bigint")
+    got = carry_forward(df, ["_device_id"], F.col("v"), "last", True, chunk_rows=9, transactions=True)
+    last, want = None, {}
+    for _, _, _, q, t, v in rows:
+        last = v if v is not None else last
+        want[q, t] = last
+    assert {(r["_seq"], r["_txn_seq"]): r["last"] for r in got.collect()} == want
+
+
 def test_statements_do_not_leak_into_the_next_segment(spark):
     rows = [("d", "n", s, q, 0, 0, "A" if (s, q) == (0, 1) else "", []) for s in (0, 1) for q in (1, 2, 30)]
     log = spark.createDataFrame(

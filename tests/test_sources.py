@@ -93,6 +93,14 @@ def test_stream_offsets_hold_a_device_at_a_gap(spark, tmp_path):
     assert drain() == ["d1-0", "d1-1", "d1-2", "d1-3", "d2-0"]
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    for n in range(200):
+        segment(tmp_path / "one_d1", f"{n}.sqllog", [(1, n, f"S{n}", [])])
+    log = sg.scan_log(spark, str(tmp_path), PATTERN)
+    assert 32 <= log.rdd.getNumPartitions() <= 100
+    assert sorted(r["_segment"] for r in log.collect()) == list(range(200))
+
+
 def test_empty_stage(spark, tmp_path):
     assert sg.scan_log(spark, str(tmp_path), PATTERN).count() == 0
 
