@@ -81,7 +81,7 @@ def summarise(
     ops = set(ops)
     if TRUNCATE in ops:
         changes = after_truncate(changes)
-    known = ", ".join(text(o) for o in ROW_OPS if o in ops)
+    known = ", ".join(text(o) for o in ROW_OPS if o in ops) or "NULL"
     group = [*spec.row_key, *by]
     kept = changes.select(
         *group,
