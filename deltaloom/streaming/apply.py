@@ -93,7 +93,7 @@ def start_append(
     return _trigger(writer.outputMode("append"), every_seconds).start()
 
 
-# Log-roll defaults of the reference behaviour
+# Default thresholds at which a log file rolls
 ROLL_RECORDS, ROLL_SECONDS = 1_000_000, 5
 
 
