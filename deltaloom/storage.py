@@ -24,13 +24,19 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
+        return _qualified(spark, configured)
     if sc.getCheckpointDir() is not None:
-        return sc.getCheckpointDir().rsplit("/", 1)[0]
+        return _qualified(spark, sc.getCheckpointDir().rsplit("/", 1)[0])
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="deltaloom-"))
-    return sc.getCheckpointDir().rsplit("/", 1)[0]
+    return _qualified(spark, sc.getCheckpointDir().rsplit("/", 1)[0])
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """Path with its file system, so that tasks and driver mean the same place."""
+    fs, hadoop_path = file_system(spark, path)
+    return fs.makeQualified(hadoop_path).toString().rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
