@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, lang_id, licenses, mixing, registry, secrets, url_filter
+from deltaloom.llm import chat, decontaminate, lang_id, licenses, mixing, oracles, registry, secrets, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -19,7 +19,7 @@ def op1_language_filters(spark, sf_dir):
     return found.select("doc_id", (fold_id(F.col("doc_id"), 5) == 0).alias("held_out"), "_language.lang_pred", "_language.score")
 
 
-@register("op2_prefix_targets")
+@register("op2_prefix_targets", oracles.CHAT)
 def op2_prefix_targets(spark, sf_dir):
     """Digest of all formatted conversations and of one that tries to forge a turn."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -37,7 +37,7 @@ def op3_license_rules(spark, sf_dir):
     return found.select("doc_id", *[f"f.{c}" for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
 
-@register("op5_decontaminate")
+@register("op5_decontaminate", oracles.DECONTAMINATE)
 def op5_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "_hits")
@@ -52,7 +52,7 @@ def op5_decontaminate(spark, sf_dir):
     )
 
 
-@register("op6_source_mix")
+@register("op6_source_mix", oracles.MIX)
 def op6_source_mix(spark, sf_dir):
     """Mix of all documents; labelled good documents weigh 2, bad ones a half, unlabelled ones 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -68,7 +68,7 @@ def op7_secret_scan(spark, sf_dir):
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], base.alias("base_sha256"), spans.alias("spans"))
 
 
-@register("op9_host_reputation")
+@register("op9_host_reputation", oracles.URLS)
 def op9_host_reputation(spark, sf_dir):
     """Verdict per page. A labelled document with a page's id is that page's outcome: bad if toxic or of no quality."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("outcome_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("long").alias("bad"))
