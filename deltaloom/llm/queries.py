@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, lang_id, licenses, mixing, oracles, registry, secrets, url_filter
+from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, mixing, oracles, registry, secrets, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -37,6 +37,11 @@ def op3_license_rules(spark, sf_dir):
     return found.select("doc_id", *[f"f.{c}" for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
 
+@register("op4_jaccard_prefixes", oracles.JACCARD)
+def op4_jaccard_prefixes(spark, sf_dir):
+    return jaccard_join.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op5_decontaminate", oracles.DECONTAMINATE)
 def op5_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
