@@ -123,3 +123,15 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, e
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
 """
+
+TOPK = """
+WITH p AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, round(avg(x), 6) AS m FROM p GROUP BY i),
+c AS (SELECT vec_id, bit_or(CASE WHEN x > m THEN 1::UBIGINT << (i - 1)::UBIGINT ELSE 0::UBIGINT END) AS code FROM p JOIN m USING (i) GROUP BY vec_id),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id, bit_count(xor(q.code, c.code))::BIGINT AS distance
+  FROM c q JOIN c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank, neighbour_id, distance FROM d
+QUALIFY rank <= 10
+"""

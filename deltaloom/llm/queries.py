@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, mixing, oracles, registry, secrets, url_filter
+from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, mixing, oracles, registry, secrets, topk, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -81,4 +81,12 @@ def op9_host_reputation(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@register("op10_multi_index_topk", oracles.TOPK)
+def op10_multi_index_topk(spark, sf_dir):
+    """Ten nearest codes of every vector whose id is divisible by 50, among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"))
+    return topk.search(vectors, asked)
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
