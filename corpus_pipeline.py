@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm import decontaminate, lang_id, mixing, secrets
+from deltaloom.llm import decontaminate, jaccard_join, lang_id, mixing, secrets
 from deltaloom.llm.registry import table
 from deltaloom.storage import cut_lineage
 
@@ -25,6 +25,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("_language.lang_pred") != lang_id.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return jaccard_join.one_of_each(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
     scanned = decontaminate.scan(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
@@ -48,6 +53,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language ID", language),
+    ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_passages),
     ("secret scans", secret_spans),
     ("mixing sources", mix),

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deltaloom.llm.bitmap import keep_likely
@@ -234,3 +235,19 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
     named = members.join(classes, ["n", "hi", "lo"], "left").join(found, F.col("class") == F.col("node"), "left")
     return named.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "class", "id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Rows of ``docs``, all columns, with one document of each group of near duplicates: the one with the smallest id.
+
+    Of rows that repeat an id one stays. Rows with a null id stay: nothing could name them as copies.
+    """
+    linked = link(docs, doc_id, text, size, num, den)
+    kept = linked.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
+    kept = cut_lineage(kept, "kept")
+    same = F.col(doc_id).cast("long") == F.col("_kept")
+    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
+    again = keep_likely(docs.withColumn("_id", F.col(doc_id).cast("long")), "_id", kept.where("_rows > 1"), "_kept").drop("_id")
+    order = W.partitionBy(doc_id).orderBy(F.xxhash64(text), F.length(text))
+    again = again.join(kept.where("_rows > 1"), same, "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    return once.unionByName(again).unionByName(docs.where(F.col(doc_id).isNull()))

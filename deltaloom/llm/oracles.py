@@ -135,3 +135,14 @@ d AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank, neighbour_id, distance FROM d
 QUALIFY rank <= 10
 """
+
+#: Brute force of the counted columns and the base score, for the tests; the model's score is not expressible.
+LM_BASE = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_FOLDED}, '{_SPACED}') AS w FROM documents),
+t AS (SELECT rid, doc_id, unnest(list_append(w, NULL)) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE list_contains($train, doc_id) GROUP BY w),
+n AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+SELECT doc_id, count(*)::BIGINT AS n_tokens, count(c)::BIGINT AS n_known, (SELECT n FROM n)::BIGINT AS train_tokens,
+  sum(log10((coalesce(c, 0) + 1) / ((SELECT n FROM n) + 1.0 * ((SELECT v FROM n) + 1)))) AS base_score
+FROM t LEFT JOIN c ON t.w IS NOT DISTINCT FROM c.w GROUP BY rid, doc_id
+"""

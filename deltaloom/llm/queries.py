@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, mixing, oracles, registry, secrets, topk, url_filter
+from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, lm_score, mixing, oracles, registry, secrets, topk, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -73,6 +73,13 @@ def op7_secret_scan(spark, sf_dir):
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], base.alias("base_sha256"), spans.alias("spans"))
 
 
+@register("op8_trie_scores")
+def op8_trie_scores(spark, sf_dir):
+    """Scores of all documents; learned from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, fold_id(F.col("doc_id"), 7) != 2)
+
+
 @register("op9_host_reputation", oracles.URLS)
 def op9_host_reputation(spark, sf_dir):
     """Verdict per page. A labelled document with a page's id is that page's outcome: bad if toxic or of no quality."""
