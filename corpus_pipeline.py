@@ -38,12 +38,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
-    found = docs.select(*COLUMNS).withColumn("_found", secrets.secrets(F.col("text")))
-    clean = found.withColumn("_clean", secrets.redacted(F.col("text"), F.col("_found")))
-    changed = F.size("_found") > 0
-    return clean.select(
-        "doc_id", F.col("_clean").alias("text"), "lang", "source", F.when(changed, F.length("_clean").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    )
+    clean = docs.select(*COLUMNS, secrets.redacted(F.col("text")).alias("clean"))
+    n_chars = F.when(F.col("clean") == F.col("text"), F.col("n_chars")).otherwise(F.length("clean").cast("long"))
+    return clean.select("doc_id", F.col("clean").alias("text"), "lang", "source", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(n_chars).alias("n_chars"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ An empty table gives no rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -46,36 +47,25 @@ def streams(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "tur
     """
     role_text = F.coalesce(F.col(role).cast("string"), F.lit(""))
     turn_text = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    head = F.concat(F.lit(START), escape_role(role_text), F.lit("\n"))
-    body = escape(turn_text)
-    rows = conversations.select(
-        F.col(conv_id).alias("conv_id"),
-        F.struct(
-            F.col(turn).alias("turn"), role_text.alias("role"), turn_text.alias("text"), F.concat(head, body, F.lit(END + "\n")).alias("rendered"),
-            F.length(head).alias("head"), F.length(body).alias("body"),
-        ).alias("t"),
-    )
-    turns = F.array_sort(F.collect_list("t"))
-    grouped = rows.groupBy("conv_id").agg(turns.alias("turns"))
-    lengths = F.transform("turns", lambda t: F.length(t["rendered"]).cast("long"))
-    # positions by one pass over the turns
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-    starts = F.aggregate(
-        lengths, zero, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")), lambda s: s["starts"]
-    )
-    placed = grouped.withColumn("starts", starts)
-    replies = F.filter(F.arrays_zip("turns", "starts"), lambda p: p["turns"]["role"] == ASSISTANT)
+    head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
+    body = escape(F.col("text"))
+    rows = conversations.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), role_text.alias("role"), turn_text.alias("text"))
+    rows = rows.withColumn("rendered", F.concat(head, body, F.lit(END + "\n"))).withColumn("head", F.length(head)).withColumn("body", F.length(body))
+    in_order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum(F.length("rendered").cast("long")).over(in_order), F.lit(0)))
+    grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("start", "role", "rendered", "head", "body"))).alias("turns"))
+    replies = F.filter("turns", lambda t: t["role"] == ASSISTANT)
     examples = F.transform(
         replies,
-        lambda p, i: F.struct(
+        lambda t, i: F.struct(
             i.cast("long").alias("example"),
-            p["starts"].alias("context_end"),
-            (p["starts"] + p["turns"]["head"]).alias("loss_start"),
-            (p["starts"] + p["turns"]["head"] + p["turns"]["body"]).alias("loss_end"),
-            (p["starts"] + F.length(p["turns"]["rendered"])).alias("end"),
+            t["start"].alias("context_end"),
+            (t["start"] + t["head"]).alias("loss_start"),
+            (t["start"] + t["head"] + t["body"]).alias("loss_end"),
+            (t["start"] + F.length(t["rendered"])).alias("end"),
         ),
     )
-    return placed.select("conv_id", F.array_join(F.transform("turns", lambda t: t["rendered"]), "").alias("stream"), examples.alias("examples"))
+    return grouped.select("conv_id", F.array_join(F.transform("turns", lambda t: t["rendered"]), "").alias("stream"), examples.alias("examples"))
 
 
 def expand(formatted: DataFrame) -> DataFrame:

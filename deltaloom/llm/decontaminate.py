@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.llm.text import PLAIN, octets, sequences, words
+from deltaloom.llm.text import LOWER, PLAIN, PLAIN_WORD, UPPER, octets, sequences, words
+from deltaloom.storage import cut_lineage
 
 WINDOW = 10
 #: Windows in one broadcast: at most some hundred bytes each.
@@ -28,7 +29,7 @@ HITS = "n_words long, starts array<long>, ends array<long>, from_char array<long
 
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """Distinct windows of all items: their words joined by spaces, number of words, ids of the items that have them."""
-    plain = F.regexp_extract_all(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), *_CASE), F.lit(f"({_WORD})"), 1)
+    plain = F.regexp_extract_all(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER), F.lit(f"({PLAIN_WORD})"), 1)
     rows = benchmark.select(F.col(item).cast("string").alias("item"), plain.alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(1)))
     return (
@@ -39,10 +40,6 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", siz
     )
 
 
-_CASE = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
 class Lookup:
     """Hash set of the windows of one block, by window length, with their words for the check."""
 
@@ -91,12 +88,7 @@ class Lookup:
 
     def _row(self, array, part, row: int, spans: list[tuple[int, int]], items: set[str]) -> dict:
         """Spans of one row, joined where they overlap or touch, in words and in characters."""
-        merged: list[list[int]] = []
-        for start, n in sorted(spans):
-            if merged and start <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], start + n)
-            else:
-                merged.append([start, start + n])
+        merged = _union([(start, start + n) for start, n in spans])
         first, chars = int(part.bounds[row]), []
         if merged:
             raw, base = array[part.first + row].as_py(), self._row_begin(array, part.first + row)
@@ -134,29 +126,35 @@ def _scan(text: Column, rows: list, spark) -> Column:
     return F.arrow_udf(look, HITS).asNondeterministic()(octets(text))
 
 
-def _merged(left: Column, right: Column, starts: str, ends: str) -> Column:
-    """Sorted union of two lists of spans, joined where they overlap or touch; array of (a, b)."""
-    both = F.array_sort(
-        F.concat(*[F.arrays_zip(s[starts].alias("a"), s[ends].alias("b")) for s in (left, right)])
-    )
-    empty = F.array().cast("array<struct<a:bigint,b:bigint>>")
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], span["b"]).alias("b")))
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), longer)
-        return F.when((F.size(done) > 0) & (span["a"] <= F.try_element_at(done, F.lit(-1))["b"]), joined).otherwise(
-            F.concat(done, F.array(F.struct(span["a"].alias("a"), span["b"].alias("b"))))
-        )
-
-    return F.aggregate(both, empty, add)
+def _union(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Spans in order, joined where they overlap or touch."""
+    merged: list[list[int]] = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return merged
+
+
+def _both(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Union of the hits that two blocks of windows found in each text. Spans that touch in words are one; so are their characters."""
+    for left, right in batches:
+        out = []
+        for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
+            edges = dict(zip(a["starts"] + b["starts"], a["from_char"] + b["from_char"], strict=True))
+            ends = dict(zip(a["ends"] + b["ends"], a["to_char"] + b["to_char"], strict=True))
+            spans = _union(list(zip(a["starts"] + b["starts"], a["ends"] + b["ends"], strict=True)))
+            out.append({
+                "n_words": a["n_words"], "starts": [s for s, _ in spans], "ends": [e for _, e in spans],
+                "from_char": [edges[s] for s, _ in spans], "to_char": [ends[e] for _, e in spans], "items": sorted({*a["items"], *b["items"]}),
+            })
+        yield pa.array(out, _HIT_TYPE)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """All rows and columns of ``docs`` with a struct column ``_hits``: words, hit spans in words and characters, ids of found items."""
     spark = docs.sparkSession
-    from deltaloom.storage import cut_lineage
-
     known = cut_lineage(windows(benchmark, item, "text", size), "windows")
     count = known.count()
     parts = max(1, -(-count // block))
@@ -167,20 +165,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         if part == 0:
             out = out.withColumn("_hits", column)
             continue
-        out = out.withColumn("_more", column)
-        a, b = F.col("_hits"), F.col("_more")
-        in_words, in_chars = _merged(a, b, "starts", "ends"), _merged(a, b, "from_char", "to_char")
-        out = out.withColumn(
-            "_hits",
-            F.struct(
-                a["n_words"].alias("n_words"),
-                F.transform(in_words, lambda s: s["a"]).alias("starts"),
-                F.transform(in_words, lambda s: s["b"]).alias("ends"),
-                F.transform(in_chars, lambda s: s["a"]).alias("from_char"),
-                F.transform(in_chars, lambda s: s["b"]).alias("to_char"),
-                F.array_sort(F.array_union(a["items"], b["items"])).alias("items"),
-            ),
-        ).drop("_more")
+        out = out.withColumn("_hits_too", column).withColumn("_hits", F.arrow_udf(_both, HITS).asNondeterministic()("_hits", "_hits_too")).drop("_hits_too")
     return out
 
 

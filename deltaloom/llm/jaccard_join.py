@@ -243,11 +243,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     Of rows that repeat an id one stays. Rows with a null id stay: nothing could name them as copies.
     """
     linked = link(docs, doc_id, text, size, num, den)
-    kept = linked.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
+    kept = linked.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_jaccard_kept")).agg(F.count("*").alias("_jaccard_rows"))
     kept = cut_lineage(kept, "kept")
-    same = F.col(doc_id).cast("long") == F.col("_kept")
-    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
-    again = keep_likely(docs.withColumn("_id", F.col(doc_id).cast("long")), "_id", kept.where("_rows > 1"), "_kept").drop("_id")
+    same = F.col(doc_id).cast("long") == F.col("_jaccard_kept")
+    once = docs.join(kept.where("_jaccard_rows = 1"), same, "left_semi")
+    again = keep_likely(docs.withColumn("_jaccard_id", F.col(doc_id).cast("long")), "_jaccard_id", kept.where("_jaccard_rows > 1"), "_jaccard_kept").drop("_jaccard_id")
     order = W.partitionBy(doc_id).orderBy(F.xxhash64(text), F.length(text))
-    again = again.join(kept.where("_rows > 1"), same, "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    again = again.join(kept.where("_jaccard_rows > 1"), same, "left_semi").withColumn("_jaccard_row", F.row_number().over(order)).where("_jaccard_row = 1").drop("_jaccard_row")
     return once.unionByName(again).unionByName(docs.where(F.col(doc_id).isNull()))

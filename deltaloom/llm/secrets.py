@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -173,23 +172,30 @@ def secrets(text: Column) -> Column:
     return F.arrow_udf(_scan, "array<struct<from_char: long, to_char: long, kind: string>>").asNondeterministic()(octets(text))
 
 
-def redacted(text: Column, found: Column, mark: str = "[secret]") -> Column:
-    """The text with every span, overlapping ones joined, replaced by a mark."""
-    empty = F.array().cast("array<struct<a:bigint,b:bigint>>")
+def redact(raw: bytes, mark: bytes) -> bytes:
+    """A text with all its spans, overlapping ones joined, replaced by a mark."""
+    out, at, upto = [], 0, -1
+    for start, end, _ in find(raw):
+        if start < upto:
+            upto = max(upto, end)
+            continue
+        if upto >= 0:
+            out.append(mark)
+            at = upto
+        out.append(raw[at:start])
+        upto = end
+    return b"".join([*out, mark, raw[upto:]]) if upto >= 0 else raw
 
-    def add(done: Column, span: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(last["a"].alias("a"), F.greatest(last["b"], span["to_char"]).alias("b"))
-        one = F.struct(span["from_char"].alias("a"), span["to_char"].alias("b"))
-        return F.when((F.size(done) > 0) & (span["from_char"] < last["b"]), F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(
-            F.concat(done, F.array(one))
-        )
 
-    joined = F.aggregate(found, empty, add)
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(joined, lambda s: s["b"]))
-    ends = F.concat(F.transform(joined, lambda s: s["a"]), F.array(F.length(text).cast("long")))
-    pieces = F.zip_with(begins, ends, lambda a, b: F.substr(text, (a + 1).cast("int"), (b - a).cast("int")))
-    return F.when(F.size(found) > 0, F.array_join(pieces, mark)).otherwise(text)
+def redacted(text: Column, mark: str = "[secret]") -> Column:
+    """The text without its secrets; null stays null."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([redact(x.as_py(), mark.encode()) for x in batch], pa.binary())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.when(text.isNotNull(), F.arrow_udf(run, "binary").asNondeterministic()(octets(text)).cast("string"))
 
 
 def digest(found: Column) -> tuple[Column, Column]:
@@ -198,6 +204,3 @@ def digest(found: Column) -> tuple[Column, Column]:
     base = F.transform(F.filter(found, lambda s: s["kind"].isin("assign", "access", "hex")), told)
     return F.sha2(F.array_join(base, ","), 256), F.array_join(F.transform(found, told), ",")
 
-
-def sha256_of(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
