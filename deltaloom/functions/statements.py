@@ -13,35 +13,38 @@ from pyspark.sql import functions as F
 # The shapes of names, literals and statements.
 NAME = r'["`\[]?([A-Za-z_][A-Za-z0-9_$]*)["`\]]?'
 NAME_ = NAME.replace("(", "(?:", 1)
+# a schema before a table name is not kept: a device's log writes to one database
+TABLE = r'(?:["`\[]?[A-Za-z_][A-Za-z0-9_$]*+["`\]]?\.)?' + NAME
+# possessive repeats: nothing is tried twice, and no call depth grows with a text
 LITERAL = (
-    r"(?:[Xx]'[0-9A-Fa-f]*'|'(?:[^']|'')*'|\?|[-+]?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
+    r"(?:[Xx]'[0-9A-Fa-f]*'|'[^']*+(?:''[^']*+)*+'|\?|[-+]?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
     r"|(?i:NULL|TRUE|FALSE))"
 )
 PAIR = NAME + r"\s*=\s*(" + LITERAL + ")"
 PAIR_ = NAME_ + r"\s*=\s*" + LITERAL
-SET_LIST = rf"^\s*{PAIR_}(?:\s*,\s*{PAIR_})*\s*$"
-EQUALITIES = rf"(?i)^\s*{PAIR_}(?:\s+AND\s+{PAIR_})*\s*$"
+SET_LIST = rf"^\s*{PAIR_}(?:\s*,\s*{PAIR_})*+\s*$"
+EQUALITIES = rf"(?i)^\s*{PAIR_}(?:\s+AND\s+{PAIR_})*+\s*$"
 TERM = NAME + r"\s*(<>|!=|<=|>=|=|<|>)\s*(" + LITERAL + ")"
 TERM_ = NAME_ + r"\s*(?:<>|!=|<=|>=|=|<|>)\s*" + LITERAL
-COMPARISONS = rf"(?i)^\s*{TERM_}(?:\s+AND\s+{TERM_})*\s*$"
-VALUE_LIST = rf"^\s*{LITERAL}(?:\s*,\s*{LITERAL})*\s*$"
+COMPARISONS = rf"(?i)^\s*{TERM_}(?:\s+AND\s+{TERM_})*+\s*$"
+VALUE_LIST = rf"^\s*{LITERAL}(?:\s*,\s*{LITERAL})*+\s*$"
 
 INSERT_INTO = (
-    r"(?is)^\s*(INSERT|INSERT\s+OR\s+REPLACE|REPLACE|UPSERT)\s+INTO\s+" + NAME + r"\s*(?:\(([^)]*)\))?\s*"
+    r"(?is)^\s*(INSERT|INSERT\s+OR\s+REPLACE|REPLACE|UPSERT)\s+INTO\s+" + TABLE + r"\s*(?:\(([^)]*)\))?\s*"
     r"VALUES\s*\((.*?)\)\s*(ON\s+CONFLICT\s*(?:\([^)]*\))?\s*DO\s+UPDATE\b.*)?;?\s*$"
 )
-UPDATE_SET = r"(?is)^\s*UPDATE\s+" + NAME + r"\s+SET\s+(.*?)(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
-DELETE_FROM = r"(?is)^\s*DELETE\s+FROM\s+" + NAME + r"(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
-TRUNCATE_TABLE = r"(?is)^\s*TRUNCATE\s+(?:TABLE\s+)?" + NAME + r"\s*;?\s*$"
+UPDATE_SET = r"(?is)^\s*UPDATE\s+" + TABLE + r"\s+SET\s+(.*?)(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
+DELETE_FROM = r"(?is)^\s*DELETE\s+FROM\s+" + TABLE + r"(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
+TRUNCATE_TABLE = r"(?is)^\s*TRUNCATE\s+(?:TABLE\s+)?" + TABLE + r"\s*;?\s*$"
 WRITTEN_TABLE = (
     r"(?i)^\s*(?:INSERT\s+(?:OR\s+REPLACE\s+)?INTO|REPLACE\s+INTO|UPSERT\s+INTO|UPDATE|DELETE\s+FROM"
-    r"|TRUNCATE(?:\s+TABLE)?)\s+" + NAME
+    r"|TRUNCATE(?:\s+TABLE)?)\s+" + TABLE
 )
 REPLAY_TXN = r"(?i)^\s*REPLAY_TXN\s*\(?\s*([0-9]*)"
 
-CREATE_TABLE = r"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?" + NAME + r"\s*\((.*)\)\s*;?\s*$"
-DROP_TABLE = r"(?is)^\s*DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?" + NAME + r"\s*;?\s*$"
-ALTER = r"(?is)^\s*ALTER\s+TABLE\s+" + NAME + r"\s+"
+CREATE_TABLE = r"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?" + TABLE + r"\s*\((.*)\)\s*;?\s*$"
+DROP_TABLE = r"(?is)^\s*DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?" + TABLE + r"\s*;?\s*$"
+ALTER = r"(?is)^\s*ALTER\s+TABLE\s+" + TABLE + r"\s+"
 ADD_COLUMN = ALTER + r"ADD\s+(?:COLUMN\s+)?" + NAME + r"\s+([A-Za-z]+).*$"
 WIDEN_COLUMN = ALTER + r"ALTER\s+(?:COLUMN\s+)?" + NAME + r"\s+(?:SET\s+DATA\s+)?(?:TYPE\s+)?([A-Za-z]+).*$"
 RENAME_COLUMN = ALTER + r"RENAME\s+COLUMN\s+" + NAME + r"\s+TO\s+" + NAME + r"\s*;?\s*$"

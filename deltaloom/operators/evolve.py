@@ -371,8 +371,8 @@ def move_bulk(bulk: DataFrame, histories: DataFrame, spec: TableSpec) -> DataFra
 def ignored_ddl(ddl: DataFrame) -> DataFrame:
     """DDL a consolidated destination does not carry out, with the reason."""
     reason = (
-        F.when(F.col("_op") == DROP_TABLE, "other devices may still use this table")
-        .when(F.col("_op") == DROP_COLUMN, "other devices may still use this column")
+        F.when(F.col("_op") == DROP_TABLE, "table is shared by all devices")
+        .when(F.col("_op") == DROP_COLUMN, "column is shared by all devices")
         .when(F.col("_op").isNull(), "statement shape not recognised")
     )
     return (

@@ -56,8 +56,8 @@ def evolve_replication(spark, sf):
     "ignored_ddl",
     "SELECT 'dev-' || c_custkey AS device_id, lower(c_mktsegment) AS table_name, "
     "CASE WHEN c_custkey % 10 = 0 THEN 'DROP_TABLE' ELSE 'DROP_COLUMN' END AS op, "
-    "CASE WHEN c_custkey % 10 = 0 THEN 'other devices may still use this table' "
-    "ELSE 'other devices may still use this column' END AS reason FROM customer WHERE c_custkey % 10 IN (0, 1)",
+    "CASE WHEN c_custkey % 10 = 0 THEN 'table is shared by all devices' "
+    "ELSE 'column is shared by all devices' END AS reason FROM customer WHERE c_custkey % 10 IN (0, 1)",
 )
 def ignored_ddl(spark, sf):
     report = evolve.ignored_ddl(fx.customer_ddl(spark, sf))
