@@ -110,21 +110,22 @@ def test_a_table_from_create_to_drop(spark):
 
 
 def test_long_literals_and_wide_statements(spark):
-    long = "it''s " * 200_000
-    wide = ", ".join(f"c{i} INTEGER" for i in range(1500))
+    from deltaloom.model import TableSpec
+
+    long, plain, wide = "it''s " * 200_000, "it's " * 200_000, ", ".join(f"c{i} = {i}" for i in range(2000))
+    schema = "id bigint, a string, " + ", ".join(f"c{i} int" for i in range(2000))
+    spec = TableSpec("t", spark.createDataFrame([], schema).schema, ("id",))
     log = [
-        "CREATE TABLE t (id INTEGER PRIMARY KEY, a TEXT)",
         f"INSERT INTO t (id, a) VALUES (1, '{long}')",
-        ("INSERT INTO main.t (id, a) VALUES (?, ?)", [2, "x"]),
-        f"UPDATE \"main\".\"t\" SET a = '{long}!' WHERE id = 2",
-        f"DELETE FROM t WHERE a = '{long}?'",
+        f'UPDATE "main"."t" SET a = \'{long}!\' WHERE id = 2',
+        f"DELETE FROM main.t WHERE a = '{long}?'",
+        f"UPDATE t SET {wide} WHERE id = 0",
+        f"INSERT INTO t VALUES ({', '.join(['7'] * 2002)})",
     ]
-    rows = rows_of(replay_commands(log_of(spark, log), "t", REPLICATION), "id", "a")
-    plain = long.replace("''", "'")
-    assert rows == [(1, plain), (2, plain + "!")]
-    log = [f"CREATE TABLE w (id INTEGER PRIMARY KEY, {wide})", f"INSERT INTO w VALUES ({', '.join(str(i) for i in range(1501))})"]
-    log.append("UPDATE w SET " + ", ".join(f"c{i} = {i}" for i in range(1500)) + " WHERE id = 0")
-    assert rows_of(replay_commands(log_of(spark, log), "w", REPLICATION), "id", "c0", "c1499") == [(0, 0, 1499)]
+    rows = deduce_changes(log_of(spark, log), [spec]).orderBy("_seq").select("_op", "_table", "_set", "_where", "_problem").collect()
+    assert [(r["_op"], r["_table"], r["_problem"]) for r in rows] == [(op, "t", None) for op in ("INSERT", "UPDATE", "DELETE_WHERE", "UPDATE", "INSERT")]
+    assert rows[0]["_set"]["a"].decode() == plain and rows[1]["_set"]["a"].decode() == plain + "!" and rows[2]["_where"]["a"].decode() == plain + "?"
+    assert len(rows[3]["_set"]) == 2000 and rows[3]["_set"]["c1999"] == b"1999" and len(rows[4]["_set"]) == 2002
 
 
 def test_readded_column_does_not_show_old_values(spark):
