@@ -49,17 +49,21 @@ def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """Join by equal key columns, where null equals null; the key columns appear once.
+
+    Null-safe equality is an equi-join for Spark, so nothing else changes in the plan.
+    """
+    keys = list(keys)
+    other = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    joined = left.join(other, all_of(F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_same_{k}") for k in keys})
+    return joined.drop(*[f"_same_{k}" for k in keys])
+
+
 def is_true(predicate: Column) -> Column:
     """SQL predicates act on rows where they are TRUE; NULL counts as not."""
     return F.coalesce(predicate, F.lit(False))
-
-
-def fingerprint_value(df: DataFrame) -> Column:
-    """64-bit hash of a whole row, null-safe and independent of column order."""
-    parts = []
-    for name in sorted(df.columns):
-        field = F.col(name)
-        if not orderable(df.schema[name].dataType):
-            field = F.to_json(field)
-        parts += [field.isNull(), field]
-    return F.xxhash64(*parts)

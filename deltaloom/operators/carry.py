@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deltaloom.functions.columns import join_same
 from deltaloom.model import order_of
 
 CHUNK_ROWS = 100_000
@@ -56,7 +57,7 @@ def carry_forward(
     across = Window.partitionBy(*group).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*group, *chunk, F.last("_end", ignorenulls=True).over(across).alias("_far"))
     return (
-        filled.join(carried, [*group, *chunk])
+        join_same(filled, carried, [*group, *chunk])
         .withColumn(name, F.coalesce("_near", "_far"))
         .drop("_value", "_near", "_far", "_chunk", "_block")
     )

@@ -260,8 +260,8 @@ def with_known_schema(log: DataFrame, histories: DataFrame) -> DataFrame:
     rows = log.withColumn("_t", F.lower(statement_table(F.col("sql"))))
     joined = rows.alias("l").join(
         epochs.alias("e"),
-        (F.col("l._device_id") == F.col("e._device_id"))
-        & (F.col("l._device_name") == F.col("e._device_name"))
+        F.col("l._device_id").eqNullSafe(F.col("e._device_id"))
+        & F.col("l._device_name").eqNullSafe(F.col("e._device_name"))
         & (F.col("l._t") == F.col("e._t"))
         & _in_epoch(),
         "left",
@@ -329,8 +329,8 @@ def _with_moves(rows: DataFrame, histories: DataFrame, spec: TableSpec) -> DataF
     )
     return rows.join(
         epochs,
-        (F.col("_device_id") == F.col("_e_device_id"))
-        & (F.col("_device_name") == F.col("_e_device_name"))
+        F.col("_device_id").eqNullSafe(F.col("_e_device_id"))
+        & F.col("_device_name").eqNullSafe(F.col("_e_device_name"))
         & (F.lower("_table") == F.col("_e_source"))
         & _in_epoch(),
     )

@@ -24,7 +24,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.functions.columns import latest, name, text
+from deltaloom.functions.columns import join_same, latest, name, text
 from deltaloom.model import (
     DELETE,
     DEVICE_COLS,
@@ -213,7 +213,7 @@ def merge(
     ops = set(ops)
     if TRUNCATE in ops:
         cuts = truncated_devices(changes).select(*DEVICE_COLS, F.lit(True).alias("_emptied"))
-        state = state.join(cuts, list(DEVICE_COLS), "left")
+        state = join_same(state, cuts, DEVICE_COLS, "left")
     return apply_summary(before_batch(state, spec), summarise(changes, spec, ops), spec, report)
 
 
@@ -231,7 +231,7 @@ def before_batch(state: DataFrame, spec: TableSpec) -> DataFrame:
 
 def apply_summary(was: DataFrame, summary: DataFrame, spec: TableSpec, report: bool) -> DataFrame:
     """State before a batch joined to the summary of the batch -> state after it."""
-    both = was.join(summary.withColumn("_touched", F.lit(True)), spec.row_key, "full")
+    both = join_same(was, summary.withColumn("_touched", F.lit(True)), spec.row_key, "full")
     joined = both.selectExpr(
         "*", "coalesce(_exists, false) AND NOT coalesce(_emptied, false) AND _reset IS NULL AS _keeps"
     )

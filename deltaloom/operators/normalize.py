@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deltaloom.functions import statements as st
-from deltaloom.functions.columns import all_of, is_true
+from deltaloom.functions.columns import all_of, is_true, join_same
 from deltaloom.model import (
     CHANGE_COLS,
     DELETE,
@@ -50,16 +50,16 @@ def expand_transactions(master: DataFrame, txn: DataFrame) -> tuple[DataFrame, D
         *DEVICE_COLS, "_segment", F.col("_seq").alias("_at"), commit.alias("_commit_id")
     )
     key = [*DEVICE_COLS, "_segment", "_commit_id"]
-    rows = txn.withColumn("_txn_seq", F.col("_seq")).drop("_seq").join(controls, key)
+    rows = join_same(txn.withColumn("_txn_seq", F.col("_seq")).drop("_seq"), controls, key)
     expanded = rows.withColumnRenamed("_at", "_seq").select(*LOG_COLS)
     published = txn.select(*key).distinct()
-    unmatched = controls.join(published, key, "left_anti")
+    unmatched = join_same(controls, published, key, "left_anti")
     held = unmatched.groupBy(*DEVICE_COLS).agg(
         F.min(F.struct(F.col("_segment"), F.col("_at").alias("_seq"))).alias("_held")
     )
     log = master.where(~F.coalesce(is_control, F.lit(False))).select(*LOG_COLS).unionByName(expanded)
     ready = (
-        log.join(held, list(DEVICE_COLS), "left")
+        join_same(log, held, DEVICE_COLS, "left")
         .where(F.col("_held").isNull() | (F.struct("_segment", "_seq") < F.col("_held")))
         .select(*LOG_COLS)
     )
@@ -258,10 +258,23 @@ def bind(deduced: DataFrame, spec: TableSpec) -> DataFrame:
 # -- C06-C09: which changes count ---------------------------------------------------
 
 
-def committed_only(changes: DataFrame, txn: DataFrame) -> DataFrame:
-    """Keep changes whose commit was recorded; rolled-back work never arrives."""
+def committed_only(changes: DataFrame, txn: DataFrame, single_writer: DataFrame | None = None) -> DataFrame:
+    """Keep changes whose commit was recorded; rolled-back work never arrives.
+
+    A multi-writer device records every commit. The devices in ``single_writer``
+    (``_device_id``) keep one row and overwrite it: all their commits up to that
+    one were recorded, as such a device commits in order.
+    """
     key = ["_device_id", "_commit_id"]
-    return changes.join(txn.select(*key), key, "left_semi").select(*changes.columns)
+    if single_writer is None:
+        return changes.join(txn.select(*key), key, "left_semi").select(*changes.columns)
+    singles = broadcast_checked(single_writer.select(F.col("_device_id").alias("_single")).distinct())
+    mine = F.col("_device_id") == F.col("_single")
+    listed = changes.join(singles, mine, "left_anti").join(txn.select(*key), key, "left_semi").select(*changes.columns)
+    last = txn.groupBy(F.col("_device_id").alias("_single")).agg(F.max("_commit_id").alias("_last"))
+    upto = broadcast_checked(last.join(singles, "_single", "left_semi"))
+    ordered = changes.join(upto, mine).where(F.col("_commit_id") <= F.col("_last")).select(*changes.columns)
+    return listed.unionByName(ordered)
 
 
 def drop_redelivered(changes: DataFrame) -> DataFrame:
@@ -277,12 +290,31 @@ def after_marks(changes: DataFrame, marks: DataFrame) -> DataFrame:
     """
     marked = broadcast_checked(marks.select(*DEVICE_COLS, "_applied"))
     return (
-        changes.join(marked, list(DEVICE_COLS), "left")
+        join_same(changes, marked, DEVICE_COLS, "left")
         .where(F.col("_applied").isNull() | (order_of() > F.col("_applied")))
         .select(*changes.columns)
     )
 
 
+def hold_gaps(changes: DataFrame, marks: DataFrame, first_segment: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``(ready, held)``. A device is held back from its first missing segment on.
+
+    ``first_segment`` is where devices without a mark begin; a late first segment is a gap like any other.
+    Works on the distinct (device, segment) pairs, not on the rows.
+    """
+    segments = changes.select(*DEVICE_COLS, "_segment").distinct()
+    reached = marks.select(*DEVICE_COLS, F.col("_applied")["_segment"].alias("_done"))
+    ahead = join_same(segments, reached, DEVICE_COLS, "left").withColumn("_done", F.coalesce("_done", F.lit(first_segment - 1)))
+    nth = F.row_number().over(Window.partitionBy(*DEVICE_COLS).orderBy("_segment"))
+    # segments at or below the mark may be re-delivered; the mark's own may go on
+    new = ahead.where(F.col("_segment") > F.col("_done")).withColumn("_nth", nth)
+    missing = new.where(F.col("_segment") != F.col("_done") + F.col("_nth"))
+    first = missing.groupBy(*DEVICE_COLS).agg(F.min("_segment").alias("_gap"))
+    marked = join_same(changes, first, DEVICE_COLS, "left")
+    waits = F.col("_gap").isNotNull() & (F.col("_segment") >= F.col("_gap"))
+    return marked.where(~waits).select(*changes.columns), marked.where(waits).select(*changes.columns)
+
+
 def high_marks(changes: DataFrame) -> DataFrame:
     """Applied position and commit per device once ``changes`` are in."""
     return changes.groupBy(*DEVICE_COLS).agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from deltaloom.functions.columns import join_same
 from deltaloom.storage import cut_lineage
 
 
@@ -29,8 +30,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column | str], name
     )
     inside = Window.partitionBy(*group, "_part").orderBy(*order)
     return (
-        placed.withColumn("_nr", F.row_number().over(inside))
-        .join(shift, [*group, "_part"])
+        join_same(placed.withColumn("_nr", F.row_number().over(inside)), shift, [*group, "_part"])
         .withColumn(name, F.col("_nr").cast("bigint") + F.col("_shift"))
         .drop("_nr", "_shift", "_part")
     )

@@ -33,11 +33,6 @@ def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows, allowMissingColumns=True)
 
 
-def select_all(table: DataFrame) -> DataFrame:
-    """T05."""
-    return table
-
-
 def _matches(condition: Mapping[str, Any]) -> Column:
     return all_of(F.col(c).eqNullSafe(F.lit(v)) for c, v in condition.items())
 

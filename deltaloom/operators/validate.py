@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from deltaloom.functions.columns import all_of, fingerprint_value, orderable
+from deltaloom.functions.columns import all_of, orderable
+from deltaloom.model import ORDER_COLS
 
 
 def _equal(df: DataFrame, column: str) -> Column:
@@ -98,34 +98,52 @@ def compare_schemas(source: DataFrame, dest: DataFrame) -> DataFrame:
 def transaction_integrity(captured: DataFrame, applied: DataFrame, txn: DataFrame) -> DataFrame:
     """Committed changes that did not arrive, rolled-back changes that did.
 
-    One aggregate over (device, commit) of all three inputs: a commit of any
-    size is counted on the map side.
+    Compares log positions, not counts: a re-delivered row is no second change,
+    and a lost one is not hidden by it. Flags are combined on the map side, first
+    per position, then per commit.
     """
     key = ["_device_id", "_commit_id"]
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        counts = [F.lit(1 if name == n else 0).alias(n) for n in ("captured", "applied", "committed")]
-        return df.select(*key, *counts)
+    def side(df: DataFrame, name: str, positions: bool = True) -> DataFrame:
+        place = [F.col(c) if positions else F.lit(None).cast("bigint").alias(c) for c in ORDER_COLS]
+        return df.select(*key, *place, *[F.lit(name == n).alias(n) for n in ("captured", "applied", "committed")])
 
-    totals = (
-        side(captured, "captured")
-        .unionAll(side(applied, "applied"))
-        .unionAll(side(txn, "committed"))
-        .groupBy(*key)
-        .agg(*[F.sum(n).alias(n) for n in ("captured", "applied", "committed")])
+    flags = [F.bool_or(n).alias(n) for n in ("captured", "applied", "committed")]
+    rows = side(captured, "captured").unionAll(side(applied, "applied")).unionAll(side(txn, "committed", False))
+    commits = rows.groupBy(*key, *ORDER_COLS).agg(*flags).groupBy(*key).agg(
+        F.bool_or("committed").alias("committed"),
+        F.bool_or("applied").alias("applied"),
+        F.bool_or(F.col("captured") & ~F.col("applied")).alias("lost"),
     )
-    kind = (
-        F.when((F.col("committed") > 0) & (F.col("applied") < F.col("captured")), "missing_change")
-        .when((F.col("committed") == 0) & (F.col("applied") > 0), "rolled_back_change_applied")
+    kind = F.when(F.col("committed") & F.col("lost"), "missing_change").when(
+        ~F.col("committed") & F.col("applied"), "rolled_back_change_applied"
     )
-    return totals.withColumn("kind", kind).where(F.col("kind").isNotNull())
+    return commits.withColumn("kind", kind).where(F.col("kind").isNotNull())
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent checksum."""
-    return df.select(fingerprint_value(df).cast("decimal(38,0)").alias("_h")).agg(
-        F.count("*").alias("row_count"), F.sum("_h").alias("checksum")
-    )
+    """Row count and an order-independent checksum.
+
+    The checksum adds up 52 bits of the MD5 of every row, written as text with
+    columns by name: another engine can compute it too. Numbers count to four
+    decimal places, times in microseconds; null and text differ.
+    """
+
+    def written(field: T.StructField) -> Column:
+        value, kind = F.col(field.name), field.dataType
+        if isinstance(kind, (T.FractionalType, T.DecimalType)):
+            plain = F.round(value * 10000).cast("decimal(38,0)").cast("string")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            plain = F.unix_micros(value.cast("timestamp")).cast("string")
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            plain = F.to_json(value)
+        else:
+            plain = value.cast("string")
+        return F.coalesce(F.concat(F.lit("="), plain), F.lit("~"))
+
+    row = F.md5(F.concat_ws("|", *[written(f) for f in sorted(df.schema.fields, key=lambda f: f.name)]))
+    part = F.conv(F.substring(row, 1, 13), 16, 10).cast("decimal(38,0)")
+    return df.select(part.alias("_h")).agg(F.count("*").alias("row_count"), F.sum("_h").alias("checksum"))
 
 
 def inspect_log(log: DataFrame, last: int = 5, first: int = 20) -> dict[str, DataFrame]:
@@ -139,6 +157,3 @@ def inspect_log(log: DataFrame, last: int = 5, first: int = 20) -> dict[str, Dat
         .limit(first),
     }
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

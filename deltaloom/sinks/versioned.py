@@ -6,6 +6,10 @@ manifest: which folder holds which bucket, and how far every device has been
 applied. A reader follows the newest manifest, so it never sees half a batch,
 and a batch that is replayed after a failure is recognised and skipped. Use a
 lakehouse table instead where one is available.
+
+Rows that may not be applied yet, because their device is paused or misses an
+earlier segment, wait beside the table and are part of the manifest too. Every
+batch is folded together with what waited for it, in log order.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 
 from deltaloom.model import DEVICE_COLS, ROW_OPS, TRUNCATE, TableSpec
 from deltaloom.operators.fold import merge
-from deltaloom.operators.normalize import after_marks, high_marks
+from deltaloom.operators.normalize import after_marks, high_marks, hold_gaps
 from deltaloom.storage import list_dir, publish_text, read_text
 
 MARK_SCHEMA = (
@@ -34,6 +38,8 @@ class VersionedTable:
     root: str
     spec: TableSpec
     buckets: int = 32
+    #: Number of every device's first segment; None if a device may send no rows for a segment, so that gaps mean nothing.
+    first_segment: int | None = None
 
     # -- reading ---------------------------------------------------------------
 
@@ -71,27 +77,67 @@ class VersionedTable:
     # -- writing ---------------------------------------------------------------
 
     def apply(self, changes: DataFrame, batch_id: int, ops: Iterable[str] = ROW_OPS) -> bool:
-        """One batch of changes. False when the batch was applied before."""
+        """One batch of changes. False when the batch was applied before."""
         manifest = self.manifest()
         if manifest is not None and batch_id <= manifest["batch_id"]:
             return False
+        self._fold(changes, batch_id, ops)
+        return True
+
+    def waiting(self, schema) -> DataFrame:
+        """Rows held back so far: of paused devices, and behind a missing segment."""
+        manifest = self.manifest() or {}
+        if not manifest.get("waiting"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{manifest['waiting']}")
+
+    def paused(self) -> list[str]:
+        return (self.manifest() or {}).get("paused", [])
+
+    def pause(self, device_ids: Iterable[str]) -> None:
+        """Hold these devices' rows from now on. The list is kept with the table."""
+        self._list_paused({*self.paused(), *device_ids})
+
+    def unpause(self, device_ids: Iterable[str]) -> None:
+        """Take devices off the list; the next batch, or :meth:`resume`, folds in what waited for them."""
+        self._list_paused({*self.paused()} - {*device_ids})
+
+    def resume(self, device_ids: Iterable[str], schema, ops: Iterable[str] = ROW_OPS) -> None:
+        """Apply what waited for these devices. Takes no batch number, so no batch of the stream is mistaken for it."""
+        self.unpause(device_ids)
+        self._fold(self.spark.createDataFrame([], schema), None, ops)
+
+    def _list_paused(self, device_ids: set[str]) -> None:
+        manifest = self.manifest()
+        if manifest is None:
+            self.replace(self.read(), self.marks())
+            manifest = self.manifest()
+        manifest |= {"version": manifest["version"] + 1, "paused": sorted(device_ids)}
+        publish_text(self.spark, f"{self.root}/_commits/{manifest['version']:012d}.json", json.dumps(manifest))
+
+    def _fold(self, changes: DataFrame, batch_id: int | None, ops: Iterable[str]) -> None:
         marks = self.marks()
-        fresh = after_marks(changes, marks).persist()
+        fresh = after_marks(self.waiting(changes.schema).unionByName(changes), marks).persist()
         try:
-            empties = TRUNCATE in ops and not fresh.where(F.col("_op") == TRUNCATE).isEmpty()
+            held = F.coalesce(F.col("_device_id").isin(self.paused()), F.lit(False)) if self.paused() else F.lit(False)
+            ready, waits = fresh.where(~held), fresh.where(held)
+            if self.first_segment is not None:
+                ready, behind = hold_gaps(ready, marks, self.first_segment)
+                waits = waits.unionByName(behind)
+            empties = TRUNCATE in ops and not ready.where(F.col("_op") == TRUNCATE).isEmpty()
             touched = (
                 list(range(self.buckets))
                 if empties
-                else [r[0] for r in fresh.select(self.bucket().alias("b")).distinct().collect()]
+                else [r[0] for r in ready.select(self.bucket().alias("b")).distinct().collect()]
             )
-            state = merge(self.read(touched), fresh, self.spec, ops)
-            moved = marks.unionByName(high_marks(fresh)).groupBy(*DEVICE_COLS).agg(
+            state = merge(self.read(touched), ready, self.spec, ops)
+            moved = marks.unionByName(high_marks(ready)).groupBy(*DEVICE_COLS).agg(
                 F.max("_applied").alias("_applied"), F.max("_applied_commit").alias("_applied_commit")
             )
-            self._publish(state, moved, touched, batch_id)
+            last = (self.manifest() or {"batch_id": -1})["batch_id"]
+            self._publish(state, moved, touched, last if batch_id is None else batch_id, waits)
         finally:
             fresh.unpersist()
-        return True
 
     def replace(self, state: DataFrame, marks: DataFrame, batch_id: int | None = None) -> None:
         """Write the whole table anew (seeding, re-initialising a device)."""
@@ -99,7 +145,7 @@ class VersionedTable:
         last = manifest["batch_id"] if manifest else -1
         self._publish(state, marks, list(range(self.buckets)), last if batch_id is None else batch_id)
 
-    def _publish(self, state: DataFrame, marks: DataFrame, touched: list[int], batch_id: int) -> None:
+    def _publish(self, state: DataFrame, marks: DataFrame, touched: list[int], batch_id: int, waits: DataFrame | None = None) -> None:
         manifest = self.manifest() or {"version": -1, "buckets": {}}
         version = manifest["version"] + 1
         # a folder left behind by a failed attempt is never reused
@@ -112,10 +158,17 @@ class VersionedTable:
             n.split("=", 1)[1] for n in list_dir(self.spark, f"{self.root}/{folder}") if n.startswith("_bucket=")
         }
         kept = {b: f for b, f in manifest["buckets"].items() if int(b) not in set(touched)}
+        waiting = manifest.get("waiting")
+        if waits is not None:
+            waiting = None if waits.isEmpty() else f"waiting-{folder}"
+            if waiting:
+                waits.write.mode("overwrite").parquet(f"{self.root}/{waiting}")
         document = {
             "version": version,
             "batch_id": batch_id,
             "marks": f"marks-{folder}",
             "buckets": {**kept, **{b: folder for b in written}},
+            "waiting": waiting,
+            "paused": manifest.get("paused", []),
         }
         publish_text(self.spark, f"{self.root}/_commits/{version:012d}.json", json.dumps(document))

@@ -239,10 +239,16 @@ class SegmentReader(DataSourceReader):
 
 
 class SegmentStreamReader(DataSourceStreamReader):
-    """Offsets are the last segment per device; a missing segment holds its device back."""
+    """Offsets are the last segment per device; a missing segment holds its device back.
+
+    Devices begin with segment ``firstSegment`` (0): a late first segment is waited
+    for like any other. Files read by a running stream may be removed; before a
+    restart the files from the first segment on must be there.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.options = options
+        self.reached: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
         return {"devices": "{}"}
@@ -251,16 +257,19 @@ class SegmentStreamReader(DataSourceStreamReader):
         numbers: dict[str, set[int]] = {}
         for part in _segments(self.options):
             numbers.setdefault(part.device_id, set()).add(part.segment)
-        reached = {}
+        first, reached = int(self.options.get("firstsegment", 0)), {}
         for device, found in numbers.items():
-            last = min(found)
+            last = self.reached.get(device, first - 1)
             while last + 1 in found:
                 last += 1
-            reached[device] = last
+            if last >= first:
+                reached[device] = last
+        self.reached |= reached
         return {"devices": json.dumps(reached, sort_keys=True)}
 
     def partitions(self, start: dict, end: dict):
         done, until = json.loads(start["devices"]), json.loads(end["devices"])
+        self.reached |= {d: max(n, self.reached.get(d, n)) for d, n in (done | until).items()}
         return _packed(
             [p for p in _segments(self.options) if done.get(p.device_id, -1) < p.segment <= until.get(p.device_id, -1)]
         )
@@ -301,9 +310,9 @@ def _reader(spark: SparkSession, path: str, streaming: bool, **options):
     return reader.load()
 
 
-def scan_log(spark: SparkSession, path: str, device_pattern: str | None = None, fill: bool = True, streaming: bool = False, split_bytes: int | None = None) -> DataFrame:
+def scan_log(spark: SparkSession, path: str, device_pattern: str | None = None, fill: bool = True, streaming: bool = False, split_bytes: int | None = None, first_segment: int | None = None) -> DataFrame:
     """Command-log rows of all segments of all devices below a folder."""
-    return _reader(spark, path, streaming, kind=LOG, devicePattern=device_pattern, fill=str(fill), splitBytes=split_bytes)
+    return _reader(spark, path, streaming, kind=LOG, devicePattern=device_pattern, fill=str(fill), splitBytes=split_bytes, firstSegment=first_segment)
 
 
 def scan_transactions(spark: SparkSession, path: str, device_pattern: str | None = None) -> DataFrame:

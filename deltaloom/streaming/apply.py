@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from deltaloom.model import DEVICE_COLS, INSERT, ROW_OPS, TableSpec, order_of
+from deltaloom.model import INSERT, ROW_OPS, TableSpec, order_of
 from deltaloom.operators.fold import compact
 from deltaloom.sinks.versioned import VersionedTable
-from deltaloom.storage import list_dir
 
 
 def read_change_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -39,7 +38,8 @@ def start_apply(
 
     The batch number is part of the table's manifest, so a batch that Spark
     replays after a restart is skipped, and per-device marks drop rows that were
-    delivered before. ``prepare`` can filter or map a batch first.
+    delivered before. Rows of paused devices, and rows behind a missing segment
+    if the table states its first segment, wait in the table (R04, R07). ``prepare`` can filter or map a batch first.
     """
     ops = tuple(ops)
 
@@ -127,60 +127,6 @@ def start_compaction(
     return _trigger(writer, every_seconds).start()
 
 
-def hold_gaps(changes: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(ready, held)``. A device is held back from its first missing segment on.
-
-    Works on the distinct (device, segment) pairs, not on the rows.
-    """
-    segments = changes.select(*DEVICE_COLS, "_segment").distinct()
-    reached = marks.select(*DEVICE_COLS, F.col("_applied")["_segment"].alias("_done"))
-    ahead = segments.join(reached, list(DEVICE_COLS), "left").withColumn("_done", F.coalesce("_done", F.lit(-1)))
-    nth = F.row_number().over(Window.partitionBy(*DEVICE_COLS).orderBy("_segment"))
-    # segments at or below the mark may be re-delivered; the mark's own may go on
-    new = ahead.where(F.col("_segment") > F.col("_done")).withColumn("_nth", nth)
-    missing = new.where(F.col("_segment") != F.col("_done") + F.col("_nth"))
-    first = missing.groupBy(*DEVICE_COLS).agg(F.min("_segment").alias("_gap"))
-    marked = changes.join(first, list(DEVICE_COLS), "left")
-    waits = F.col("_gap").isNotNull() & (F.col("_segment") >= F.col("_gap"))
-    return marked.where(~waits).select(*changes.columns), marked.where(waits).select(*changes.columns)
-
-
-def split_paused(changes: DataFrame, paused: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(to apply, held back)`` by the list of paused devices."""
-    devices = paused.select("_device_id").distinct()
-    return (
-        changes.join(devices, "_device_id", "left_anti").select(*changes.columns),
-        changes.join(devices, "_device_id", "left_semi").select(*changes.columns),
-    )
-
-
-@dataclass
-class PausableApply:
-    """Apply a stream while some devices are paused.
-
-    Held rows are appended to a backlog folder, one folder per batch so that a
-    replayed batch overwrites itself. Resuming applies a device's backlog in
-    order; marks make it harmless to drain it twice.
-    """
-
-    table: VersionedTable
-    backlog_path: str
-
-    def apply(self, batch: DataFrame, batch_id: int, paused: DataFrame, ops: Iterable[str] = ROW_OPS) -> None:
-        ready, held = split_paused(batch, paused)
-        held.write.mode("overwrite").parquet(f"{self.backlog_path}/batch={batch_id}")
-        self.table.apply(ready, batch_id, ops)
-
-    def backlog(self, schema) -> DataFrame:
-        spark = self.table.spark
-        folders = [f"{self.backlog_path}/{n}" for n in list_dir(spark, self.backlog_path) if n.startswith("batch=")]
-        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-    def resume(self, devices: DataFrame, batch_id: int, schema, ops: Iterable[str] = ROW_OPS) -> None:
-        _, drained = split_paused(self.backlog(schema), devices)
-        self.table.apply(drained, batch_id, ops)
-
-
 def reinitialise(table: VersionedTable, device_id: str, clean: bool, shared: bool, seed: DataFrame | None = None) -> None:
     """Forget a device's progress, optionally its rows, and re-seed it.
 

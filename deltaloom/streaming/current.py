@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from deltaloom.model import CHANGE_COLS, DELETE, INSERT, ORDER_COLS, REPLACE, UPSERT, TableSpec
@@ -61,6 +63,9 @@ def current_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
     most two rows per key and file, however often the key changed.
     """
     types = {f.name: f.dataType.simpleString() for f in spec.schema.fields}
+    # pandas has no null beside 64-bit integers or decimals: these travel as text and stay exact
+    exact = {f.name: f.dataType for f in spec.schema.fields if f.name in spec.values and isinstance(f.dataType, (T.LongType, T.DecimalType))}
+    types |= {c: "string" for c in exact}
     types |= {"_device_id": "string", "_device_name": "string", "_live": "boolean", "_commit_id": "bigint"}
     read, written = _input_names(spec), _output_names(spec)
     key_names = spec.row_key
@@ -82,8 +87,8 @@ def current_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
         f", v{i} {types[c]}" for i, c in enumerate(spec.values)
     )
     rows = (
-        changes.select(*[changes[c].alias(short) for c, short in inputs.items()])
+        changes.select(*[(changes[c].cast("string") if c in exact else changes[c]).alias(short) for c, short in inputs.items()])
         .groupBy(*[inputs[c] for c in key_names])
         .applyInPandasWithState(advance, output, state, "update", GroupStateTimeout.NoTimeout)
     )
-    return rows.toDF(*written)
+    return rows.toDF(*written).withColumns({c: F.col(c).cast(kind) for c, kind in exact.items()})

@@ -1,13 +1,14 @@
 """Run registered queries against their SQL in DuckDB: python tests/check_queries.py [sf dir] [names...]"""
 
+import datetime
 import os
 import sys
 import time
+from decimal import Decimal
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb
-import pandas as pd
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -21,36 +22,41 @@ def connect(sf_dir):
     return con
 
 
-def canonical(df: pd.DataFrame) -> list[tuple]:
-    df = df[sorted(df.columns)]
-
-    def plain(v):
-        if isinstance(v, (list, tuple)) or hasattr(v, "tolist") and getattr(v, "ndim", 0) > 0:
-            return str([plain(x) for x in v])
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v) or v is pd.NA:
-            return "<null>"
-        if isinstance(v, pd.Timestamp):
-            return v.isoformat()
-        if hasattr(v, "item"):
-            v = v.item()
-        if isinstance(v, bool):
-            return str(v)
-        if isinstance(v, (int, float)):
-            return repr(float(v))
+def plain(v):
+    """One text per value: whole numbers exact whatever their type, other numbers as doubles."""
+    if isinstance(v, dict):
+        return str(sorted((plain(k), plain(x)) for k, x in v.items()))
+    if hasattr(v, "asDict"):
+        return plain(v.asDict())
+    if isinstance(v, (list, tuple)) or hasattr(v, "tolist") and getattr(v, "ndim", 0) > 0:
+        return str([plain(x) for x in v])
+    if v is None or isinstance(v, (float, Decimal)) and v != v:
+        return "<null>"
+    if isinstance(v, (datetime.datetime, datetime.date)):
+        return v.isoformat()
+    if isinstance(v, bool):
         return str(v)
+    if isinstance(v, (int, float, Decimal)):
+        return str(int(v)) if abs(v) != float("inf") and v == int(v) else repr(float(v))
+    return str(v)
 
-    return sorted(tuple(plain(v) for v in row) for row in df.itertuples(index=False, name=None))
+
+def canonical(rows, columns) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
 def compare(spark, con, name, query, sql, sf_dir):
     """Empty text when both sides agree, else what differs."""
-    ours = query(spark, sf_dir).toPandas()
+    df = query(spark, sf_dir)
+    ours = df.collect()
     if sql is None:
         return "" if len(ours) else "no rows"
-    theirs = con.execute(sql).fetchdf()
-    if sorted(ours.columns) != sorted(theirs.columns):
-        return f"columns {sorted(ours.columns)} / {sorted(theirs.columns)}"
-    a, b = canonical(ours), canonical(theirs)
+    result = con.execute(sql)
+    columns, theirs = [d[0] for d in result.description], result.fetchall()
+    if sorted(df.columns) != sorted(columns):
+        return f"columns {sorted(df.columns)} / {sorted(columns)}"
+    a, b = canonical(ours, df.columns), canonical(theirs, columns)
     if not a:
         return "no rows on our side" if b else "both empty"
     if a == b:

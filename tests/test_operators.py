@@ -238,7 +238,7 @@ def test_result_metadata_and_tables(spark):
     table = tables.insert_rows(empty, rows)
     table = tables.update_where(table, {"score": 250, "level": 7}, {"name": "Bob"})
     table = tables.delete_where(table, {"id": 3})
-    assert sorted(tuple(r) for r in tables.select_all(table).collect()) == [(1, "Alice", 100, None), (2, "Bob", 250, 7)]
+    assert sorted(tuple(r) for r in table.collect()) == [(1, "Alice", 100, None), (2, "Bob", 250, 7)]
     with pytest.raises(ValueError, match="both assigned and matched"):
         tables.update_each(table, spark.createDataFrame([(1, 2)], "id bigint, set_id bigint"), ["id"], F.lit(1))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from deltaloom.model import DELETE, INSERT, ROW_OPS, TRUNCATE, UPDATE, UPSERT
 from deltaloom.operators.fold import fold
+from deltaloom.operators.normalize import hold_gaps
 from deltaloom.plans import replay
 from deltaloom.sinks import writers
 from deltaloom.sinks.versioned import VersionedTable
@@ -69,24 +70,24 @@ def test_gaps_hold_back_and_marks_release(spark):
     rows += [("e", "n", s, 1, 0, s, INSERT, None, s, "x", s) for s in (0, 1)]
     log = spark.createDataFrame(rows, LOG)
     marks = log.where("false").select("_device_id", "_device_name", F.struct("_segment", "_seq", "_txn_seq").alias("_applied"))
-    ready, held = st.hold_gaps(log, marks)
+    ready, held = hold_gaps(log, marks)
     assert sorted((r["_device_id"], r["_segment"]) for r in held.collect()) == [("d", 3), ("d", 4)]
     assert ready.count() == 4
     later = spark.createDataFrame([("d", "n", s, 1, 0, s, INSERT, None, s, "x", s) for s in (2, 3, 4)], LOG)
     done = spark.createDataFrame([("d", "n", (1, 1, 0))], "_device_id string, _device_name string, _applied struct<_segment:bigint,_seq:bigint,_txn_seq:bigint>")
-    assert st.hold_gaps(later, done)[1].count() == 0
+    assert hold_gaps(later, done)[1].count() == 0
 
 
 def test_pause_keeps_order_and_marks(spark, tmp_path):
     log = random_log(31, rows=200)
     table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=4)
-    job = st.PausableApply(table, str(tmp_path / "backlog"))
-    paused = spark.createDataFrame([("d0",)], "_device_id string")
     schema = spark.createDataFrame([], LOG).schema
-    job.apply(spark.createDataFrame(log[:100], LOG), 0, paused)
-    job.apply(spark.createDataFrame(log[100:], LOG), 1, paused)
+    table.pause(["d0"])
+    table.apply(spark.createDataFrame(log[:100], LOG), 0)
+    assert VersionedTable(spark, table.root, table.spec, 4).paused() == ["d0"]
+    table.apply(spark.createDataFrame(log[100:], LOG), 1)
     assert {k[0] for k in as_dict(table.read())} == {"d1"}
-    job.resume(paused, 2, schema)
+    table.resume(["d0"], schema)
     assert as_dict(table.read()) == simulate(log)
 
 
@@ -169,3 +170,17 @@ def test_cut_lineage_goes_to_the_shared_folder(spark):
     assert "Range" not in cut._jdf.queryExecution().executedPlan().toString() and cut.count() == 5
 
 
+
+
+def test_current_rows_keep_wide_integers(spark, tmp_path):
+    from deltaloom.streaming import current
+
+    big = 2**53 + 1
+    rows = [("d", "n", 0, 1, 0, 1, INSERT, None, 1, "x", None), ("d", "n", 0, 2, 0, 2, INSERT, None, 2, "y", big), ("d", "n", 1, 1, 0, 3, INSERT, None, 1, "z", None)]
+    frame = spark.createDataFrame(rows, LOG)
+    frame.write.parquet(str(tmp_path / "in" / "x"))
+    stream = st.read_change_files(spark, str(tmp_path / "in"), frame.schema)
+    out = current.current_rows(stream, spec_of(spark)).writeStream.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / f"out-{n}")))
+    out.outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out-0"))
+    assert dict(got.dtypes)["b"] == "bigint" and {r["id"]: r["b"] for r in got.collect()} == {1: None, 2: big}

@@ -181,12 +181,12 @@ def statement_to_changes(spark, sf):
 @add(
     "bound_changes",
     f"WITH {cf.orders_log(False)} SELECT op, segment, o_orderkey, CASE WHEN segment IN (1, 4) THEN 'o_orderstatus' "
-    "WHEN segment = 5 THEN 'o_orderpriority' END AS named FROM log WHERE segment > 0",
+    "WHEN segment = 5 THEN 'o_orderpriority' END AS named FROM log",
 )
 def bound_changes(spark, sf):
     """Statement by statement: operation, key and assigned columns."""
     spec = fx.orders_text_spec(spark)
-    log = fx.orders_commands(spark, sf, batched=False).where((F.col("_segment") > 0) & (F.col("_seq") > 1))
+    log = fx.orders_commands(spark, sf, batched=False).where((F.col("_seq") > 1) & ~F.col("sql").startswith("CREATE"))
     rows = bind(deduce_changes(log, [spec]), spec)
     return rows.select(
         F.col("_op").alias("op"),

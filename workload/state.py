@@ -126,6 +126,19 @@ def merge_into_target(spark, sf):
     return tag_devices(after, spec.columns)
 
 
+NULL_NAME = "CASE WHEN o_custkey % 4 <> 2 THEN 'branch-' || (o_custkey % 4) END"
+
+
+@add("merge_null_names", cf.orders_rows().replace(cf.NAME, NULL_NAME))
+def merge_null_names(spark, sf):
+    """dev-2 has no name: its rows meet their later changes all the same."""
+    spec = fx.orders_spec(spark, sf)
+    unnamed = F.when(F.col("_device_id") != "dev-2", F.col("_device_name"))
+    log = fx.orders_log(spark, sf).withColumn("_device_name", unnamed)
+    before = fold(log.where(F.col("_segment") < 3), spec, fx.ORDERS_OPS)
+    return tag_devices(merge(before, log.where(F.col("_segment") >= 3), spec, fx.ORDERS_OPS), spec.columns)
+
+
 @add("snapshot_seed", cf.orders_rows(stamp=None))
 def snapshot_seed(spark, sf):
     spec = fx.orders_spec(spark, sf)
@@ -281,6 +294,22 @@ def committed_only(spark, sf):
     return consolidate(log, fx.orders_spec(spark, sf), fx.ORDERS_OPS).drop("sys_update_ts")
 
 
+@add(
+    "committed_single_writer",
+    cf.orders_rows(
+        status="CASE WHEN o_orderkey % 21 = 0 THEN 'R' WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END",
+        priority="o_orderpriority",
+        stamp=None,
+    ),
+)
+def committed_single_writer(spark, sf):
+    """Devices that overwrite their one commit row: it names the last commit, here the last one of segment 3."""
+    log = fx.orders_log(spark, sf)
+    last = log.where(F.col("_segment") <= 3).groupBy("_device_id").agg(F.max("_commit_id").alias("_commit_id"))
+    kept = nz.committed_only(log, last, last.select("_device_id"))
+    return consolidate(kept, fx.orders_spec(spark, sf), fx.ORDERS_OPS).drop("sys_update_ts")
+
+
 @add(
     "dedupe_replay",
     f"WITH {cf.orders_log(False)} SELECT device_id, segment, op, count(*) AS n FROM log GROUP BY 1, 2, 3",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from deltaloom.model import TableSpec
 from deltaloom.operators.fold import tag_devices
+from deltaloom.operators.normalize import hold_gaps
 from deltaloom.sinks.versioned import VersionedTable
 from deltaloom.sources import messages
 from deltaloom.sources import segments as sg
@@ -87,14 +88,12 @@ def change_log_roll(spark, sf):
 def pause_resume(spark, sf):
     """dev-3 is paused for two of three drops, then its backlog drains in order."""
     table = orders_table(spark, sf, "pausable")
-    job = st.PausableApply(table, f"{table.root}-backlog")
-    devices = fx.orders_devices(spark, sf).where(F.col("_device_id") == "dev-3")
-    nobody = devices.where(F.lit(False))
     schema = fx.orders_log(spark, sf).schema
+    table.pause(["dev-3"])
     for number, parts in enumerate(DROPS):
         if number == 2:
-            job.resume(devices, 2 * number - 1, schema, fx.ORDERS_OPS)
-        job.apply(fx.orders_log(spark, sf, segments=parts), 2 * number, devices if number < 2 else nobody, fx.ORDERS_OPS)
+            table.resume(["dev-3"], schema, fx.ORDERS_OPS)
+        table.apply(fx.orders_log(spark, sf, segments=parts), number, fx.ORDERS_OPS)
     return tag_devices(table.read(), table.spec.columns)
 
 
@@ -102,12 +101,63 @@ def pause_resume(spark, sf):
 def paused_state(spark, sf):
     """While dev-3 is paused none of its rows arrive; the others are complete."""
     table = orders_table(spark, sf, "paused")
-    job = st.PausableApply(table, f"{table.root}-backlog")
-    devices = fx.orders_devices(spark, sf).where(F.col("_device_id") == "dev-3")
-    job.apply(fx.orders_log(spark, sf), 0, devices, fx.ORDERS_OPS)
+    table.pause(["dev-3"])
+    table.apply(fx.orders_log(spark, sf), 0, fx.ORDERS_OPS)
     return tag_devices(table.read(), table.spec.columns)
 
 
+@add("resume_before_drain", cf.orders_rows())
+def resume_before_drain(spark, sf):
+    """dev-3 is taken off the list, then live rows arrive first: they are folded together with what waited."""
+    table = orders_table(spark, sf, "resumed")
+    table.pause(["dev-3"])
+    table.apply(fx.orders_log(spark, sf, segments=range(3)), 0, fx.ORDERS_OPS)
+    table.unpause(["dev-3"])
+    table.apply(fx.orders_log(spark, sf, segments=range(3, 6)), 1, fx.ORDERS_OPS)
+    return tag_devices(table.read(), table.spec.columns)
+
+
+@add("resume_same_batch_number", cf.orders_rows())
+def resume_same_batch_number(spark, sf):
+    """Draining between batches 0 and 1 takes no batch number, so the stream's batch 1 is not skipped."""
+    table = orders_table(spark, sf, "drained")
+    log = fx.orders_log(spark, sf)
+    table.pause(["dev-3", "dev-0"])
+    table.apply(log.where(F.col("_segment") < 2), 0, fx.ORDERS_OPS)
+    table.resume(["dev-3"], log.schema, fx.ORDERS_OPS)
+    table.resume(["dev-0"], log.schema, fx.ORDERS_OPS)
+    table.apply(log.where(F.col("_segment") >= 2), 1, fx.ORDERS_OPS)
+    return tag_devices(table.read(), table.spec.columns)
+
+
+EARLY_ROWS = cf.orders_rows(
+    status="CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END", priority="o_orderpriority", where="o_orderkey % 7 <> 0", stamp=None
+)
+
+
+def late_segments(spark, sf, label, order):
+    """The stream restarts for every segment; the table waits for the ones in between."""
+    log_path, table = fresh_dir(spark, "drops"), orders_table(spark, sf, label)
+    table.first_segment = 0
+    schema = fx.orders_log(spark, sf).schema
+    for segment in order:
+        fx.orders_log(spark, sf, segments=range(segment, segment + 1)).write.parquet(f"{log_path}/drop={segment}")
+        wait(st.start_apply(st.read_change_files(spark, log_path, schema), table, f"{table.root}-checkpoint", fx.ORDERS_OPS))
+    return tag_devices(table.read(), table.spec.columns).drop("sys_update_ts")
+
+
+@add("stream_late_segment", EARLY_ROWS)
+def stream_late_segment(spark, sf):
+    """Segments 0, 2, 1: the inserts, the deletes, and the updates that came too late."""
+    return late_segments(spark, sf, "late", (0, 2, 1))
+
+
+@add("stream_first_segment_late", EARLY_ROWS)
+def stream_first_segment_late(spark, sf):
+    """Segments 1, 2, 0: nothing is applied before the inserts are there."""
+    return late_segments(spark, sf, "first-late", (1, 2, 0))
+
+
 @add(
     "reinit_device",
     f"SELECT {cf.DEVICE} AS device_id, o_orderkey, CASE WHEN o_custkey % 4 = 1 THEN o_orderstatus ELSE {cf.STATUS} END "
@@ -133,7 +183,7 @@ def gap_hold(spark, sf):
     log = fx.orders_log(spark, sf, redelivered=False)
     log = log.where(~((F.col("_device_id") == "dev-2") & (F.col("_segment") == 2)))
     no_marks = fx.orders_marks(spark, sf).where(F.lit(False))
-    ready, held = st.hold_gaps(log, no_marks)
+    ready, held = hold_gaps(log, no_marks)
     both = ready.select(F.lit("ready").alias("verdict"), "_device_id").unionByName(
         held.select(F.lit("held").alias("verdict"), "_device_id")
     )
