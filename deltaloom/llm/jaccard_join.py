@@ -35,7 +35,7 @@ from deltaloom.llm.text import mix, octets, sequences, words
 from deltaloom.storage import cut_lineage
 
 #: Slots of the frequency sketch, and of one row of it. A byte per slot is broadcast.
-SLOTS, RANGE = 1 << 22, 1 << 16
+SLOTS, RANGE = 1 << 21, 1 << 16
 #: Choices of k, and the cost of one verification in postings read.
 CHOICES, VERIFY = np.array([1, 2, 4, 8, 16]), 50.0
 
@@ -73,7 +73,7 @@ def _summarise(docs: DataFrame, size: int) -> DataFrame:
                     lo.append(mix(u ^ np.uint64(0xDA942042E4DD58B5)).sum(dtype=np.uint64))
                     waiting.append(_slot(u))
                     held += len(u)
-                    if held > 1 << 21:
+                    if held > 1 << 19:
                         counts += np.bincount(np.concatenate(waiting), minlength=SLOTS).astype(np.uint32)
                         waiting, held = [], 0
             if n:

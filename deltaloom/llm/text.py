@@ -18,7 +18,7 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Bytes handled at a time; a single longer word is still taken whole.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def lower_ascii(text: Column) -> Column:
