@@ -102,7 +102,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
             F.struct(F.lit(j).alias("segment"), _value("q", parts).alias("value"), F.lit(sum(p[2] for p in parts)).alias("width")) for j, parts in enumerate(segments)
         ]
         probes = _flips(active.withColumn("s", F.explode(F.array(*starts))).select(*q, "bound", "s.segment", "s.value", "s.width"), radius)
-        met = probes.join(entries, (F.col("segment") == F.col("i_segment")) & (F.col("value") == F.col("i_value")))
+        # Spark takes the flips for as few rows as their queries and would broadcast them
+        met = probes.join(entries.hint("merge"), (F.col("segment") == F.col("i_segment")) & (F.col("value") == F.col("i_value")))
         distance = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(q, words, strict=True)), F.lit(0))
         met = met.withColumn("distance", distance).where(F.col("distance") <= F.col("bound"))
         apart = [F.bit_count(_value("q", parts).bitwiseXOR(_value("w", parts))) for parts in segments]
