@@ -22,12 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table of few files; tables of many files stay as scanned."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def commit_id(segment, key) -> Column:
     return F.lit(EPOCH) + F.lit(segment).cast("bigint") * STEP + key
 
@@ -44,7 +38,7 @@ def orders_spec(spark: SparkSession, sf_dir: str) -> TableSpec:
 
 def orders_log(spark: SparkSession, sf_dir: str, redelivered: bool = True, segments: range = range(6)) -> DataFrame:
     """One scan of ``orders``; each row becomes the changes its key takes part in."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     k, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     none = F.lit(None).cast("string")
     dtype = "struct<_segment:bigint,_op:string,_set_cols:array<string>,s:string,p:string,whole:boolean>"
@@ -632,6 +626,7 @@ def _segment_writer(root: str):
             finally:
                 os.unlink(scratch)
 
+        # Table layouts, metadata keys and states of a segment file
         table = [
             "CREATE TABLE commandlog (change_sequence_number INTEGER PRIMARY KEY, commit_id INTEGER, sql TEXT, argcnt INTEGER, "
             + ", ".join(f"{s} BLOB" for s in slots) + ")"
