@@ -7,8 +7,9 @@
    ``n - o + k``. Each document picks its own k: the one with the least estimated cost, of reading the postings of a longer prefix and verifying
    the candidates a shorter one lets through. Two documents are verified only with the number of shared prefix elements that both prefix
    lengths imply.
-4. First each document is compared with one candidate only, the smallest document of a posting list that it shares most elements with; a group of near
-   copies is linked by as many comparisons as it has members. Then all candidate pairs that are not yet in one component are verified,
+4. First each document is compared with one candidate only. Every posting list names its most central document, the one with most shared
+   prefix elements; the candidate is the one named by most of a document's lists. A group of near copies is linked by as many comparisons
+   as it has members. Then all candidate pairs that are not yet in one component are verified,
    by whole texts. Components therefore lose no link, and pairs inside one are not enumerated.
 
 Similarity is a fraction of whole numbers, compared in whole numbers.
@@ -38,6 +39,8 @@ from deltaloom.storage import cut_lineage
 SLOTS, RANGE = 1 << 21, 1 << 16
 #: Choices of k, and the cost of one verification in postings read.
 CHOICES, VERIFY = np.array([1, 2, 4, 8, 16]), 50.0
+#: Shared elements by which a pair is found, at most; the others of its prefixes are counted for found pairs only.
+EARLY = 4
 
 
 def sets(array: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -165,6 +168,12 @@ def _similar_sizes(n: Column, m: Column, num: int, den: int) -> Column:
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
+def _with_shares(postings: DataFrame) -> DataFrame:
+    """Add ``s``, the number of a document's postings in the frame."""
+    shares = postings.groupBy(F.col("id").alias("of")).agg(F.count("*").alias("s"))
+    return postings.join(shares.hint("merge"), F.col("id") == F.col("of")).drop("of")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose whole texts are similar enough."""
 
@@ -181,11 +190,9 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, num: int, den: int) ->
             yield pa.array(out, pa.bool_())
 
     similar.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("i"))
-    texts = keep_likely(docs, "id", ids, "i")
-    left = texts.select(F.col("id").alias("a"), F.col("octets").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("octets").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b")
+    # both sides grow with the corpus, so neither is broadcast at any size
+    left, right = (keep_likely(docs, "id", pairs, c).select(F.col("id").alias(c), F.col("octets").alias(f"text_{c}")) for c in ("a", "b"))
+    both = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
     check = F.arrow_udf(similar, "boolean").asNondeterministic()(F.col("text_a"), F.col("text_b"))
     return both.select("a", "b", check.alias("similar")).where("similar").select("a", "b")
 
@@ -203,31 +210,45 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     codes = _frequencies(summary)
 
     chosen = classes.where("class is not null").select("class")
-    prefixes = cut_lineage(_prefixes(rows, codes, size, num, den).join(chosen, F.col("id") == F.col("class"), "left_semi"), "prefixes")
-    postings = prefixes.select("id", "n", F.size("tokens").cast("long").alias("p"), F.explode("tokens").alias("token"))
-    lists = postings.groupBy("token").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("length")).where("length > 1")
-    shared = cut_lineage(postings.join(lists.select(F.col("token").alias("t"), "hub"), F.col("token") == F.col("t")).drop("t"), "postings")
-
-    # one candidate each
-    near = shared.where((F.col("id") > F.col("hub.id")) & _similar_sizes(F.col("n"), F.col("hub.n"), num, den))
-    counted = near.groupBy(F.col("id").alias("a"), F.col("hub.id").alias("b")).count()
+    prefixes = cut_lineage(_prefixes(rows, codes, size, num, den).join(chosen.hint("merge"), F.col("id") == F.col("class"), "left_semi"), "prefixes")
+    postings = prefixes.select("id", "n", F.size("tokens").cast("long").alias("p"), F.posexplode("tokens").alias("at", "token"))
+    lists = postings.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("length")).where("length > 1").select("t")
+    shared = cut_lineage(postings.join(lists.hint("merge"), F.col("token") == F.col("t")).drop("t"), "postings")
+
+    # one candidate each: of every list the document with most shared elements, which stands nearest to all others
+    weighed = cut_lineage(_with_shares(shared), "weighed-postings")
+    hubs = weighed.groupBy(F.col("token").alias("t")).agg(F.max(F.struct("s", (-F.col("id")).alias("back"), F.col("n").alias("hub_n"))).alias("h"))
+    hubs = hubs.select("t", (-F.col("h.back")).alias("hub"), "h.hub_n")
+    near = weighed.join(hubs.hint("merge"), F.col("token") == F.col("t")).where((F.col("id") != F.col("hub")) & _similar_sizes(F.col("n"), F.col("hub_n"), num, den))
+    counted = near.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).count()
     first = cut_lineage(counted.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b")), "first-pairs")
     edges = cut_lineage(_verify(rows, first, size, num, den), "first-edges")
-    found = components(edges)
-    found = cut_lineage(found, "components")
+    found = cut_lineage(components(edges), "components")
 
     # all candidates between components
-    placed = shared.drop("hub").join(found, F.col("id") == F.col("node"), "left")
-    placed = placed.select("token", "id", "n", "p", F.coalesce("component", "id").alias("c"))
+    placed = shared.join(found, F.col("id") == F.col("node"), "left")
+    placed = placed.select("token", "at", "id", "n", "p", F.coalesce("component", "id").alias("c"))
     mixed = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select(F.col("token").alias("t"))
-    open_lists = cut_lineage(placed.join(mixed, F.col("token") == F.col("t"), "left_semi"), "open-postings")
-    x = open_lists.select("token", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "p", "c")])
-    y = open_lists.select(F.col("token").alias("token2"), *[F.col(c).alias(f"{c}2") for c in ("id", "n", "p", "c")])
-    meet = x.join(y, (F.col("token") == F.col("token2")) & (F.col("id1") > F.col("id2")) & (F.col("c1") != F.col("c2")) & _similar_sizes(F.col("n1"), F.col("n2"), num, den))
+    open_lists = cut_lineage(placed.join(mixed.hint("merge"), F.col("token") == F.col("t"), "left_semi"), "open-postings")
+    # elements of a document in open lists: no pair shares more, so most pairs are ruled out before they are formed
+    counted = cut_lineage(_with_shares(open_lists), "counted-postings")
+    fields = ("at", "id", "n", "p", "c", "s")
+    x = counted.select("token", *[F.col(c).alias(f"{c}1") for c in fields])
+    y = counted.select(F.col("token").alias("token2"), *[F.col(c).alias(f"{c}2") for c in fields])
     together = F.ceil(F.lit(num) * (F.col("n1") + F.col("n2")) / F.lit(num + den) - F.lit(1e-9))
     needed = together - F.greatest(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
-    candidates = meet.groupBy("id1", "id2", "n1", "n2", "p1", "p2").count().where(F.col("count") >= needed)
-    rest = candidates.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    apart = (F.col("id1") > F.col("id2")) & (F.col("c1") != F.col("c2")) & _similar_sizes(F.col("n1"), F.col("n2"), num, den)
+    # the first k shared elements of a pair stand early in both prefixes: only there are pairs formed
+    k = F.least(F.lit(EARLY), *[F.col(f"p{i}") - F.col(f"n{i}") + F.ceil(F.col(f"n{i}") * num / den - F.lit(1e-9)) for i in (1, 2)])
+    early = (F.col("at1") < F.col("n1") - together + k) & (F.col("at2") < F.col("n2") - together + k)
+    meet = x.join(y.hint("merge"), (F.col("token") == F.col("token2")) & apart & (F.least("s1", "s2") >= needed) & early)
+    pairs = cut_lineage(meet.groupBy("id1", "id2", "n1", "n2", "p1", "p2").count().where(F.col("count") >= k), "pairs")
+    for i in (1, 2):
+        held = keep_likely(prefixes, "id", pairs, f"id{i}").select(F.col("id").alias(f"id{i}"), F.col("tokens").alias(f"tokens{i}"))
+        pairs = pairs.hint("merge").join(held, f"id{i}")
+    candidates = pairs.where(F.size(F.array_intersect("tokens1", "tokens2")) >= needed)
+    tried = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rest = candidates.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = cut_lineage(rest, "rest-pairs")
     more = cut_lineage(_verify(rows, rest, size, num, den), "rest-edges")
     if not more.isEmpty():
