@@ -18,10 +18,16 @@ def keep_likely(rows: DataFrame, key: str, ids: DataFrame, id_column: str) -> Da
 
     With far more ids than bits nearly all rows stay, which costs time but no row: the join that follows decides.
     """
+    return split_likely(rows, key, ids, id_column)[0]
+
+
+def split_likely(rows: DataFrame, key: str, ids: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among ``ids``, and rows whose key is surely not (null keys among them)."""
     place = _place(F.col(id_column))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
     words = ids.select(F.floor(place / 64).alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     mine = _place(F.col(key))
-    joined = rows.withColumn("_place", mine).join(F.broadcast(words), F.floor(F.col("_place") / 64) == F.col("_word"))
+    joined = rows.withColumn("_place", mine).join(F.broadcast(words), F.floor(F.col("_place") / 64) == F.col("_word"), "left")
     bit = F.call_function("shiftrightunsigned", F.col("_bits"), F.pmod(F.col("_place"), F.lit(64)).cast("int")).bitwiseAND(F.lit(1))
-    return joined.where(bit == 1).select(*rows.columns)
+    likely = F.coalesce(bit == 1, F.lit(False)) & F.col(key).isNotNull()
+    return joined.where(likely).select(*rows.columns), joined.where(~likely).select(*rows.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from deltaloom.llm.bitmap import keep_likely
+from deltaloom.llm.bitmap import keep_likely, split_likely
 from deltaloom.llm.components import components
 from deltaloom.llm.text import mix, octets, sequences, words
 from deltaloom.storage import cut_lineage
@@ -263,12 +263,15 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
 
     Of rows that repeat an id one stays. Rows with a null id stay: nothing could name them as copies.
     """
-    linked = link(docs, doc_id, text, size, num, den)
-    kept = linked.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_jaccard_kept")).agg(F.count("*").alias("_jaccard_rows"))
-    kept = cut_lineage(kept, "kept")
-    same = F.col(doc_id).cast("long") == F.col("_jaccard_kept")
-    once = docs.join(kept.where("_jaccard_rows = 1"), same, "left_semi")
-    again = keep_likely(docs.withColumn("_jaccard_id", F.col(doc_id).cast("long")), "_jaccard_id", kept.where("_jaccard_rows > 1"), "_jaccard_kept").drop("_jaccard_id")
-    order = W.partitionBy(doc_id).orderBy(F.xxhash64(text), F.length(text))
-    again = again.join(kept.where("_jaccard_rows > 1"), same, "left_semi").withColumn("_jaccard_row", F.row_number().over(order)).where("_jaccard_row = 1").drop("_jaccard_row")
-    return once.unionByName(again).unionByName(docs.where(F.col(doc_id).isNull()))
+    linked = link(docs, doc_id, text, size, num, den).where("doc_id is not null")
+    named = linked.groupBy(F.col("doc_id").alias("_jaccard_id")).agg(
+        F.count("*").alias("_jaccard_rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("_jaccard_stays")
+    )
+    # few rows: those that go, and those that repeat an id; the others need no join
+    special = cut_lineage(named.where("_jaccard_rows > 1 or not _jaccard_stays"), "copies")
+    doubtful, plain = split_likely(docs.withColumn("_jaccard_key", F.col(doc_id).cast("long")), "_jaccard_key", special, "_jaccard_id")
+    same = F.col("_jaccard_key") == F.col("_jaccard_id")
+    order = W.partitionBy("_jaccard_key").orderBy(F.xxhash64(text), F.length(text))
+    known = doubtful.join(special.where("_jaccard_stays").hint("merge"), same).withColumn("_jaccard_row", F.row_number().over(order))
+    others = doubtful.join(special.hint("merge"), same, "left_anti")
+    return plain.select(*docs.columns).unionByName(others.select(*docs.columns)).unionByName(known.where("_jaccard_row = 1").select(*docs.columns))
