@@ -40,7 +40,9 @@ def label_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> Dat
 
 
 def size_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(SPACED_WORD)), F.lit(0)).cast("long")
+    """Number of words. Each becomes one letter and the space between them goes: no array of words is built."""
+    letters = F.translate(F.regexp_replace(text.cast("string"), SPACED_WORD, "x"), " \t\n\x0b\x0c\r", "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
