@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,8 +26,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Rows in an Arrow batch of texts, instead of Spark's default.
+BATCH_ROWS = 1_000
+
+
 def octets(text: Column) -> Column:
-    """UTF-8 bytes of a text, empty for null: what the Arrow functions below take."""
+    """UTF-8 bytes of a text, empty for null: what the Arrow functions below take.
+
+    Texts are long rows: a session that has Spark's default batch size gets a smaller one, so that the buffers on both sides stay small.
+    """
+    spark, setting = SparkSession.getActiveSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark is not None and spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(BATCH_ROWS))
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
