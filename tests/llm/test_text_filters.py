@@ -124,6 +124,51 @@ def test_license_rules():
     assert licenses.detect(b"SPDX-License-Identifier: MPL-2.0")["labels"] == "mpl"
 
 
+LINES = {
+    "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+    "This work is licensed under the GNU General Public License, version 3.": "gpl",
+    "Released under the MIT License.": "mit",
+    "licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "a Creative Commons Attribution-Non-Commercial 3.0 Unported license": "cc-by-nc",
+    "CC BY-NC-SA 2.0": "cc-by-nc-sa",
+    "see https://creativecommons.org/licenses/by-nd/4.0/": "cc-by-nd",
+    "Licensed under GPLv2": "gpl",
+    "code: GPL v2, docs: CC-BY 4.0": "cc-by,gpl",
+    "available under LGPL-2.1": "lgpl",
+    "licensed under the Apache 2.0 License": "apache",
+    "licensed under version 2.0 of the Apache License": "apache",
+    "Licensed under Apache 2.0 or MIT": "apache,mit",
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "apache,mit",
+    "3-Clause BSD": "bsd",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+    "Redistribution and use in source and binary forms, with or without modification": "bsd",
+    "subject, to the  Mozilla Public License": "mpl",
+    "She bought a license and a book on elastic bands under the mit roof.": "",
+}
+
+
+def test_license_lines(spark):
+    labels = {line: set(filter(None, licenses.detect(line.encode())["labels"].split(","))) for line in LINES}
+    assert labels == {line: set(filter(None, want.split(","))) for line, want in LINES.items()}
+    line = re.compile(r"[^\n.]*licen[cs]e[^\n]*", re.I)
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").where("text is not null").collect():
+        for m in line.finditer(r.text):
+            found = licenses.detect(m[0].encode())
+            assert found["labels"] and found["score"] > 0, m[0]
+
+
+def test_license_keywords_are_implied():
+    texts = [f" {re.sub(r'[^a-z0-9]+', ' ', line.lower()).strip()} ".encode() for line in [*LINES, *LICENSES]]
+    seen = set()
+    for _, notice, _, _, need, pattern in licenses.rules():
+        assert all(need) or need[1]
+        for text in texts:
+            if re.search(pattern, text):
+                seen.add(notice)
+                assert all(w in text for w in need)
+    assert {"identifier", "operand", "grant", "short", "body", "named"} <= seen
+
+
 def test_suppression_against_all_pairs():
     import random
 
