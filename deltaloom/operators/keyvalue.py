@@ -37,13 +37,18 @@ def kv_log(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def key_states(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def at(log: DataFrame, as_of: Column | None) -> DataFrame:
+    """The calls before an instant, all of them without one."""
+    return log if as_of is None else log.where(F.col("ts") < as_of)
+
+
+def key_states(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """Per key: ``reset``, the position before which nothing counts any more.
 
-    That is the last ``del``, or the whole log once the last ``expire`` ran out
-    by ``as_of``. A later ``set`` clears an expiry.
+    That is the last ``del`` before ``as_of``, or the whole log once the last ``expire``
+    ran out by then; ``expire=False`` leaves deadlines aside. A later ``set`` clears an expiry.
     """
-    marks = log.where(F.col("call").isin(DEL, EXPIRE, SET)).groupBy("key").agg(
+    marks = at(log, as_of).where(F.col("call").isin(DEL, EXPIRE, SET)).groupBy("key").agg(
         F.max(F.when(F.col("call") == DEL, F.col("ord"))).alias("deleted"),
         F.max(F.when(F.col("call").isin(SET, DEL), F.col("ord"))).alias("cleared"),
         F.max(
@@ -57,74 +62,74 @@ def key_states(log: DataFrame, as_of: Column | None = None) -> DataFrame:
         ).alias("expiry"),
     )
     holds = F.col("cleared").isNull() | (F.col("expiry")["ord"] > F.col("cleared"))
-    runs_out = F.col("expiry").isNotNull() & holds & (F.col("expiry")["deadline"] <= as_of) if as_of is not None else F.lit(False)
+    runs_out = F.col("expiry").isNotNull() & holds & (F.col("expiry")["deadline"] <= as_of) if expire and as_of is not None else F.lit(False)
     never = F.lit(2**63 - 1).cast("bigint")
     reset = F.when(F.coalesce(runs_out, F.lit(False)), never).otherwise(F.col("deleted"))
     return marks.select("key", reset.alias("reset")).where(F.col("reset").isNotNull())
 
 
-def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None) -> DataFrame:
+def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None, expire: bool) -> DataFrame:
     """Rows written after their key's reset; ``ord`` is the last write of the row."""
     return (
-        rows.join(key_states(log, as_of), "key", "left")
+        rows.join(key_states(log, as_of, expire), "key", "left")
         .where(F.col("reset").isNull() | (F.col("ord") > F.col("reset")))
         .drop("reset")
     )
 
 
-def strings(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def strings(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """Last value per key."""
-    last = log.where(F.col("call") == SET).groupBy("key").agg(
+    last = at(log, as_of).where(F.col("call") == SET).groupBy("key").agg(
         F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value")
     )
-    return _alive(last, log, as_of).select("key", "value")
+    return _alive(last, log, as_of, expire).select("key", "value")
 
 
-def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None) -> DataFrame:
+def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """V01 read: look keys up; absent ones give null."""
-    return keys.select("key").join(strings(log, as_of), "key", "left")
+    return keys.select("key").join(strings(log, as_of, expire), "key", "left")
 
 
-def hashes(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def hashes(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """Last value per (key, field)."""
-    written = log.where(F.col("call") == HSET).select("ord", "key", F.explode("fields").alias("field", "value"))
+    written = at(log, as_of).where(F.col("call") == HSET).select("ord", "key", F.explode("fields").alias("field", "value"))
     last = written.groupBy("key", "field").agg(F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value"))
-    return _alive(last, log, as_of).select("key", "field", "value")
+    return _alive(last, log, as_of, expire).select("key", "field", "value")
 
 
-def list_items(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def list_items(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """V03 without numbering: every pushed value and where it stands."""
-    pushed = log.where(F.col("call") == RPUSH).select("ord", "key", F.posexplode("members").alias("pos", "value"))
-    return _alive(pushed, log, as_of)
+    pushed = at(log, as_of).where(F.col("call") == RPUSH).select("ord", "key", F.posexplode("members").alias("pos", "value"))
+    return _alive(pushed, log, as_of, expire)
 
 
-def lists(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def lists(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """``key, position, value`` in push order, from 1."""
-    return number_rows(list_items(log, as_of), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
+    return number_rows(list_items(log, as_of, expire), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
 
 
-def sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def sets(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """Distinct members."""
-    added = log.where(F.col("call") == SADD).select("ord", "key", F.explode("members").alias("member"))
+    added = at(log, as_of).where(F.col("call") == SADD).select("ord", "key", F.explode("members").alias("member"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"))
-    return _alive(last, log, as_of).select("key", "member")
+    return _alive(last, log, as_of, expire).select("key", "member")
 
 
-def scores(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def scores(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """V05 without ranks: last score per member."""
-    added = log.where(F.col("call") == ZADD).select("ord", "key", F.explode("scores").alias("member", "score"))
+    added = at(log, as_of).where(F.col("call") == ZADD).select("ord", "key", F.explode("scores").alias("member", "score"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"), F.max_by("score", "ord").alias("score"))
-    return _alive(last, log, as_of).select("key", "member", "score")
+    return _alive(last, log, as_of, expire).select("key", "member", "score")
 
 
-def sorted_sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def sorted_sets(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """Members ranked from 1 by (score, member)."""
-    return number_rows(scores(log, as_of), ["key"], ["score", "member"], "rank").select(
+    return number_rows(scores(log, as_of, expire), ["key"], ["score", "member"], "rank").select(
         "key", "rank", "member", "score"
     )
 
 
-def full_state(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def full_state(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
     """``kind, key, item, value`` of everything alive, rebuilt from the log."""
 
     def rows(kind: str, df: DataFrame, item: Column, value: Column) -> DataFrame:
@@ -134,9 +139,9 @@ def full_state(log: DataFrame, as_of: Column | None = None) -> DataFrame:
 
     none = F.lit(None)
     return (
-        rows("string", strings(log, as_of), none, F.col("value"))
-        .unionByName(rows("hash", hashes(log, as_of), F.col("field"), F.col("value")))
-        .unionByName(rows("list", lists(log, as_of), F.col("position"), F.col("value")))
-        .unionByName(rows("set", sets(log, as_of), F.col("member"), none))
-        .unionByName(rows("zset", scores(log, as_of), F.col("member"), F.col("score")))
+        rows("string", strings(log, as_of, expire), none, F.col("value"))
+        .unionByName(rows("hash", hashes(log, as_of, expire), F.col("field"), F.col("value")))
+        .unionByName(rows("list", lists(log, as_of, expire), F.col("position"), F.col("value")))
+        .unionByName(rows("set", sets(log, as_of, expire), F.col("member"), none))
+        .unionByName(rows("zset", scores(log, as_of, expire), F.col("member"), F.col("score")))
     )

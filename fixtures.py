@@ -421,7 +421,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls per event; positions are event_id * 2 (+1 for the second call of a click)."""
-    events = table(spark, sf_dir, "events").where(F.col("ts") < F.expr("TIMESTAMP_NTZ'2024-01-20 00:00:00'"))
+    events = table(spark, sf_dir, "events")
     kind, user, e = F.col("event_type"), F.col("user_id"), F.col("event_id")
     value = F.col("value").cast("string")
 

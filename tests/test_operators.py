@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import fixtures as fx
 from deltaloom.model import DELETE, INSERT, LIFECYCLE_OPS, ROW_OPS, UPDATE, TableSpec, common_type
 from deltaloom.operators import evolve, modes, query, ranking, tables, validate
 from deltaloom.operators import keyvalue as kv
@@ -253,3 +254,22 @@ def test_key_columns_must_exist(spark):
     with pytest.raises(ValueError):
         TableSpec("t", spark.createDataFrame([], "a int").schema, ("b",))
     assert len(ROW_OPS) == 5
+
+
+def test_key_values_at_an_instant(spark):
+    """Calls from the instant on do not count, neither as values nor as deletions nor as what clears an expiry."""
+    rows = [(1, 10, "set", "a", "1"), (2, 20, "set", "a", "2"), (3, 30, "del", "a", None), (4, 20, "set", "b", "3"), (5, 5, "set", "c", "4")]
+    raw = spark.createDataFrame(rows, "ord long, at long, call string, key string, value string")
+    ts = (F.timestamp_seconds("at")).cast("timestamp_ntz")
+    log = kv.kv_log(raw, ord=F.col("ord"), ts=ts, call=F.col("call"), key=F.col("key"), value=F.col("value"))
+    expiry = spark.createDataFrame([(6, 6, "expire", "c", 5), (7, 21, "set", "c", 0)], "ord long, at long, call string, key string, ttl long")
+    log = log.unionByName(kv.kv_log(expiry, ord=F.col("ord"), ts=ts, call=F.col("call"), key=F.col("key"), ttl=F.col("ttl")))
+    as_of = F.timestamp_seconds(F.lit(20)).cast("timestamp_ntz")
+    assert {r["key"]: r["value"] for r in kv.strings(log, as_of).collect()} == {"a": "1"}
+    assert {r["key"]: r["value"] for r in kv.strings(log, as_of, expire=False).collect()} == {"a": "1", "c": "4"}
+    assert {r["key"]: r["value"] for r in kv.strings(log).collect()} == {"b": "3", "c": None}
+
+
+def test_key_value_events_are_not_cut(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    assert fx.kv_events(spark, sf).where("ord % 2 = 0").count() == events.count()

@@ -294,7 +294,7 @@ def kv_strings(spark, sf):
     "AND event_type = 'view' GROUP BY 1",
 )
 def kv_strings_unexpired(spark, sf):
-    return kv.strings(fx.kv_events(spark, sf)).select("key", F.col("value").cast("double").alias("value"))
+    return kv.strings(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).select("key", F.col("value").cast("double").alias("value"))
 
 
 @add(
@@ -304,7 +304,7 @@ def kv_strings_unexpired(spark, sf):
 )
 def kv_get(spark, sf):
     keys = fx.table(spark, sf, "customer").select(F.concat(F.lit("user:"), F.col("c_custkey")).alias("key"))
-    return kv.get(fx.kv_events(spark, sf), keys).select("key", F.col("value").cast("double").alias("value"))
+    return kv.get(fx.kv_events(spark, sf), keys, fx.kv_as_of(), expire=False).select("key", F.col("value").cast("double").alias("value"))
 
 
 HASH_ALIVE = (
@@ -320,7 +320,7 @@ HASH_ALIVE = (
     "WHERE event_type = 'click' AND (del IS NULL OR event_id > del) GROUP BY 1, 2",
 )
 def kv_hashes(spark, sf):
-    return kv.hashes(fx.kv_events(spark, sf)).select("key", "field", F.col("value").cast("double").alias("value"))
+    return kv.hashes(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).select("key", "field", F.col("value").cast("double").alias("value"))
 
 
 @add(
@@ -329,7 +329,7 @@ def kv_hashes(spark, sf):
     f"event_id::VARCHAR AS \"value\" FROM events WHERE {CUT} AND event_type = 'purchase'",
 )
 def kv_lists(spark, sf):
-    return kv.lists(fx.kv_events(spark, sf))
+    return kv.lists(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
 
 
 @add(
@@ -338,7 +338,7 @@ def kv_lists(spark, sf):
     "AND event_type = 'click'",
 )
 def kv_sets(spark, sf):
-    return kv.sets(fx.kv_events(spark, sf))
+    return kv.sets(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
 
 
 BOARD = (
@@ -353,7 +353,7 @@ BOARD = (
 )
 def kv_sorted_sets(spark, sf):
     """One key holds all members: ranked across partitions, not in one task."""
-    return kv.sorted_sets(fx.kv_events(spark, sf))
+    return kv.sorted_sets(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
 
 
 @add(
@@ -366,4 +366,4 @@ def kv_sorted_sets(spark, sf):
     "UNION ALL SELECT 'zset', count(DISTINCT user_id) FROM e WHERE event_type = 'purchase'",
 )
 def kv_full_state(spark, sf):
-    return kv.full_state(fx.kv_events(spark, sf)).groupBy("kind").agg(F.count("*").alias("n"))
+    return kv.full_state(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).groupBy("kind").agg(F.count("*").alias("n"))
