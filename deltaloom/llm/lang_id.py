@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deltaloom.llm.text import SPACED, buffer_of, octets
+from deltaloom.storage import cut_lineage
 
 UNKNOWN = "und"
 GRAM = 4
@@ -79,23 +80,42 @@ def _runs(array: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarra
 def train(
     labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = 2_000, profile: int = 50_000, bits: int = 20, max_languages: int = 256
 ) -> Filters:
-    """Filters learned from a bounded sample of the labelled rows.
+    """Filters learned from a bounded sample of the distinct labelled texts.
 
-    ``sample_docs``: expected number of rows per language, chosen by a hash of the text from all rows; languages with fewer rows are used
-    whole. ``profile``: n-grams kept per language, most frequent first. An n-gram enters a language's filter if its rate there is at least
+    ``sample_docs``: most texts per language, those with the smallest hashes; a text counts once per language however often it is
+    repeated, and languages with fewer texts are used whole. ``profile``: n-grams kept per language, most frequent first. An n-gram enters a language's filter if its rate there is at least
     a twentieth of its highest rate in any language. ``max_languages``: more distinct labels are an error, nothing is left out.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), octets(F.col(text)).alias("octets")).where("lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
+    rows = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64("octets"), 1))
+    texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("n"))
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} distinct labels in {lang}")
     names = [r["lang"] for r in counts]
     if not names:
         return Filters([], np.zeros((0, 1 << bits), np.uint8), np.zeros(0))
-    scale = 1 << 30
-    part = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(scale, scale * sample_docs // r["count"]))])
-    sample = rows.where(F.pmod(F.xxhash64("octets"), F.lit(scale)) < part[F.col("lang")])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()  # as large as the sample at most
+        for batch in batches:
+            new = []
+            for k, key in enumerate(zip(batch.column("lang").to_pylist(), batch.column("hash").to_pylist(), strict=True)):
+                if key not in met:
+                    met.add(key)
+                    new.append(k)
+            yield batch.take(pa.array(new, pa.int64()))
+
+    # a fifth more than asked for by their hashes, one copy of each per task, one of all, then the smallest hashes of each language
+    scale = (1 << 63) - 1
+    part = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(scale, scale * sample_docs * 6 // (5 * r["texts"])))])
+    schema = "lang string, octets binary, hash long"
+    near = rows.where(F.col("hash") <= part[F.col("lang")]).mapInArrow(once, schema).repartition("lang", "hash").mapInArrow(once, schema)
+    near = cut_lineage(near, "language-sample")
+    last = near.groupBy("lang").agg(F.get(F.sort_array(F.collect_list("hash")), F.lit(sample_docs - 1)).alias("last")).collect()
+    upto = F.create_map(*[F.lit(v) for r in last for v in (r["lang"], scale if r["last"] is None else r["last"])])
+    sample = near.where(F.col("hash") <= upto[F.col("lang")]).select("lang", "octets")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -75,6 +75,20 @@ def test_filters_have_no_false_negatives(sample):
     assert filters.planes[0][one] & filters.planes[0][two] & 1 << filters.languages.index("en")
 
 
+def test_copies_teach_once(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    texts = [(" ".join(word("abcdefgh") for _ in range(40)), "one") for _ in range(60)] + [(" ".join(word("stuvwxyz") for _ in range(40)), "two") for _ in range(60)]
+    copied = texts + [(f"copied {k} " + "quite another line " * 30, "one") for k in range(3) for _ in range(500)] + [(None, "one"), ("", "one")] * 200
+    plain = texts + [(f"copied {k} " + "quite another line " * 30, "one") for k in range(3)] + [(None, "one")]
+    a, b = (lang_id.train(spark.createDataFrame(rows, "text string, lang string").repartition(7)) for rows in (copied, plain))
+    assert a.languages == ["one", "two"] and (a.planes == b.planes).all() and (a.false_rate == b.false_rate).all()
+    small = [lang_id.train(spark.createDataFrame(rows, "text string, lang string").repartition(7), sample_docs=20) for rows in (copied, plain)]
+    assert (small[0].planes == small[1].planes).all() and small[0].planes.any()
+
+
 def test_no_labels_and_empty(spark, odd):
     empty = odd.limit(0)
     filters = lang_id.train(odd.withColumn("lang", F.lit(None).cast("string")))
