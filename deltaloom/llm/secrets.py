@@ -31,9 +31,15 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 KINDS = ("assign", "access", "hex", "pem_key", "der_key", "ssh_key", "signed_token")
 
 _WORDS = (b"passw", b"secret", b"token", b"api")
-_ARMOUR = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]{16,}?)-----END \1-----")
-_BASE64 = re.compile(rb"(?:MI|MC|MH|ME|AAAA|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/]{28,}={0,2}")
-_HEX_DER = re.compile(rb"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{40,}|(?<![0-9A-Fa-f])(?:0000000[0-9A-Fa-f]|6f70656e)[0-9A-Fa-f]{40,}")
+_ARMOUR = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*(?:-(?!----)[^-]*)*)-----END \1-----")
+_HEADER = re.compile(rb"(?:^|(?<=[\r\n]))[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*(?:\r?\n[ \t]+[^\r\n]*:[^\r\n]*)*")
+#: A line end, as it is or escaped, with indentation and quoting marks of the next line.
+_BREAK = re.compile(rb"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*|]*")
+#: What can begin a DER sequence (30 xx), the length field of an SSH key type (00 00 00 xx) or an OpenSSH container.
+_BASE64 = re.compile(rb"M[A-P][A-Za-z0-9+/]|AAAA[A-Z]|b3Bl")
+_HEX_DER = re.compile(rb"(?<![0-9A-Fa-f])(?:30|000000|6[Ff]70656[Ee])[0-9A-Fa-f]")
+_LINE64, _LINE_HEX = re.compile(rb"[A-Za-z0-9+/]+"), re.compile(rb"[0-9A-Fa-f]+")
+_PAD = re.compile(rb"={1,2}")
 _TOKEN = re.compile(rb"ey[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 
 
@@ -59,7 +65,7 @@ def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 def der_key(data: bytes) -> bool:
-    """Whether bytes are one DER private or public key: PKCS #1, PKCS #8, SEC 1 or SubjectPublicKeyInfo."""
+    """Whether bytes are one DER private or public key: PKCS #1, PKCS #8 plain or encrypted, SEC 1, DSA or SubjectPublicKeyInfo."""
     top = _elements(data, 0, len(data))
     if not top or len(top) != 1 or top[0][0] != 0x30:
         return False
@@ -74,7 +80,9 @@ def der_key(data: bytes) -> bool:
         return bool(algorithm) and algorithm[0][0] == 0x06
     if tags[:2] == [0x02, 0x04] and data[inner[0][1] : inner[0][2]] == b"\x01":  # elliptic curve
         return inner[1][2] - inner[1][1] >= 16
-    if tags == [0x30, 0x03]:  # algorithm, public key bits
+    if tags == [0x02] * 6 and data[inner[0][1] : inner[0][2]] == b"\0":  # DSA: version, p, q, g, y, x
+        return inner[1][2] - inner[1][1] >= 48
+    if tags in ([0x30, 0x03], [0x30, 0x04]):  # algorithm, and public key bits or an encrypted private key
         algorithm = _elements(data, inner[0][1], inner[0][2])
         return bool(algorithm) and algorithm[0][0] == 0x06
     return False
@@ -96,6 +104,105 @@ def ssh_key(data: bytes) -> bool:
     return not private and at == len(data) and len(fields) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", fields[0]) is not None
 
 
+#: Fields of a public key by its type.
+_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ssh-ed448": 2, b"sk-ssh-ed25519@openssh.com": 3, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
+_MAGIC = b"openssh-key-v1\0"
+
+
+def _size(head: bytes) -> int | None:
+    """Bytes of the DER key that may begin so; 0 if an SSH key may, whose fields must be walked; None if neither."""
+    if head[:1] == b"\x30" and len(head) >= 12:
+        more = head[1] & 0x7F if head[1] & 0x80 else 0
+        if more > 4 or head[1] == 0x80:
+            return None
+        size = 2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1])
+        return size if head[2 + more] == 0x30 or head[2 + more : 4 + more] == b"\x02\x01" else None
+    return 0 if head.startswith(_MAGIC[:8]) or re.match(rb"\0\0\0.(ssh|ecd|sk-)", head, re.DOTALL) else None
+
+
+def _ssh_size(data: bytes) -> int:
+    """Bytes of the SSH key that data begins with, 0 if it is not whole or of a type with unknown fields."""
+    at, left = 0, 1
+    if data.startswith(_MAGIC):
+        at, left = len(_MAGIC), 3
+    fields = []
+    while left:
+        if at + 4 > len(data):
+            return 0
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + size > len(data):
+            return 0
+        fields.append(data[at + 4 : at + 4 + size])
+        at, left = at + 4 + size, left - 1
+        if len(fields) == 1 and not data.startswith(_MAGIC):
+            left = _SSH_FIELDS.get(fields[0], 3 if fields[0].startswith(b"ecdsa-sha2-") else 0) - 1
+            if left < 0:
+                return 0
+        if len(fields) == 3 and data.startswith(_MAGIC):  # number of keys, their public parts, the private section
+            left, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
+            if left > 65:
+                return 0
+    return at
+
+
+def _lines(raw: bytes, at: int, line: re.Pattern, most: int | None) -> tuple[bytes, list[tuple[int, int]]]:
+    """Characters of a run from ``at`` over line ends, ``most`` at most, and the places of its lines."""
+    parts, places, have = [], [], 0
+    while (m := line.match(raw, at, len(raw) if most is None else min(len(raw), at + most - have))) is not None:
+        parts.append(m[0])
+        places.append(m.span())
+        have, at = have + len(m[0]), m.end()
+        if have == most or (gap := _BREAK.match(raw, at)) is None:
+            break
+        at = gap.end()
+    return b"".join(parts), places
+
+
+def _end(places: list[tuple[int, int]], chars: int) -> int:
+    """Where the first ``chars`` characters of a run end."""
+    for a, b in places:
+        if chars <= b - a:
+            return a + chars
+        chars -= b - a
+    return places[-1][1]
+
+
+def _encoded(raw: bytes, at: int, line: re.Pattern) -> tuple[int, str] | None:
+    """End and kind of the key whose base64 or hex begins at a place, if there is one. The structure alone decides how far it goes."""
+    sixes = line is _LINE64
+    decode = _decode64 if sixes else _from_hex
+    size = _size(decode(_lines(raw, at, line, 32)[0]))
+    if size is None:
+        return None
+    chars = (-(-size * 4 // 3) if sixes else 2 * size) or None
+    text, places = _lines(raw, at, line, chars)
+    body, kind = decode(text), "der_key"
+    if size:
+        if len(body) < size or not der_key(body[:size]):
+            return None
+    else:
+        kind, size = "ssh_key", _ssh_size(body)
+        if size and ssh_key(body[:size]):
+            chars = -(-size * 4 // 3) if sixes else 2 * size
+        else:  # other types fill one line
+            chars = places[0][1] - places[0][0]
+            if not ssh_key(decode(text[:chars])):
+                return None
+    end = _end(places, chars)
+    pad = _PAD.match(raw, end) if sixes else None
+    return pad.end() if pad else end, kind
+
+
+def _armoured(text: bytes) -> bool:
+    """Whether the inside of PEM armour, its line ends plain or escaped, is a key or has the headers and blocks of an encrypted one."""
+    text = re.sub(rb"\\r|\\n", b"\n", text)
+    headers = b"".join(_HEADER.findall(text))
+    body = _decode64(re.sub(rb"[^A-Za-z0-9+/=]", b"", _HEADER.sub(b"", text)))
+    if b"ENCRYPTED" in headers and b"DEK-Info" in headers:
+        return len(body) >= 16 and len(body) % 8 == 0
+    return der_key(body) or ssh_key(body)
+
+
 def _decode64(text: bytes, urls: bool = False) -> bytes:
     text = re.sub(rb"\s", b"", text).rstrip(b"=")
     text = text[: len(text) - (len(text) % 4 == 1)]
@@ -115,6 +222,14 @@ def signed_token(token: bytes) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(claims, dict)
 
 
+def _places(pattern: re.Pattern, raw: bytes) -> Iterator[int]:
+    """Starts of all matches, overlapping ones too."""
+    m = pattern.search(raw)
+    while m:
+        yield m.start()
+        m = pattern.search(raw, m.start() + 1)
+
+
 def find(raw: bytes) -> list[tuple[int, int, str]]:
     """All spans of one text in bytes: (start, end, kind), base kinds and confirmed structures."""
     out = []
@@ -127,17 +242,19 @@ def find(raw: bytes) -> list[tuple[int, int, str]]:
     armoured = []
     if b"-----BEGIN " in raw:
         for m in _ARMOUR.finditer(raw):
-            body = _decode64(m[2])
-            if der_key(body) or ssh_key(body):
+            if _armoured(m[2]):
                 armoured.append((m.start(), m.end()))
                 out.append((m.start(), m.end(), "pem_key"))
-    for pattern, decode in ((_BASE64, _decode64), (_HEX_DER, _from_hex)):
-        for m in pattern.finditer(raw):
-            if any(a <= m.start() and m.end() <= b for a, b in armoured):
+    for pattern, line in ((_BASE64, _LINE64), (_HEX_DER, _LINE_HEX)):
+        upto = inside = 0
+        for place in _places(pattern, raw):
+            while inside < len(armoured) and armoured[inside][1] <= place:
+                inside += 1
+            if place < upto or (inside < len(armoured) and armoured[inside][0] <= place):
                 continue
-            body = decode(m[0])
-            if kind := "der_key" if der_key(body) else "ssh_key" if ssh_key(body) else "":
-                out.append((m.start(), m.end(), kind))
+            if found := _encoded(raw, place, line):
+                upto = found[0]
+                out.append((place, *found))
     if b"ey" in raw and b"." in raw:
         out += [(m.start(), m.end(), "signed_token") for m in _TOKEN.finditer(raw) if signed_token(m[0])]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))

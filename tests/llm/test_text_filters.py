@@ -311,5 +311,56 @@ def test_structures():
     assert kinds("-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 20 + "\n-----END PRIVATE KEY-----") == []
 
 
+P256 = der(6, b"\x2a\x86\x48\xce\x3d\x02\x01") + der(6, b"\x2a\x86\x48\xce\x3d\x03\x01\x07")
+RSA_OID = der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + der(5, b"")
+FORMS = {
+    "P-256 public": der(0x30, der(0x30, P256) + der(3, b"\0\4" + bytes(range(64)))),
+    "RSA 512 public": der(0x30, der(0x30, RSA_OID) + der(3, b"\0" + der(0x30, der(2, b"\0" + bytes(range(150, 214))) + der(2, b"\1\0\1")))),
+    "SEC 1 private": der(0x30, der(2, b"\1") + der(4, bytes(range(32))) + der(0xA1, der(3, b"\0\4" + bytes(range(64))))),
+    "encrypted PKCS 8": der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + der(0x30, bytes([5, 0]))) + der(4, bytes(range(200)))),
+    "DSA private": der(0x30, der(2, b"\0") + b"".join(der(2, bytes([7]) * n) for n in (128, 20, 128, 128, 20))),
+}
+FIELDS = lambda *parts: b"".join(len(x).to_bytes(4, "big") + x for x in parts)
+SSH_FORMS = {
+    "rsa": FIELDS(b"ssh-rsa", b"\1\0\1", bytes(range(1, 250))),
+    "ecdsa": FIELDS(b"ecdsa-sha2-nistp256", b"nistp256", b"\4" + bytes(64)),
+    "sk": FIELDS(b"sk-ssh-ed25519@openssh.com", bytes(range(32)), b"ssh:"),
+}
+
+
+@pytest.mark.parametrize("form", [*FORMS, *SSH_FORMS])
+def test_key_forms(form):
+    key, kind = (FORMS[form], "der_key") if form in FORMS else (SSH_FORMS[form], "ssh_key")
+    text = B64(key)
+    keys = lambda t: [s for s in secrets.find(t.encode()) if s[2].endswith("_key")]
+    assert keys(f"x {text} y") == [(2, 2 + len(text), kind)]
+    assert keys(f"x {key.hex()} y") == [(2, 2 + 2 * len(key), kind)] and keys(key.hex().upper()) == [(0, 2 * len(key), kind)]
+    for end in ("\n", "\r\n", "\\n", "\n  ", "\n> "):
+        wrapped = end.join(text[i : i + 64] for i in range(0, len(text), 64))
+        assert keys(f"key:\n{wrapped}\nafter that") == [(5, 5 + len(wrapped), kind)]
+        armour = f"-----BEGIN PRIVATE KEY-----{end}{wrapped}{end}-----END PRIVATE KEY-----"
+        assert keys(f"x {armour} y") == [(2, 2 + len(armour), "pem_key")]
+    assert keys(text[:-8]) == []
+
+
+def test_armour_with_headers():
+    kinds = lambda t: [k for _, _, k in secrets.find(t.encode()) if k.endswith("_key")]
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    pem = lambda body: f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    cipher = bytes(range(100, 180))
+    assert kinds(pem(headers + B64(cipher))) == ["pem_key"] and kinds(pem(headers + B64(cipher)).replace("\n", "\\n")) == ["pem_key"]
+    assert kinds(pem("Comment: mine\n\n" + B64(RSA))) == ["pem_key"]
+    assert kinds(pem(headers + B64(cipher[:-3]))) == [] and kinds(pem(B64(cipher))) == []
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    import time
+
+    for text in (b"A" * 1_000_000, b"MIMA" * 250_000, b"0" * 1_000_000, b"MAP\n" * 200_000):
+        start = time.time()
+        secrets.find(text)
+        assert time.time() - start < 20
+
+
 def test_secrets_of_empty_table(odd):
     assert odd.limit(0).select(secrets.secrets(F.col("text")), secrets.redacted(F.col("text"))).count() == 0
