@@ -20,9 +20,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; texts without letters, or that no language knows, go."""
+    """Documents in one of the learned languages; texts without letters, or with enough n-grams that no language knows, go."""
     found = lang_id.identify(docs, lang_id.train(docs))
-    return found.where((F.col("_language.lang_pred") != lang_id.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)).select(*COLUMNS)
+    kept = (F.col("_language.score") >= LEAST_SCORE) | (F.col("_language.n_grams") < lang_id.FEW)
+    return found.where((F.col("_language.lang_pred") != lang_id.UNKNOWN) & kept).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 Every language has a Bloom filter of its frequent n-grams. The filters are stored bit-sliced: slot *i* holds one bit per language, so
 one lookup per hash returns the set of **all** languages that contain an n-gram. A document's n-grams are looked up, the languages'
 bits are counted, each count is corrected for the false positives its filter's fill predicts, and the largest corrected share wins.
+A text of few n-grams backs off to the shorter ones of its padded words, which the filters hold as well.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. A text whose n-grams no language knows gets the language
 with most training documents and score 0. Equal shares go to the language with more training documents, then to the smaller name.
@@ -25,6 +26,8 @@ from deltaloom.storage import cut_lineage
 
 UNKNOWN = "und"
 GRAM = 4
+#: A text with fewer n-grams is judged by the n-grams of 2 to 4 bytes of its words, each word between separators.
+FEW = 8
 
 _LETTERS = np.frombuffer(SPACED, np.uint8).copy()
 _LETTERS[[c for c in range(128) if not chr(_LETTERS[c]).isalpha()]] = 0x20
@@ -54,6 +57,20 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return grams, good
 
 
+def _short(raw: bytes) -> np.ndarray:
+    """Packed n-grams of 2 to ``GRAM`` bytes of a text's words, a separator before and after it, with one separator at most; in order."""
+    x = np.frombuffer(b" " + b" ".join(raw.translate(_LETTERS.tobytes()).split()) + b" ", np.uint8)
+    found = []
+    for size in range(2, GRAM + 1):
+        n = max(0, len(x) - size + 1)
+        packed, gaps = np.zeros(n, np.uint32), np.zeros(n, np.uint8)
+        for k in range(size):
+            packed = (packed << np.uint32(8)) | x[k : k + n]
+            gaps += x[k : k + n] == 0x20
+        found.append(packed[gaps <= 1])  # shorter ones have zero bytes in front, which no text has after the map
+    return np.concatenate(found)
+
+
 def _slots(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Two filter positions of each n-gram."""
     shift = np.uint32(32 - bits)
@@ -83,7 +100,7 @@ def train(
     """Filters learned from a bounded sample of the distinct labelled texts.
 
     ``sample_docs``: most texts per language, those with the smallest hashes; a text counts once per language however often it is
-    repeated, and languages with fewer texts are used whole. ``profile``: n-grams kept per language, most frequent first. An n-gram enters a language's filter if its rate there is at least
+    repeated, and languages with fewer texts are used whole. ``profile``: n-grams kept per language, most frequent first, and as many shorter ones. An n-gram enters a language's filter if its rate there is at least
     a twentieth of its highest rate in any language. ``max_languages``: more distinct labels are an error, nothing is left out.
     """
     spark = labelled.sparkSession
@@ -125,21 +142,25 @@ def train(
                 grams, good = _grams(data, offsets)
                 for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                     seen.setdefault(langs[first + k], []).append(grams[a:b][good[a:b]])
+            for name, text in zip(langs, batch.column("octets"), strict=True):
+                short = _short(text.as_py())
+                seen.setdefault(name, []).append(short[short < 1 << 8 * (GRAM - 1)])
             for name, parts in seen.items():
                 found, times = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(found)), "gram": found.astype(np.int64), "n": times.astype(np.int64)})
 
     grams = sample.mapInArrow(gather, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rate = F.col("n") / F.sum("n").over(W.partitionBy("lang"))
+    rate = F.col("n") / F.sum("n").over(W.partitionBy("lang", "short"))
     kept = (
-        grams.withColumn("rate", rate)
+        grams.withColumn("short", F.col("gram") < 1 << 8 * (GRAM - 1))
+        .withColumn("rate", rate)
         .withColumn("top", F.max("rate").over(W.partitionBy("gram")))
         .where(F.col("rate") * 20 >= F.col("top"))
-        .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram")))
+        .withColumn("rank", F.row_number().over(W.partitionBy("lang", "short").orderBy(F.desc("n"), "gram")))
         .where(F.col("rank") <= profile)
         .groupBy("lang")
         .agg(F.collect_list("gram").alias("grams"))
-        .collect()  # at most profile x max_languages integers
+        .collect()  # at most 2 x profile x max_languages integers
     )
     planes = np.zeros((-(-len(names) // 8), 1 << bits), np.uint8)
     for r in kept:
@@ -153,8 +174,8 @@ def train(
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def _hits(filters: Filters, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Per row: number of n-grams, and how many of them each language's filter has."""
+def _hits(filters: Filters, array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row: number of n-grams, of those that count (others if it is few), and how many of the latter each language's filter has."""
     bits = filters.planes.shape[1].bit_length() - 1
     total, hits = np.zeros(len(array), np.int64), np.zeros((len(array), 8 * len(filters.planes)), np.int64)
     for first, data, offsets in _runs(array):
@@ -167,31 +188,43 @@ def _hits(filters: Filters, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 if p == 0:
                     total[first + k] += len(found)
                 hits[first + k, 8 * p : 8 * p + 8] += np.bincount(found, minlength=256) @ _BITS
-    return total, hits[:, : len(filters.languages)]
+    judged = total.copy()
+    for row in np.flatnonzero(total < FEW):
+        grams = _short(array[int(row)].as_py())
+        one, two = _slots(grams, bits)
+        judged[row] = len(grams)
+        for p, plane in enumerate(filters.planes):
+            hits[row, 8 * p : 8 * p + 8] = np.bincount(plane[one] & plane[two], minlength=256) @ _BITS
+    return total, judged, hits[:, : len(filters.languages)]
 
 
 def language(text: Column, filters: Filters, spark) -> Column:
-    """Struct (lang_pred, score) of a text. ``score`` is the corrected share of n-grams that the language knows."""
+    """Struct (lang_pred, score, n_grams) of a text. ``score`` is the corrected share of n-grams that the language knows.
+
+    ``n_grams`` counts those of full length: fewer than ``FEW`` are no evidence against a text.
+    """
     if not filters.languages:
-        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_grams"))
     model = spark.sparkContext.broadcast(filters)  # 2^bits bytes for every 8 languages
 
     def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = model.value
         for batch in batches:
-            total, hits = _hits(known, batch)
-            share = np.clip((hits / np.maximum(total, 1)[:, None] - known.false_rate) / np.maximum(1 - known.false_rate, 1e-9), 0, 1)
+            total, judged, hits = _hits(known, batch)
+            share = np.clip((hits / np.maximum(judged, 1)[:, None] - known.false_rate) / np.maximum(1 - known.false_rate, 1e-9), 0, 1)
             best = share.argmax(axis=1)
             yield pa.StructArray.from_arrays(
-                [pa.array(np.array(known.languages, object)[best], pa.string()), pa.array(share[np.arange(len(best)), best])], ["lang_pred", "score"]
+                [pa.array(np.array(known.languages, object)[best], pa.string()), pa.array(share[np.arange(len(best)), best]), pa.array(total)],
+                ["lang_pred", "score", "n_grams"],
             )
 
     decide.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    found = F.arrow_udf(decide, "lang_pred string, score double").asNondeterministic()(octets(text))
+    found = F.arrow_udf(decide, "lang_pred string, score double, n_grams long").asNondeterministic()(octets(text))
     lettered = F.coalesce(text.cast("string").rlike(r"\p{L}"), F.lit(False))
     return F.struct(
         F.when(lettered, found["lang_pred"]).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
         F.when(lettered, found["score"]).otherwise(F.lit(0.0)).alias("score"),
+        found["n_grams"].alias("n_grams"),
     )
 
 

@@ -9,6 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from deltaloom.llm import decontaminate, lang_id, licenses, secrets
 from deltaloom.llm.queries import registry
 from deltaloom.llm.text import fold_id
@@ -98,6 +99,18 @@ def test_no_labels_and_empty(spark, odd):
         lang_id.train(odd.withColumn("lang", F.col("doc_id").cast("string")), max_languages=3)
 
 
+def test_short_texts_back_off(spark, sample, tmp_path):
+    short = ["Re.", "A.", "De.", "the", "The?", "und", "Die"]
+    docs = sample.select("doc_id", "text", "lang", "source", "n_chars")
+    more = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate([*short, "...", "", "qxzj vkqw xjqz wvkx zqjx kqvw xzjq"])]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, str(tmp_path)).select("doc_id").where("doc_id < 0").collect()}
+    assert kept == {-1 - i for i in range(len(short))}
+    found = {r.text: r._language for r in lang_id.identify(docs.where("doc_id < 0"), lang_id.train(sample)).collect()}
+    assert all(found[t].score > 0.2 and found[t].n_grams < lang_id.FEW for t in short)
+    assert found["the"].lang_pred == found["The?"].lang_pred == "en" and found["und"].lang_pred == "de"
+
+
 # licenses
 
 PHRASES = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
