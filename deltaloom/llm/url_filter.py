@@ -59,13 +59,53 @@ def rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
+#: Second-level labels under which others register, by country: a hand-written selection of the public suffixes of two labels.
+PUBLIC = {
+    "ac com edu gov net org": "ar bd bo br cn co cy do ec eg et gh gt hk hn in kw lb lk ly mm mo mt mx my ng ni np om pa pe ph pk pl pr py qa ro sa sg sv tr tw ua uy ve vn",
+    "co ac gov or ne go": "jp kr th id at cr tz ke ug",
+    "co ac gov net org": "uk nz za il in bw zm zw ls ma",
+    "com edu gov net org asn id": "au",
+    "ltd me nhs plc police sch": "uk",
+    "geek gen govt iwi maori school": "nz",
+    "ad ed gr lg": "jp",
+    "pe re hs ms es sc": "kr",
+    "in mi": "th",
+    "web my sch": "id",
+    "gob": "ar bo cl co do ec es gt hn mx ni pa pe py sv ve",
+    "com nom org": "es",
+    "com asso nom gouv": "fr",
+    "com msk spb net org pp": "ru",
+    "art blog eco eng ind inf jus leg mil psc tur": "br",
+    "firm gen ind nic res": "in",
+    "idv": "hk tw",
+    "k12 muni": "il tr",
+    "law nom web": "za",
+    "com net org edu gov": "pt gr jm fj bh jo bb bz cu dz gi iq is kh kz lv mk mz sn tn uz",
+}
+SUFFIXES = sorted({f"{label}.{country}" for labels, countries in PUBLIC.items() for label in labels.split() for country in countries.split()})
+
+
+def _site(host: Column) -> Column:
+    """A host without its port."""
+    return F.regexp_replace(host, r":[0-9]*$", "")
+
+
+def _address(site: Column) -> Column:
+    return site.rlike(r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*\])$")
+
+
 def domain(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+    """Registered domain: the public suffix and one label more; an IP address whole."""
+    site = _site(host)
+    two = F.substring_index(site, ".", -2)
+    return F.when(_address(site), site).when(two.isin(SUFFIXES), F.substring_index(site, ".", -3)).otherwise(two)
 
 
 def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """Public suffix: one of the listed ones of two labels, else the last label; an IP address whole."""
+    site = _site(host)
+    two = F.substring_index(site, ".", -2)
+    return F.when(_address(site) | two.isin(SUFFIXES), F.when(_address(site), site).otherwise(two)).otherwise(F.substring_index(site, ".", -1))
 
 
 def _strength(groups: DataFrame, parent: str) -> DataFrame:

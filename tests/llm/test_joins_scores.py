@@ -341,6 +341,19 @@ def test_reputation_shrinks(spark):
     assert got["one.spam.org"].mean < got["bad.spam.org"].mean and all(0 < r.mean < 1 and r.bound < r.mean for r in got.values())
 
 
+def test_registered_domains(spark):
+    want = {
+        "www.example.com": ("example.com", "com"), "a.b.shop.co.uk": ("shop.co.uk", "co.uk"), "shop.com.au:8080": ("shop.com.au", "com.au"), "co.uk": ("co.uk", "co.uk"),
+        "example.org:80": ("example.org", "org"), "10.20.30.40": ("10.20.30.40",) * 2, "10.20.30.40:81": ("10.20.30.40",) * 2, "[::1]:80": ("[::1]",) * 2, "": ("", ""), "localhost": ("localhost",) * 2,
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.d, r.s) for r in hosts.select("host", url_filter.domain(F.col("host")).alias("d"), url_filter.suffix(F.col("host")).alias("s")).collect()}
+    assert got == want
+    counts = [("a.bad.co.uk", 100, 95), ("new.bad.co.uk", 0, 0), ("a.fine.co.uk", 300, 3), ("new.fine.co.uk", 0, 0)]
+    mean = {r.host: r["mean"] for r in url_filter.reputation(spark.createDataFrame(counts, "host string, n long, bad long")).collect()}
+    assert mean["new.bad.co.uk"] > mean["new.fine.co.uk"]
+
+
 # top-k
 
 
