@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, jaccard_join, lang_id, licenses, lm_score, mixing, oracles, registry, secrets, topk, url_filter
+from deltaloom.llm import chat, decontaminate, hard_negatives, jaccard_join, lang_id, licenses, lm_score, mixing, oracles, registry, secrets, topk, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -96,4 +96,12 @@ def op10_multi_index_topk(spark, sf_dir):
     return topk.search(vectors, asked)
 
 
+@register("op11_hard_negatives", oracles.HARD_NEGATIVES)
+def op11_hard_negatives(spark, sf_dir):
+    """Three hard negatives for each of five positives of every vector whose id is divisible by 50; a seventh of all labels is moved first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("anchor_id")))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
