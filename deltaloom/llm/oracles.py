@@ -168,3 +168,108 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 WINDOW mine AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
 QUALIFY row_number() OVER mine <= 3
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT DISTINCT a AS node, a AS low FROM l UNION SELECT l.b, r.low FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(low) AS component FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON a = vec_id LEFT JOIN c ON node = vec_id
+"""
+
+# a state is a pair of cost and edits so far; pairs compare by cost, then by edits
+_I = "{{'c': {0}.c + 5, 's': {0}.s || 'I'}}"
+_D = "{{'c': {0}.c + 2, 's': {0}.s || 'D'}}"
+_K = "{{'c': {0}.c + CASE WHEN NOT gone AND initial = '{1}' THEN extra ELSE 1000000000 END, 's': {0}.s || 'K'}}"
+_R = "{{'c': {0}.c + CASE WHEN gone THEN 1000000000 ELSE 1 + extra END, 's': {0}.s || 'R'}}"
+
+
+def _least(*pairs: str) -> str:
+    return f"list_sort([{', '.join(pairs)}])[1]"
+
+
+_STEP = ", ".join(
+    f"{pair} AS b{state}"
+    for state, pair in enumerate(
+        (
+            _D.format("a0"),
+            _least(_D.format("a1"), _K.format("a0", "s")),
+            _least(_D.format("a2"), *[_K.format(f"a{i}", "u") for i in (0, 1, 3)], *[_R.format(f"a{i}") for i in (0, 1, 3)]),
+            _least(_D.format("a3"), _K.format("a2", "a"), _R.format("a2")),
+        )
+    )
+)
+_GROW = (
+    f"SELECT g, nr, b0 AS a0, b1 AS a1, {_least('c2', _I.format('c3'))} AS a2, {_least('c3', _I.format('c2'))} AS a3 FROM "
+    f"(SELECT *, {_least('b3', _I.format('b2'))} AS c3, {_least('b2', *[_I.format(f'b{i}') for i in (0, 1, 3)])} AS c2 FROM "
+)
+
+TURN_REPAIR = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, n: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+),
+coded AS (
+  SELECT * EXCLUDE (t, k), xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ord(k[i])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM keyed, crc
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE fault <> 0
+),
+numbered AS (
+  SELECT *, coalesce(conv_id::VARCHAR, '') AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS nr FROM hurt
+),
+judged AS (
+  SELECT *, role[1:1] AS initial, CASE
+      WHEN regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY nr) > 1 THEN 'duplicate'
+      WHEN regexp_replace(text, '[\x20\x09-\x0D]+$', '')[-1:] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1:1]) OVER (PARTITION BY g ORDER BY nr) || role[1:1] AS met
+  FROM numbered
+),
+told AS (
+  SELECT g, nr, initial, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM judged
+),
+dp AS (
+  {_GROW} (SELECT DISTINCT g, 0::BIGINT AS nr, {{'c': 0::BIGINT, 's': ''}} AS b0, {{'c': 1000000000::BIGINT, 's': ''}} AS b1,
+    {{'c': 1000000000::BIGINT, 's': ''}} AS b2, {{'c': 1000000000::BIGINT, 's': ''}} AS b3 FROM told))
+  UNION ALL
+  {_GROW} (SELECT dp.g, told.nr, {_STEP} FROM dp JOIN told ON dp.g = told.g AND told.nr = dp.nr + 1))
+),
+ended AS (
+  SELECT g, {_least("a0", "a3")} AS best FROM dp WHERE nr = (SELECT max(nr) FROM told WHERE told.g = dp.g)
+),
+letters AS (SELECT g, best.s AS s, unnest(range(1, length(best.s) + 1)) AS pos FROM ended),
+placed AS (
+  SELECT g, pos, s[pos] AS e, length(replace(s[1:pos], 'I', '')) AS nr, length(replace(s[1:pos], 'D', '')) AS seen FROM letters
+),
+begun AS (SELECT DISTINCT p.g FROM placed p JOIN told USING (g, nr) WHERE e = 'K' AND seen = 1 AND initial = 's'),
+lines AS (
+  SELECT p.g, pos, CASE WHEN e = 'K' THEN role WHEN (seen - (b.g IS NOT NULL)::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE text END AS line
+  FROM placed p LEFT JOIN begun b USING (g) LEFT JOIN judged j ON j.g = p.g AND j.nr = p.nr WHERE e <> 'D'
+),
+hashed AS (SELECT g, sha256(string_agg(line, chr(10) ORDER BY pos)) AS h FROM lines GROUP BY g),
+counted AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY g
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.s, '') AS audit,
+  coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.g = coalesce(o.conv_id::VARCHAR, '')
+LEFT JOIN ended e ON e.g = c.g LEFT JOIN hashed s ON s.g = c.g
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from deltaloom.llm import chat, decontaminate, hard_negatives, jaccard_join, lang_id, licenses, lm_score, mixing, oracles, registry, secrets, topk, url_filter
+from deltaloom.llm import chat, decontaminate, embed_dedup, hard_negatives, jaccard_join, lang_id, licenses, lm_score, mixing, oracles, registry, secrets, topk, turn_repair, url_filter
 from deltaloom.llm.registry import register, table
 from deltaloom.llm.text import fold_id
 
@@ -104,4 +104,17 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("anchor_id")))
 
 
+@register("op12_turn_repair", oracles.TURN_REPAIR)
+def op12_turn_repair(spark, sf_dir):
+    """Report on every conversation, its turns damaged by a hash of their ids."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.report(turn_repair.damaged(turns), turns.select("conv_id"))
+
+
+@register("op13_nn_descent", oracles.NEAR_VECTORS)
+def op13_nn_descent(spark, sf_dir):
+    """Links of cosine 0.9 or more among all vectors."""
+    return embed_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
