@@ -19,7 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.functions.columns import all_of, is_true
+from deltaloom.functions.columns import all_of, is_true, join_same
 from deltaloom.model import (
     BULK_OPS,
     DELETE_WHERE,
@@ -137,9 +137,8 @@ def run_starts(shaped: DataFrame) -> DataFrame:
         ).alias("_next"),
     ).select(*DEVICE_COLS, "_segment", "_h", "_next.*")
     key = [*DEVICE_COLS, "_segment", "_seq", "_txn_seq", "_h"]
-    starts = shaped.withColumn("_h", F.xxhash64("_shape")).join(
-        following.withColumn("_joined", F.lit(True)).dropDuplicates(key), key, "left"
-    )
+    following = following.withColumn("_joined", F.lit(True)).dropDuplicates(key)
+    starts = join_same(shaped.withColumn("_h", F.xxhash64("_shape")), following, key, "left")
     starts = starts.where(F.col("_joined").isNull() | ~F.col("_shape")["joinable"])
     return starts.groupBy(*DEVICE_COLS).agg(F.array_sort(F.collect_set(order_of())).alias("_runs"))
 
@@ -214,7 +213,7 @@ def _literal_shape(shape) -> Column:
 def _apply_hits(state: DataFrame, hits: DataFrame, matched: Column, shape, spec: TableSpec) -> DataFrame:
     device = {c: f"_h{c}" for c in DEVICE_COLS}
     side = hits.withColumnsRenamed(device)
-    same_device = all_of(F.col(c) == F.col(h) for c, h in device.items())
+    same_device = all_of(F.col(c).eqNullSafe(F.col(h)) for c, h in device.items())
     if shape["op"] == DELETE_WHERE:
         return state.join(side, same_device & is_true(matched), "left_anti")
     joined = state.join(side, same_device & is_true(matched), "left")
@@ -250,7 +249,7 @@ def fold_with_bulk(
         return fold(changes, spec, ops) if state is None else merge(state, changes, spec, ops)
     if TRUNCATE in ops:
         if state is not None:
-            state = state.join(truncated_devices(changes).select(*DEVICE_COLS), list(DEVICE_COLS), "left_anti")
+            state = join_same(state, truncated_devices(changes).select(*DEVICE_COLS), DEVICE_COLS, "left_anti")
         changes = after_truncate(changes)
         ops = ops - {TRUNCATE}
     runs = broadcast_counted(runs, devices)
@@ -260,7 +259,7 @@ def fold_with_bulk(
             return start <= order_of() if inclusive else start < order_of()
 
         found = F.when(F.col("_runs").isNull(), 0).otherwise(F.size(F.filter("_runs", earlier)))
-        return df.join(runs, list(DEVICE_COLS), "left").withColumn(name, found).drop("_runs")
+        return join_same(df, runs, DEVICE_COLS, "left").withColumn(name, found).drop("_runs")
 
     summaries = cut_lineage(summarise(numbered(changes, False, "_epoch"), spec, ops, by=("_epoch",)), "epochs")
     steps = numbered(shaped, True, "_run")

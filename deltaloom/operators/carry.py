@@ -63,6 +63,17 @@ def carry_forward(
     )
 
 
+def sum_forward(log: DataFrame, group: list[str], value: Column, name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows of the group up to each row, in the order of ``_seq``, in two levels like above."""
+    prepared = log.withColumns({"_value": value, "_chunk": F.floor(F.col("_seq") / F.lit(chunk_rows)).cast("bigint")})
+    inside = Window.partitionBy(*group, "_chunk").orderBy("_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    across = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = prepared.groupBy(*group, "_chunk").agg(F.sum("_value").alias("_end"))
+    carried = sums.select(*group, "_chunk", F.coalesce(F.sum("_end").over(across), F.lit(0)).alias("_far"))
+    filled = prepared.withColumn("_near", F.sum("_value").over(inside))
+    return join_same(filled, carried, [*group, "_chunk"]).withColumn(name, F.col("_near") + F.col("_far")).drop("_value", "_near", "_far", "_chunk")
+
+
 def fill_statements(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """A batched row without text repeats the statement before it in its segment.
 

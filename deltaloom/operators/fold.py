@@ -55,8 +55,7 @@ def after_truncate(changes: DataFrame) -> DataFrame:
     """Drop what a device wrote before its own last TRUNCATE."""
     cuts = truncated_devices(changes)
     return (
-        changes.where(F.col("_op") != TRUNCATE)
-        .join(cuts, list(DEVICE_COLS), "left")
+        join_same(changes.where(F.col("_op") != TRUNCATE), cuts, DEVICE_COLS, "left")
         .where(F.col("_cut").isNull() | (order_of() > F.col("_cut")))
         .drop("_cut")
     )
@@ -165,15 +164,13 @@ def _with_start(summary: DataFrame, kept: DataFrame, spec: TableSpec, ops: set[s
         (reset["op"] == DELETE) & (F.col("_first_up") < reset["o"]) & (F.col("_last_up") > reset["o"]) & between
     ).select(*group, reset["o"].alias("_after"))
     exact = (
-        kept.where(F.col("_op") == UPSERT)
-        .select(*group, *ORDER_COLS)
-        .join(unclear, group)
+        join_same(kept.where(F.col("_op") == UPSERT).select(*group, *ORDER_COLS), unclear, group)
         .where(order_of() > F.col("_after"))
         .groupBy(*group)
         .agg(F.min(order_of()).alias("_exact"))
     )
     return (
-        summary.join(exact, group, "left")
+        join_same(summary, exact, group, "left")
         .withColumn("_start", F.coalesce("_exact", "_start"))
         .drop("_exact")
     )

@@ -11,8 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.functions.columns import join_same
+from deltaloom.operators.carry import carry_forward, sum_forward
 from deltaloom.operators.ranking import number_rows
 
+#: A position beyond all others.
+NEVER = 2**63 - 1
 SET, HSET, RPUSH, SADD, ZADD, EXPIRE, DEL = "set", "hset", "rpush", "sadd", "zadd", "expire", "del"
 
 LOG_SCHEMA = T.StructType(
@@ -42,94 +46,124 @@ def at(log: DataFrame, as_of: Column | None) -> DataFrame:
     return log if as_of is None else log.where(F.col("ts") < as_of)
 
 
-def key_states(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
-    """Per key: ``reset``, the position before which nothing counts any more.
+def key_states(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Per key that was ever deleted or given a deadline: ``since``, the position from which on its rows count.
 
-    That is the last ``del`` before ``as_of``, or the whole log once the last ``expire``
-    ran out by then; ``expire=False`` leaves deadlines aside. A later ``set`` clears an expiry.
+    A key lives from its first write, dies by ``del`` or when its deadline passes, and lives again from the next write on, without a deadline. ``set``
+    takes a deadline away, ``expire`` replaces it and does nothing to a dead key. A deadline has passed for a call, or for ``as_of``, whose time is not before
+    it. A key that is dead in the end counts from beyond all positions.
     """
-    marks = at(log, as_of).where(F.col("call").isin(DEL, EXPIRE, SET)).groupBy("key").agg(
-        F.max(F.when(F.col("call") == DEL, F.col("ord"))).alias("deleted"),
-        F.max(F.when(F.col("call").isin(SET, DEL), F.col("ord"))).alias("cleared"),
-        F.max(
-            F.when(
-                F.col("call") == EXPIRE,
-                F.struct(
-                    F.col("ord"),
-                    F.timestamp_add("SECOND", F.col("ttl"), F.col("ts")).alias("deadline"),
-                ),
-            )
-        ).alias("expiry"),
+    calls = at(log, as_of).select(
+        "key", "ord", "ts", "call", F.when(F.col("call") == EXPIRE, F.timestamp_add("SECOND", F.col("ttl"), F.col("ts"))).alias("deadline")
     )
-    holds = F.col("cleared").isNull() | (F.col("expiry")["ord"] > F.col("cleared"))
-    runs_out = F.col("expiry").isNotNull() & holds & (F.col("expiry")["deadline"] <= as_of) if expire and as_of is not None else F.lit(False)
-    never = F.lit(2**63 - 1).cast("bigint")
-    reset = F.when(F.coalesce(runs_out, F.lit(False)), never).otherwise(F.col("deleted"))
-    return marks.select("key", reset.alias("reset")).where(F.col("reset").isNotNull())
+    limited = calls.where(F.col("call") == EXPIRE).select("key").distinct()
+    lives = _lives(join_same(calls, limited, ["key"], "left_semi"), limited, as_of)
+    deleted = calls.where(F.col("call") == DEL).groupBy("key").agg((F.max("ord") + 1).alias("since"))
+    return lives.unionByName(join_same(deleted, limited, ["key"], "left_anti"))
 
 
-def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None, expire: bool) -> DataFrame:
-    """Rows written after their key's reset; ``ord`` is the last write of the row."""
-    return (
-        rows.join(key_states(log, as_of, expire), "key", "left")
-        .where(F.col("reset").isNull() | (F.col("ord") > F.col("reset")))
-        .drop("reset")
+def _lives(calls: DataFrame, keys: DataFrame, as_of: Column | None) -> DataFrame:
+    """Frame (key, since) of keys with deadlines; ``calls`` holds all their calls.
+
+    ``set``, ``del`` and ``expire`` are marks. Whether a key is alive before a mark follows from whether it was alive before the mark ahead of it, and from the
+    writes between them: each mark stands for a function of one truth value. Such a function is constant, keeps the value or turns it round, so the
+    value is that of the last constant one, turned round as often as the marks since then do. Both are carried in two levels; no key's calls meet in one task.
+    """
+    when = F.lit(None).cast("timestamp_ntz") if as_of is None else as_of
+    end = keys.select("key", F.lit(NEVER).alias("ord"), when.cast("timestamp_ntz").alias("ts"), F.lit("end").alias("call"), F.lit(None).cast("timestamp_ntz").alias("deadline"))
+    ordered = calls.unionByName(end).withColumns({"_segment": F.lit(0).cast("bigint"), "_seq": F.col("ord"), "_txn_seq": F.lit(0).cast("bigint")})
+    mark = F.col("call").isin(SET, DEL, EXPIRE)
+    told = carry_forward(ordered, ["key"], F.when(mark, F.struct("ord", "call", "deadline")), "prev", inclusive=False)
+    writes = told.where(~mark & (F.col("call") != "end")).groupBy("key", F.col("prev.ord").alias("after"))
+    writes = writes.agg(F.min("ord").alias("first"), F.min(F.when(F.col("ts") >= F.col("prev.deadline"), F.col("ord"))).alias("late"))
+
+    marks = told.where(mark | (F.col("call") == "end")).withColumn("after", F.col("prev.ord"))
+    marks = join_same(marks, writes, ["key", "after"], "left")
+    wrote = F.col("first").isNotNull()
+    kept = F.col("late").isNotNull() | F.coalesce(F.col("ts") < F.col("prev.deadline"), F.lit(True))
+    before = F.col("prev.call")
+    limited = F.coalesce(before == EXPIRE, F.lit(False))
+    if_alive = F.when(limited, kept).when(before == SET, True).otherwise(wrote)
+    if_dead = F.when(before == SET, True).otherwise(wrote)
+    marks = marks.withColumns({"if_alive": if_alive, "if_dead": if_dead}).drop("first", "late", "after", "prev")
+    turned = (F.col("if_dead") & ~F.col("if_alive")).cast("bigint")
+    marks = sum_forward(marks, ["key"], turned, "turns")
+    known = F.when(F.col("if_alive") == F.col("if_dead"), F.struct("if_alive", "turns"))
+    marks = carry_forward(marks, ["key"], known, "known", inclusive=True)
+    alive = F.col("known.if_alive") != ((F.col("turns") - F.col("known.turns")) % 2 == 1)
+
+    # births: a set of a dead key, and the first write after a death
+    marks = join_same(marks.withColumn("alive", alive).withColumn("after", F.col("ord")), writes, ["key", "after"], "left")
+    birth = (
+        F.when(F.col("call") == SET, F.when(~F.col("alive"), F.col("ord")))
+        .when(F.col("call") == DEL, F.col("first"))
+        .when(F.col("call") == EXPIRE, F.when(F.col("alive"), F.col("late")).otherwise(F.col("first")))
     )
+    births = marks.select("key", birth.alias("birth"), F.when(F.col("call") == "end", F.col("alive")).alias("alive"))
+    births = births.unionByName(writes.where("after is null").select("key", F.col("first").alias("birth"), F.lit(None).cast("boolean").alias("alive")))
+    last = births.groupBy("key").agg(F.max("birth").alias("birth"), F.max("alive").alias("alive"))
+    return last.select("key", F.when(F.col("alive"), F.col("birth")).otherwise(F.lit(NEVER)).alias("since"))
+
+
+def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None) -> DataFrame:
+    """Rows written in their key's last life; ``ord`` is the last write of the row."""
+    told = join_same(rows, key_states(log, as_of), ["key"], "left")
+    return told.where(F.col("since").isNull() | (F.col("ord") >= F.col("since"))).drop("since")
 
 
-def strings(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def strings(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Last value per key."""
     last = at(log, as_of).where(F.col("call") == SET).groupBy("key").agg(
         F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value")
     )
-    return _alive(last, log, as_of, expire).select("key", "value")
+    return _alive(last, log, as_of).select("key", "value")
 
 
-def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None) -> DataFrame:
     """V01 read: look keys up; absent ones give null."""
-    return keys.select("key").join(strings(log, as_of, expire), "key", "left")
+    return join_same(keys.select("key"), strings(log, as_of), ["key"], "left")
 
 
-def hashes(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def hashes(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Last value per (key, field)."""
     written = at(log, as_of).where(F.col("call") == HSET).select("ord", "key", F.explode("fields").alias("field", "value"))
     last = written.groupBy("key", "field").agg(F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value"))
-    return _alive(last, log, as_of, expire).select("key", "field", "value")
+    return _alive(last, log, as_of).select("key", "field", "value")
 
 
-def list_items(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def list_items(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """V03 without numbering: every pushed value and where it stands."""
     pushed = at(log, as_of).where(F.col("call") == RPUSH).select("ord", "key", F.posexplode("members").alias("pos", "value"))
-    return _alive(pushed, log, as_of, expire)
+    return _alive(pushed, log, as_of)
 
 
-def lists(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def lists(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """``key, position, value`` in push order, from 1."""
-    return number_rows(list_items(log, as_of, expire), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
+    return number_rows(list_items(log, as_of), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
 
 
-def sets(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Distinct members."""
     added = at(log, as_of).where(F.col("call") == SADD).select("ord", "key", F.explode("members").alias("member"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"))
-    return _alive(last, log, as_of, expire).select("key", "member")
+    return _alive(last, log, as_of).select("key", "member")
 
 
-def scores(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def scores(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """V05 without ranks: last score per member."""
     added = at(log, as_of).where(F.col("call") == ZADD).select("ord", "key", F.explode("scores").alias("member", "score"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"), F.max_by("score", "ord").alias("score"))
-    return _alive(last, log, as_of, expire).select("key", "member", "score")
+    return _alive(last, log, as_of).select("key", "member", "score")
 
 
-def sorted_sets(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def sorted_sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Members ranked from 1 by (score, member)."""
-    return number_rows(scores(log, as_of, expire), ["key"], ["score", "member"], "rank").select(
+    return number_rows(scores(log, as_of), ["key"], ["score", "member"], "rank").select(
         "key", "rank", "member", "score"
     )
 
 
-def full_state(log: DataFrame, as_of: Column | None = None, expire: bool = True) -> DataFrame:
+def full_state(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """``kind, key, item, value`` of everything alive, rebuilt from the log."""
 
     def rows(kind: str, df: DataFrame, item: Column, value: Column) -> DataFrame:
@@ -139,9 +173,9 @@ def full_state(log: DataFrame, as_of: Column | None = None, expire: bool = True)
 
     none = F.lit(None)
     return (
-        rows("string", strings(log, as_of, expire), none, F.col("value"))
-        .unionByName(rows("hash", hashes(log, as_of, expire), F.col("field"), F.col("value")))
-        .unionByName(rows("list", lists(log, as_of, expire), F.col("position"), F.col("value")))
-        .unionByName(rows("set", sets(log, as_of, expire), F.col("member"), none))
-        .unionByName(rows("zset", scores(log, as_of, expire), F.col("member"), F.col("score")))
+        rows("string", strings(log, as_of), none, F.col("value"))
+        .unionByName(rows("hash", hashes(log, as_of), F.col("field"), F.col("value")))
+        .unionByName(rows("list", lists(log, as_of), F.col("position"), F.col("value")))
+        .unionByName(rows("set", sets(log, as_of), F.col("member"), none))
+        .unionByName(rows("zset", scores(log, as_of), F.col("member"), F.col("score")))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deltaloom.functions.columns import join_same
 from deltaloom.model import DEVICE_COLS, ROW_OPS, commit_time
 from deltaloom.operators.normalize import after_marks
 
@@ -29,10 +30,10 @@ def sync_statistics(changes: DataFrame, sizes: DataFrame | None = None) -> DataF
         .groupBy(*DEVICE_COLS)
         .agg(F.count("*").alias("segment_count"))
     )
-    stats = txns.join(segments, list(DEVICE_COLS))
+    stats = join_same(txns, segments, DEVICE_COLS)
     if sizes is not None:
         bytes_ = sizes.groupBy("_device_id").agg(F.sum("size_bytes").alias("log_size"))
-        stats = stats.join(bytes_, "_device_id", "left")
+        stats = join_same(stats, bytes_, ["_device_id"], "left")
     return stats
 
 
@@ -41,7 +42,7 @@ def sync_latency(captured: DataFrame, marks: DataFrame) -> DataFrame:
     source = captured.groupBy(*DEVICE_COLS).agg(F.max("_commit_id").alias("source_commit_id"))
     applied = marks.select(*DEVICE_COLS, F.col("_applied_commit").alias("applied_commit_id"))
     gap = F.col("source_commit_id") - F.col("applied_commit_id")
-    return source.join(applied, list(DEVICE_COLS), "left").withColumn("latency_ms", F.coalesce(gap, F.lit(-1)))
+    return join_same(source, applied, DEVICE_COLS, "left").withColumn("latency_ms", F.coalesce(gap, F.lit(-1)))
 
 
 def sync_status(devices: DataFrame, marks: DataFrame, paused: DataFrame) -> DataFrame:
@@ -54,11 +55,8 @@ def sync_status(devices: DataFrame, marks: DataFrame, paused: DataFrame) -> Data
         .when(F.col("_paused"), "Paused")
         .otherwise("Running")
     )
-    return (
-        known.join(applied, list(DEVICE_COLS), "left")
-        .join(held, "_device_id", "left")
-        .select(*DEVICE_COLS, state.alias("state"), commit_time(F.col("_applied_commit")).alias("heartbeat"))
-    )
+    told = join_same(join_same(known, applied, DEVICE_COLS, "left"), held, ["_device_id"], "left")
+    return told.select(*DEVICE_COLS, state.alias("state"), commit_time(F.col("_applied_commit")).alias("heartbeat"))
 
 
 def table_statistics(changes: DataFrame, table: Column | str = "_table") -> DataFrame:
@@ -72,10 +70,8 @@ def fleet_dashboard(changes: DataFrame, marks: DataFrame, paused: DataFrame) ->
     """One row for the fleet: devices by state, total operations, worst lag."""
     status = sync_status(changes, marks, paused)
     latency = sync_latency(changes, marks)
-    per_device = (
-        status.join(latency, list(DEVICE_COLS))
-        .join(changes.groupBy(*DEVICE_COLS).agg(F.count("*").alias("_n")), list(DEVICE_COLS))
-    )
+    counts = changes.groupBy(*DEVICE_COLS).agg(F.count("*").alias("_n"))
+    per_device = join_same(join_same(status, latency, DEVICE_COLS), counts, DEVICE_COLS)
     return per_device.agg(
         F.count("*").alias("devices"),
         F.count_if(F.col("state") == "Running").alias("running"),

@@ -267,12 +267,12 @@ def committed_only(changes: DataFrame, txn: DataFrame, single_writer: DataFrame
     """
     key = ["_device_id", "_commit_id"]
     if single_writer is None:
-        return changes.join(txn.select(*key), key, "left_semi").select(*changes.columns)
+        return join_same(changes, txn.select(*key), key, "left_semi").select(*changes.columns)
     singles = broadcast_checked(single_writer.select(F.col("_device_id").alias("_single")).distinct())
-    mine = F.col("_device_id") == F.col("_single")
-    listed = changes.join(singles, mine, "left_anti").join(txn.select(*key), key, "left_semi").select(*changes.columns)
+    mine = F.col("_device_id").eqNullSafe(F.col("_single"))
+    listed = join_same(changes.join(singles, mine, "left_anti"), txn.select(*key), key, "left_semi").select(*changes.columns)
     last = txn.groupBy(F.col("_device_id").alias("_single")).agg(F.max("_commit_id").alias("_last"))
-    upto = broadcast_checked(last.join(singles, "_single", "left_semi"))
+    upto = broadcast_checked(join_same(last, singles, ["_single"], "left_semi"))
     ordered = changes.join(upto, mine).where(F.col("_commit_id") <= F.col("_last")).select(*changes.columns)
     return listed.unionByName(ordered)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.functions.columns import all_of, orderable
+from deltaloom.functions.columns import all_of, join_same, orderable
 from deltaloom.model import ORDER_COLS
 
 
@@ -22,7 +22,7 @@ def _paired(source: DataFrame, dest: DataFrame, keys: list[str]) -> tuple[DataFr
     values = [c for c in source.columns if c not in keys and c in dest.columns]
     left = source.select(*keys, F.lit(True).alias("_in_s"), *[F.col(c).alias(f"_s_{c}") for c in values])
     right = dest.select(*keys, F.lit(True).alias("_in_d"), *[F.col(c).alias(f"_d_{c}") for c in values])
-    return left.join(right, keys, "full"), values
+    return join_same(left, right, keys, "full"), values
 
 
 def compare_rows(source: DataFrame, dest: DataFrame, keys: list[str]) -> DataFrame:

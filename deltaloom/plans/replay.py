@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deltaloom.functions.columns import join_same
 from deltaloom.model import BULK_OPS, DEVICE_COLS, ROW_OPS, TRUNCATE, TableSpec
 from deltaloom.operators.barriers import BULK_COLS, fold_with_bulk
 from deltaloom.operators.carry import fill_statements
@@ -83,7 +84,7 @@ def initial_state(existing: DataFrame | None, devices: DataFrame, init_mode: str
     if init_mode in (OVERWRITE_OBJECT, TRY_CREATE_DELETE_DATA):
         if existing is None or (init_mode == OVERWRITE_OBJECT and not shared):
             return None
-        return existing.join(devices.select(*DEVICE_COLS), list(DEVICE_COLS), "left_anti")
+        return join_same(existing, devices.select(*DEVICE_COLS), DEVICE_COLS, "left_anti")
     raise ValueError(f"unknown init mode {init_mode}")
 
 

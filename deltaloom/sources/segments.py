@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from deltaloom.functions.columns import join_same
+
 LOG, TXN, METADATA = "log", "txn", "metadata"
 
 LOG_SCHEMA = (
@@ -336,7 +338,7 @@ def segment_metadata(rows: DataFrame) -> DataFrame:
 def ready_segments(log: DataFrame, metadata: DataFrame) -> DataFrame:
     """Rows of segments that are not applied yet (segments without metadata are ready)."""
     applied = metadata.where(F.col("status") == "APPLIED").select("_device_id", "_segment")
-    return log.join(applied, ["_device_id", "_segment"], "left_anti").select(*log.columns)
+    return join_same(log, applied, ["_device_id", "_segment"], "left_anti").select(*log.columns)
 
 
 def device_of(path_column: str = "_file", pattern: str = DEVICE_DIR):

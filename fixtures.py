@@ -452,7 +452,25 @@ def kv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kv_as_of() -> Column:
-    return F.expr("TIMESTAMP_NTZ'2024-01-20 00:00:00'")
+    """An instant after the last event."""
+    return F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'")
+
+
+def kv_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as calls on one key per user, which is written, given two days, deleted and written again."""
+    events = table(spark, sf_dir, "events")
+    kind, e = F.col("event_type"), F.col("event_id")
+    call = F.when(kind == "click", HSET).when(kind == "purchase", RPUSH).when(kind == "view", SADD).when(kind == "error", EXPIRE).otherwise(DEL)
+    return kv_log(
+        events,
+        ord=e,
+        ts=F.col("ts"),
+        call=call,
+        key=F.concat(F.lit("session:"), F.col("user_id")),
+        fields=F.when(kind == "click", F.create_map((e % 5).cast("string"), F.col("value").cast("string"))),
+        members=F.when(kind == "purchase", F.array(e.cast("string"))).when(kind == "view", F.array((e % 7).cast("string"))),
+        ttl=F.when(kind == "error", 2 * 86400),
+    )
 
 
 # -- L7: diff pair ---------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import fixtures as fx
+from deltaloom.functions.columns import join_same
 from deltaloom.operators import evolve
 from deltaloom.operators import monitor as mon
 from deltaloom.operators import query as q
@@ -58,6 +59,34 @@ def sync_latency(spark, sf):
     return device(mon.sync_latency(fx.orders_log(spark, sf, redelivered=False), fx.orders_marks(spark, sf)))
 
 
+def unnamed(df):
+    """The frame as if dev-1, which has been applied in part, had no name."""
+    return df.withColumn("_device_name", F.when(F.col("_device_id") != "dev-1", F.col("_device_name")))
+
+
+#: SQL of the same: devices are joined by id.
+UNNAMED = "CASE WHEN device_id <> 'dev-1' THEN device_name END AS device_name"
+
+
+@add("latency_null_names", f"WITH {LOG}, {cf.MARKS}, {LATENCY} SELECT * REPLACE ({UNNAMED}) FROM latency")
+def latency_null_names(spark, sf):
+    log, marks = unnamed(fx.orders_log(spark, sf, redelivered=False)), unnamed(fx.orders_marks(spark, sf))
+    return device(mon.sync_latency(log, marks))
+
+
+@add(
+    "status_null_names",
+    f"WITH {LOG}, {cf.MARKS}, {LATENCY}, {STATUS} SELECT s.device_id, CASE WHEN s.device_id <> 'dev-1' THEN s.device_name END AS device_name, s.state, heartbeat, "
+    "count(*) AS oper_count, count(DISTINCT log.commit_id) AS txn_count FROM status s JOIN log USING (device_id) GROUP BY ALL",
+)
+def status_null_names(spark, sf):
+    """Status and statistics of devices, one without a name."""
+    log, marks = unnamed(fx.orders_log(spark, sf, redelivered=False)), unnamed(fx.orders_marks(spark, sf))
+    status = mon.sync_status(unnamed(fx.orders_devices(spark, sf)), marks, paused(spark, sf))
+    stats = mon.sync_statistics(log).select("_device_id", "_device_name", "oper_count", "txn_count")
+    return device(join_same(status, stats, ["_device_id", "_device_name"]))
+
+
 @add("sync_status", f"WITH {LOG}, {cf.MARKS}, {LATENCY}, {STATUS} SELECT * FROM status")
 def sync_status(spark, sf):
     """dev-0 is paused, dev-1 runs, the others never synced."""
@@ -75,18 +104,27 @@ def table_statistics(spark, sf):
     return device(mon.table_statistics(log, F.lit("orders")))
 
 
-@add(
-    "fleet_dashboard",
+FLEET = (
     f"WITH {LOG}, {cf.MARKS}, {LATENCY}, {STATUS} SELECT count(*) AS devices, count(*) FILTER (state = 'Running') AS running, "
     "count(*) FILTER (state = 'Paused') AS paused, count(*) FILTER (state = 'NotInitialized') AS not_initialized, "
-    "(SELECT count(*) FROM log) AS oper_count, (SELECT max(latency_ms) FROM latency) AS max_latency_ms FROM status",
+    "(SELECT count(*) FROM log) AS oper_count, (SELECT max(latency_ms) FROM latency) AS max_latency_ms FROM status"
 )
+
+
+@add("fleet_dashboard", FLEET)
 def fleet_dashboard(spark, sf):
     return mon.fleet_dashboard(
         fx.orders_log(spark, sf, redelivered=False), fx.orders_marks(spark, sf), paused(spark, sf)
     )
 
 
+@add("fleet_null_names", FLEET)
+def fleet_null_names(spark, sf):
+    """A device without a name counts like any other."""
+    log, marks = unnamed(fx.orders_log(spark, sf, redelivered=False)), unnamed(fx.orders_marks(spark, sf))
+    return mon.fleet_dashboard(log, marks, paused(spark, sf))
+
+
 @add(
     "throughput",
     f"WITH {LOG} SELECT device_id, device_name, time_bucket(INTERVAL 1 MINUTE, {cf.at('commit_id')}) AS bucket, "
@@ -137,6 +175,24 @@ def diff_report(spark, sf):
     return val.difference_report(source, dest, ["o_orderkey"])
 
 
+@add("diff_null_keys", f"SELECT nullif(o_orderkey, 17) AS o_orderkey, kind FROM ({KINDS})")
+def diff_null_keys(spark, sf):
+    """A row whose key is null is found on the other side; it differs in its status only."""
+    source, dest = (df.withColumn("o_orderkey", F.expr("nullif(o_orderkey, 17)")) for df in fx.diff_pair(spark, sf))
+    return val.compare_rows(source, dest, ["o_orderkey"])
+
+
+@add(
+    "diff_report_null_keys",
+    f"SELECT nullif(d.o_orderkey, 17) AS o_orderkey, kind, CASE WHEN kind = 'mismatched' THEN 'o_orderstatus' END AS column_name, "
+    "CASE WHEN kind = 'mismatched' THEN o_orderstatus END AS source_value, "
+    f"CASE WHEN kind = 'mismatched' THEN 'Q' END AS dest_value FROM ({KINDS}) d LEFT JOIN orders o ON d.o_orderkey = o.o_orderkey",
+)
+def diff_report_null_keys(spark, sf):
+    source, dest = (df.withColumn("o_orderkey", F.expr("nullif(o_orderkey, 17)")) for df in fx.diff_pair(spark, sf))
+    return val.difference_report(source, dest, ["o_orderkey"])
+
+
 LINE = "l_orderkey, l_partkey, l_quantity, l_returnflag"
 
 

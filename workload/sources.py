@@ -271,17 +271,15 @@ def append_only_split(spark, sf):
 
 # -- key-value state ----------------------------------------------------------------------------
 
-CUT = "ts < TIMESTAMP '2024-01-20 00:00:00'"
+#: Last value per user, and whether its deadlines have passed: after it each error gives an hour, unless the hour before has run out by then.
+STRINGS = """s AS (SELECT user_id, max(event_id) AS at, arg_max(value, event_id) AS v FROM events WHERE event_type = 'view' GROUP BY 1),
+    x AS (SELECT e.user_id, bool_and(e.ts + INTERVAL 3600 SECOND > coalesce(e.later, TIMESTAMP '2024-02-01 00:00:00')) AS alive
+      FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS later FROM events WHERE event_type = 'error') e
+      JOIN s ON e.user_id = s.user_id AND e.event_id > s.at GROUP BY 1),
+    live AS (SELECT s.user_id, v FROM s LEFT JOIN x ON s.user_id = x.user_id WHERE coalesce(alive, true))"""
 
 
-@add(
-    "kv_strings",
-    f"""WITH e AS (SELECT * FROM events WHERE {CUT}),
-    s AS (SELECT user_id, max(event_id) AS at, arg_max(value, event_id) AS v FROM e WHERE event_type = 'view' GROUP BY 1),
-    x AS (SELECT user_id, max(event_id) AS at, arg_max(ts, event_id) AS ts FROM e WHERE event_type = 'error' GROUP BY 1)
-    SELECT 'user:' || s.user_id AS "key", v AS "value" FROM s LEFT JOIN x ON s.user_id = x.user_id
-    WHERE x.at IS NULL OR x.at < s.at OR x.ts + INTERVAL 3600 SECOND > TIMESTAMP '2024-01-20 00:00:00'""",
-)
+@add("kv_strings", f"WITH {STRINGS} SELECT 'user:' || user_id AS \"key\", v AS \"value\" FROM live")
 def kv_strings(spark, sf):
     """Live string keys after expiry."""
     state = kv.strings(fx.kv_events(spark, sf), fx.kv_as_of())
@@ -290,25 +288,47 @@ def kv_strings(spark, sf):
 
 @add(
     "kv_strings_unexpired",
-    f"SELECT 'user:' || user_id AS \"key\", arg_max(value, event_id) AS \"value\" FROM events WHERE {CUT} "
-    "AND event_type = 'view' GROUP BY 1",
+    f"WITH {STRINGS.replace("coalesce(e.later, TIMESTAMP '2024-02-01 00:00:00')", "coalesce(e.later, e.ts)")} "
+    "SELECT 'user:' || user_id AS \"key\", v AS \"value\" FROM live",
 )
 def kv_strings_unexpired(spark, sf):
-    return kv.strings(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).select("key", F.col("value").cast("double").alias("value"))
+    """Without an instant only calls can find that a deadline has passed."""
+    return kv.strings(fx.kv_events(spark, sf)).select("key", F.col("value").cast("double").alias("value"))
 
 
-@add(
-    "kv_get",
-    f"WITH s AS (SELECT user_id, arg_max(value, event_id) AS v FROM events WHERE {CUT} AND event_type = 'view' GROUP BY 1) "
-    "SELECT 'user:' || c_custkey AS \"key\", v AS \"value\" FROM customer LEFT JOIN s ON c_custkey = user_id",
-)
+@add("kv_get", f"WITH {STRINGS} SELECT 'user:' || c_custkey AS \"key\", v AS \"value\" FROM customer LEFT JOIN live ON c_custkey = user_id")
 def kv_get(spark, sf):
     keys = fx.table(spark, sf, "customer").select(F.concat(F.lit("user:"), F.col("c_custkey")).alias("key"))
-    return kv.get(fx.kv_events(spark, sf), keys, fx.kv_as_of(), expire=False).select("key", F.col("value").cast("double").alias("value"))
+    return kv.get(fx.kv_events(spark, sf), keys, fx.kv_as_of()).select("key", F.col("value").cast("double").alias("value"))
+
+
+#: Walks each user's events in order: whether the session lives, until when, and since which event.
+SESSIONS = """WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+    s AS (
+      SELECT user_id, 0::BIGINT AS rn, false AS alive, NULL::TIMESTAMP AS deadline, NULL::BIGINT AS born FROM events GROUP BY user_id
+      UNION ALL
+      SELECT user_id, rn, CASE event_type WHEN 'signup' THEN false WHEN 'error' THEN live ELSE true END,
+        CASE WHEN NOT live OR event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN ts + INTERVAL 2 DAY ELSE deadline END,
+        CASE WHEN live OR event_type IN ('signup', 'error') THEN born ELSE event_id END
+      FROM (SELECT e.*, s.alive AND coalesce(s.deadline > e.ts, true) AS live, s.deadline, s.born FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1)
+    ),
+    z AS (SELECT user_id, arg_max(born, rn) AS born FROM s GROUP BY 1
+      HAVING arg_max(alive AND coalesce(deadline > TIMESTAMP '2024-02-01 00:00:00', true), rn)),
+    w AS (SELECT 'session:' || e.user_id AS "key", e.* FROM e JOIN z ON e.user_id = z.user_id AND event_id >= born)
+    SELECT 'hash' AS kind, "key", (event_id % 5)::VARCHAR AS item, arg_max(value, event_id) AS "value" FROM w WHERE event_type = 'click' GROUP BY ALL
+    UNION ALL SELECT 'list', "key", (row_number() OVER (PARTITION BY "key" ORDER BY event_id))::VARCHAR, event_id::DOUBLE FROM w WHERE event_type = 'purchase'
+    UNION ALL SELECT DISTINCT 'set', "key", (event_id % 7)::VARCHAR, NULL::DOUBLE FROM w WHERE event_type = 'view'"""
+
+
+@add("kv_write_after_expiry", SESSIONS)
+def kv_write_after_expiry(spark, sf):
+    """Everything alive in keys that die by deadline or deletion and live again from their next write on."""
+    state = kv.full_state(fx.kv_sessions(spark, sf), fx.kv_as_of())
+    return state.select("kind", "key", "item", F.col("value").cast("double").alias("value"))
 
 
 HASH_ALIVE = (
-    f"e AS (SELECT * FROM events WHERE {CUT}), "
+    "e AS (SELECT * FROM events), "
     "d AS (SELECT user_id, max(event_id) AS del FROM e WHERE event_type = 'signup' GROUP BY 1)"
 )
 
@@ -320,30 +340,30 @@ HASH_ALIVE = (
     "WHERE event_type = 'click' AND (del IS NULL OR event_id > del) GROUP BY 1, 2",
 )
 def kv_hashes(spark, sf):
-    return kv.hashes(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).select("key", "field", F.col("value").cast("double").alias("value"))
+    return kv.hashes(fx.kv_events(spark, sf), fx.kv_as_of()).select("key", "field", F.col("value").cast("double").alias("value"))
 
 
 @add(
     "kv_lists",
     "SELECT 'q:' || user_id AS \"key\", row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS position, "
-    f"event_id::VARCHAR AS \"value\" FROM events WHERE {CUT} AND event_type = 'purchase'",
+    f"event_id::VARCHAR AS \"value\" FROM events WHERE event_type = 'purchase'",
 )
 def kv_lists(spark, sf):
-    return kv.lists(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
+    return kv.lists(fx.kv_events(spark, sf), fx.kv_as_of())
 
 
 @add(
     "kv_sets",
-    f"SELECT DISTINCT 's:' || user_id AS \"key\", (event_id % 7)::VARCHAR AS member FROM events WHERE {CUT} "
-    "AND event_type = 'click'",
+    f"SELECT DISTINCT 's:' || user_id AS \"key\", (event_id % 7)::VARCHAR AS member FROM events "
+    "WHERE event_type = 'click'",
 )
 def kv_sets(spark, sf):
-    return kv.sets(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
+    return kv.sets(fx.kv_events(spark, sf), fx.kv_as_of())
 
 
 BOARD = (
-    f"SELECT user_id::VARCHAR AS member, arg_max(value, event_id) AS score FROM events WHERE {CUT} "
-    "AND event_type = 'purchase' GROUP BY 1"
+    f"SELECT user_id::VARCHAR AS member, arg_max(value, event_id) AS score FROM events "
+    "WHERE event_type = 'purchase' GROUP BY 1"
 )
 
 
@@ -353,17 +373,17 @@ BOARD = (
 )
 def kv_sorted_sets(spark, sf):
     """One key holds all members: ranked across partitions, not in one task."""
-    return kv.sorted_sets(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False)
+    return kv.sorted_sets(fx.kv_events(spark, sf), fx.kv_as_of())
 
 
 @add(
     "kv_full_state",
-    f"WITH {HASH_ALIVE} SELECT 'hash' AS kind, count(DISTINCT (e.user_id, event_id % 5)) AS n FROM e "
+    f"WITH {HASH_ALIVE}, {STRINGS} SELECT 'hash' AS kind, count(DISTINCT (e.user_id, event_id % 5)) AS n FROM e "
     "LEFT JOIN d ON e.user_id = d.user_id WHERE event_type = 'click' AND (del IS NULL OR event_id > del) "
-    "UNION ALL SELECT 'string', count(DISTINCT user_id) FROM e WHERE event_type = 'view' "
+    "UNION ALL SELECT 'string', count(*) FROM live "
     "UNION ALL SELECT 'list', count(*) FROM e WHERE event_type = 'purchase' "
     "UNION ALL SELECT 'set', count(DISTINCT (user_id, event_id % 7)) FROM e WHERE event_type = 'click' "
     "UNION ALL SELECT 'zset', count(DISTINCT user_id) FROM e WHERE event_type = 'purchase'",
 )
 def kv_full_state(spark, sf):
-    return kv.full_state(fx.kv_events(spark, sf), fx.kv_as_of(), expire=False).groupBy("kind").agg(F.count("*").alias("n"))
+    return kv.full_state(fx.kv_events(spark, sf), fx.kv_as_of()).groupBy("kind").agg(F.count("*").alias("n"))

@@ -173,6 +173,39 @@ def truncate_scoped(spark, sf):
     return consolidate(log, fx.orders_spec(spark, sf), (*fx.ORDERS_OPS, TRUNCATE))
 
 
+def unnamed(log: DataFrame, device: str) -> DataFrame:
+    """The log as if one device had no name."""
+    return log.withColumn("_device_name", F.when(F.col("_device_id") != device, F.col("_device_name")))
+
+
+@add(
+    "truncate_null_names",
+    cf.orders_rows(where=f"{cf.ALIVE} AND (o_custkey % 4 <> 1 OR o_orderkey % 21 = 0)").replace(cf.NAME, NULL_NAME.replace("<> 2", "<> 1")),
+)
+def truncate_null_names(spark, sf):
+    """dev-1 has no name; what it wrote before its TRUNCATE goes all the same."""
+    log = unnamed(fx.orders_log(spark, sf).unionByName(fx.orders_truncate(spark, sf)), "dev-1")
+    return consolidate(log, fx.orders_spec(spark, sf), (*fx.ORDERS_OPS, TRUNCATE))
+
+
+@add(
+    "init_delete_null_names",
+    (
+        cf.orders_rows(where=f"{cf.ALIVE} AND o_custkey % 4 <> 0")
+        + " UNION ALL "
+        + cf.orders_rows("o_orderstatus", "o_orderpriority", "o_custkey % 4 = 0", cf.commit("0"))
+    ).replace(cf.NAME, NULL_NAME.replace("<> 2", "<> 0")),
+)
+def init_delete_null_names(spark, sf):
+    """dev-0 has no name and starts over in a shared table: its rows go, then it loads again."""
+    spec = fx.orders_spec(spark, sf)
+    existing = fold(unnamed(fx.orders_log(spark, sf), "dev-0"), spec, fx.ORDERS_OPS)
+    devices = unnamed(fx.orders_devices(spark, sf).where(F.col("_device_id") == "dev-0"), "dev-0")
+    state = initial_state(existing, devices, TRY_CREATE_DELETE_DATA, shared=True)
+    again = unnamed(fx.orders_log(spark, sf, segments=range(1)).where(F.col("_device_id") == "dev-0"), "dev-0")
+    return consolidate(again, spec, fx.ORDERS_OPS, state)
+
+
 def with_bulk(spark, sf, delete, update):
     spec = fx.orders_spec(spark, sf)
     bulk = fx.orders_bulk(spark, sf, delete, update)
@@ -201,6 +234,17 @@ def bulk_changes_in_order(spark, sf):
     return with_bulk(spark, sf, True, True).drop("sys_update_ts")
 
 
+@add(
+    "bulk_null_names",
+    cf.orders_rows(BULK_STATUS, where=f"{cf.ALIVE} AND NOT {GONE}", stamp=None).replace(cf.NAME, NULL_NAME),
+)
+def bulk_null_names(spark, sf):
+    """dev-2, which issues the bulk statements, has no name."""
+    spec = fx.orders_spec(spark, sf)
+    log, bulk = (unnamed(x, "dev-2") for x in (fx.orders_log(spark, sf), fx.orders_bulk(spark, sf, True, True)))
+    return tag_devices(barriers.fold_with_bulk(log, bulk, spec, fx.ORDERS_OPS), spec.columns).drop("sys_update_ts")
+
+
 @add(
     "update_where_by_parameters",
     "WITH n AS (SELECT n_nationkey, 'seg-' || n_regionkey AS seg FROM nation) "
