@@ -405,17 +405,38 @@ def union_evolving(*frames: DataFrame) -> DataFrame:
     return result
 
 
-def json_columns(df: DataFrame, column: str) -> list[str]:
-    """The field names that occur in a JSON column (distinct on the cluster)."""
-    keys = df.select(F.explode(F.json_object_keys(column)).alias("k")).distinct().orderBy("k")
-    return [r["k"] for r in keys.collect()]
+#: JSON fields that become columns of their own, at most.
+JSON_COLUMNS = 1000
 
 
-def add_json_columns(df: DataFrame, column: str, types: Mapping[str, str] | None = None) -> DataFrame:
-    """One column per JSON field ever seen; overrides give types."""
-    types = types or {}
-    path = [F.get_json_object(column, f"$.{k}").try_cast(types.get(k, "string")).alias(k) for k in json_columns(df, column)]
-    return df.select(*[c for c in df.columns if c != column], *path)
+def json_columns(df: DataFrame, column: str, most: int = JSON_COLUMNS) -> tuple[list[str], bool]:
+    """The most frequent field names of a JSON column, by name, and whether there are more. Only ``most`` names leave the cluster."""
+    keys = df.select(F.explode(F.json_object_keys(column)).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    found = [r["k"] for r in keys.orderBy(F.desc("n"), "k").limit(most + 1).collect()]
+    return sorted(found[:most]), len(found) > most
+
+
+def add_json_columns(
+    df: DataFrame, column: str, types: Mapping[str, str] | None = None, most: int = JSON_COLUMNS, rest: str = "_rest"
+) -> DataFrame:
+    """One column per JSON field ever seen; overrides give types.
+
+    Beyond ``most`` fields the less frequent ones stay in the column ``rest``, the parsed object as a VARIANT, so a table of events with
+    a hundred thousand field names keeps a readable schema and loses nothing. Fields with a type in ``types`` always get a column.
+    """
+    types = dict(types or {})
+    names, more = json_columns(df, column, most)
+    parsed = df.withColumn(rest, F.try_parse_json(column))
+
+    def field(key: str) -> Column:
+        quote = "'" if "'" not in key else '"'
+        return F.try_variant_get(rest, f"$[{quote}{key}{quote}]", types.get(key, "string")).alias(key)
+
+    named = sorted({*names, *types})
+    plain = [k for k in named if not ("'" in k and '"' in k) and k]  # no path can name the others: they stay in the object
+    more = more or len(plain) < len(named)
+    kept = [c for c in df.columns if c != column]
+    return parsed.select(*kept, *[field(k) for k in plain], *([rest] if more else []))
 
 
 def override_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

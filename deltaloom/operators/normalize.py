@@ -40,24 +40,14 @@ def expand_transactions(master: DataFrame, txn: DataFrame) -> tuple[DataFrame, D
     reported, and its device is held back from that position on: applying what
     follows would reorder its commits.
     """
-    is_control = F.col("sql").rlike(st.REPLAY_TXN)
-    commit = F.coalesce(
-        st.piece(F.col("sql"), st.REPLAY_TXN, 1).cast("bigint"),
-        F.try_element_at("args", F.lit(1)).cast("string").cast("bigint"),
-        F.col("_commit_id"),
-    )
-    controls = master.where(is_control).select(
-        *DEVICE_COLS, "_segment", F.col("_seq").alias("_at"), commit.alias("_commit_id")
-    )
+    controls, expanded = _published(master, txn)
     key = [*DEVICE_COLS, "_segment", "_commit_id"]
-    rows = join_same(txn.withColumn("_txn_seq", F.col("_seq")).drop("_seq"), controls, key)
-    expanded = rows.withColumnRenamed("_at", "_seq").select(*LOG_COLS)
     published = txn.select(*key).distinct()
     unmatched = join_same(controls, published, key, "left_anti")
     held = unmatched.groupBy(*DEVICE_COLS).agg(
         F.min(F.struct(F.col("_segment"), F.col("_at").alias("_seq"))).alias("_held")
     )
-    log = master.where(~F.coalesce(is_control, F.lit(False))).select(*LOG_COLS).unionByName(expanded)
+    log = _direct(master).unionByName(expanded)
     ready = (
         join_same(log, held, DEVICE_COLS, "left")
         .where(F.col("_held").isNull() | (F.struct("_segment", "_seq") < F.col("_held")))
@@ -66,6 +56,34 @@ def expand_transactions(master: DataFrame, txn: DataFrame) -> tuple[DataFrame, D
     return ready, unmatched.withColumnRenamed("_at", "_seq")
 
 
+def _published(master: DataFrame, txn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Control rows of a log, and the rows of their transactions at the control rows' places."""
+    commit = F.coalesce(
+        st.piece(F.col("sql"), st.REPLAY_TXN, 1).cast("bigint"),
+        F.try_element_at("args", F.lit(1)).cast("string").cast("bigint"),
+        F.col("_commit_id"),
+    )
+    controls = master.where(F.col("sql").rlike(st.REPLAY_TXN)).select(
+        *DEVICE_COLS, "_segment", F.col("_seq").alias("_at"), commit.alias("_commit_id")
+    )
+    rows = join_same(txn.withColumn("_txn_seq", F.col("_seq")).drop("_seq"), controls, [*DEVICE_COLS, "_segment", "_commit_id"])
+    return controls, rows.withColumnRenamed("_at", "_seq").select(*LOG_COLS)
+
+
+def _direct(master: DataFrame) -> DataFrame:
+    return master.where(~F.coalesce(F.col("sql").rlike(st.REPLAY_TXN), F.lit(False))).select(*LOG_COLS)
+
+
+def expand_transaction_stream(master: DataFrame, txn: DataFrame) -> DataFrame:
+    """S07, C02 on streams: the log with the rows of published transactions in place of their control rows.
+
+    A stream-stream join: whichever half comes first, control row or transaction, is kept as state until the other comes, so files may come in
+    any order and a restart goes on with what waits. Rows carry their place in the log; a transaction that comes late comes after rows
+    that stand behind it, so whoever applies the stream sorts by place or holds a device with an open control row back.
+    """
+    return _direct(master).unionByName(_published(master, txn)[1])
+
+
 # -- C03 / C04: statements to typed changes ----------------------------------------
 
 

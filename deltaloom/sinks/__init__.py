@@ -1 +1 @@
-"""Where results go: writers, versioned tables, change-log files, fan-out."""
+"""Where results go: writers, tables kept as change batches, change-log files, fan-out."""

@@ -51,6 +51,7 @@ class SegmentRange:
     index: int
     count: int
     size: int
+    arrived: int
 
 
 @dataclass
@@ -78,15 +79,16 @@ def _packed(parts: list[SegmentRange]) -> list[SegmentPack]:
     return packs or [SegmentPack([])]
 
 
-def _walk(root: str) -> Iterator[tuple[str, int]]:
-    """Files below a folder with their sizes; other file systems through Arrow."""
+def _walk(root: str) -> Iterator[tuple[str, int, int]]:
+    """Files below a folder with their sizes and when they came there (ns); other file systems through Arrow."""
     local = root[len("file:"):] if root.startswith("file:") else root
     if "://" not in local:
         local = "/" + local.lstrip("/") if root.startswith("file:") else local
         for folder, _, names in os.walk(local):
             for name in names:
                 path = os.path.join(folder, name)
-                yield path, os.path.getsize(path)
+                found = os.stat(path)
+                yield path, found.st_size, found.st_ctime_ns  # a file moved into place keeps its time of modification
         return
     from pyarrow import fs
 
@@ -94,7 +96,7 @@ def _walk(root: str) -> Iterator[tuple[str, int]]:
     scheme = root.split("://", 1)[0]
     for info in files.get_file_info(fs.FileSelector(base, recursive=True)):
         if info.type == fs.FileType.File:
-            yield f"{scheme}://{info.path}", info.size
+            yield f"{scheme}://{info.path}", info.size, info.mtime_ns or 0
 
 
 def _segments(options: dict[str, str]) -> list[SegmentRange]:
@@ -102,7 +104,7 @@ def _segments(options: dict[str, str]) -> list[SegmentRange]:
     pattern = re.compile(options.get("devicepattern", DEVICE_DIR) + FILE_NAMES[kind])
     split = int(options.get("splitbytes", 256 * 1024 * 1024))
     found = []
-    for path, size in _walk(options["path"]):
+    for path, size, arrived in _walk(options["path"]):
         match = pattern.search(path)
         if match is None:
             continue
@@ -119,6 +121,7 @@ def _segments(options: dict[str, str]) -> list[SegmentRange]:
                     index,
                     count,
                     size,
+                    arrived,
                 )
             )
     return sorted(found, key=lambda s: (s.segment, s.device_id, s.path, s.index))
@@ -283,6 +286,38 @@ class SegmentStreamReader(DataSourceStreamReader):
         pass
 
 
+class TransactionStreamReader(DataSourceStreamReader):
+    """Transaction files in the order in which they come: one file may come long after its segment.
+
+    An offset is the time of arrival reached, with the files that came at that very moment.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+
+    def initialOffset(self) -> dict:
+        return {"arrived": 0, "files": "[]"}
+
+    def latestOffset(self) -> dict:
+        found = _segments(self.options)
+        last = max((p.arrived for p in found), default=0)
+        return {"arrived": last, "files": json.dumps(sorted(p.path for p in found if p.arrived == last))}
+
+    def partitions(self, start: dict, end: dict):
+        def seen(offset: dict):
+            at, files = offset["arrived"], set(json.loads(offset["files"]))
+            return lambda p: p.arrived < at or (p.arrived == at and p.path in files)
+
+        before, until = seen(start), seen(end)
+        return _packed([p for p in _segments(self.options) if until(p) and not before(p)])
+
+    def read(self, partition: SegmentPack):
+        return SegmentReader(self.options).read(partition)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class SegmentSource(DataSource):
     """``spark.read.format("logsegments")``: options path, kind, devicePattern, fill, splitBytes."""
 
@@ -299,8 +334,9 @@ class SegmentSource(DataSource):
     def reader(self, schema) -> SegmentReader:
         return SegmentReader(self._plain())
 
-    def streamReader(self, schema) -> SegmentStreamReader:
-        return SegmentStreamReader(self._plain())
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        options = self._plain()
+        return (TransactionStreamReader if options.get("kind", LOG) == TXN else SegmentStreamReader)(options)
 
 
 def _reader(spark: SparkSession, path: str, streaming: bool, **options):
@@ -317,9 +353,9 @@ def scan_log(spark: SparkSession, path: str, device_pattern: str | None = None,
     return _reader(spark, path, streaming, kind=LOG, devicePattern=device_pattern, fill=str(fill), splitBytes=split_bytes, firstSegment=first_segment)
 
 
-def scan_transactions(spark: SparkSession, path: str, device_pattern: str | None = None) -> DataFrame:
-    """Rows of per-commit files; the commit id comes from the file name."""
-    return _reader(spark, path, False, kind=TXN, devicePattern=device_pattern)
+def scan_transactions(spark: SparkSession, path: str, device_pattern: str | None = None, streaming: bool = False) -> DataFrame:
+    """Rows of per-commit files; the commit id comes from the file name. As a stream, files in the order of their arrival."""
+    return _reader(spark, path, streaming, kind=TXN, devicePattern=device_pattern)
 
 
 def scan_metadata(spark: SparkSession, path: str, device_pattern: str | None = None) -> DataFrame:

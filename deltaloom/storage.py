@@ -70,7 +70,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def file_system(spark: SparkSession, path: str):
-    """Hadoop file system and path object for a driver-side listing or marker."""
+    """Hadoop file system and path object for a driver-side listing."""
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -81,27 +81,3 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, hadoop_path = file_system(spark, path)
-    stream = fs.open(hadoop_path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file in full under another name, then rename it into place."""
-    fs, target = file_system(spark, path)
-    if fs.exists(target):
-        raise FileExistsError(path)
-    _, staged = file_system(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")
-    stream = fs.create(staged, False)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    if not fs.rename(staged, target):
-        raise FileExistsError(path)

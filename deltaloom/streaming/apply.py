@@ -1,4 +1,4 @@
-"""Change streams applied to versioned tables."""
+"""Change streams applied to tables."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from deltaloom.model import INSERT, ROW_OPS, TableSpec, order_of
 from deltaloom.operators.fold import compact
-from deltaloom.sinks.versioned import VersionedTable
+from deltaloom.sinks.changetable import ChangeTable
 
 
 def read_change_files(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -28,23 +28,23 @@ def _trigger(writer, seconds: int | None):
 
 def start_apply(
     stream: DataFrame,
-    table: VersionedTable,
+    table: ChangeTable,
     checkpoint: str,
-    ops: Iterable[str] = ROW_OPS,
     every_seconds: int | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    snapshot_every: int | None = 64,
 ) -> StreamingQuery:
-    """Fold each micro-batch into the table, exactly once.
+    """Add each micro-batch to the table, exactly once.
 
-    The batch number is part of the table's manifest, so a batch that Spark
-    replays after a restart is skipped, and per-device marks drop rows that were
-    delivered before. Rows of paused devices, and rows behind a missing segment
-    if the table states its first segment, wait in the table (R04, R07). ``prepare`` can filter or map a batch first.
+    A batch is a folder of the table with the batch's number, so one that Spark replays after a restart is skipped if it was finished and written
+    again if not. Rows of paused devices, and rows behind a missing segment if the table states its first segment, wait in the table
+    (R04, R07). ``prepare`` can filter or map a batch first. Every ``snapshot_every`` batches the table is folded into a snapshot.
     """
-    ops = tuple(ops)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.apply(batch if prepare is None else prepare(batch), batch_id, ops)
+        table.apply(batch if prepare is None else prepare(batch), batch_id)
+        if snapshot_every and (batch_id + 1) % snapshot_every == 0:
+            table.snapshot()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every_seconds).start()
@@ -63,7 +63,7 @@ def start_fan_out(
 ) -> StreamingQuery:
     """One stream, several destinations. The batch is read once.
 
-    Each destination must skip batch numbers it has seen (a VersionedTable
+    Each destination must skip batch numbers it has seen (a ChangeTable
     does): after a failure in one, Spark replays the batch to all of them.
     """
 
@@ -127,19 +127,19 @@ def start_compaction(
     return _trigger(writer, every_seconds).start()
 
 
-def reinitialise(table: VersionedTable, device_id: str, clean: bool, shared: bool, seed: DataFrame | None = None) -> None:
-    """Forget a device's progress, optionally its rows, and re-seed it.
+def reinitialise(table: ChangeTable, device_id: str, clean: bool, shared: bool, seed: DataFrame | None = None) -> None:
+    """Forget a device's progress and what waited of it, optionally its rows, and re-seed it.
 
     In a shared (consolidated) table ``clean`` is a no-op. ``seed`` is a state
     frame with the device's current snapshot.
     """
-    of_device = F.col("_device_id") == device_id
+    others = ~F.col("_device_id").eqNullSafe(F.lit(device_id))
     state = table.read()
     if (clean and not shared) or seed is not None:
-        state = state.where(~of_device)
+        state = state.where(others)
     if seed is not None:
         state = state.unionByName(seed)
-    table.replace(state, table.marks().where(~of_device))
+    table.write_snapshot(state, table.marks().where(others), table.waiting().where(others))
 
 
 def appended_only(stream: DataFrame) -> DataFrame:

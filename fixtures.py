@@ -173,6 +173,13 @@ def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_changes(rows, customer_spec(spark, sf_dir), "dev-0", "branch-0", EPOCH)
 
 
+def customer_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers but the new ones, the odd multiples of 3: with the changes every key is seen."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").where((k % 2 == 0) | (k % 3 != 0))
+    return base_changes(rows, customer_spec(spark, sf_dir), "dev-0", "branch-0", EPOCH)
+
+
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INSERT changes that name only the key and ``c_acctbal = 0``."""
     spec = customer_spec(spark, sf_dir)
@@ -417,6 +424,31 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fleet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic per user and type; sign-ups are published on the user's own level."""
+    e = table(spark, sf_dir, "events")
+    own = F.concat(F.lit("fleet/"), F.col("user_id"))
+    return e.select("event_id", "user_id", F.when(F.col("event_type") == "signup", own).otherwise(F.concat_ws("/", own, "event_type")).alias("topic"))
+
+
+def fleet_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rules for alerts, two or three per customer, one for the rest."""
+    k = F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer")
+    own = customers.select(
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.struct((k * 2 + 10).alias("rule"), F.concat(F.lit("fleet/"), k, F.lit("/purchase")).alias("pattern"), F.concat(F.lit("sales_"), k % 7).alias("target")),
+                    F.when(k % 2 == 0, F.struct((k * 2 + 11).alias("rule"), F.concat(F.lit("fleet/"), k, F.lit("/#")).alias("pattern"), F.lit("even").alias("target"))),
+                )
+            )
+        ).alias("r")
+    ).select("r.*")
+    fixed = [(0, "+/+/error", "alerts"), (1, "fleet/+/click", "alerts"), (10**12, "fleet/#", "rest")]
+    return own.unionByName(spark.createDataFrame(fixed, "rule bigint, pattern string, target string"))
+
+
 # -- L6: key-value log --------------------------------------------------------------------
 
 def kv_events(spark: SparkSession, sf_dir: str) -> DataFrame:

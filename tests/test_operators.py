@@ -286,3 +286,28 @@ def test_key_values_at_an_instant(spark):
 def test_key_value_events_are_not_cut(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     assert fx.kv_events(spark, sf).where("ord % 2 = 0").count() == events.count()
+
+
+def test_comparison_by_buckets(spark):
+    """The same differences as the join of whole tables, with null keys, nested values and missing rows."""
+    rnd = random.Random(5)
+    rows = [(i if i % 50 else None, f"a{i % 7}", [i, None], float("nan") if i % 9 == 0 else i / 3) for i in range(1, 500)]
+    rows = [r for r in rows if r[0] is not None] + [(None, "x", None, None)]
+    other = [r if rnd.random() > 0.05 else (r[0], "changed", r[2], r[3]) for r in rows if rnd.random() > 0.03] + [(1000 + i, "new", [], 0.0) for i in range(5)]
+    schema = "id bigint, a string, b array<bigint>, c double"
+    s, d = spark.createDataFrame(rows, schema).repartition(3), spark.createDataFrame(other, schema).select("c", "b", "a", "id")
+    plain = lambda df: sorted(map(str, df.collect()))
+    expected = plain(validate.compare_rows(s, d, ["id"]))
+    assert expected and plain(validate.compare_by_buckets(s, d, ["id"], 64)) == expected
+    assert validate.compare_by_buckets(s, s.repartition(5), ["id"]).count() == 0
+    assert plain(validate.compare_by_buckets(s, s.limit(0), ["id"])) == plain(validate.compare_rows(s, s.limit(0), ["id"]))
+
+
+def test_a_hundred_thousand_field_names(spark):
+    rows = spark.range(100_000).selectExpr("id", """concat('{"f', id, '":', id, ',"often":"', id % 3, '","it\\'s":1.5}') AS j""")
+    wide = evolve.add_json_columns(rows, "j", {"often": "bigint"}, most=10)
+    assert len(wide.columns) == 12 and {"often", "it's", "_rest"} <= set(wide.columns)
+    r = wide.where("id = 70001").first()
+    assert (r["often"], r["it's"], r["_rest"].toPython()["f70001"]) == (2, "1.5", 70001)
+    few = evolve.add_json_columns(rows.limit(3), "j")
+    assert "_rest" not in few.columns and [tuple(x) for x in few.select("f1", "often").orderBy("id").collect()] == [(None, "0"), ("1", "1"), (None, "2")]

@@ -1,6 +1,5 @@
-"""Versioned tables, writers, fan-out, pausing, stateful rows."""
+"""Tables kept as change batches, writers, fan-out, pausing, stateful rows."""
 
-import json
 import random
 
 import pytest
@@ -12,57 +11,83 @@ from deltaloom.operators.fold import fold
 from deltaloom.operators.normalize import hold_gaps
 from deltaloom.plans import replay
 from deltaloom.sinks import writers
-from deltaloom.sinks.versioned import VersionedTable
+from deltaloom.sinks.changetable import ChangeTable
 from deltaloom.storage import broadcast_checked, broadcast_counted, cut_lineage, shared_dir
 from deltaloom.streaming import apply as st
 from deltaloom.streaming.current import _advance
 from test_fold import LOG, as_dict, random_log, simulate, spec_of
 
 
-def test_redelivery_in_later_batches_changes_nothing(spark, tmp_path):
+def table_of(spark, tmp_path, *ops, first_segment=None):
+    return ChangeTable(spark, str(tmp_path / "t"), spec_of(spark), (*ROW_OPS, *ops), first_segment)
+
+
+def bytes_below(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_redelivery_in_later_batches_changes_nothing(spark, tmp_path, snapshots):
     log = random_log(21, rows=400)
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=4)
+    table = table_of(spark, tmp_path)
     rnd = random.Random(1)
     for n, end in enumerate((150, 151, 400)):
         start = (0, 150, 151)[n]
         batch = log[start:end] + rnd.sample(log[:start], min(start, 60))
         assert table.apply(spark.createDataFrame(batch, LOG), n)
+        if snapshots:
+            table.snapshot()
     assert as_dict(table.read()) == simulate(log)
     assert not table.apply(spark.createDataFrame(random_log(22), LOG), 2)
     assert as_dict(table.read()) == simulate(log)
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=16)
-    rows = [("d", "n", 0, i, 0, i, INSERT, None, i, "x", i) for i in range(200)]
-    table.apply(spark.createDataFrame(rows, LOG), 0)
-    before = table.manifest()["buckets"]
-    table.apply(spark.createDataFrame([("d", "n", 1, 0, 0, 9, UPDATE, ["a"], 5, "y", None)], LOG), 1)
-    after = table.manifest()["buckets"]
-    assert len(before) == 16 and sum(before[b] != after[b] for b in before) == 1
-    assert table.read().where("a = 'y'").count() == 1 and table.read().count() == 200
+def test_a_scattered_batch_writes_no_more_than_itself(spark, tmp_path):
+    """20,000 rows stand in the table; changes of 20 keys all over it write some kilobytes, and no file that was there is touched."""
+    table = table_of(spark, tmp_path)
+    rows = spark.range(20_000).selectExpr("'d' _device_id", "'n' _device_name", "0L _segment", "id _seq", "0L _txn_seq", "id _commit_id",
+                                          f"'{INSERT}' _op", "cast(null as array<string>) _set_cols", "id", "uuid() a", "id b")
+    table.apply(rows, 0)
+    table.snapshot()
+    before, files = bytes_below(tmp_path), {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    table.apply(spark.createDataFrame([("d", "n", 1, i, 0, 9, UPDATE, ["a"], i * 1000, "y", None) for i in range(20)], LOG), 1)
+    assert bytes_below(tmp_path) - before < before / 20
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert table.read().where("a = 'y'").count() == 20 and table.read().count() == 20_000
 
 
-def test_truncate_reaches_untouched_buckets(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=8)
+def test_truncate_reaches_every_row_of_its_device(spark, tmp_path):
+    table = table_of(spark, tmp_path, TRUNCATE)
     rows = [(d, "n", 0, i, 0, i, INSERT, None, i, "x", i) for i in range(40) for d in ("d0", "d1")]
     table.apply(spark.createDataFrame(rows, LOG), 0)
+    table.snapshot()
     cut = [("d0", "n", 1, 0, 0, 9, TRUNCATE, None, None, None, None)]
-    table.apply(spark.createDataFrame(cut, LOG), 1, (*ROW_OPS, TRUNCATE))
+    table.apply(spark.createDataFrame(cut, LOG), 1)
     assert {r["_device_id"] for r in table.read().collect()} == {"d1"} and table.read().count() == 40
 
 
-def test_an_unpublished_version_is_invisible(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=2)
-    table.apply(spark.createDataFrame([("d", "n", 0, 1, 0, 1, INSERT, None, 1, "x", 1)], LOG), 0)
-    # a crash after the data was written, before the manifest was published
-    (tmp_path / "t" / "v=1-99" / "_bucket=0").mkdir(parents=True)
-    table.apply(spark.createDataFrame([("d", "n", 0, 2, 0, 2, INSERT, None, 2, "y", 2)], LOG), 1)
-    assert table.read().count() == 2 and table.manifest()["version"] == 1
-    with pytest.raises(FileExistsError):
-        from deltaloom.storage import publish_text
-
-        publish_text(spark, f"{table.root}/_commits/{1:012d}.json", json.dumps({}))
+def test_an_unfinished_batch_is_invisible_and_written_again(spark, tmp_path):
+    table = table_of(spark, tmp_path)
+    first, second = (spark.createDataFrame([("d", "n", 0, i, 0, i, INSERT, None, i, "x", i)], LOG) for i in (1, 2))
+    table.apply(first, 0)
+    table.apply(second, 1)
+    done = tmp_path / "t" / "changes" / "batch=000000000001" / "_SUCCESS"
+    done.rename(done.with_name("_started"))  # a crash before Spark's commit
+    assert table.read().count() == 1 and table.last_batch() == 0
+    assert table.apply(second, 1) and table.read().count() == 2
+    table.snapshot()
+    cut = next((tmp_path / "t" / "snapshots").iterdir()) / "state" / "_SUCCESS"
+    cut.rename(cut.with_name("_started"))
+    assert table.read().count() == 2 and not table.apply(second, 1)
+
+
+def test_late_rows_take_their_place(spark, tmp_path):
+    """Batches in any order give the table of the log in order, as long as no snapshot has folded later rows."""
+    log = random_log(23, rows=300)
+    table = table_of(spark, tmp_path)
+    for n, part in enumerate((log[200:], log[:100], log[100:200])):
+        table.apply(spark.createDataFrame(part, LOG), n)
+    assert as_dict(table.read()) == simulate(log)
 
 
 def test_gaps_hold_back_and_marks_release(spark):
@@ -78,22 +103,39 @@ def test_gaps_hold_back_and_marks_release(spark):
     assert hold_gaps(later, done)[1].count() == 0
 
 
-def test_pause_keeps_order_and_marks(spark, tmp_path):
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_pause_keeps_order_and_marks(spark, tmp_path, snapshots):
     log = random_log(31, rows=200)
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=4)
-    schema = spark.createDataFrame([], LOG).schema
+    table = table_of(spark, tmp_path)
+    table.apply(spark.createDataFrame(log[:50], LOG), 0)
     table.pause(["d0"])
-    table.apply(spark.createDataFrame(log[:100], LOG), 0)
-    assert VersionedTable(spark, table.root, table.spec, 4).paused() == ["d0"]
-    table.apply(spark.createDataFrame(log[100:], LOG), 1)
-    assert {k[0] for k in as_dict(table.read())} == {"d1"}
-    table.resume(["d0"], schema)
-    assert as_dict(table.read()) == simulate(log)
+    paused_at = simulate(log[:50])
+    for n, part in ((1, log[50:100]), (2, log[100:])):
+        table.apply(spark.createDataFrame(part, LOG), n)
+        if snapshots:
+            table.snapshot()
+    assert [r["_device_id"] for r in table_of(spark, tmp_path).paused().collect()] == ["d0"]
+    of_d0 = lambda rows: {k: v for k, v in rows.items() if k[0] == "d0"}
+    assert of_d0(as_dict(table.read())) == of_d0(paused_at)
+    assert table.waiting().select("_device_id").distinct().collect()[0][0] == "d0"
+    table.resume(["d0"])
+    assert as_dict(table.read()) == simulate(log) and table.waiting().count() == 0
+
+
+def test_a_missing_segment_holds_a_device_over_snapshots(spark, tmp_path):
+    table = table_of(spark, tmp_path, first_segment=0)
+    row = lambda s: spark.createDataFrame([("d", "n", s, 1, 0, s, INSERT, None, s, "x", s)], LOG)
+    for n, segment in enumerate((0, 2, 3)):
+        table.apply(row(segment), n)
+        table.snapshot()
+    assert {r["id"] for r in table.read().collect()} == {0} and table.waiting().count() == 2
+    table.apply(row(1), 3)
+    assert {r["id"] for r in table.read().collect()} == {0, 1, 2, 3} and table.waiting().count() == 0
 
 
 def test_reinitialise_shared_keeps_rows_and_forgets_progress(spark, tmp_path):
     log = random_log(41, rows=200)
-    table = VersionedTable(spark, str(tmp_path / "t"), spec_of(spark), buckets=4)
+    table = table_of(spark, tmp_path)
     table.apply(spark.createDataFrame(log, LOG), 0)
     st.reinitialise(table, "d0", clean=True, shared=True)
     assert as_dict(table.read()) == simulate(log)

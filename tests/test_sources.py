@@ -1,12 +1,16 @@
 """Segment files, JDBC options, messages, incremental reads."""
 
+import random
+import re
 import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
 
+from deltaloom.operators.normalize import LOG_COLS, expand_transaction_stream, expand_transactions
 from deltaloom.sources import files, jdbc, messages
 from deltaloom.sources import segments as sg
+from deltaloom.streaming.apply import start_append
 
 PATTERN = r"/(?P<name>[a-z]+)_(?P<id>[a-z0-9]+)/"
 
@@ -163,14 +167,39 @@ def test_payload_side_output(spark):
 
 @pytest.mark.parametrize(
     "pattern,topic,hit",
-    [("a/+/c", "a/b/c", True), ("a/+/c", "a/b/d/c", False), ("a/#", "a/b/c", True), ("a.b/#", "axb/c", False), ("#", "x/y", True)],
-)
+    [
+        ("a/+/c", "a/b/c", True), ("a/+/c", "a/b/d/c", False), ("a/#", "a/b/c", True), ("a.b/#", "axb/c", False), ("#", "x/y", True),
+        ("a/#", "a", True), ("a/#", "ab", False), ("a/+/#", "a", False), ("a/+", "a/", True), ("a//b", "a//b", True), ("#", "$sys/x", False),
+        ("+/x", "$sys/x", False), ("$sys/#", "$sys/x", True), ("+", "a", True), ("+", "a/b", False),
+    ],
+)
 def test_topic_patterns(spark, pattern, topic, hit):
     df = spark.createDataFrame([(topic,)], "topic string")
     got = messages.map_topics(df, [messages.TopicRule(pattern, "t")]).first()["_table"]
     assert (got == "t") is hit
 
 
+def test_topics_by_a_table_of_rules(spark):
+    """Random rules and topics: the table of rules gives what the patterns one by one give."""
+    rnd = random.Random(3)
+    levels = ["a", "b", "", "c.d", "$s"]
+    topics = sorted({"/".join(rnd.choice(levels) for _ in range(rnd.randrange(1, 5))) for _ in range(300)})
+    patterns = []
+    while len(patterns) < 150:
+        parts = [rnd.choice([*levels, "+"]) for _ in range(rnd.randrange(0, 5))] + ["#"] * rnd.randrange(2)
+        if parts:
+            patterns.append("/".join(parts))
+    rules = [messages.TopicRule(p, f"t{i % 7}") for i, p in enumerate(patterns)]
+    rnd.shuffle(rules)
+    expected = {t: next(((r.table, n) for n, r in enumerate(rules) if re.match(r.regex(), t)), (None, None)) for t in topics}
+    frame = spark.createDataFrame([(t, i, "x") for i, t in enumerate([*topics, *topics[:9], None])], "topic string, rule int, target string")
+    table = spark.createDataFrame([(n, r.pattern, r.table) for n, r in enumerate(rules)], "rule bigint, pattern string, target string")
+    found = messages.route_topics(frame, table).collect()
+    assert len(found) == len(topics) + 10 and {r["topic"]: (r["_table"], r["_rule"]) for r in found} == expected | {None: (None, None)}
+    none = messages.route_topics(frame, table.limit(0)).collect()
+    assert len(none) == len(found) and {r["_table"] for r in none} == {None}
+
+
 def test_feed_needs_an_order(spark):
     from deltaloom.model import TableSpec
 
@@ -183,3 +212,32 @@ def test_device_from_path(spark):
     df = spark.createDataFrame([("/stage/store_b1_77-aa/0.sqllog",)], "_file string")
     assert tuple(df.select(*sg.device_of()).first()) == ("77-aa", "b1")
     assert df.where(F.col("_file").isNull()).count() == 0
+
+
+def test_transactions_stream_in_any_order(spark, tmp_path):
+    """Control rows before their files, files before their control rows, both over restarts; in the end all rows of a batch replay."""
+    stage, out = tmp_path / "stage", str(tmp_path / "out")
+
+    def publish(segment_number, commit, n):
+        segment(stage / "one_d1", f"{segment_number}.sqllog.{commit}.txn", [(i, 0, f"T{commit}", [i]) for i in range(n)])
+
+    def run():
+        log = sg.scan_log(spark, str(stage), PATTERN, streaming=True)
+        rows = expand_transaction_stream(log, sg.scan_transactions(spark, str(stage), PATTERN, streaming=True))
+        query = start_append(rows, out, f"{out}-checkpoint")
+        query.awaitTermination()
+        assert query.exception() is None
+        return spark.read.schema(rows.schema).parquet(out)
+
+    segment(stage / "one_d1", "0.sqllog", [(0, 1, "CREATE", []), (1, 2, "REPLAY_TXN(10)", []), (2, 3, "REPLAY_TXN(11)", [])])
+    segment(stage / "two_d2", "0.sqllog", [(0, 1, "S", [])])
+    publish(0, 11, 2)
+    assert sorted(r["sql"] for r in run().collect()) == ["CREATE", "S", "T11", "T11"]
+    publish(1, 12, 1)  # its segment is not there yet
+    publish(0, 10, 3)  # comes after a later one
+    assert run().where("sql = 'T10'").count() == 3 and run().where("sql = 'T12'").count() == 0
+    segment(stage / "one_d1", "1.sqllog", [(0, 5, "REPLAY_TXN(12)", []), (1, 6, "S1", [])])
+    streamed = run()
+    batch, held = expand_transactions(sg.scan_log(spark, str(stage), PATTERN), sg.scan_transactions(spark, str(stage), PATTERN))
+    plain = lambda df: sorted(map(str, df.select(*LOG_COLS).collect()))
+    assert held.isEmpty() and plain(streamed) == plain(batch) and streamed.count() == 9

@@ -175,6 +175,13 @@ def diff_report(spark, sf):
     return val.difference_report(source, dest, ["o_orderkey"])
 
 
+@add("diff_by_buckets", KINDS)
+def diff_by_buckets(spark, sf):
+    """The same differences; rows in buckets with equal checksums never meet."""
+    source, dest = fx.diff_pair(spark, sf)
+    return val.compare_by_buckets(source, dest, ["o_orderkey"])
+
+
 @add("diff_null_keys", f"SELECT nullif(o_orderkey, 17) AS o_orderkey, kind FROM ({KINDS})")
 def diff_null_keys(spark, sf):
     """A row whose key is null is found on the other side; it differs in its status only."""

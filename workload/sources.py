@@ -167,6 +167,20 @@ def topic_mapping(spark, sf):
     return mapped.groupBy(F.col("_table").alias("table_name")).agg(F.count("*").alias("n"))
 
 
+@add(
+    "topic_mapping_table",
+    "SELECT CASE WHEN event_type IN ('error', 'click') THEN 'alerts' WHEN c_custkey IS NOT NULL AND event_type = 'purchase' THEN 'sales_' || (c_custkey % 7) "
+    "WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'rest' END AS table_name, "
+    "CASE WHEN event_type = 'error' THEN 0 WHEN event_type = 'click' THEN 1 WHEN c_custkey IS NOT NULL AND event_type = 'purchase' THEN c_custkey * 2 + 10 "
+    "WHEN c_custkey % 2 = 0 THEN c_custkey * 2 + 11 ELSE 1000000000000 END AS rule, count(*) AS n "
+    "FROM events LEFT JOIN customer ON c_custkey = user_id GROUP BY 1, 2",
+)
+def topic_mapping_table(spark, sf):
+    """Rules as a table, some per customer: two rules for one target, ``#`` on the level above, the first match wins."""
+    mapped = messages.route_topics(fx.fleet_messages(spark, sf), fx.fleet_rules(spark, sf))
+    return mapped.groupBy(F.col("_table").alias("table_name"), F.col("_rule").alias("rule")).agg(F.count("*").alias("n"))
+
+
 @add(
     "topic_columns",
     "SELECT event_id, value AS measured FROM events WHERE event_id % 50 <> 0 AND user_id % 3 = 1 "

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from deltaloom.model import TableSpec
 from deltaloom.operators.fold import tag_devices
-from deltaloom.operators.normalize import hold_gaps
-from deltaloom.sinks.versioned import VersionedTable
+from deltaloom.operators.normalize import expand_transaction_stream, hold_gaps
+from deltaloom.sinks.changetable import ChangeTable
 from deltaloom.sources import messages
 from deltaloom.sources import segments as sg
 from deltaloom.streaming import apply as st
@@ -36,7 +36,7 @@ def wait(query):
 
 
 def orders_table(spark, sf, label):
-    return VersionedTable(spark, fresh_dir(spark, label), fx.orders_spec(spark, sf), buckets=8)
+    return ChangeTable(spark, fresh_dir(spark, label), fx.orders_spec(spark, sf), fx.ORDERS_OPS)
 
 
 @add("stream_apply", cf.orders_rows())
@@ -47,7 +47,7 @@ def stream_apply(spark, sf):
     for number in range(len(DROPS)):
         drop_files(spark, sf, log_path, number)
         changes = st.read_change_files(spark, log_path, schema)
-        wait(st.start_apply(changes, table, f"{table.root}-checkpoint", fx.ORDERS_OPS))
+        wait(st.start_apply(changes, table, f"{table.root}-checkpoint", snapshot_every=2))
     return tag_devices(table.read(), table.spec.columns)
 
 
@@ -56,9 +56,9 @@ def replayed_batch(spark, sf):
     """A batch number seen before changes nothing, whatever it holds."""
     table = orders_table(spark, sf, "replayed")
     log = fx.orders_log(spark, sf)
-    table.apply(log, 7, fx.ORDERS_OPS)
-    table.apply(log.withColumn("_segment", F.col("_segment") + 100), 7, fx.ORDERS_OPS)
-    table.apply(log, 8, fx.ORDERS_OPS)
+    table.apply(log, 7)
+    table.apply(log.withColumn("_segment", F.col("_segment") + 100), 7)
+    table.apply(log, 8)
     return tag_devices(table.read(), table.spec.columns)
 
 
@@ -88,12 +88,11 @@ def change_log_roll(spark, sf):
 def pause_resume(spark, sf):
     """dev-3 is paused for two of three drops, then its backlog drains in order."""
     table = orders_table(spark, sf, "pausable")
-    schema = fx.orders_log(spark, sf).schema
     table.pause(["dev-3"])
     for number, parts in enumerate(DROPS):
         if number == 2:
-            table.resume(["dev-3"], schema, fx.ORDERS_OPS)
-        table.apply(fx.orders_log(spark, sf, segments=parts), number, fx.ORDERS_OPS)
+            table.resume(["dev-3"])
+        table.apply(fx.orders_log(spark, sf, segments=parts), number)
     return tag_devices(table.read(), table.spec.columns)
 
 
@@ -102,31 +101,31 @@ def paused_state(spark, sf):
     """While dev-3 is paused none of its rows arrive; the others are complete."""
     table = orders_table(spark, sf, "paused")
     table.pause(["dev-3"])
-    table.apply(fx.orders_log(spark, sf), 0, fx.ORDERS_OPS)
+    table.apply(fx.orders_log(spark, sf), 0)
     return tag_devices(table.read(), table.spec.columns)
 
 
 @add("resume_before_drain", cf.orders_rows())
 def resume_before_drain(spark, sf):
-    """dev-3 is taken off the list, then live rows arrive first: they are folded together with what waited."""
+    """dev-3 is resumed, then live rows arrive: they are folded together with what waited."""
     table = orders_table(spark, sf, "resumed")
     table.pause(["dev-3"])
-    table.apply(fx.orders_log(spark, sf, segments=range(3)), 0, fx.ORDERS_OPS)
-    table.unpause(["dev-3"])
-    table.apply(fx.orders_log(spark, sf, segments=range(3, 6)), 1, fx.ORDERS_OPS)
+    table.apply(fx.orders_log(spark, sf, segments=range(3)), 0)
+    table.resume(["dev-3"])
+    table.apply(fx.orders_log(spark, sf, segments=range(3, 6)), 1)
     return tag_devices(table.read(), table.spec.columns)
 
 
 @add("resume_same_batch_number", cf.orders_rows())
 def resume_same_batch_number(spark, sf):
-    """Draining between batches 0 and 1 takes no batch number, so the stream's batch 1 is not skipped."""
+    """Resuming between batches 0 and 1 takes no batch number, so the stream's batch 1 is not skipped."""
     table = orders_table(spark, sf, "drained")
     log = fx.orders_log(spark, sf)
     table.pause(["dev-3", "dev-0"])
-    table.apply(log.where(F.col("_segment") < 2), 0, fx.ORDERS_OPS)
-    table.resume(["dev-3"], log.schema, fx.ORDERS_OPS)
-    table.resume(["dev-0"], log.schema, fx.ORDERS_OPS)
-    table.apply(log.where(F.col("_segment") >= 2), 1, fx.ORDERS_OPS)
+    table.apply(log.where(F.col("_segment") < 2), 0)
+    table.resume(["dev-3"])
+    table.resume(["dev-0"])
+    table.apply(log.where(F.col("_segment") >= 2), 1)
     return tag_devices(table.read(), table.spec.columns)
 
 
@@ -142,7 +141,7 @@ def late_segments(spark, sf, label, order):
     schema = fx.orders_log(spark, sf).schema
     for segment in order:
         fx.orders_log(spark, sf, segments=range(segment, segment + 1)).write.parquet(f"{log_path}/drop={segment}")
-        wait(st.start_apply(st.read_change_files(spark, log_path, schema), table, f"{table.root}-checkpoint", fx.ORDERS_OPS))
+        wait(st.start_apply(st.read_change_files(spark, log_path, schema), table, f"{table.root}-checkpoint"))
     return tag_devices(table.read(), table.spec.columns).drop("sys_update_ts")
 
 
@@ -166,10 +165,10 @@ def stream_first_segment_late(spark, sf):
 def reinit_device(spark, sf):
     """dev-1 is re-initialised with a clean (replicated) destination and loads segment 0 again."""
     table = orders_table(spark, sf, "reinit")
-    table.apply(fx.orders_log(spark, sf), 0, fx.ORDERS_OPS)
+    table.apply(fx.orders_log(spark, sf), 0)
     st.reinitialise(table, "dev-1", clean=True, shared=False)
     again = fx.orders_log(spark, sf, segments=range(1))
-    table.apply(again, 1, fx.ORDERS_OPS)
+    table.apply(again, 1)
     return table.read().select(F.col("_device_id").alias("device_id"), "o_orderkey", "o_orderstatus")
 
 
@@ -204,8 +203,8 @@ def stream_fan_out(spark, sf):
     shared, single = orders_table(spark, sf, "shared"), orders_table(spark, sf, "single")
     raw = fresh_dir(spark, "raw")
     targets = [
-        st.FanOutTarget("shared", lambda batch, n: shared.apply(batch, n, fx.ORDERS_OPS)),
-        st.FanOutTarget("dev-0", lambda batch, n: single.apply(batch.where("_device_id = 'dev-0'"), n, fx.ORDERS_OPS)),
+        st.FanOutTarget("shared", lambda batch, n: shared.apply(batch, n)),
+        st.FanOutTarget("dev-0", lambda batch, n: single.apply(batch.where("_device_id = 'dev-0'"), n)),
         st.FanOutTarget("log", lambda batch, n: batch.write.mode("overwrite").parquet(f"{raw}/batch={n}")),
     ]
     wait(st.start_fan_out(stream, targets, f"{raw}-checkpoint"))
@@ -235,14 +234,15 @@ def stream_iot(spark, sf):
 
 @add(
     "stream_segments",
-    f"WITH {cf.orders_log(False)} SELECT device_id, segment, count(*) AS n FROM log WHERE device_id <> 'dev-3' GROUP BY 1, 2",
+    f"WITH {cf.orders_log(False)} SELECT device_id, segment, count(*) AS n FROM log GROUP BY 1, 2",
 )
 def stream_segments(spark, sf):
-    """Segment files discovered as a stream; offsets are kept per device."""
+    """Segment files discovered as a stream; offsets are kept per device. dev-3's control rows meet its transaction files, a stream of their own."""
     stage, out = fx.stage_segments(spark, sf, fresh_dir(spark, "stage"), dense=True), fresh_dir(spark, "segments-out")
     log = sg.scan_log(spark, stage, fx.STAGE_PATTERN, streaming=True)
+    log = expand_transaction_stream(log, sg.scan_transactions(spark, stage, fx.STAGE_PATTERN, streaming=True))
     wait(st.start_append(log, out, f"{out}-checkpoint"))
-    rows = spark.read.parquet(out).where((F.col("_device_id") != "dev-3") & ~F.col("sql").startswith("CREATE"))
+    rows = spark.read.parquet(out).where(~F.col("sql").startswith("CREATE"))
     # the original segment is part of the commit time
     segment = F.floor((F.col("_commit_id") - fx.EPOCH) / fx.STEP)
     return rows.groupBy(F.col("_device_id").alias("device_id"), segment.alias("segment")).agg(F.count("*").alias("n"))
