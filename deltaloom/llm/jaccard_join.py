@@ -8,9 +8,16 @@
    the candidates a shorter one lets through. Two documents are verified only with the number of shared prefix elements that both prefix
    lengths imply.
 4. First each document is compared with one candidate only. Every posting list names its most central document, the one with most shared
-   prefix elements; the candidate is the one named by most of a document's lists. A group of near copies is linked by as many comparisons
-   as it has members. Then all candidate pairs that are not yet in one component are verified,
-   by whole texts. Components therefore lose no link, and pairs inside one are not enumerated.
+   prefix elements; the candidate, the document's hub, is the one named by most of its lists. A group of near copies is linked by as many comparisons
+   as it has members.
+5. Members of a hub's group that stay apart from it (each has edits of its own, and two sets of edits are too many) would meet each other in
+   every element of the text they share. Groups with ``CROWD`` of them or more are joined by their differences instead: a group's common text is the set of
+   elements that more than half of its members have, and a member is described by what it lacks of that and what it has besides. The size of two
+   members' difference is known exactly from these two sets, so similar members must share a known number of them; members meet only in the rarest of their
+   differences, as many as that number implies. Members so near to the common text that they need not share any are compared with the nearest member of
+   each size. No text is read again, nothing is dropped, and what is formed grows with the members, not with their square.
+6. All other candidate pairs that are not yet in one component are verified by whole texts. Components therefore lose no link, and pairs inside one
+   are not enumerated.
 
 Similarity is a fraction of whole numbers, compared in whole numbers.
 
@@ -32,7 +39,7 @@ from pyspark.sql import functions as F
 
 from deltaloom.llm.bitmap import keep_likely, split_likely
 from deltaloom.llm.components import components
-from deltaloom.llm.text import mix, octets, sequences, words
+from deltaloom.llm.text import free_name, mix, octets, sequences, words
 from deltaloom.storage import cut_lineage
 
 #: Slots of the frequency sketch, and of one row of it. A byte per slot is broadcast.
@@ -41,6 +48,8 @@ SLOTS, RANGE = 1 << 21, 1 << 16
 CHOICES, VERIFY = np.array([1, 2, 4, 8, 16]), 50.0
 #: Shared elements by which a pair is found, at most; the others of its prefixes are counted for found pairs only.
 EARLY = 4
+#: Members of a hub's group in other components than the hub's, from which on the group is joined by differences.
+CROWD = 16
 
 
 def sets(array: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -197,6 +206,64 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, num: int, den: int) ->
     return both.select("a", "b", check.alias("similar")).where("similar").select("a", "b")
 
 
+def _sets_of(docs: DataFrame, size: int) -> DataFrame:
+    """Frame (id, tokens) of whole sets; ``docs`` has (id, octets) and keeps its other columns."""
+    names = [c for c in docs.columns if c != "octets"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [u.view(np.int64) for u in sets(batch.column("octets"), size)]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tokens)]), pa.int32()), pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], lists], [*names, "tokens"])
+
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", tokens array<long>")
+
+
+def _allowed(n1: Column, n2: Column, num: int, den: int) -> Column:
+    """Largest difference (elements of one set only, of both sets together) of two similar sets of these sizes."""
+    return n1 + n2 - 2 * F.ceil(F.lit(num) * (n1 + n2) / F.lit(num + den) - F.lit(1e-9))
+
+
+def _by_differences(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that join the components of similar members of one group; ``members`` has (grp, c, id, tokens), c the component so far."""
+    members = members.withColumn("n", F.size("tokens").cast("long"))
+    half = members.groupBy("grp").agg((F.count("*") / 2).alias("half"))
+    had = members.select("grp", F.explode("tokens").alias("token")).groupBy("grp", "token").agg(F.count("*").alias("times"))
+    common = had.join(half.withColumnRenamed("grp", "of").hint("merge"), F.col("grp") == F.col("of")).where("times > half")
+    common = common.groupBy(F.col("grp").alias("of")).agg(F.collect_list("token").alias("common"))  # fewer than twice a set's elements
+    told = members.join(common.hint("merge"), F.col("grp") == F.col("of"), "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
+    own = F.concat(F.array_except("tokens", "common"), F.array_except("common", "tokens"))
+    told = told.select("grp", "c", "id", "n", own.alias("own")).withColumn("d", F.size("own").cast("long"))
+    told = cut_lineage(told.withColumn("key", F.xxhash64("n", "own")), "differences")  # rows of one id may have different texts
+
+    # rarest differences first; a member shares at least d - most of them with any similar member that is not surely similar
+    listed = told.select("grp", "c", "id", "key", "n", "d", F.explode("own").alias("token"))
+    times = listed.groupBy(F.col("grp").alias("g"), F.col("token").alias("t")).agg(F.count("*").alias("times"), F.min("c").alias("low"), F.max("c").alias("high"))
+    weighed = listed.hint("merge").join(times, (F.col("grp") == F.col("g")) & (F.col("token") == F.col("t")))
+    most = F.floor(F.col("n") * F.lit(den - num) / F.lit(num) + F.lit(1e-9))
+    length = F.col("d") - F.greatest(F.lit(1), F.col("d") - most) + 1
+    rare = F.transform(F.array_sort(F.collect_list(F.struct("times", "token", "low", "high"))), lambda x: F.struct(x["token"], x["low"], x["high"]))
+    sides = weighed.groupBy("grp", "c", "id", "key", "n", "d").agg(rare.alias("rare")).select("grp", "c", "id", "key", "n", "d", F.posexplode(F.slice("rare", 1, length.cast("int"))).alias("at", "x"))
+    sides = cut_lineage(sides.where("x.low < x.high").select("grp", F.col("x.token").alias("token"), "at", "c", "id", "key", "n", "d"), "difference-postings")
+    fields = ("at", "c", "id", "key", "n", "d")
+    x, y = (sides.select(F.col("grp").alias(f"grp{i}"), F.col("token").alias(f"token{i}"), *[F.col(f).alias(f"{f}{i}") for f in fields]) for i in (1, 2))
+    shared = F.ceil((F.col("d1") + F.col("d2") - _allowed(F.col("n1"), F.col("n2"), num, den)) / 2)
+    early = (shared >= 1) & (F.col("at1") <= F.col("d1") - shared) & (F.col("at2") <= F.col("d2") - shared)
+    apart = (F.col("id1") > F.col("id2")) & (F.col("c1") != F.col("c2")) & _similar_sizes(F.col("n1"), F.col("n2"), num, den)
+    met = x.join(y.hint("merge"), (F.col("grp1") == F.col("grp2")) & (F.col("token1") == F.col("token2")) & apart & early)
+    pairs = cut_lineage(met.select("id1", "key1", "id2", "key2", shared.alias("shared")).distinct(), "difference-pairs")
+    for i in (1, 2):
+        pairs = pairs.hint("merge").join(told.select(*[F.col(c).alias(f"{c}{i}") for c in ("id", "key", "own")]).distinct(), [f"id{i}", f"key{i}"])
+    linked = pairs.where(F.size(F.array_intersect("own1", "own2")) >= F.col("shared")).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+
+    # surely similar: those with the fewest differences stand for all members of their component and size
+    nearest = told.groupBy(F.col("grp").alias("g"), F.col("c").alias("c2"), F.col("n").alias("n2")).agg(F.min(F.struct("d", "id")).alias("m"))
+    nearest = nearest.select("g", "c2", "n2", F.col("m.d").alias("d2"), F.col("m.id").alias("id2")).where(F.col("d2") <= F.floor(F.col("n2") * F.lit(den - num) / F.lit(num) + F.lit(1e-9)))
+    sure = (F.col("d") + F.col("d2") <= _allowed(F.col("n"), F.col("n2"), num, den)) & _similar_sizes(F.col("n"), F.col("n2"), num, den)
+    near = told.join(nearest.hint("merge"), (F.col("grp") == F.col("g")) & (F.col("c") != F.col("c2")) & sure)
+    return linked.unionByName(near.select(F.col("id").alias("a"), F.col("id2").alias("b")))
+
+
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """Frame (doc_id, n_shingles, component_id), one row per document row; ids must be whole numbers.
 
@@ -225,19 +292,38 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     edges = cut_lineage(_verify(rows, first, size, num, den), "first-edges")
     found = cut_lineage(components(edges), "components")
 
-    # all candidates between components
+    # crowds that stay apart from their hub, by their differences
+    grouped = first.select(F.col("a").alias("id"), F.col("b").alias("grp"))
+    hubs = first.select(F.col("b").alias("id"), F.col("b").alias("grp")).distinct()
+    grouped = hubs.unionByName(grouped.join(hubs.select(F.col("id").alias("h")), F.col("id") == F.col("h"), "left_anti"))
+    grouped = grouped.join(found, F.col("id") == F.col("node"), "left").select("id", "grp", F.coalesce("component", "id").alias("c"))
+    home = grouped.where("id = grp").select(F.col("grp").alias("g"), F.col("c").alias("home"))
+    away = grouped.join(home.hint("merge"), F.col("grp") == F.col("g")).where("c <> home").groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("away"))
+    crowds = cut_lineage(grouped.join(away.where(F.col("away") >= CROWD).hint("merge"), F.col("grp") == F.col("g")).select("id", "grp", "c"), "crowds")
+    theirs = keep_likely(rows, "id", crowds, "id").withColumnRenamed("id", "of").join(crowds.hint("merge"), F.col("of") == F.col("id"))
+    theirs = _sets_of(theirs.select("grp", "c", "id", "octets"), size).join(chosen.hint("merge"), F.col("id") == F.col("class"), "left_semi")
+    across = cut_lineage(_by_differences(cut_lineage(theirs, "crowd-sets"), num, den), "crowd-edges")
+    if not across.isEmpty():
+        edges = cut_lineage(edges.unionByName(across), "all-edges")
+        found = cut_lineage(components(edges), "components")
+
+    # all candidates between components and not in one crowd
     placed = shared.join(found, F.col("id") == F.col("node"), "left")
     placed = placed.select("token", "at", "id", "n", "p", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select(F.col("token").alias("t"))
+    crowd = crowds.select(F.col("id").alias("member"), "grp")
+    placed = placed.join(crowd.hint("merge"), F.col("id") == F.col("member"), "left").drop("member")
+    place = F.xxhash64(F.coalesce("grp", "c"), F.col("grp").isNull())  # pairs of one crowd or component are settled
+    mixed = placed.groupBy("token").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select(F.col("token").alias("t"))
     open_lists = cut_lineage(placed.join(mixed.hint("merge"), F.col("token") == F.col("t"), "left_semi"), "open-postings")
     # elements of a document in open lists: no pair shares more, so most pairs are ruled out before they are formed
     counted = cut_lineage(_with_shares(open_lists), "counted-postings")
-    fields = ("at", "id", "n", "p", "c", "s")
+    fields = ("at", "id", "n", "p", "c", "grp", "s")
     x = counted.select("token", *[F.col(c).alias(f"{c}1") for c in fields])
     y = counted.select(F.col("token").alias("token2"), *[F.col(c).alias(f"{c}2") for c in fields])
     together = F.ceil(F.lit(num) * (F.col("n1") + F.col("n2")) / F.lit(num + den) - F.lit(1e-9))
     needed = together - F.greatest(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
     apart = (F.col("id1") > F.col("id2")) & (F.col("c1") != F.col("c2")) & _similar_sizes(F.col("n1"), F.col("n2"), num, den)
+    apart = apart & F.coalesce(F.col("grp1") != F.col("grp2"), F.lit(True))
     # the first k shared elements of a pair stand early in both prefixes: only there are pairs formed
     k = F.least(F.lit(EARLY), *[F.col(f"p{i}") - F.col(f"n{i}") + F.ceil(F.col(f"n{i}") * num / den - F.lit(1e-9)) for i in (1, 2)])
     early = (F.col("at1") < F.col("n1") - together + k) & (F.col("at2") < F.col("n2") - together + k)
@@ -264,14 +350,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     Of rows that repeat an id one stays. Rows with a null id stay: nothing could name them as copies.
     """
     linked = link(docs, doc_id, text, size, num, den).where("doc_id is not null")
-    named = linked.groupBy(F.col("doc_id").alias("_jaccard_id")).agg(
-        F.count("*").alias("_jaccard_rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("_jaccard_stays")
-    )
+    key, ident, count, stays, row = (free_name(docs.columns, f"_jaccard_{c}") for c in ("key", "id", "rows", "stays", "row"))
+    named = linked.groupBy(F.col("doc_id").alias(ident)).agg(F.count("*").alias(count), F.bool_or(F.col("doc_id") == F.col("component_id")).alias(stays))
     # few rows: those that go, and those that repeat an id; the others need no join
-    special = cut_lineage(named.where("_jaccard_rows > 1 or not _jaccard_stays"), "copies")
-    doubtful, plain = split_likely(docs.withColumn("_jaccard_key", F.col(doc_id).cast("long")), "_jaccard_key", special, "_jaccard_id")
-    same = F.col("_jaccard_key") == F.col("_jaccard_id")
-    order = W.partitionBy("_jaccard_key").orderBy(F.xxhash64(text), F.length(text))
-    known = doubtful.join(special.where("_jaccard_stays").hint("merge"), same).withColumn("_jaccard_row", F.row_number().over(order))
+    special = cut_lineage(named.where((F.col(count) > 1) | ~F.col(stays)), "copies")
+    doubtful, plain = split_likely(docs.withColumn(key, F.col(doc_id).cast("long")), key, special, ident)
+    same = F.col(key) == F.col(ident)
+    order = W.partitionBy(key).orderBy(F.xxhash64(text), F.length(text))
+    known = doubtful.join(special.where(stays).hint("merge"), same).withColumn(row, F.row_number().over(order))
     others = doubtful.join(special.hint("merge"), same, "left_anti")
-    return plain.select(*docs.columns).unionByName(others.select(*docs.columns)).unionByName(known.where("_jaccard_row = 1").select(*docs.columns))
+    return plain.select(*docs.columns).unionByName(others.select(*docs.columns)).unionByName(known.where(F.col(row) == 1).select(*docs.columns))

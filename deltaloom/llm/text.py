@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +41,14 @@ def octets(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
+def free_name(columns: Iterable[str], wanted: str) -> str:
+    """A column name like ``wanted`` that none of ``columns`` has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def fold_id(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
