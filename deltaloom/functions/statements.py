@@ -20,6 +20,7 @@ LITERAL = (
     r"(?:[Xx]'[0-9A-Fa-f]*'|'[^']*+(?:''[^']*+)*+'|\?|[-+]?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
     r"|(?i:NULL|TRUE|FALSE))"
 )
+TEXT_LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 PAIR = NAME + r"\s*=\s*(" + LITERAL + ")"
 PAIR_ = NAME_ + r"\s*=\s*" + LITERAL
 SET_LIST = rf"^\s*{PAIR_}(?:\s*,\s*{PAIR_})*+\s*$"
@@ -46,11 +47,14 @@ CREATE_TABLE = r"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?" + TABLE +
 DROP_TABLE = r"(?is)^\s*DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?" + TABLE + r"\s*;?\s*$"
 ALTER = r"(?is)^\s*ALTER\s+TABLE\s+" + TABLE + r"\s+"
 ADD_COLUMN = ALTER + r"ADD\s+(?:COLUMN\s+)?" + NAME + r"\s+([A-Za-z]+).*$"
+# what stands between a column's type and its default holds no text
+ADD_DEFAULT = ALTER + r"ADD\s+(?:COLUMN\s+)?" + NAME + r"\s+[A-Za-z]+[^']*?\bDEFAULT\s*\(?\s*(" + LITERAL + r").*$"
 WIDEN_COLUMN = ALTER + r"ALTER\s+(?:COLUMN\s+)?" + NAME + r"\s+(?:SET\s+DATA\s+)?(?:TYPE\s+)?([A-Za-z]+).*$"
 RENAME_COLUMN = ALTER + r"RENAME\s+COLUMN\s+" + NAME + r"\s+TO\s+" + NAME + r"\s*;?\s*$"
 RENAME_TABLE = ALTER + r"RENAME\s+TO\s+" + NAME + r"\s*;?\s*$"
 DROP_COLUMN = ALTER + r"DROP\s+(?:COLUMN\s+)?" + NAME + r"\s*;?\s*$"
 COLUMN_DEF = r"(?i)(?:^|,)\s*(?!PRIMARY\b|UNIQUE\b|CONSTRAINT\b|FOREIGN\b|CHECK\b)" + NAME + r"\s+([A-Za-z]+)"
+COLUMN_DEFAULT = r"(?i)(?:^|,)\s*" + NAME + r"\s+[A-Za-z]+[^,']*?\bDEFAULT\s*\(?\s*(" + LITERAL + ")"
 INLINE_KEY = r"(?i)(?:^|,)\s*" + NAME + r"\s+[A-Za-z]+(?:\([^)]*\))?\s+PRIMARY\s+KEY"
 TABLE_KEY = r"(?i)(?:^|,)\s*PRIMARY\s+KEY\s*\(([^)]*)\)"
 

@@ -24,7 +24,9 @@ from deltaloom.functions import statements as st
 from deltaloom.model import (
     CHANGE_COLS,
     DEVICE_COLS,
+    INSERT,
     ORDER_COLS,
+    REPLACE,
     TableSpec,
     common_type,
     declared_type,
@@ -39,12 +41,13 @@ RENAME_COLUMN, WIDEN_COLUMN = "RENAME_COLUMN", "WIDEN_COLUMN"
 
 REPLICATION, CONSOLIDATION = "REPLICATION", "CONSOLIDATION"
 
-DDL_COLS = (*DEVICE_COLS, *ORDER_COLS, "_commit_id", "_table", "_op", "_column", "_type", "_to", "_columns", "_keys")
+DDL_COLS = (*DEVICE_COLS, *ORDER_COLS, "_commit_id", "_table", "_op", "_column", "_type", "_to", "_columns", "_keys", "_defaults")
 
 _ORDER_TYPE = "struct<_segment:bigint,_seq:bigint,_txn_seq:bigint>"
 HISTORY_SCHEMA = (
     "_device_id string, _device_name string, _source string, _from " + _ORDER_TYPE + ", _until " + _ORDER_TYPE + ","
-    " _target string, _columns array<struct<source:string,target:string,type:string,is_key:boolean,position:int>>"
+    " _target string, _columns array<struct<source:string,target:string,type:string,is_key:boolean,position:int>>,"
+    " _defaults map<string,string>"
 )
 
 
@@ -63,12 +66,16 @@ def read_ddl(log: DataFrame) -> DataFrame:
     op = F.lit(None).cast("string")
     for name, pattern in reversed(kinds.items()):
         op = F.when(sql.rlike(pattern), name).otherwise(op)
-    body = st.piece(sql, st.CREATE_TABLE, 2)
+    whole = st.piece(sql, st.CREATE_TABLE, 2)
+    body = F.regexp_replace(whole, st.TEXT_LITERAL, "''")  # commas and words inside a default are no columns
     column = F.coalesce(*[st.piece(sql, p, 2) for p in (st.ADD_COLUMN, st.WIDEN_COLUMN, st.RENAME_COLUMN, st.DROP_COLUMN)])
     defined = F.arrays_zip(
         st.pieces(body, st.COLUMN_DEF, 1).alias("name"), st.pieces(body, st.COLUMN_DEF, 2).alias("type")
     )
     keys = F.concat(st.pieces(body, st.INLINE_KEY, 1), F.coalesce(st.names(st.piece(body, st.TABLE_KEY, 1)), F.array()))
+    added = F.create_map(st.piece(sql, st.ADD_DEFAULT, 2), st.piece(sql, st.ADD_DEFAULT, 3))
+    created = F.map_from_arrays(st.pieces(whole, st.COLUMN_DEFAULT, 1), st.pieces(whole, st.COLUMN_DEFAULT, 2))
+    defaults = F.when(sql.rlike(st.ADD_DEFAULT), added).when(op == CREATE_TABLE, created)
     return (
         log.where(sql.rlike(r"(?i)^\s*(CREATE|ALTER|DROP)\s+TABLE\b"))
         .select(
@@ -82,6 +89,7 @@ def read_ddl(log: DataFrame) -> DataFrame:
             F.coalesce(st.piece(sql, st.RENAME_COLUMN, 3), st.piece(sql, st.RENAME_TABLE, 2)).alias("_to"),
             F.when(op == CREATE_TABLE, defined).alias("_columns"),
             F.when(op == CREATE_TABLE, keys).alias("_keys"),
+            defaults.alias("_defaults"),
         )
         .dropDuplicates([*DEVICE_COLS, *ORDER_COLS])
     )
@@ -125,6 +133,7 @@ def ddl_rows(
         (to if to is not None else none).cast("string").alias("_to"),
         F.when(op == CREATE_TABLE, defined).alias("_columns"),
         F.when(op == CREATE_TABLE, key_list.cast("array<string>")).alias("_keys"),
+        F.lit(None).cast("map<string,string>").alias("_defaults"),
     )
 
 
@@ -132,6 +141,15 @@ def _spark_type(name: str | None) -> str:
     return declared_type(name or "TEXT").simpleString()
 
 
+def _default_value(literal: str | None) -> str | None:
+    """The value of a literal as text; null for NULL and for bytes."""
+    if literal is None or literal[:2].upper() == "X'" or literal.upper() == "NULL":
+        return None
+    if literal.startswith("'"):
+        return literal[1:-1].replace("''", "'")
+    return {"TRUE": "1", "FALSE": "0"}.get(literal.upper(), literal)
+
+
 def _device_history(events: pd.DataFrame, mode: str) -> list[dict]:
     """Epochs of one device. DDL rows of one device are few: it is their schema history."""
     tables: dict[str, dict[str, int]] = {}  # live table name -> {column name: column id}
@@ -141,8 +159,9 @@ def _device_history(events: pd.DataFrame, mode: str) -> list[dict]:
     open_epochs: dict[str, dict] = {}
     closed: list[dict] = []
 
-    def new_column(name: str, dtype: str, is_key: bool) -> int:
-        columns.append({"name": name, "type": dtype, "is_key": is_key, "position": len(columns)})
+    def new_column(name: str, dtype: str, is_key: bool, life: int, default: str | None) -> int:
+        known = {"name": name, "type": dtype, "is_key": is_key, "position": len(columns)}
+        columns.append(known | {"born": name, "life": life, "default": _default_value(default)})
         return len(columns) - 1
 
     def close(name: str, at) -> None:
@@ -158,19 +177,20 @@ def _device_history(events: pd.DataFrame, mode: str) -> list[dict]:
     for event in events.sort_values(list(ORDER_COLS)).to_dict("records"):
         at = tuple(int(event[c]) for c in ORDER_COLS)
         name, op, column = event["_table"], event["_op"], event["_column"]
+        defaults = dict(event["_defaults"]) if event["_defaults"] is not None else {}
         if op == CREATE_TABLE and name not in tables:
             life = len(final_table)
             final_table[life] = name
             lives[name] = life
             keys = set(event["_keys"]) if event["_keys"] is not None else set()
             tables[name] = {
-                c["name"]: new_column(c["name"], _spark_type(c["type"]), c["name"] in keys) for c in event["_columns"]
+                c["name"]: new_column(c["name"], _spark_type(c["type"]), c["name"] in keys, life, defaults.get(c["name"])) for c in event["_columns"]
             }
             begin(name, at)
         elif name not in tables:
             continue
         elif op == ADD_COLUMN and column not in tables[name]:
-            tables[name][column] = new_column(column, _spark_type(event["_type"]), False)
+            tables[name][column] = new_column(column, _spark_type(event["_type"]), False, lives[name], defaults.get(column))
             begin(name, at)
         elif op == RENAME_COLUMN and column in tables[name]:
             # dict rebuilt so that the column keeps its place
@@ -210,7 +230,10 @@ def _device_history(events: pd.DataFrame, mode: str) -> list[dict]:
                     "position": columns[i]["position"],
                 }
             )
-        rows.append({"source": epoch["source"], "from": epoch["from"], "until": epoch["until"], "target": target, "columns": entries})
+        # a default is filled into rows older than its column, so all epochs of a table have it
+        mine = [c for c in columns if c["life"] == epoch["life"] and c["default"] is not None]
+        defaults = {c["name"] if follow else c["born"]: c["default"] for c in mine if c["name"] is not None or not follow}
+        rows.append({"source": epoch["source"], "from": epoch["from"], "until": epoch["until"], "target": target, "columns": entries, "defaults": defaults})
     return rows
 
 
@@ -234,6 +257,7 @@ def schema_histories(ddl: DataFrame, mode: str) -> DataFrame:
                 "_until": [place(r["until"]) for r in found],
                 "_target": [r["target"] for r in found],
                 "_columns": [r["columns"] for r in found],
+                "_defaults": [r["defaults"] for r in found],
             }
         )
 
@@ -311,6 +335,12 @@ def source_columns(histories: DataFrame, table: str) -> list[tuple[str, str]]:
     return sorted((r["source"], r["target"]) for r in rows)
 
 
+def defaulted_columns(histories: DataFrame, table: str) -> set[str]:
+    """Final names of a destination table's columns with a default; read back like the columns themselves."""
+    rows = histories.where(F.col("_target") == table).select(F.explode(F.map_keys("_defaults")).alias("c")).distinct().collect()
+    return {r["c"] for r in rows}
+
+
 def _with_moves(rows: DataFrame, histories: DataFrame, spec: TableSpec) -> DataFrame:
     """Join rows to their epoch; ``_moved`` maps names of the time to final names."""
     epochs = broadcast_checked(
@@ -325,6 +355,7 @@ def _with_moves(rows: DataFrame, histories: DataFrame, spec: TableSpec) -> DataF
                     lambda c: F.struct(c["source"], c["target"]),
                 )
             ).alias("_moved"),
+            "_defaults",
         )
     )
     return rows.join(
@@ -340,17 +371,28 @@ def move_columns(changes: DataFrame, histories: DataFrame, spec: TableSpec) -> D
     """Change rows under their names of the time -> change frame of the final table.
 
     ``changes`` needs ``_table`` and any of the source columns. Rows whose table
-    was dropped later, and columns that were, fall away here.
+    was dropped later, and columns that were, fall away here. A row inserted before a column was there, or without naming it, gets the
+    column's default.
     """
     joined = _with_moves(changes, histories, spec)
     pairs = [(s, t) for s, t in source_columns(histories, spec.name) if s in changes.columns]
+    defaulted = sorted(defaulted_columns(histories, spec.name) & set(spec.values))
+    given = F.array_compact(F.transform("_set_cols", lambda c: F.try_element_at("_moved", c)))
+    joined = joined.withColumn("_named", F.when(F.col("_set_cols").isNull(), F.map_values("_moved")).otherwise(given))
+
+    def lacks(column: str) -> Column:
+        return F.col("_op").isin(INSERT, REPLACE) & ~F.array_contains("_named", F.lit(column)) & F.map_contains_key("_defaults", F.lit(column))
 
     def value(field: T.StructField) -> Column:
         sources = [s for s, t in pairs if t == field.name]
         arms = [F.when(F.try_element_at("_moved", F.lit(s)) == field.name, F.col(s).cast(field.dataType)) for s in sources]
-        return (F.coalesce(*arms) if arms else F.lit(None)).cast(field.dataType).alias(field.name)
+        own = (F.coalesce(*arms) if arms else F.lit(None)).cast(field.dataType)
+        if field.name in defaulted:
+            own = F.when(lacks(field.name), F.try_element_at("_defaults", F.lit(field.name)).try_cast(field.dataType)).otherwise(own)
+        return own.alias(field.name)
 
-    named = F.array_compact(F.transform("_set_cols", lambda c: F.try_element_at("_moved", c)))
+    filled = [F.when(lacks(c), F.lit(c)) for c in defaulted]
+    named = F.when(F.col("_set_cols").isNotNull(), F.concat(given, F.array_compact(F.array(*filled))) if filled else given)
     return joined.select(
         *[c for c in CHANGE_COLS if c != "_set_cols"],
         named.alias("_set_cols"),

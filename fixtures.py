@@ -6,6 +6,8 @@ key, so the end state has a closed form that the oracle SQL states directly.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -518,6 +520,37 @@ def diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 
+# -- defaults and widening: supplier -----------------------------------------------------------
+
+def supplier_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even suppliers come before the column ``rating`` is added with a default, odd ones after, some of them naming it; then it is widened."""
+    k = F.col("s_suppkey")
+    suppliers = table(spark, sf_dir, "supplier")
+    device, name = branch(k % 3)
+    owner = [device.alias("_device_id"), name.alias("_device_name")]
+    devices = suppliers.select(*owner).distinct()
+
+    def rows(df, segment, seq, sql, *args):
+        bound = F.array(*[a.cast("string").cast("binary") for a in args]) if args else F.array().cast("array<binary>")
+        place = [F.lit(segment).cast("bigint").alias("_segment"), seq.cast("bigint").alias("_seq"), F.lit(0).cast("bigint").alias("_txn_seq")]
+        who = ["_device_id", "_device_name"] if not args else owner
+        return df.select(*who, *place, (F.lit(EPOCH) + segment * STEP + seq).cast("bigint").alias("_commit_id"), F.lit(sql).alias("sql"), bound.alias("args"))
+
+    start = F.lit(0)
+    plain, named = "INSERT INTO supplier (s_suppkey, s_name) VALUES (?, ?)", "INSERT INTO supplier (s_suppkey, s_name, rating) VALUES (?, ?, ?)"
+    parts = [
+        rows(devices, 0, start, "CREATE TABLE supplier (s_suppkey INTEGER PRIMARY KEY, s_name TEXT, s_note TEXT DEFAULT 'it''s new, so far')"),
+        rows(suppliers.where(k % 2 == 0), 1, k, plain, k, F.col("s_name")),
+        rows(devices, 2, start, "ALTER TABLE supplier ADD COLUMN rating INTEGER NOT NULL DEFAULT 7"),
+        rows(suppliers.where(k % 4 == 1), 3, k, named, k, F.col("s_name"), k),
+        rows(suppliers.where(k % 4 == 3), 3, k, plain, k, F.col("s_name")),
+        rows(suppliers.where(k % 6 == 0), 4, k, "UPDATE supplier SET rating = 0 WHERE s_suppkey = ?", k),
+        rows(devices, 5, start, "ALTER TABLE supplier ALTER COLUMN rating TYPE REAL"),
+        rows(suppliers.where(k % 10 == 0), 6, k, "UPDATE supplier SET rating = ?, s_note = NULL WHERE s_suppkey = ?", F.lit(2.5), k),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- table renames: supplier --------------------------------------------------------------------
 
 def supplier_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:

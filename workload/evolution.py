@@ -209,6 +209,28 @@ def bound_changes(spark, sf):
     )
 
 
+# -- defaults and widening -------------------------------------------------------------------------
+
+RATING = "CASE WHEN s_suppkey % 10 = 0 THEN 2.5 WHEN s_suppkey % 6 = 0 THEN 0 WHEN s_suppkey % 4 = 1 THEN s_suppkey ELSE 7 END::DOUBLE AS rating"
+NOTE = "CASE WHEN s_suppkey % 10 <> 0 THEN 'it''s new, so far' END AS s_note"
+SUPPLIERS = f"SELECT 'dev-' || (s_suppkey % 3) AS device_id, s_suppkey, s_name, {NOTE}, {RATING} FROM supplier"
+
+
+@add("add_column_default", SUPPLIERS)
+def add_column_default(spark, sf):
+    """Rows older than a column, and rows that do not name it, read its default; then the column is widened by a statement."""
+    rows = replay_commands(fx.supplier_commands(spark, sf), "supplier", evolve.CONSOLIDATION).rows
+    return rows.select(F.col("sys_device_id").alias("device_id"), "s_suppkey", "s_name", "s_note", "rating")
+
+
+@add("widen_by_statement", SUPPLIERS.replace("AS device_id", "AS device_id, 'double' AS kind"))
+def widen_by_statement(spark, sf):
+    """The same replicated: the destination's column takes the wider type, and values written before keep theirs."""
+    rows = replay_commands(fx.supplier_commands(spark, sf), "supplier", evolve.REPLICATION).rows
+    kind = dict(rows.dtypes)["rating"]
+    return rows.select(F.col("_device_id").alias("device_id"), F.lit(kind).alias("kind"), "s_suppkey", "s_name", "s_note", "rating")
+
+
 # -- segment files ------------------------------------------------------------------------------
 
 
