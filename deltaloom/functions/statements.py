@@ -31,14 +31,17 @@ COMPARISONS = rf"(?i)^\s*{TERM_}(?:\s+AND\s+{TERM_})*+\s*$"
 VALUE_LIST = rf"^\s*{LITERAL}(?:\s*,\s*{LITERAL})*+\s*$"
 
 INSERT_INTO = (
-    r"(?is)^\s*(INSERT|INSERT\s+OR\s+REPLACE|REPLACE|UPSERT)\s+INTO\s+" + TABLE + r"\s*(?:\(([^)]*)\))?\s*"
-    r"VALUES\s*\((.*?)\)\s*(ON\s+CONFLICT\s*(?:\([^)]*\))?\s*DO\s+UPDATE\b.*)?;?\s*$"
+    r"(?is)^\s*(INSERT|INSERT\s+OR\s+(?:REPLACE|IGNORE)|REPLACE|UPSERT)\s+INTO\s+" + TABLE + r"\s*(?:\(([^)]*)\))?\s*"
+    r"VALUES\s*\((.*?)\)\s*(ON\s+CONFLICT\s*(?:\([^)]*\))?\s*DO\s+(?:UPDATE\b.*|NOTHING\s*))?;?\s*$"
 )
+TUPLE = r"\(\s*" + LITERAL + r"(?:\s*,\s*" + LITERAL + r")*+\s*\)"
+#: A statement with several rows of values: what stands before them, the rows, and what follows.
+MANY_ROWS = r"(?is)^(\s*(?:INSERT|REPLACE|UPSERT)\b[^']*?\bVALUES)\s*(" + TUPLE + r"(?:\s*,\s*" + TUPLE + r")++)\s*(.*)$"
 UPDATE_SET = r"(?is)^\s*UPDATE\s+" + TABLE + r"\s+SET\s+(.*?)(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
 DELETE_FROM = r"(?is)^\s*DELETE\s+FROM\s+" + TABLE + r"(?:\s+WHERE\s+(.*?))?\s*;?\s*$"
 TRUNCATE_TABLE = r"(?is)^\s*TRUNCATE\s+(?:TABLE\s+)?" + TABLE + r"\s*;?\s*$"
 WRITTEN_TABLE = (
-    r"(?i)^\s*(?:INSERT\s+(?:OR\s+REPLACE\s+)?INTO|REPLACE\s+INTO|UPSERT\s+INTO|UPDATE|DELETE\s+FROM"
+    r"(?i)^\s*(?:INSERT\s+(?:OR\s+(?:REPLACE|IGNORE)\s+)?INTO|REPLACE\s+INTO|UPSERT\s+INTO|UPDATE|DELETE\s+FROM"
     r"|TRUNCATE(?:\s+TABLE)?)\s+" + TABLE
 )
 REPLAY_TXN = r"(?i)^\s*REPLAY_TXN\s*\(?\s*([0-9]*)"

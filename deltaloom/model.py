@@ -30,6 +30,9 @@ TRUNCATE = "TRUNCATE"
 DELETE_WHERE = "DELETE_WHERE"
 UPDATE_WHERE = "UPDATE_WHERE"
 
+#: An insert that does nothing if the key is there; becomes an INSERT or nothing before the fold.
+INSERT_IGNORE = "INSERT_IGNORE"
+
 ROW_OPS = (INSERT, UPDATE, DELETE, UPSERT, REPLACE)
 BULK_OPS = (DELETE_WHERE, UPDATE_WHERE)
 #: Operations after which nothing older of the same key matters.

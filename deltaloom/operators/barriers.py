@@ -40,7 +40,7 @@ from deltaloom.operators.fold import (
     summarise,
     truncated_devices,
 )
-from deltaloom.operators.normalize import bound_cast
+from deltaloom.operators.normalize import STATEMENT_ROWS, bound_cast
 from deltaloom.storage import broadcast_counted, cut_lineage
 
 BULK_COLS = (*DEVICE_COLS, *ORDER_COLS, "_commit_id", "_op", "_terms", "_predicate", "_set")
@@ -133,6 +133,8 @@ def run_starts(shaped: DataFrame) -> DataFrame:
             F.array(
                 F.struct((F.col("_seq") + 1).alias("_seq"), F.lit(0).cast("bigint").alias("_txn_seq")),
                 F.struct(F.col("_seq").alias("_seq"), (F.col("_txn_seq") + 1).alias("_txn_seq")),
+                # the next statement of a transaction, see normalize.split_rows
+                F.struct(F.col("_seq").alias("_seq"), ((F.floor(F.col("_txn_seq") / STATEMENT_ROWS) + 1) * STATEMENT_ROWS).cast("bigint").alias("_txn_seq")),
             )
         ).alias("_next"),
     ).select(*DEVICE_COLS, "_segment", "_h", "_next.*")

@@ -25,6 +25,7 @@ from deltaloom.model import (
     CHANGE_COLS,
     DEVICE_COLS,
     INSERT,
+    INSERT_IGNORE,
     ORDER_COLS,
     REPLACE,
     TableSpec,
@@ -381,7 +382,7 @@ def move_columns(changes: DataFrame, histories: DataFrame, spec: TableSpec) -> D
     joined = joined.withColumn("_named", F.when(F.col("_set_cols").isNull(), F.map_values("_moved")).otherwise(given))
 
     def lacks(column: str) -> Column:
-        return F.col("_op").isin(INSERT, REPLACE) & ~F.array_contains("_named", F.lit(column)) & F.map_contains_key("_defaults", F.lit(column))
+        return F.col("_op").isin(INSERT, INSERT_IGNORE, REPLACE) & ~F.array_contains("_named", F.lit(column)) & F.map_contains_key("_defaults", F.lit(column))
 
     def value(field: T.StructField) -> Column:
         sources = [s for s, t in pairs if t == field.name]

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.model import BASE_SEGMENT, DELETE, INSERT, LIFECYCLE_OPS, REPLACE, UPDATE, UPSERT, TableSpec
+from deltaloom.model import BASE_SEGMENT, DELETE, INSERT, INSERT_IGNORE, LIFECYCLE_OPS, REPLACE, UPDATE, UPSERT, TableSpec
 from deltaloom.operators.carry import CHUNK_ROWS, carry_forward
 
 
 def with_liveness(
-    changes: DataFrame, spec: TableSpec, chunk_rows: int = CHUNK_ROWS, transactions: bool = False
+    changes: DataFrame, spec: TableSpec, chunk_rows: int = CHUNK_ROWS, transactions: bool = False, lifecycle_ops: Iterable[str] = LIFECYCLE_OPS
 ) -> DataFrame:
     """Add ``_alive``: did the key exist just before this change?
 
     Only the last INSERT, UPSERT, REPLACE or DELETE before it decides that.
     Base rows take part when they are in the frame as INSERTs.
     """
-    lifecycle = F.when(F.col("_op").isin(*LIFECYCLE_OPS), F.col("_op"))
+    lifecycle = F.when(F.col("_op").isin(*lifecycle_ops), F.col("_op"))
     once = drop_redelivered_rows(changes, spec)
     seen = carry_forward(once, spec.row_key, lifecycle, "_before", False, chunk_rows, transactions)
     return seen.withColumn("_alive", F.coalesce(F.col("_before") != DELETE, F.lit(False))).drop("_before")
@@ -56,6 +58,18 @@ def apply_mode(
     return kept.select(*changes.columns)
 
 
+def settle_ignored(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Inserts that do nothing on an existing key become plain ones, or go.
+
+    After one its key exists in either case, so whether a key existed before a change follows from the last change that decides
+    it, as in INSERT mode. Bulk changes are not seen here.
+    """
+    ignoring = F.col("_op") == INSERT_IGNORE
+    seen = with_liveness(changes, spec, lifecycle_ops=(*LIFECYCLE_OPS, INSERT_IGNORE))
+    kept = seen.where(~(ignoring & F.col("_alive"))).withColumn("_op", F.when(ignoring, F.lit(INSERT)).otherwise(F.col("_op")))
+    return kept.select(*changes.columns)
+
+
 def append_rows(base: DataFrame, changes: DataFrame) -> DataFrame:
     """APPEND: every insert becomes a row; there is no key to conflict on."""
     columns = [c for c in changes.columns if c in base.columns]

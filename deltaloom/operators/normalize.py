@@ -16,6 +16,7 @@ from deltaloom.model import (
     DELETE_WHERE,
     DEVICE_COLS,
     INSERT,
+    INSERT_IGNORE,
     ORDER_COLS,
     REPLACE,
     TRUNCATE,
@@ -110,6 +111,32 @@ def statement_table(sql: Column) -> Column:
     return F.nullif(F.regexp_extract(sql, st.WRITTEN_TABLE, 1), F.lit(""))
 
 
+#: Rows of one statement, at most; places inside a transaction are that far apart afterwards.
+STATEMENT_ROWS = 1 << 20
+
+
+def split_rows(log: DataFrame) -> DataFrame:
+    """One log row per row of values: ``VALUES (...), (...)`` becomes as many statements, each with the arguments its marks take.
+
+    They follow each other by ``_txn_seq``. Statements with anything but literals and marks in their values stay as they are.
+    """
+    sql = F.col("sql")
+    many = F.coalesce(sql.rlike(r"\)\s*,\s*\(") & sql.rlike(st.MANY_ROWS), F.lit(False))
+    rows = st.pieces(st.piece(sql, st.MANY_ROWS, 2), "(" + st.TUPLE + ")", 1)
+    marks = F.transform("_rows", lambda r: st.marks_in(st.pieces(r, r"('[^']*+'|\?)", 1)))
+    cut = log.withColumn("_rows", F.when(many, rows)).withColumn("_marks", marks)
+    each = F.when(F.col("_rows").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("_rows") - 1))
+    cut = cut.withColumn("_nth", F.explode(each))
+    before = F.aggregate(F.slice("_marks", F.lit(1), F.col("_nth")), F.lit(0), lambda s, m: s + m)
+    text = F.concat(st.piece(sql, st.MANY_ROWS, 1), F.lit(" "), F.get("_rows", "_nth"), F.lit(" "), F.coalesce(st.piece(sql, st.MANY_ROWS, 3), F.lit("")))
+    changed = {
+        "args": F.when(F.col("_rows").isNotNull(), F.slice("args", before + 1, F.get("_marks", "_nth"))).otherwise(F.col("args")),
+        "_txn_seq": F.col("_txn_seq") * STATEMENT_ROWS + F.col("_nth"),
+        "sql": F.when(F.col("_rows").isNotNull(), text).otherwise(sql),
+    }
+    return cut.withColumns(changed).select(*log.columns)
+
+
 def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame:
     """Statement text -> operation, table and column/value maps.
 
@@ -122,6 +149,7 @@ def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame
     as the statements are.
     """
     specs = list(specs)
+    log = split_rows(log)
     if "_known_columns" not in log.columns:
         table = statement_table(F.col("sql"))
         log = log.withColumns(
@@ -183,8 +211,10 @@ def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame
     )
     keyed = F.col("_equalities") & (F.size("_keys") > 0) & (F.sort_array("_where_names") == F.sort_array("_keys"))
     verb = F.upper(F.regexp_replace("_verb", r"\s+", " "))
+    ignores = (verb == "INSERT OR IGNORE") | F.coalesce(F.col("_conflict").rlike(r"(?i)\bDO\s+NOTHING"), F.lit(False))
     op = (
-        F.when((F.col("_kind") == "I") & (F.col("_conflict").isNotNull() | (verb == "UPSERT")), UPSERT)
+        F.when((F.col("_kind") == "I") & ignores, INSERT_IGNORE)
+        .when((F.col("_kind") == "I") & (F.col("_conflict").isNotNull() | (verb == "UPSERT")), UPSERT)
         .when((F.col("_kind") == "I") & verb.isin("REPLACE", "INSERT OR REPLACE"), REPLACE)
         .when(F.col("_kind") == "I", INSERT)
         .when((F.col("_kind") == "T") | ((F.col("_kind") == "D") & F.col("_condition").isNull()), TRUNCATE)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deltaloom.functions.columns import join_same
-from deltaloom.model import BULK_OPS, DEVICE_COLS, ROW_OPS, TRUNCATE, TableSpec
+from deltaloom.model import BULK_OPS, DEVICE_COLS, INSERT, INSERT_IGNORE, ROW_OPS, TRUNCATE, TableSpec, order_of
 from deltaloom.operators.barriers import BULK_COLS, fold_with_bulk
 from deltaloom.operators.carry import fill_statements
 from deltaloom.operators.evolve import (
@@ -25,7 +25,8 @@ from deltaloom.operators.evolve import (
     with_known_schema,
 )
 from deltaloom.operators.fold import fold, merge, tag_devices
-from deltaloom.operators.normalize import deduce_changes, unrecognised
+from deltaloom.operators.modes import settle_ignored
+from deltaloom.operators.normalize import STATEMENT_ROWS, deduce_changes, unrecognised
 from deltaloom.storage import cut_lineage
 
 # Destination init modes
@@ -98,11 +99,12 @@ class Replayed:
     ignored: DataFrame
 
 
-def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False) -> Replayed:
+def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False, hold_refused: bool = False) -> Replayed:
     """Command log -> destination table: statements, DDL, bulk changes and all.
 
     The log needs the columns of ``normalize.LOG_COLS``. Set ``filled`` when
-    batched rows already carry their statement.
+    batched rows already carry their statement. With ``hold_refused`` a device
+    stops before its first statement that is refused (reported either way).
     """
     if mode not in (REPLICATION, CONSOLIDATION):
         raise ValueError("the sync mode must be named: REPLICATION or CONSOLIDATION")
@@ -115,16 +117,29 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False)
         raise ValueError(f"table {table} does not exist at the end of the log")
     # written once: the steps below read it several times, each a few columns and operations
     deduced = cut_lineage(deduce_changes(with_known_schema(log, histories)), "deduced")
+    refused = unrecognised(deduced)
+    if hold_refused:
+        first = cut_lineage(refused.groupBy(*DEVICE_COLS).agg(F.min(order_of()).alias("_held")), "held")
+        if not first.isEmpty():
+            before = F.col("_held").isNull() | (F.struct("_segment", "_seq", (F.col("_txn_seq") * STATEMENT_ROWS).alias("_txn_seq")) < F.col("_held"))
+            ready = join_same(log, first, DEVICE_COLS, "left").where(before).select(*log.columns)
+            done = replay_commands(ready, table, mode, filled=True)
+            return Replayed(done.spec, done.rows, refused, done.ignored)
     found = {r["_op"] for r in deduced.select("_op").distinct().collect()}
     as_text = list(dict.fromkeys(s for s, _ in source_columns(histories, table)))
     wide = bind_any(deduced, as_text)
     changes = move_columns(wide, histories, spec)
+    if INSERT_IGNORE in found:
+        if found & set(BULK_OPS):
+            raise ValueError("inserts that ignore conflicts cannot be folded together with bulk changes")
+        changes = settle_ignored(changes, spec)
+        found = (found - {INSERT_IGNORE}) | {INSERT}
     bulk = move_bulk(bulk_any(deduced), histories, spec)
     ops = found & {*ROW_OPS, TRUNCATE}
     rows = fold_with_bulk(changes, bulk, spec, ops) if found & set(BULK_OPS) else fold(changes, spec, ops)
     rows = tag_devices(rows, spec.columns) if mode == CONSOLIDATION else rows.select(*DEVICE_COLS, *spec.columns)
     ignored = ignored_ddl(ddl) if mode == CONSOLIDATION else ignored_ddl(ddl.where(F.col("_op").isNull()))
-    return Replayed(spec, rows, unrecognised(deduced), ignored)
+    return Replayed(spec, rows, refused, ignored)
 
 
 def bind_any(deduced: DataFrame, columns: list[str]) -> DataFrame:
@@ -133,7 +148,7 @@ def bind_any(deduced: DataFrame, columns: list[str]) -> DataFrame:
     def value(c: str):
         return F.coalesce(F.try_element_at("_set", F.lit(c)), F.try_element_at("_where", F.lit(c))).cast("string").alias(c)
 
-    return deduced.where(F.col("_op").isNotNull() & F.col("_op").isin(*ROW_OPS, TRUNCATE)).select(
+    return deduced.where(F.col("_op").isNotNull() & F.col("_op").isin(*ROW_OPS, INSERT_IGNORE, TRUNCATE)).select(
         *DEVICE_COLS,
         "_segment",
         "_seq",

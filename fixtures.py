@@ -520,6 +520,43 @@ def diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 
+# -- forms of INSERT: orders ------------------------------------------------------------------------
+
+def shaped_commands(spark: SparkSession, sf_dir: str, refused: bool = False) -> DataFrame:
+    """Two rows of values in one statement for every pair of orders, one with bound values and one with literals; then deletes, and inserts that ignore conflicts.
+
+    With ``refused`` dev-2 issues a statement with an expression before its deletes.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    k = F.col("o_orderkey")
+    pair = F.floor(k / 2).cast("bigint")
+    device, name = branch(pair % 4)
+    owner = [device.alias("_device_id"), name.alias("_device_name")]
+    columns = "(o_orderkey, o_orderstatus, o_totalprice)"
+    literal = F.concat(F.lit("("), "second", F.lit(", '"), "status", F.lit(" (it''s), a', "), "price", F.lit(")"))
+    second = orders.select(k.alias("second"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    pairs = orders.where(k % 2 == 0).join(second, F.col("second") == k + 1, "left").withColumn("more", F.coalesce(F.concat(F.lit(", "), literal), F.lit("")))
+
+    def rows(df, segment, sql, *args):
+        bound = F.array(*[a.cast("string").cast("binary") for a in args]) if args else F.array().cast("array<binary>")
+        place = [F.lit(segment).cast("bigint").alias("_segment"), (k + 1).alias("_seq"), F.lit(0).cast("bigint").alias("_txn_seq")]
+        return df.select(*owner, *place, (F.lit(EPOCH) + segment * STEP + k).alias("_commit_id"), sql.alias("sql"), bound.alias("args"))
+
+    created = F.lit("CREATE TABLE orders (o_orderkey INTEGER PRIMARY KEY, o_orderstatus TEXT, o_totalprice REAL)")
+    nothing = F.lit(f"INSERT INTO orders {columns} VALUES (?, ?, ?), (?, ?, 0) ON CONFLICT (o_orderkey) DO NOTHING")
+    far = k + 10**9
+    parts = [
+        rows(orders.where(k % 2 == 0).where(pair < 4), 0, created),
+        rows(pairs, 1, F.concat(F.lit(f"INSERT INTO orders {columns} VALUES (?, ?, ?)"), "more"), k, F.col("o_orderstatus"), F.col("o_totalprice")),
+        rows(orders.where(k % 9 == 0), 3, F.lit("DELETE FROM orders WHERE o_orderkey = ?"), k),
+        rows(orders.where(k % 3 == 0), 4, F.lit(f"INSERT OR IGNORE INTO orders {columns} VALUES (?, 'again?', 1)"), k),
+        rows(orders.where(k % 10 == 0), 5, nothing, far, F.lit("one"), F.lit(2), far, F.lit("two")),
+    ]
+    if refused:
+        parts.append(rows(orders.where(k % 2 == 0).where(pair == 2), 2, F.lit("UPDATE orders SET o_totalprice = o_totalprice + 1 WHERE o_orderkey = 4")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- defaults and widening: supplier -----------------------------------------------------------
 
 def supplier_commands(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -209,6 +209,28 @@ def bound_changes(spark, sf):
     )
 
 
+# -- forms of INSERT --------------------------------------------------------------------------------
+
+SHAPED = """SELECT 'dev-' || (o_orderkey // 2 % 4) AS device_id, o_orderkey,
+    CASE WHEN {late} AND o_orderkey % 9 = 0 THEN 'again?' WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE o_orderstatus || ' (it''s), a' END AS o_orderstatus,
+    CASE WHEN {late} AND o_orderkey % 9 = 0 THEN 1 ELSE o_totalprice END AS o_totalprice FROM orders
+    UNION ALL SELECT 'dev-' || (o_orderkey // 2 % 4), o_orderkey + 1000000000, 'one', 2 FROM orders WHERE o_orderkey % 10 = 0 AND {late}"""
+
+
+@add("statement_shapes", SHAPED.format(late="true"))
+def statement_shapes(spark, sf):
+    """Several rows of values in one statement, bound and literal ones mixed, OR IGNORE, and ON CONFLICT DO NOTHING."""
+    rows = replay_commands(fx.shaped_commands(spark, sf), "orders", evolve.CONSOLIDATION).rows
+    return rows.select(F.col("sys_device_id").alias("device_id"), "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@add("refused_statement_holds", SHAPED.format(late="(o_orderkey // 2 % 4 <> 2)"))
+def refused_statement_holds(spark, sf):
+    """dev-2 issues a statement that is refused: nothing behind it is applied for that device, the others go on."""
+    rows = replay_commands(fx.shaped_commands(spark, sf, refused=True), "orders", evolve.CONSOLIDATION, hold_refused=True).rows
+    return rows.select(F.col("sys_device_id").alias("device_id"), "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 # -- defaults and widening -------------------------------------------------------------------------
 
 RATING = "CASE WHEN s_suppkey % 10 = 0 THEN 2.5 WHEN s_suppkey % 6 = 0 THEN 0 WHEN s_suppkey % 4 = 1 THEN s_suppkey ELSE 7 END::DOUBLE AS rating"
