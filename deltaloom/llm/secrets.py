@@ -4,13 +4,19 @@ Base kinds are plain patterns (assignments, access key ids, hex runs). Base64 an
 a kind of their own only if their structure holds: DER key encodings whose nested lengths add up, OpenSSH containers and public keys with consistent
 length fields, PEM armour around such a body, and signed tokens whose header decodes to JSON with an algorithm.
 
-Spans are code points, end exclusive. Defined results: null and empty texts have no spans. Each input row gives one row.
+Every run of an alphabet is decoded once per alignment, and a bounded number of length fields is read at every place that can begin a key,
+so that the time is linear in a text's length whatever it holds; very long texts are scanned whole.
+
+Spans are code points, end exclusive. Defined results: null and empty texts have no spans. Each input row gives one row; repeated rows repeat their
+result. Only the text is read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -32,22 +38,23 @@ KINDS = ("assign", "access", "hex", "pem_key", "der_key", "ssh_key", "signed_tok
 
 _WORDS = (b"passw", b"secret", b"token", b"api")
 _ARMOUR = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*(?:-(?!----)[^-]*)*)-----END \1-----")
-_HEADER = re.compile(rb"(?:^|(?<=[\r\n]))[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*(?:\r?\n[ \t]+[^\r\n]*:[^\r\n]*)*")
+_HEADER = re.compile(rb"(?:^|(?<=[\r\n]))[ \t]*+[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+(?:\r?\n[ \t]++[^\r\n:]*+:[^\r\n]*+)*+")
 #: A line end, as it is or escaped, with indentation and quoting marks of the next line.
 _BREAK = re.compile(rb"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*|]*")
 #: What can begin a DER sequence (30 xx), the length field of an SSH key type (00 00 00 xx) or an OpenSSH container.
-_BASE64 = re.compile(rb"M[A-P][A-Za-z0-9+/]|AAAA[A-Z]|b3Bl")
+_BASE64 = re.compile(rb"M[A-P][A-Za-z0-9+/]|AAAA[B-Q]|b3Bl")
 _HEX_DER = re.compile(rb"(?<![0-9A-Fa-f])(?:30|000000|6[Ff]70656[Ee])[0-9A-Fa-f]")
 _LINE64, _LINE_HEX = re.compile(rb"[A-Za-z0-9+/]+"), re.compile(rb"[0-9A-Fa-f]+")
 _PAD = re.compile(rb"={1,2}")
-_TOKEN = re.compile(rb"ey[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
+#: The first part of a dotted token, a whole run of its characters, with what stands behind it.
+_TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)(?=\.([A-Za-z0-9_-]{4,}+)\.([A-Za-z0-9_-]*+))")
 
 
-def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """Tag, content start and end of consecutive DER elements that fill [at, end) exactly, else None."""
+def _elements(data: bytes, at: int, end: int, most: int) -> list[tuple[int, int, int]] | None:
+    """Tag, content start and end of at most ``most`` consecutive DER elements that fill [at, end) exactly, else None."""
     out = []
     while at < end:
-        if at + 2 > end:
+        if at + 2 > end or len(out) == most:
             return None
         tag, size, head = data[at], data[at + 1], 2
         if size & 0x80:
@@ -64,133 +71,158 @@ def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
     return out
 
 
-def der_key(data: bytes) -> bool:
-    """Whether bytes are one DER private or public key: PKCS #1, PKCS #8 plain or encrypted, SEC 1, DSA or SubjectPublicKeyInfo."""
-    top = _elements(data, 0, len(data))
-    if not top or len(top) != 1 or top[0][0] != 0x30:
+#: Elements of the longest key, a PKCS #1 private key with further primes, and of an algorithm.
+_KEY_ELEMENTS, _ALGORITHM_ELEMENTS = 10, 4
+
+
+def der_key(data: bytes, at: int = 0, end: int | None = None) -> bool:
+    """Whether [at, end) is one DER private or public key: PKCS #1, PKCS #8 plain or encrypted, SEC 1, DSA or SubjectPublicKeyInfo.
+
+    Reads a bounded number of element heads, however long the data.
+    """
+    top = _elements(data, at, len(data) if end is None else end, 1)
+    if not top or top[0][0] != 0x30:
         return False
-    inner = _elements(data, top[0][1], top[0][2])
+    inner = _elements(data, top[0][1], top[0][2], _KEY_ELEMENTS)
     if not inner:
         return False
-    tags = [t for t, _, _ in inner]
-    if tags[0] == 0x02 and len(tags) >= 9 and set(tags[:9]) == {0x02}:  # version and eight numbers
+    tags, sizes = [t for t, _, _ in inner], [b - a for _, a, b in inner]
+    first = data[inner[0][1] : inner[0][1] + min(sizes[0], 2)]
+
+    def algorithm(element: tuple[int, int, int]) -> bool:
+        parts = _elements(data, element[1], element[2], _ALGORITHM_ELEMENTS)
+        return bool(parts) and parts[0][0] == 0x06
+
+    if len(tags) >= 9 and set(tags[:9]) == {0x02}:  # version and eight numbers
         return True
     if tags[:3] == [0x02, 0x30, 0x04]:  # version, algorithm, key
-        algorithm = _elements(data, inner[1][1], inner[1][2])
-        return bool(algorithm) and algorithm[0][0] == 0x06
-    if tags[:2] == [0x02, 0x04] and data[inner[0][1] : inner[0][2]] == b"\x01":  # elliptic curve
-        return inner[1][2] - inner[1][1] >= 16
-    if tags == [0x02] * 6 and data[inner[0][1] : inner[0][2]] == b"\0":  # DSA: version, p, q, g, y, x
-        return inner[1][2] - inner[1][1] >= 48
-    if tags in ([0x30, 0x03], [0x30, 0x04]):  # algorithm, and public key bits or an encrypted private key
-        algorithm = _elements(data, inner[0][1], inner[0][2])
-        return bool(algorithm) and algorithm[0][0] == 0x06
-    return False
+        return algorithm(inner[1])
+    if tags[:2] == [0x02, 0x04] and first == b"\x01":  # elliptic curve
+        return sizes[1] >= 16
+    if tags == [0x02] * 6 and first == b"\0":  # DSA: version, p, q, g, y, x
+        return sizes[1] >= 48
+    if tags == [0x02, 0x02]:  # modulus and exponent
+        return sizes[0] >= 64 and sizes[1] <= 8 and bool(data[inner[1][2] - 1] & 1)
+    return tags in ([0x30, 0x03], [0x30, 0x04]) and algorithm(inner[0])  # algorithm, and public key bits or an encrypted private key
 
 
-def ssh_key(data: bytes) -> bool:
-    """Whether bytes are an OpenSSH private key container or a public key with consistent length fields."""
-    magic = b"openssh-key-v1\0"
-    private = data.startswith(magic)
-    at, fields = len(magic) if private else 0, []
-    while at + 4 <= len(data):
+#: Fields of a public key by its type; other types have at most so many.
+_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ssh-ed448": 2, b"sk-ssh-ed25519@openssh.com": 3, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
+_OTHER_FIELDS, _TYPE_CHARS, _CONTAINED = 16, 64, 64
+_MAGIC = b"openssh-key-v1\0"
+_TYPE = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
+
+
+def _fields(data: bytes, at: int, end: int, count: int) -> list[tuple[int, int]]:
+    """Places of up to ``count`` fields, each after its length in four bytes, that lie within [at, end)."""
+    out: list[tuple[int, int]] = []
+    while len(out) < count and at + 4 <= end:
         size = int.from_bytes(data[at : at + 4], "big")
-        if private and len(fields) == 3:  # the number of keys stands here
-            return 1 <= size <= 64 and at + 8 <= len(data)
-        if at + 4 + size > len(data):
-            return False
-        fields.append(data[at + 4 : at + 4 + size])
+        if at + 4 + size > end:
+            break
+        out.append((at + 4, at + 4 + size))
         at += 4 + size
-    return not private and at == len(data) and len(fields) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", fields[0]) is not None
+    return out
 
 
-#: Fields of a public key by its type.
-_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ssh-ed448": 2, b"sk-ssh-ed25519@openssh.com": 3, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
-_MAGIC = b"openssh-key-v1\0"
+def _ssh_size(data: bytes, at: int, line_end: int) -> int:
+    """Bytes of the SSH key that begins at a place, 0 if there is none. Keys of other types than the listed ones end where their line does."""
+    if data.startswith(_MAGIC, at):
+        begin = at + len(_MAGIC)
+        names = _fields(data, begin, len(data), 3)  # cipher, key derivation, its options; then the number of keys
+        if len(names) < 3:
+            return 0
+        keys = int.from_bytes(data[names[2][1] : names[2][1] + 4], "big")
+        if not 1 <= keys <= _CONTAINED:
+            return 0
+        parts = _fields(data, names[2][1] + 4, len(data), keys + 1)  # public parts and the private section
+        return parts[-1][1] - at if len(parts) == keys + 1 else 0
+    first = _fields(data, at, len(data), 1)
+    if not first or not 4 < first[0][1] - first[0][0] <= _TYPE_CHARS:
+        return 0
+    name = data[first[0][0] : first[0][1]]
+    if not _TYPE.fullmatch(name):
+        return 0
+    count = _SSH_FIELDS.get(name, 3 if name.startswith(b"ecdsa-sha2-") else 0)
+    if count:
+        fields = _fields(data, at, len(data), count)
+        return fields[-1][1] - at if len(fields) == count else 0
+    fields = _fields(data, at, line_end, _OTHER_FIELDS)
+    return line_end - at if len(fields) >= 2 and fields[-1][1] == line_end else 0
 
 
-def _size(head: bytes) -> int | None:
-    """Bytes of the DER key that may begin so; 0 if an SSH key may, whose fields must be walked; None if neither."""
-    if head[:1] == b"\x30" and len(head) >= 12:
+def ssh_key(data: bytes) -> bool:
+    """Whether bytes are one OpenSSH private key container, some padding behind it, or one public key with consistent length fields."""
+    size = _ssh_size(data, 0, len(data))
+    return size == len(data) or size > 0 and data.startswith(_MAGIC)
+
+
+def _key_at(data: bytes, at: int, line_end: int) -> tuple[int, str] | None:
+    """Bytes and kind of the key that begins at a place, if one does. The structure alone decides how far it goes."""
+    head = data[at : at + 12]
+    if head[:1] == b"\x30" and len(head) == 12:
         more = head[1] & 0x7F if head[1] & 0x80 else 0
-        if more > 4 or head[1] == 0x80:
+        if more > 4 or head[1] == 0x80 or head[2 + more] not in (0x30, 0x02):
             return None
         size = 2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1])
-        return size if head[2 + more] == 0x30 or head[2 + more : 4 + more] == b"\x02\x01" else None
-    return 0 if head.startswith(_MAGIC[:8]) or re.match(rb"\0\0\0.(ssh|ecd|sk-)", head, re.DOTALL) else None
-
-
-def _ssh_size(data: bytes) -> int:
-    """Bytes of the SSH key that data begins with, 0 if it is not whole or of a type with unknown fields."""
-    at, left = 0, 1
-    if data.startswith(_MAGIC):
-        at, left = len(_MAGIC), 3
-    fields = []
-    while left:
-        if at + 4 > len(data):
-            return 0
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
-            return 0
-        fields.append(data[at + 4 : at + 4 + size])
-        at, left = at + 4 + size, left - 1
-        if len(fields) == 1 and not data.startswith(_MAGIC):
-            left = _SSH_FIELDS.get(fields[0], 3 if fields[0].startswith(b"ecdsa-sha2-") else 0) - 1
-            if left < 0:
-                return 0
-        if len(fields) == 3 and data.startswith(_MAGIC):  # number of keys, their public parts, the private section
-            left, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
-            if left > 65:
-                return 0
-    return at
-
-
-def _lines(raw: bytes, at: int, line: re.Pattern, most: int | None) -> tuple[bytes, list[tuple[int, int]]]:
-    """Characters of a run from ``at`` over line ends, ``most`` at most, and the places of its lines."""
-    parts, places, have = [], [], 0
-    while (m := line.match(raw, at, len(raw) if most is None else min(len(raw), at + most - have))) is not None:
-        parts.append(m[0])
-        places.append(m.span())
-        have, at = have + len(m[0]), m.end()
-        if have == most or (gap := _BREAK.match(raw, at)) is None:
-            break
-        at = gap.end()
-    return b"".join(parts), places
-
-
-def _end(places: list[tuple[int, int]], chars: int) -> int:
-    """Where the first ``chars`` characters of a run end."""
-    for a, b in places:
-        if chars <= b - a:
-            return a + chars
-        chars -= b - a
-    return places[-1][1]
-
-
-def _encoded(raw: bytes, at: int, line: re.Pattern) -> tuple[int, str] | None:
-    """End and kind of the key whose base64 or hex begins at a place, if there is one. The structure alone decides how far it goes."""
-    sixes = line is _LINE64
-    decode = _decode64 if sixes else _from_hex
-    size = _size(decode(_lines(raw, at, line, 32)[0]))
-    if size is None:
-        return None
-    chars = (-(-size * 4 // 3) if sixes else 2 * size) or None
-    text, places = _lines(raw, at, line, chars)
-    body, kind = decode(text), "der_key"
-    if size:
-        if len(body) < size or not der_key(body[:size]):
+        return (size, "der_key") if at + size <= len(data) and der_key(data, at, at + size) else None
+    size = _ssh_size(data, at, line_end) if head[:3] in (b"\0\0\0", _MAGIC[:3]) else 0
+    return (size, "ssh_key") if size else None
+
+
+class _Run:
+    """Lines of one alphabet that follow each other, joined; decoded once for each alignment, however many places in it may begin a key."""
+
+    def __init__(self, raw: bytes, at: int, line: re.Pattern):
+        self.places, parts = [], []
+        while (m := line.match(raw, at)) is not None:
+            self.places.append(m.span())
+            parts.append(m[0])
+            gap = _BREAK.match(raw, m.end())
+            if gap is None:
+                break
+            at = gap.end()
+        self.text, self.end = b"".join(parts), self.places[-1][1]
+        self.starts = [a for a, _ in self.places]
+        self.before = [0, *itertools.accumulate(map(len, parts))]
+        self.bits = 6 if line is _LINE64 else 4
+        self.unit = 4 if line is _LINE64 else 2  # characters that make whole bytes
+        self.decoded: dict[int, bytes] = {}
+
+    def key(self, raw: bytes, place: int) -> tuple[int, str] | None:
+        """End and kind of the key whose encoding begins at a place."""
+        nth = bisect.bisect_right(self.starts, place) - 1
+        char = self.before[nth] + place - self.starts[nth]
+        if len(self.text) - char < 16:
             return None
-    else:
-        kind, size = "ssh_key", _ssh_size(body)
-        if size and ssh_key(body[:size]):
-            chars = -(-size * 4 // 3) if sixes else 2 * size
-        else:  # other types fill one line
-            chars = places[0][1] - places[0][0]
-            if not ssh_key(decode(text[:chars])):
-                return None
-    end = _end(places, chars)
-    pad = _PAD.match(raw, end) if sixes else None
-    return pad.end() if pad else end, kind
+        shift = char % self.unit
+        if shift not in self.decoded:
+            self.decoded[shift] = _decode64(self.text[shift:]) if self.unit == 4 else _from_hex(self.text[shift:])
+        at = (char - shift) * self.bits // 8
+        line_end = at + (self.before[nth + 1] - char) * self.bits // 8
+        found = _key_at(self.decoded[shift], at, min(line_end, len(self.decoded[shift])))
+        if found is None:
+            return None
+        last = char + -(-found[0] * 8 // self.bits)  # behind the last character
+        nth = bisect.bisect_left(self.before, last) - 1
+        end = self.starts[nth] + last - self.before[nth]
+        pad = _PAD.match(raw, end) if self.unit == 4 else None
+        return pad.end() if pad else end, found[1]
+
+
+def _keys(raw: bytes, pattern: re.Pattern, line: re.Pattern, hidden: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """Keys in one encoding outside the ``hidden`` places, in the order of the text."""
+    run, upto, inside = None, 0, 0
+    for place in _places(pattern, raw):
+        while inside < len(hidden) and hidden[inside][1] <= place:
+            inside += 1
+        if place < upto or (inside < len(hidden) and hidden[inside][0] <= place):
+            continue
+        if run is None or place >= run.end:
+            run = _Run(raw, place, line)
+        if found := run.key(raw, place):
+            upto = found[0]
+            yield place, *found
 
 
 def _armoured(text: bytes) -> bool:
@@ -212,14 +244,24 @@ def _decode64(text: bytes, urls: bool = False) -> bytes:
         return b""
 
 
-def signed_token(token: bytes) -> bool:
+def signed_token(head: bytes, body: bytes) -> bool:
     """Whether the first part of a dotted token is a JSON header that names an algorithm, and the second is JSON too."""
-    head, body, _ = token.split(b".", 2)
     try:
-        header, claims = json.loads(_decode64(head, True)), json.loads(_decode64(body, True))
+        header = json.loads(_decode64(head, True))
+        claims = json.loads(_decode64(body, True)) if isinstance(header, dict) and isinstance(header.get("alg"), str) else None
     except (ValueError, RecursionError):
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(claims, dict)
+    return isinstance(claims, dict)
+
+
+def _tokens(raw: bytes) -> Iterator[tuple[int, int, str]]:
+    """Signed tokens: in a run of token characters the first place that can begin a JSON header, with two more parts behind the run."""
+    upto = 0
+    for m in _TOKEN.finditer(raw):
+        at = m[1].find(b"ey")
+        if at >= 0 and len(m[1]) - at >= 12 and m.start() + at >= upto and signed_token(m[1][at:], m[2]):
+            upto = m.end(3)
+            yield m.start() + at, upto, "signed_token"
 
 
 def _places(pattern: re.Pattern, raw: bytes) -> Iterator[int]:
@@ -246,17 +288,9 @@ def find(raw: bytes) -> list[tuple[int, int, str]]:
                 armoured.append((m.start(), m.end()))
                 out.append((m.start(), m.end(), "pem_key"))
     for pattern, line in ((_BASE64, _LINE64), (_HEX_DER, _LINE_HEX)):
-        upto = inside = 0
-        for place in _places(pattern, raw):
-            while inside < len(armoured) and armoured[inside][1] <= place:
-                inside += 1
-            if place < upto or (inside < len(armoured) and armoured[inside][0] <= place):
-                continue
-            if found := _encoded(raw, place, line):
-                upto = found[0]
-                out.append((place, *found))
+        out += _keys(raw, pattern, line, armoured)
     if b"ey" in raw and b"." in raw:
-        out += [(m.start(), m.end(), "signed_token") for m in _TOKEN.finditer(raw) if signed_token(m[0])]
+        out += _tokens(raw)
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
