@@ -12,8 +12,8 @@ The running sum is taken in two steps, so that a source with a third of all rows
 range (some thousand documents each), slice totals are summed up per source, and only the slice with the border is sorted.
 
 Defined results: a null text has size 0; a null source is a source of its own, after all others; documents of size 0 take 0 words. Equal
-keys are ordered by id, then by text hash. Repeated rows with all of these equal share one running sum and are taken or left together. A
-null, non-positive or non-finite quality weight counts as 1. Each document row gives one row; empty tables give none.
+keys are ordered by id, then by text hash. Rows that repeat id, text and source are one entry with a count until the end: as many of its copies are
+taken as come nearest to the budget. A null, non-positive or non-finite quality weight counts as 1. Each document row gives one row; empty tables give none.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from deltaloom.llm.text import SPACED_WORD
+from deltaloom.llm.vectors import partitions_of
 from deltaloom.storage import cut_lineage
 
 #: Weights of the sources by code point, repeating (fixed values).
 WEIGHTS = (5, 2, 1)
 #: Budget of the whole mix and cap of a source, in times of the sizes.
 SHARE, MOST = 1.5, 2.0
-#: Documents in a slice of the key range, on average.
+#: Documents in a slice of the key range, on average, and rows that one task writes of a repeated document at a time.
 SLICE = 4096
 
 
@@ -100,9 +101,10 @@ def mix(
         best = quality.where((given > 0) & (given < float("inf"))).groupBy("quality_id").agg(F.max(given).alias("weight"))
         rows = rows.join(best, F.col("doc_id") == F.col("quality_id"), "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
     rows = rows.select("doc_id", "source", "size", "code", (-F.log("u") / F.col("weight")).alias("key"))
+    rows = rows.groupBy("doc_id", "source", "size", "code", "key").agg(F.count("*").alias("copies"))
     rows = cut_lineage(rows, "mix")  # ids, sizes and keys: the texts are read once
 
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    totals = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("n_docs"))
     plan = targets(totals, weights, share, most).join(totals.select(F.col("source").alias("s"), "n_docs"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     plan = plan.withColumn("epochs", F.least(F.col("epochs"), F.lit(int(most)))).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
@@ -112,7 +114,7 @@ def mix(
     dealt = rows.join(told, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     dealt = dealt.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * F.col("slices")).cast("long"))
 
-    slices = dealt.groupBy("source", "slice", "rest").agg(F.sum("size").alias("slice_size"))
+    slices = dealt.groupBy("source", "slice", "rest").agg(F.sum(F.col("size") * F.col("copies")).alias("slice_size"))
     running = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     border = (
         slices.withColumn("upto", F.sum("slice_size").over(running))
@@ -124,10 +126,22 @@ def mix(
     placed = dealt.join(border, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     on_border = F.col("slice") == F.col("border")
     inside = placed.where(on_border)
-    in_order = W.partitionBy("source").orderBy("key", "doc_id", "code").rangeBetween(W.unboundedPreceding, W.currentRow)
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(in_order)).withColumn(
-        "extra", (F.col("upto") - F.col("size") / 2 <= F.col("rest")).cast("long")
-    )
-    outside = placed.where(~on_border | F.col("border").isNull()).withColumn("extra", (F.coalesce(F.col("slice") < F.col("border"), F.lit(True))).cast("long"))
-    columns = ["doc_id", "size", "source_size", "source", "target", ((F.col("epochs") + F.col("extra")) * F.col("size")).cast("long").alias("taken")]
-    return inside.select(*columns).unionByName(outside.select(*columns))
+    in_order = W.partitionBy("source").orderBy("key", "doc_id", "code").rowsBetween(W.unboundedPreceding, -1)
+    ahead = F.col("rest") - F.col("before") - F.coalesce(F.sum(F.col("size") * F.col("copies")).over(in_order), F.lit(0))
+    nearest = F.when(F.col("size") > 0, F.floor(F.col("ahead") / F.col("size") + 0.5)).otherwise(F.lit(0))
+    inside = inside.withColumn("ahead", ahead).withColumn("extra", F.greatest(F.lit(0), F.least("copies", nearest)))
+    all_of_it = F.coalesce(F.col("slice") < F.col("border"), F.lit(True))
+    outside = placed.where(~on_border | F.col("border").isNull()).withColumn("extra", F.when(all_of_it, F.col("copies")).otherwise(F.lit(0)))
+    columns = ["doc_id", "size", "source_size", "source", "target", "epochs", "copies", "extra"]
+    taken = (F.col("epochs") + (F.col("copy") < F.col("extra")).cast("long")) * F.col("size")
+    rows = _each_copy(inside.select(*columns).unionByName(outside.select(*columns)))
+    return rows.select("doc_id", "size", "source_size", "source", "target", taken.cast("long").alias("taken"))
+
+
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """A row per copy, ``copy`` from 0. Those of a document repeated without end are dealt out before they are written."""
+    few = rows.where(F.col("copies") <= SLICE).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    many = rows.where(F.col("copies") > SLICE).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / SLICE))))
+    many = many.repartition(partitions_of(rows))
+    many = many.withColumn("copy", F.explode(F.sequence(F.col("part") * SLICE, F.least(F.col("copies"), (F.col("part") + 1) * SLICE) - 1)))
+    return few.unionByName(many.drop("part"))

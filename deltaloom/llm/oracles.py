@@ -1,5 +1,7 @@
 """DuckDB SQL that states the results of the operators that SQL can express."""
 
+from deltaloom.llm.url_filter import SUFFIXES
+
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = f"translate(coalesce(text, ''), '{_UP}', '{_LOW}')"
 _PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,7 +69,7 @@ f AS (
 t AS (SELECT source, source_size, CASE WHEN final IS NULL THEN cap ELSE final * weight END AS target FROM f),
 p AS (
   SELECT k.*, source_size, target, CASE WHEN source_size > 0 THEN least(2, floor(target / source_size))::BIGINT ELSE 0 END AS epochs,
-    sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, code RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, code ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
@@ -89,9 +91,18 @@ ruled AS (
   FROM keyed JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid
 ),
 y AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic IS NOT NULL AND quality IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id),
+c0 AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM h LEFT JOIN y ON page_id = doc_id GROUP BY host
+),
+sites AS (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS site FROM c0),
+labels_of AS (
+  SELECT *, string_split(site, '.') AS parts, regexp_matches(site, '^(?:[0-9]{1,3}(?:\\.[0-9]{1,3}){3}|\\[.*\\])$') AS address,
+    array_to_string(string_split(site, '.')[-2:], '.') IN (%s) AS public FROM sites
+),
 c AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, array_to_string(string_split(host, '.')[-2:], '.') AS dom, string_split(host, '.')[-1] AS suf
-  FROM h LEFT JOIN y ON page_id = doc_id GROUP BY host
+  SELECT host, n, bad, CASE WHEN address THEN site WHEN public THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS dom,
+    CASE WHEN address THEN site WHEN public THEN array_to_string(parts[-2:], '.') ELSE parts[-1] END AS suf
+  FROM labels_of
 ),
 m0 AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS m FROM c),
 s AS (SELECT suf, sum(n) AS n, sum(bad) AS bad, (SELECT m FROM m0) AS up FROM c GROUP BY suf),
@@ -105,7 +116,7 @@ g1 AS (SELECT least(greatest((coalesce(sum(n * pow(bad / n - up, 2) / greatest(u
 r AS (SELECT host, n + (1 / rho - 1) AS total, (bad + (1 / rho - 1) * up) / (n + (1 / rho - 1)) AS mean FROM g, g1)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM keyed LEFT JOIN ruled USING (rid) LEFT JOIN r USING (host)
-""" % (_UP, _LOW)
+""" % (_UP, _LOW, ", ".join(f"'{x}'" for x in SUFFIXES))
 
 JACCARD = f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '{_SPACED}') AS w FROM documents),

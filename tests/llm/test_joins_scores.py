@@ -98,6 +98,52 @@ def test_links_between_groups_are_not_lost(spark):
     assert {r.doc_id: r.component_id for r in jaccard_join.link(docs).collect()} == {i: c for i, (_, c) in joined(rows).items()}
 
 
+def one_word_edits(n, seed=7, words=60, edits=(1,)):
+    """Copies of one text, each with words of its own changed: few of them are similar to each other, and none is the text itself."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.choice(edits)):
+            copy[rng.randrange(words)] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    return list(enumerate(texts))
+
+
+def pair_rows(spark, monkeypatch, rows):
+    """Result of the join, and how many rows its pair joins made."""
+    made, write = {}, jaccard_join.cut_lineage
+
+    def counted(df, label):
+        out = write(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cut_lineage", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link(docs).collect()}
+    monkeypatch.setattr(jaccard_join, "cut_lineage", write)
+    return found, sum(made[label] for label in ("pairs", "difference-pairs", "rest-pairs"))
+
+
+def test_pairs_of_a_crowd_grow_with_its_members(spark, monkeypatch):
+    few, many = (pair_rows(spark, monkeypatch, one_word_edits(n)) for n in (150, 300))
+    assert few[0] == joined(one_word_edits(150)) and many[0] == joined(one_word_edits(300))
+    assert many[1] < 5 * 300 and many[1] < 4.5 * max(150, few[1])
+
+
+@pytest.mark.parametrize("edits", [(0, 1, 2, 3), (1, 1, 1, 8)])
+def test_crowds_of_many_kinds(spark, edits):
+    """Two crowds that share half their text, members near to and far from their common text, repeated rows, one id with two texts."""
+    rows = one_word_edits(120, 1, 80, edits)
+    other = one_word_edits(60, 2, 80, edits)
+    half = " ".join(rows[0][1].split()[:40])
+    rows += [(200 + i, half + " " + " ".join(t.split()[40:])) for i, t in other]
+    docs = spark.createDataFrame([*rows, *rows[:30]], "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link(docs).collect()} == joined(rows)
+
+
 def test_prefixes_share_enough():
     """Any two sets that are similar enough share as many prefix elements as their prefix lengths imply."""
     rng = np.random.default_rng(2)
@@ -121,8 +167,10 @@ def test_join_of_awkward_ids(spark):
     rows = [(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (None, "only here now then"), (None, None), (3, None)]
     found = jaccard_join.link(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.doc_id is None, r.n_shingles, r.component_id or -1) for r in found) == [(False, 0, 3), (False, 2, 7), (False, 2, 7), (True, 0, -1), (True, 1, -1), (True, 2, 7)]
-    kept = jaccard_join.one_of_each(spark.createDataFrame([*rows, (9, "A B C D E")], schema)).collect()
-    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 0, 3, 7]
+    more = spark.createDataFrame([*rows, (9, "A B C D E")], schema)
+    clashing = ("_place", "_word", "_bits", "_jaccard_key", "_Jaccard_id", "octets")
+    kept = jaccard_join.one_of_each(more.withColumns({c: F.lit(c) for c in clashing})).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 0, 3, 7] and all(r[c] == c for r in kept for c in clashing)
 
 
 def test_components(spark):
@@ -224,6 +272,24 @@ def test_mixing(spark, monkeypatch):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_copies_of_a_row_are_taken_one_by_one(spark):
+    """Six copies of a row of four words, 35 words wanted: one epoch of 24, then as many copies as come nearest to the other 11."""
+    rows = [(1, "a b c d", "x")] * 6 + [(2, "e", "y")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = mixing.mix(docs, weights=(35, 1), share=36 / 27).collect()
+    assert len(out) == 9 and {r.source: r.target for r in out} == {"x": 35.0, "y": 1.0}
+    assert sorted(r.taken for r in out if r.source == "x") == [4, 4, 4, 8, 8, 8]
+    assert sorted(r.taken for r in out if r.source == "y") == [0, 0, 1]
+
+
+def test_a_row_repeated_very_often(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE", 7)
+    rows = [(1, "a b", "x")] * 100 + [(i, "c " * i, "x") for i in range(2, 30)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), share=0.5).collect()
+    assert len(out) == len(rows) and {r.taken for r in out if r.doc_id == 1} <= {0, 2}
+    assert abs(sum(r.taken for r in out) - out[0].target) <= 15
+
+
 def test_mixing_prefers_quality(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
     weights = spark.range(4000).select(F.col("id").alias("quality_id"), F.when(F.col("id") % 4 < 2, 4.0).otherwise(0.25).alias("weight"))
