@@ -15,6 +15,8 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,10 +70,15 @@ def streams(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "tur
     return grouped.select("conv_id", F.array_join(F.transform("turns", lambda t: t["rendered"]), "").alias("stream"), examples.alias("examples"))
 
 
-def expand(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: its target text, and its context as a position in the conversation's stream."""
-    rows = formatted.select("conv_id", "stream", F.explode("examples").alias("e"))
-    return rows.select("conv_id", "e.example", "e.context_end", "e.loss_start", "e.loss_end", "e.end", _part(F.col("stream"), F.col("e.loss_start"), F.col("e.loss_end")).alias("target"))
+def expand(formatted: DataFrame, keep: Sequence[str] = ("conv_id",), outer: bool = False) -> DataFrame:
+    """One row per assistant turn: its target text, and its context as a position in the conversation's stream.
+
+    ``keep`` names columns to repeat in every row; ``outer`` gives conversations without assistant turns a row without an example.
+    """
+    explode = F.explode_outer if outer else F.explode
+    rows = formatted.select(*keep, "stream", explode("examples").alias("e"))
+    target = _part(F.col("stream"), F.col("e.loss_start"), F.col("e.loss_end"))
+    return rows.select(*keep, "e.example", "e.context_end", "e.loss_start", "e.loss_end", "e.end", target.alias("target"))
 
 
 def examples_with_text(formatted: DataFrame) -> DataFrame:
@@ -98,9 +105,13 @@ def digest(formatted: DataFrame) -> DataFrame:
     """Per conversation: what reading the formatted output back gives."""
     turns = read_back(F.col("stream"))
     told = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    # under the mask of each example, in order of the examples
-    masked = F.array_join(F.transform("examples", lambda e: unescape(_part(F.col("stream"), e["loss_start"], e["loss_end"]))), "")
-    rows = formatted.select("conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), masked.alias("loss"), F.length("stream").cast("long").alias("formatted_chars"))
+    told = formatted.select(
+        "conv_id", "stream", "examples", F.size(turns).cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("stream").cast("long").alias("formatted_chars")
+    )
+    # one row per example, then what is under their masks in order; rows of a conversation stand together already, so nothing is shuffled again
+    rest = ["conv_id", "n_turns", "turns_sha256", "formatted_chars"]
+    masked = F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", unescape(F.col("target")).alias("text")))))
+    rows = expand(told, rest, outer=True).groupBy(*rest).agg(F.array_join(F.transform(masked, lambda e: e["text"]), "").alias("loss"))
     return rows.select(
         "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"), "formatted_chars"
     )
