@@ -152,7 +152,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     """Frame (conv_id, block, turns): the letters between two checkpoints."""
     sizes = rows.groupBy("conv_id").agg(F.greatest(F.lit(LEAST), F.ceil(F.sqrt(F.count("*")))).alias("size"))
     dealt = join_same(rows.select("conv_id", "nr", "letter"), sizes, ["conv_id"])
-    dealt = dealt.withColumn("block", F.floor((F.col("nr") - 1) / F.col("size")))
+    dealt = dealt.withColumn("block", F.floor((F.col("nr") - 1) / F.col("size"))).repartition(partitions_of(rows), "conv_id", "block")
     letters = F.transform(F.array_sort(F.collect_list(F.struct("nr", "letter"))), lambda x: x["letter"])
     return dealt.groupBy("conv_id", "block").agg(F.array_join(letters, "").alias("turns"), F.min("nr").alias("nr"))
 
@@ -185,7 +185,7 @@ def edits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     schema = "conv_id long, block long, nr long, turns string, costs array<long>"
     blocks = _blocks(rows).select("conv_id", "block", "nr", "turns")
     blocks = cut_lineage(blocks.mapInArrow(_apply(lambda c, b, nr, turns: [(c, b, nr, turns, sum(matrix(turns), []))], schema), schema), "blocks")
-    lists = blocks.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("block", "costs"))).alias("blocks"))
+    lists = blocks.repartition(partitions_of(rows), "conv_id").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("block", "costs"))).alias("blocks"))
     schema = "conv_id long, block long, behind array<long>, last boolean, cost long"
     points = cut_lineage(lists.mapInArrow(_apply(_checkpoints, schema), schema), "checkpoints")
 
@@ -195,6 +195,7 @@ def edits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     schema = "conv_id long, block long, nr long, pieces array<string>, ends array<long>"
     ready = join_same(blocks.select("conv_id", "block", "nr", "turns"), points, ["conv_id", "block"]).select("conv_id", "block", "nr", "turns", "behind", "last")
+    ready = ready.repartition(partitions_of(rows), "conv_id", "block")  # letters are few bytes but much work
     walked = cut_lineage(ready.mapInArrow(_apply(walks, schema), schema), "walks")
     # the state in which each block is entered, from the first block on
     ends = F.transform(F.array_sort(F.collect_list(F.struct("block", "ends"))), lambda x: x["ends"])
