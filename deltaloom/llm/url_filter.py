@@ -6,7 +6,8 @@ suffix and all pages. The strength of each level's prior is estimated from the s
 if the lower bound of its posterior bad rate is above a threshold.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule and is judged by the reputation of the empty
-host. Hosts without outcomes have their parents' rate. Without any outcome nothing is blocked. Each page row gives one row.
+host. Hosts without outcomes have their parents' rate. Without any outcome nothing is blocked. Each page row gives one row, repeated ones too; a repeated
+page counts as often as it stands there. Urls may be of any length.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deltaloom.llm.text import lower_ascii
+from deltaloom.storage import cut_lineage
 
 #: (verdict, host, path) of the fixed rules.
 RULES = (
@@ -59,30 +61,38 @@ def rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-#: Second-level labels under which others register, by country: a hand-written selection of the public suffixes of two labels.
+#: Second-level labels under which others register, by country: public suffixes of two labels that exist (fixed values, a selection).
 PUBLIC = {
-    "ac com edu gov net org": "ar bd bo br cn co cy do ec eg et gh gt hk hn in kw lb lk ly mm mo mt mx my ng ni np om pa pe ph pk pl pr py qa ro sa sg sv tr tw ua uy ve vn",
-    "co ac gov or ne go": "jp kr th id at cr tz ke ug",
-    "co ac gov net org": "uk nz za il in bw zm zw ls ma",
-    "com edu gov net org asn id": "au",
-    "ltd me nhs plc police sch": "uk",
-    "geek gen govt iwi maori school": "nz",
-    "ad ed gr lg": "jp",
-    "pe re hs ms es sc": "kr",
-    "in mi": "th",
-    "web my sch": "id",
-    "gob": "ar bo cl co do ec es gt hn mx ni pa pe py sv ve",
-    "com nom org": "es",
-    "com asso nom gouv": "fr",
-    "com msk spb net org pp": "ru",
-    "art blog eco eng ind inf jus leg mil psc tur": "br",
-    "firm gen ind nic res": "in",
-    "idv": "hk tw",
-    "k12 muni": "il tr",
-    "law nom web": "za",
-    "com net org edu gov": "pt gr jm fj bh jo bb bz cu dz gi iq is kh kz lv mk mz sn tn uz",
+    "uk": "ac co gov ltd me net nhs org plc police sch",
+    "au": "asn com edu gov id net org",
+    "nz": "ac co govt net org school",
+    "jp": "ac ad co ed go gr lg ne or",
+    "kr": "ac co go ne or pe re",
+    "in": "ac co edu firm gen gov ind net nic org res",
+    "za": "ac co gov law net nom org school web",
+    "il": "ac co gov k12 muni net org",
+    "br": "art com edu eng gov ind net org",
+    "cn": "ac com edu gov mil net org",
+    "tw": "com edu gov idv mil net org",
+    "hk": "com edu gov idv net org",
+    "sg": "com edu gov net org per",
+    "my": "com edu gov mil name net org",
+    "th": "ac co go in mi net or",
+    "id": "ac co go mil my net or sch web",
+    "ph": "com edu gov mil net ngo org",
+    "vn": "com edu gov net org",
+    "tr": "com edu gov net org",
+    "mx": "com edu gob net org",
+    "ar": "com edu gob gov net org",
+    "co": "com edu gov net org",
+    "pe": "com edu gob net org",
+    "es": "com edu gob nom org",
+    "ua": "com edu gov in net org",
+    "fr": "asso com gouv nom",
+    "pt": "com edu gov org",
+    "gr": "com edu gov net org",
 }
-SUFFIXES = sorted({f"{label}.{country}" for labels, countries in PUBLIC.items() for label in labels.split() for country in countries.split()})
+SUFFIXES = sorted(f"{label}.{country}" for country, labels in PUBLIC.items() for label in labels.split())
 
 
 def _site(host: Column) -> Column:
@@ -124,8 +134,9 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     ``n`` and ``bad`` are counts of labelled pages, both 0 for hosts without. Only per-host sums are shuffled.
     """
     hosts = outcomes.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    hosts = hosts.withColumn("domain", domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    # every level and its strength read these few rows again: written once each
+    hosts = cut_lineage(hosts.withColumn("domain", domain(F.col("host"))).withColumn("suffix", suffix(F.col("host"))), "hosts")
+    domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("m0"))
 
@@ -133,8 +144,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
         level = level.withColumn("strength", _strength(level, parent).scalar())
         return level.withColumn(out, (F.col("bad") + F.col("strength") * F.col(parent)) / (F.col("n") + F.col("strength")))
 
-    suffixes = shrink(suffixes.withColumn("m0", whole.scalar()), "m0", "m1").select("suffix", "m1")
-    domains = shrink(domains.join(suffixes, "suffix"), "m1", "m2").select("domain", "m2")
+    suffixes = cut_lineage(shrink(suffixes.withColumn("m0", whole.scalar()), "m0", "m1").select("suffix", "m1"), "suffixes")
+    domains = cut_lineage(shrink(domains.join(suffixes, "suffix"), "m1", "m2").select("domain", "m2"), "domain-rates")
     hosts = shrink(hosts.join(domains, "domain"), "m2", "mean")
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("strength") + 1))
     return hosts.select("host", "n", "bad", "mean", (F.col("mean") - DEVIATIONS * deviation).alias("bound"))
