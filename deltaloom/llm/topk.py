@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from deltaloom.llm.vectors import partitions_of
 from deltaloom.storage import cut_lineage
 
 
@@ -68,8 +69,10 @@ def _value(prefix: str, parts) -> Column:
 
 def _flips(probes: DataFrame, radius: int) -> DataFrame:
     """Every probe with exactly ``radius`` of its ``width`` bits flipped."""
+    # a few probes become very many, so they are dealt out before each flip
     probes = probes.withColumn("_last", F.lit(-1))
     for left in range(radius, 0, -1):
+        probes = probes.repartition(partitions_of(probes))
         places = F.when(F.col("width") - left >= F.col("_last") + 1, F.sequence(F.col("_last") + 1, F.col("width") - left))
         probes = probes.withColumn("_last", F.explode(places)).withColumn(
             "value", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_last")))
@@ -86,6 +89,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
     few = found.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1)
     classes = cut_lineage(few.groupBy(*words).agg(F.array_sort(F.collect_list("id")).alias("ids")), "code-classes")  # k+1 ids at most
     segments = _segments(bits, classes.count())
+    everything = found.select("id").distinct().count()
 
     asked = found.join(queries.select(F.col("query_id").cast("long").alias("query_id")).distinct(), F.col("id") == F.col("query_id"), "left_semi")
     asked = cut_lineage(asked, "queries")
@@ -117,7 +121,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
         covered = len(segments) * (radius + 1) - 1
         state = best.groupBy(*[F.col(c).alias(f"b{c}") for c in q]).agg(F.count("*").alias("n"), F.max("distance").alias("furthest"))
         state = active.drop("bound").join(state, [F.col(c) == F.col(f"b{c}") for c in q], "left")
-        ready = (F.coalesce("n", F.lit(0)) > k) & (F.col("furthest") <= covered)
+        ready = ((F.coalesce("n", F.lit(0)) > k) & (F.col("furthest") <= covered)) | (F.coalesce("n", F.lit(0)) >= everything)
         state = cut_lineage(state.select(*q, F.when(F.col("n") > k, F.col("furthest")).otherwise(F.lit(bits)).alias("bound"), F.coalesce(ready, F.lit(False)).alias("ready")), "search")
         done.append(best.join(state.where("ready").select(*q), q, "left_semi"))
         best = best.join(state.where(~F.col("ready")).select(*q), q, "left_semi")
