@@ -5,7 +5,8 @@ document's windows are looked up in it. A hash hit counts only after its words h
 spans or whole documents are removed.
 
 Defined results: null or empty texts have no words and no hits. An item with fewer words than a window is one window; without words it is
-none. Items that share a window all count. An item without an id marks words but is in no list. Each document row gives one row.
+none. Items that share a window all count. An item without an id marks words but is in no list. Each document row gives one row. A column
+of ``docs`` that is called ``_hits`` stays; the result's last column then has a longer name.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.llm.text import LOWER, PLAIN, PLAIN_WORD, UPPER, octets, sequences, words
+from deltaloom.llm.text import LOWER, PLAIN, PLAIN_WORD, UPPER, free_name, octets, sequences, words
 from deltaloom.storage import cut_lineage
 
 WINDOW = 10
-#: Windows in one broadcast: at most some hundred bytes each.
-BLOCK = 200_000
+#: Windows in one broadcast, and bytes of their words and item ids.
+BLOCK, BLOCK_BYTES = 200_000, 32 << 20
 
 HITS = "n_words long, starts array<long>, ends array<long>, from_char array<long>, to_char array<long>, items array<string>"
 
@@ -153,19 +154,21 @@ def _both(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """All rows and columns of ``docs`` with a struct column ``_hits``: words, hit spans in words and characters, ids of found items."""
+    """All rows and columns of ``docs`` with a last column ``_hits``, a struct: words, hit spans in words and characters, ids of found items."""
     spark = docs.sparkSession
     known = cut_lineage(windows(benchmark, item, "text", size), "windows")
-    count = known.count()
-    parts = max(1, -(-count // block))
-    out = docs
+    size_of = F.octet_length("phrase") + F.aggregate("items", F.lit(0), lambda s, i: s + F.octet_length(i))
+    count, held = known.agg(F.count("*"), F.coalesce(F.sum(size_of), F.lit(0))).first()
+    parts = max(1, -(-count // block), -(-held // BLOCK_BYTES))
+    out, hits = docs, free_name(docs.columns, "_hits")
+    more = free_name([*docs.columns, hits], "_hits_too")
     for part in range(parts):
         rows = known.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part).collect() if parts > 1 else known.collect()
         column = _scan(F.col(text), rows, spark)
         if part == 0:
-            out = out.withColumn("_hits", column)
+            out = out.withColumn(hits, column)
             continue
-        out = out.withColumn("_hits_too", column).withColumn("_hits", F.arrow_udf(_both, HITS).asNondeterministic()("_hits", "_hits_too")).drop("_hits_too")
+        out = out.withColumn(more, column).withColumn(hits, F.arrow_udf(_both, HITS).asNondeterministic()(hits, more)).drop(more)
     return out
 
 
@@ -183,10 +186,12 @@ def without_spans(text: Column, hits: Column) -> Column:
 
 def remove_documents(scanned: DataFrame, share: float = 0.0) -> DataFrame:
     """Rows whose hit share of words does not exceed ``share``; with 0 every hit document goes."""
-    return scanned.where(hit_words(F.col("_hits")) <= F.col("_hits.n_words") * share).drop("_hits")
+    hits = scanned.columns[-1]
+    return scanned.where(hit_words(F.col(hits)) <= F.col(hits)["n_words"] * share).drop(hits)
 
 
 def remove_spans(scanned: DataFrame, text: str = "text") -> DataFrame:
     """All rows, their texts without the hit spans."""
-    cut = F.when(F.size("_hits.starts") > 0, without_spans(F.col(text), F.col("_hits"))).otherwise(F.col(text))
-    return scanned.withColumn(text, cut).drop("_hits")
+    hits = scanned.columns[-1]
+    cut = F.when(F.size(F.col(hits)["starts"]) > 0, without_spans(F.col(text), F.col(hits))).otherwise(F.col(text))
+    return scanned.withColumn(text, cut).drop(hits)
