@@ -227,9 +227,10 @@ def _allowed(n1: Column, n2: Column, num: int, den: int) -> Column:
 def _by_differences(members: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) that join the components of similar members of one group; ``members`` has (grp, c, id, tokens), c the component so far."""
     members = members.withColumn("n", F.size("tokens").cast("long"))
-    half = members.groupBy("grp").agg((F.count("*") / 2).alias("half"))
-    had = members.select("grp", F.explode("tokens").alias("token")).groupBy("grp", "token").agg(F.count("*").alias("times"))
-    common = had.join(half.withColumnRenamed("grp", "of").hint("merge"), F.col("grp") == F.col("of")).where("times > half")
+    # half a group's size goes with its members, so that its elements are counted wherever they are; only the common ones meet in one task
+    half = members.groupBy(F.col("grp").alias("of")).agg((F.count("*") / 2).alias("half"))
+    had = members.hint("merge").join(half, F.col("grp") == F.col("of")).select("grp", "half", F.explode("tokens").alias("token"))
+    common = had.groupBy("grp", "token").agg(F.count("*").alias("times"), F.first("half").alias("half")).where("times > half")
     common = common.groupBy(F.col("grp").alias("of")).agg(F.collect_list("token").alias("common"))  # fewer than twice a set's elements
     told = members.join(common.hint("merge"), F.col("grp") == F.col("of"), "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
     own = F.concat(F.array_except("tokens", "common"), F.array_except("common", "tokens"))
