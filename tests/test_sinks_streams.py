@@ -226,3 +226,24 @@ def test_current_rows_keep_wide_integers(spark, tmp_path):
     out.outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out-0"))
     assert dict(got.dtypes)["b"] == "bigint" and {r["id"]: r["b"] for r in got.collect()} == {1: None, 2: big}
+
+
+def test_current_rows_without_upserts_are_an_aggregation(spark, tmp_path):
+    from deltaloom.streaming import current
+
+    ops = (INSERT, UPDATE, DELETE)
+    log = [r for r in random_log(5, keys=6, devices=2) if r[6] in ops]
+    log.append((None, None, 0, 1, 0, 1, INSERT, None, 7, None, None))
+    batches = [log[: len(log) // 2], log[len(log) // 2 - 5 :], log[-5:]]
+    schema, emitted = spark.createDataFrame([], LOG).schema, []
+    for number, rows in enumerate(batches):
+        spark.createDataFrame(rows, LOG).write.parquet(str(tmp_path / "in" / str(number)))
+        found = current.current_rows(st.read_change_files(spark, str(tmp_path / "in"), schema), spec_of(spark), ops)
+        assert "Python" not in found._jdf.queryExecution().analyzed().toString()
+        query = found.writeStream.foreachBatch(lambda df, n: emitted.append(df.collect())).outputMode("update")
+        query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    state = {}
+    for batch in emitted:
+        state |= {(r["_device_id"], r["id"]): (r["a"], r["b"], r["_commit_id"]) if r["_live"] else None for r in batch}
+    assert {k: v for k, v in state.items() if v} == simulate(log)
+    assert len(emitted) == 2 or not emitted[2], "rows delivered again are not emitted again"

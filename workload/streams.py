@@ -266,7 +266,7 @@ def stream_current_rows(spark, sf):
         raw = st.read_change_files(spark, path, log.schema)
         wait(st.start_compaction(raw, spec, short, f"{short}-checkpoint", fx.ORDERS_OPS))
     changes = st.read_change_files(spark, short, log.schema)
-    rows = current.current_rows(changes, spec)
+    rows = current.current_rows(changes, spec, fx.ORDERS_OPS)
 
     def save(batch, number):
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
