@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from deltaloom.functions.columns import join_same
 from deltaloom.operators.carry import carry_forward, sum_forward
 from deltaloom.operators.ranking import number_rows
+from deltaloom.storage import cut_lineage
 
 #: A position beyond all others.
 NEVER = 2**63 - 1
@@ -105,18 +106,18 @@ def _lives(calls: DataFrame, keys: DataFrame, as_of: Column | None) -> DataFrame
     return last.select("key", F.when(F.col("alive"), F.col("birth")).otherwise(F.lit(NEVER)).alias("since"))
 
 
-def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None) -> DataFrame:
-    """Rows written in their key's last life; ``ord`` is the last write of the row."""
-    told = join_same(rows, key_states(log, as_of), ["key"], "left")
+def _alive(rows: DataFrame, log: DataFrame, as_of: Column | None, states: DataFrame | None = None) -> DataFrame:
+    """Rows written in their key's last life; ``ord`` is the last write of the row. ``states`` are the log's :func:`key_states`, if they are at hand."""
+    told = join_same(rows, key_states(log, as_of) if states is None else states, ["key"], "left")
     return told.where(F.col("since").isNull() | (F.col("ord") >= F.col("since"))).drop("since")
 
 
-def strings(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def strings(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """Last value per key."""
     last = at(log, as_of).where(F.col("call") == SET).groupBy("key").agg(
         F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value")
     )
-    return _alive(last, log, as_of).select("key", "value")
+    return _alive(last, log, as_of, states).select("key", "value")
 
 
 def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -124,41 +125,41 @@ def get(log: DataFrame, keys: DataFrame, as_of: Column | None = None) -> DataFra
     return join_same(keys.select("key"), strings(log, as_of), ["key"], "left")
 
 
-def hashes(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def hashes(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """Last value per (key, field)."""
     written = at(log, as_of).where(F.col("call") == HSET).select("ord", "key", F.explode("fields").alias("field", "value"))
     last = written.groupBy("key", "field").agg(F.max("ord").alias("ord"), F.max_by("value", "ord").alias("value"))
-    return _alive(last, log, as_of).select("key", "field", "value")
+    return _alive(last, log, as_of, states).select("key", "field", "value")
 
 
-def list_items(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def list_items(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """V03 without numbering: every pushed value and where it stands."""
     pushed = at(log, as_of).where(F.col("call") == RPUSH).select("ord", "key", F.posexplode("members").alias("pos", "value"))
-    return _alive(pushed, log, as_of)
+    return _alive(pushed, log, as_of, states)
 
 
-def lists(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def lists(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """``key, position, value`` in push order, from 1."""
-    return number_rows(list_items(log, as_of), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
+    return number_rows(list_items(log, as_of, states), ["key"], ["ord", "pos"], "position").select("key", "position", "value")
 
 
-def sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def sets(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """Distinct members."""
     added = at(log, as_of).where(F.col("call") == SADD).select("ord", "key", F.explode("members").alias("member"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"))
-    return _alive(last, log, as_of).select("key", "member")
+    return _alive(last, log, as_of, states).select("key", "member")
 
 
-def scores(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def scores(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """V05 without ranks: last score per member."""
     added = at(log, as_of).where(F.col("call") == ZADD).select("ord", "key", F.explode("scores").alias("member", "score"))
     last = added.groupBy("key", "member").agg(F.max("ord").alias("ord"), F.max_by("score", "ord").alias("score"))
-    return _alive(last, log, as_of).select("key", "member", "score")
+    return _alive(last, log, as_of, states).select("key", "member", "score")
 
 
-def sorted_sets(log: DataFrame, as_of: Column | None = None) -> DataFrame:
+def sorted_sets(log: DataFrame, as_of: Column | None = None, states: DataFrame | None = None) -> DataFrame:
     """Members ranked from 1 by (score, member)."""
-    return number_rows(scores(log, as_of), ["key"], ["score", "member"], "rank").select(
+    return number_rows(scores(log, as_of, states), ["key"], ["score", "member"], "rank").select(
         "key", "rank", "member", "score"
     )
 
@@ -172,10 +173,11 @@ def full_state(log: DataFrame, as_of: Column | None = None) -> DataFrame:
         )
 
     none = F.lit(None)
+    states = cut_lineage(key_states(log, as_of), "lives")  # found once for all kinds
     return (
-        rows("string", strings(log, as_of), none, F.col("value"))
-        .unionByName(rows("hash", hashes(log, as_of), F.col("field"), F.col("value")))
-        .unionByName(rows("list", lists(log, as_of), F.col("position"), F.col("value")))
-        .unionByName(rows("set", sets(log, as_of), F.col("member"), none))
-        .unionByName(rows("zset", scores(log, as_of), F.col("member"), F.col("score")))
+        rows("string", strings(log, as_of, states), none, F.col("value"))
+        .unionByName(rows("hash", hashes(log, as_of, states), F.col("field"), F.col("value")))
+        .unionByName(rows("list", lists(log, as_of, states), F.col("position"), F.col("value")))
+        .unionByName(rows("set", sets(log, as_of, states), F.col("member"), none))
+        .unionByName(rows("zset", scores(log, as_of, states), F.col("member"), F.col("score")))
     )

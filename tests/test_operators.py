@@ -311,3 +311,13 @@ def test_a_hundred_thousand_field_names(spark):
     assert (r["often"], r["it's"], r["_rest"].toPython()["f70001"]) == (2, "1.5", 70001)
     few = evolve.add_json_columns(rows.limit(3), "j")
     assert "_rest" not in few.columns and [tuple(x) for x in few.select("f1", "often").orderBy("id").collect()] == [(None, "0"), ("1", "1"), (None, "2")]
+
+
+def test_lives_of_keys_are_found_once_for_all_kinds(spark, monkeypatch):
+    calls, found = [], kv.key_states
+    monkeypatch.setattr(kv, "key_states", lambda *a: calls.append(1) or found(*a))
+    ts = F.timestamp_seconds("ord").cast("timestamp_ntz")
+    raw = spark.createDataFrame([(1, "set", "a", "x"), (2, "set", "b", "y"), (3, "del", "a", None), (4, "set", "a", "z"), (5, "del", "b", None)], "ord long, call string, key string, value string")
+    log = kv.kv_log(raw, ord=F.col("ord"), ts=ts, call=F.col("call"), key=F.col("key"), value=F.col("value"))
+    assert [tuple(r) for r in kv.full_state(log).collect()] == [("string", "a", None, "z")]
+    assert len(calls) == 1
