@@ -121,20 +121,27 @@ def split_rows(log: DataFrame) -> DataFrame:
     They follow each other by ``_txn_seq``. Statements with anything but literals and marks in their values stay as they are.
     """
     sql = F.col("sql")
-    many = F.coalesce(sql.rlike(r"\)\s*,\s*\(") & sql.rlike(st.MANY_ROWS), F.lit(False))
-    rows = st.pieces(st.piece(sql, st.MANY_ROWS, 2), "(" + st.TUPLE + ")", 1)
+    many = F.coalesce(sql.rlike(r"\)\s*,\s*\("), F.lit(False))
+    # one match per statement, and none of three others for those that have one row
+    odd = sql.contains(st.SEPARATOR)
+    log_columns, log = log.columns, log.withColumn("_found", st.groups(sql, st.MANY_ROWS, 3, many & ~odd))
+
+    def cut_out(group: int) -> Column:
+        return F.when(odd, F.when(many, st.piece(sql, st.MANY_ROWS, group))).otherwise(st.part(F.col("_found"), group))
+
+    rows = st.pieces(cut_out(2), "(" + st.TUPLE + ")", 1)
     marks = F.transform("_rows", lambda r: st.marks_in(st.pieces(r, r"('[^']*+'|\?)", 1)))
-    cut = log.withColumn("_rows", F.when(many, rows)).withColumn("_marks", marks)
+    cut = log.withColumn("_rows", rows).withColumn("_marks", marks)
     each = F.when(F.col("_rows").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("_rows") - 1))
     cut = cut.withColumn("_nth", F.explode(each))
     before = F.aggregate(F.slice("_marks", F.lit(1), F.col("_nth")), F.lit(0), lambda s, m: s + m)
-    text = F.concat(st.piece(sql, st.MANY_ROWS, 1), F.lit(" "), F.get("_rows", "_nth"), F.lit(" "), F.coalesce(st.piece(sql, st.MANY_ROWS, 3), F.lit("")))
+    text = F.concat(cut_out(1), F.lit(" "), F.get("_rows", "_nth"), F.lit(" "), F.coalesce(cut_out(3), F.lit("")))
     changed = {
         "args": F.when(F.col("_rows").isNotNull(), F.slice("args", before + 1, F.get("_marks", "_nth"))).otherwise(F.col("args")),
         "_txn_seq": F.col("_txn_seq") * STATEMENT_ROWS + F.col("_nth"),
         "sql": F.when(F.col("_rows").isNotNull(), text).otherwise(sql),
     }
-    return cut.withColumns(changed).select(*log.columns)
+    return cut.withColumns(changed).select(*log_columns)
 
 
 def deduce_changes(log: DataFrame, specs: Iterable[TableSpec] = ()) -> DataFrame:

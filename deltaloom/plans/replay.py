@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deltaloom.functions.columns import join_same
@@ -26,8 +26,8 @@ from deltaloom.operators.evolve import (
 )
 from deltaloom.operators.fold import fold, merge, tag_devices
 from deltaloom.operators.modes import settle_ignored
-from deltaloom.operators.normalize import STATEMENT_ROWS, deduce_changes, unrecognised
-from deltaloom.storage import cut_lineage
+from deltaloom.operators.normalize import LOG_COLS, STATEMENT_ROWS, deduce_changes, unrecognised
+from deltaloom.storage import broadcast_checked, compiled_in_parts, cut_lineage
 
 # Destination init modes
 OVERWRITE_OBJECT = "OVERWRITE_OBJECT"
@@ -110,21 +110,21 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False,
         raise ValueError("the sync mode must be named: REPLICATION or CONSOLIDATION")
     if not filled:
         log = fill_statements(log)
-    ddl = read_ddl(log)
-    histories = schema_histories(ddl, mode)
-    spec = target_spec(histories, table, replicated=mode == REPLICATION)
-    if not spec.columns:
-        raise ValueError(f"table {table} does not exist at the end of the log")
+    # written once: it may come from files read in Python, or from the fill, and the schema history and the deduction both read it
+    log = cut_lineage(log.select(*LOG_COLS), "log")
+    ddl = cut_lineage(read_ddl(log), "ddl")
+    histories, spec = _schemas(ddl, table, mode)
     # written once: the steps below read it several times, each a few columns and operations
-    deduced = cut_lineage(deduce_changes(with_known_schema(log, histories)), "deduced")
+    with compiled_in_parts(log.sparkSession):
+        deduced = cut_lineage(deduce_changes(with_known_schema(log, histories)), "deduced")
     refused = unrecognised(deduced)
     if hold_refused:
         first = cut_lineage(refused.groupBy(*DEVICE_COLS).agg(F.min(order_of()).alias("_held")), "held")
         if not first.isEmpty():
-            before = F.col("_held").isNull() | (F.struct("_segment", "_seq", (F.col("_txn_seq") * STATEMENT_ROWS).alias("_txn_seq")) < F.col("_held"))
-            ready = join_same(log, first, DEVICE_COLS, "left").where(before).select(*log.columns)
-            done = replay_commands(ready, table, mode, filled=True)
-            return Replayed(done.spec, done.rows, refused, done.ignored)
+            # what stands before a refused statement was deduced with the schema before it, whatever DDL follows
+            deduced = _before(deduced, first, F.floor(F.col("_txn_seq") / STATEMENT_ROWS).cast("bigint"))
+            ddl = _before(ddl, first, F.col("_txn_seq"))
+            histories, spec = _schemas(ddl, table, mode)
     found = {r["_op"] for r in deduced.select("_op").distinct().collect()}
     as_text = list(dict.fromkeys(s for s, _ in source_columns(histories, table)))
     wide = bind_any(deduced, as_text)
@@ -142,6 +142,22 @@ def replay_commands(log: DataFrame, table: str, mode: str, filled: bool = False,
     return Replayed(spec, rows, refused, ignored)
 
 
+def _schemas(ddl: DataFrame, table: str, mode: str) -> tuple[DataFrame, TableSpec]:
+    """Schema history of all tables, and the destination table at the end of the log."""
+    histories = schema_histories(ddl, mode)
+    spec = target_spec(histories, table, replicated=mode == REPLICATION)
+    if not spec.columns:
+        raise ValueError(f"table {table} does not exist at the end of the log")
+    return histories, spec
+
+
+def _before(rows: DataFrame, held: DataFrame, place: Column) -> DataFrame:
+    """Rows of statements before the place at which their device is held; ``place`` is the statement's number in its transaction."""
+    at = F.struct("_segment", "_seq", (place * STATEMENT_ROWS).alias("_txn_seq"))
+    marked = join_same(rows, broadcast_checked(held), DEVICE_COLS, "left")
+    return marked.where(F.col("_held").isNull() | (at < F.col("_held"))).select(*rows.columns)
+
+
 def bind_any(deduced: DataFrame, columns: list[str]) -> DataFrame:
     """Bound values of any table's rows as text columns, next to ``_table``."""
 

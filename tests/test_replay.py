@@ -217,3 +217,48 @@ def test_deduction_keeps_set_and_where_apart(spark):
     ).first()
     assert (row["_op"], row["s"], row["w"]) == ("UPDATE_WHERE", "y", "x")
     assert unrecognised(deduce_changes(log, [spec])).count() == 0
+
+
+REFUSED = [
+    "CREATE TABLE gauges (serial INTEGER PRIMARY KEY, bar REAL)",
+    "INSERT INTO gauges (serial, bar) VALUES (1, 0.5), (2, 1.5)",
+    "UPDATE gauges SET bar = bar + 1 WHERE serial = 1",
+    "ALTER TABLE gauges ADD COLUMN room TEXT",
+    ("INSERT INTO gauges (serial, bar, room) VALUES (?, ?, ?)", [3, 2.5, "attic"]),
+]
+
+
+@pytest.mark.parametrize("hold", [False, True])
+def test_a_command_log_is_read_and_deduced_once(spark, monkeypatch, hold):
+    from deltaloom.plans import replay
+
+    read, limits = spark.sparkContext.accumulator(0), []
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    def deduce(log):
+        limits.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+        return deduce_changes(log)
+
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    monkeypatch.setattr(replay, "deduce_changes", deduce)
+    log = log_of(spark, REFUSED).unionByName(log_of(spark, REFUSED[:2] + REFUSED[3:], "d2"))
+    log = log.withColumn("sql", F.udf(seen).asNondeterministic()("sql"))
+    result = replay_commands(log, "gauges", CONSOLIDATION, filled=True, hold_refused=hold)
+    rows = rows_of(result, "sys_device_id", "serial", "bar", "room")
+    assert [r[0] for r in rows] == ["d1"] * (2 if hold else 3) + ["d2"] * 3
+    assert result.rejected.count() == 1
+    assert (read.value, limits, spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == (9, ["8000"], limit)
+
+
+def test_rows_of_values_are_matched_once(spark):
+    from deltaloom.operators.normalize import split_rows
+
+    texts = ["INSERT INTO t (a, b) VALUES (1, 'x, (y)'), (?, 'it''s'), (3, NULL) ON CONFLICT (a) DO NOTHING", "INSERT INTO t (a) VALUES (1), (f(2))", "DELETE FROM t", "INSERT INTO t (a) VALUES ('\u0001'), ('b')"]
+    split = split_rows(log_of(spark, [(t, [5]) for t in texts]))
+    found = [(r["sql"].split("VALUES")[-1].strip(), len(r["args"])) for r in split.orderBy("_seq", "_txn_seq").collect()]
+    tail = " ON CONFLICT (a) DO NOTHING"
+    assert found == [("(1, 'x, (y)')" + tail, 0), ("(?, 'it''s')" + tail, 1), ("(3, NULL)" + tail, 0), ("(1), (f(2))", 1), ("DELETE FROM t", 1), ("('\u0001')", 0), ("('b')", 0)]
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("_found") > 0
