@@ -67,6 +67,19 @@ def truncated_devices(changes: DataFrame) -> DataFrame:
     )
 
 
+#: Tasks a key's rows are dealt out to, at most, before they are combined.
+SPREAD = 16
+
+
+def spread(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Deal rows read from log files out by key, a key with many rows to several tasks.
+
+    Aggregates of strings and structs sort their input, and a split of a log file, bounded in bytes, holds as many rows as compress into
+    it. After a shuffle a task combines what Spark's advisory size lets it have, however well the files are compressed.
+    """
+    return changes.repartition(*spec.row_key, F.pmod(F.xxhash64(*ORDER_COLS), F.lit(SPREAD)))
+
+
 def summarise(
     changes: DataFrame, spec: TableSpec, ops: Iterable[str] = ROW_OPS, by: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from deltaloom.functions.columns import join_same
 from deltaloom.model import CHANGE_COLS, DEVICE_COLS, ROW_OPS, TableSpec
-from deltaloom.operators.fold import merge
+from deltaloom.operators.fold import merge, spread
 from deltaloom.operators.normalize import after_marks, high_marks, hold_gaps
 from deltaloom.storage import list_dir
 
@@ -139,4 +139,4 @@ class ChangeTable:
         ready = ready.drop("batch")
         moved = marks.unionByName(high_marks(ready)).groupBy(*DEVICE_COLS)
         moved = moved.agg(F.max("_applied").alias("_applied"), F.max("_applied_commit").alias("_applied_commit"))
-        return merge(state, ready, self.spec, self.ops), moved, waiting
+        return merge(state, spread(ready, self.spec), self.spec, self.ops), moved, waiting

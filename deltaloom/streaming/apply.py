@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from deltaloom.model import INSERT, ROW_OPS, TableSpec, order_of
-from deltaloom.operators.fold import compact
+from deltaloom.operators.fold import compact, spread
 from deltaloom.sinks.changetable import ChangeTable
 
 
@@ -121,7 +121,7 @@ def start_compaction(
     ops = tuple(ops)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        compact(batch, spec, ops).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        compact(spread(batch, spec), spec, ops).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, every_seconds).start()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from deltaloom.model import DELETE, INSERT, ROW_OPS, TRUNCATE, UPDATE, UPSERT
-from deltaloom.operators.fold import fold
+from deltaloom.operators.fold import fold, spread
 from deltaloom.operators.normalize import hold_gaps
 from deltaloom.plans import replay
 from deltaloom.sinks import writers
@@ -247,3 +247,20 @@ def test_current_rows_without_upserts_are_an_aggregation(spark, tmp_path):
         state |= {(r["_device_id"], r["id"]): (r["a"], r["b"], r["_commit_id"]) if r["_live"] else None for r in batch}
     assert {k: v for k, v in state.items() if v} == simulate(log)
     assert len(emitted) == 2 or not emitted[2], "rows delivered again are not emitted again"
+
+
+def test_log_files_are_dealt_out_by_key_before_they_are_folded(spark, tmp_path):
+    """One well compressed file is one split; the sort of the fold must not see all its rows in one task, nor all rows of a hot key."""
+    table = table_of(spark, tmp_path)
+    log = spark.range(4000).selectExpr("'d' _device_id", "'n' _device_name", "id div 100 _segment", "id _seq", "0L _txn_seq", "id _commit_id",
+                                       f"'{UPSERT}' _op", "cast(null as array<string>) _set_cols", "if(id % 2 = 0, 0, id) id", "'x' a", "id b")
+    table.apply(log.coalesce(1), 0)
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    shared = spread(spark.read.parquet(str(tmp_path / "t" / "changes")), spec_of(spark)).withColumn("p", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert shared.where("id = 0").select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert table.read().count() == 2001 and table.read().where("id = 0").first()["b"] == 3998
